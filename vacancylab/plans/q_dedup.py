@@ -1 +1,101 @@
-"""Registered queries (filled in below)."""
+"""Registered duplicate-flag queries (D1-D6, I15) and their SQL twins."""
+
+from __future__ import annotations
+
+from ..operators import dedup
+from ..sources.fixtures import fixture_db
+from .catalog import register
+from .fixture_sql import CURRENT_BATCH
+from .oracle import sql
+
+B = CURRENT_BATCH
+
+
+def _rn_sql(partition: str, where: str = "", batch: str | None = B) -> str:
+    bcond = f"WHERE p.data_batch = '{batch}'" if batch else ""
+    return sql(f"""
+    SELECT uniq_id FROM (
+      SELECT c.uniq_id, row_number() OVER (PARTITION BY {partition} ORDER BY c.uniq_id) AS rn
+      FROM (SELECT * FROM positions {where}) c
+      JOIN (SELECT * FROM v_postings p {bcond}) p ON c.uniq_id = p.uniq_id) t
+    WHERE rn > 1""")
+
+
+@register("d1_text_duplicates", _rn_sql("p.job_description"))
+def d1(spark, sf_dir):
+    db = fixture_db(spark, sf_dir, flags=False, tags=False)
+    return dedup.duplicate_ids(db.postings, db.positions, B, ["job_description"])
+
+
+@register("d2_city_text_duplicates", _rn_sql("p.data_batch, c.city, p.job_description", batch=None))
+def d2(spark, sf_dir):
+    db = fixture_db(spark, sf_dir, flags=False, tags=False)
+    return dedup.duplicate_ids(db.postings, db.positions, "all", ["city", "job_description"])
+
+
+@register("d3_duplicates_restricted_scope",
+          _rn_sql("p.job_description", "WHERE inferred_country IN ('europe', 'asia')"))
+def d3(spark, sf_dir):
+    db = fixture_db(spark, sf_dir, flags=False, tags=False)
+    return dedup.duplicate_ids(db.postings, db.positions, B, ["job_description"],
+                               restrict_to=["europe", "asia"])
+
+
+@register("d3_duplicates_excluded_scope",
+          _rn_sql("p.job_description", "WHERE inferred_country NOT IN ('europe', 'asia')"))
+def d3_ex(spark, sf_dir):
+    db = fixture_db(spark, sf_dir, flags=False, tags=False)
+    return dedup.duplicate_ids(db.postings, db.positions, B, ["job_description"],
+                               exclude=["europe", "asia"])
+
+
+@register("d4_flagged_postings", sql("SELECT * FROM postings"))
+def d4(spark, sf_dir):
+    return fixture_db(spark, sf_dir, tags=False).postings
+
+
+@register("d5_flag_summary", sql("""
+    SELECT 'unique_posting_text' AS flag, unique_posting_text AS value, count(*) AS n_postings
+    FROM postings GROUP BY unique_posting_text
+    UNION ALL
+    SELECT 'unique_posting_textlocation', unique_posting_textlocation, count(*)
+    FROM postings GROUP BY unique_posting_textlocation"""))
+def d5(spark, sf_dir):
+    return dedup.flag_summary(fixture_db(spark, sf_dir, tags=False).postings)
+
+
+@register("d6_unique_share_by_country", sql(f"""
+    SELECT pc.inferred_country AS country, count(*) AS n_postings,
+           count(CASE WHEN jp.unique_posting_text = 'yes' THEN 1 END) AS n_unique,
+           floor(count(CASE WHEN jp.unique_posting_text = 'yes' THEN 1 END) * 1000.0 / count(*) + 0.5) / 1000.0
+             AS share_unique
+    FROM (SELECT * FROM postings WHERE data_batch = '{B}') jp JOIN positions pc ON pc.uniq_id = jp.uniq_id
+    GROUP BY pc.inferred_country"""))
+def d6(spark, sf_dir):
+    db = fixture_db(spark, sf_dir, tags=False)
+    return dedup.unique_share_by_country(db.postings, db.positions, B)
+
+
+@register("i15_reset_flag_for_countries", sql(f"""
+    SELECT uniq_id, crawl_timestamp, job_description, job_board, text_language, data_batch,
+      CASE WHEN data_batch = '{B}' AND uniq_id IN (SELECT uniq_id FROM positions WHERE inferred_country IN ('europe'))
+           THEN 'yes' ELSE unique_posting_text END AS unique_posting_text,
+      unique_posting_textlocation
+    FROM postings"""))
+def i15(spark, sf_dir):
+    db = fixture_db(spark, sf_dir, tags=False)
+    return dedup.reset_flag(db.postings, db.positions, "unique_posting_text", "yes", B,
+                            restrict_to_countries=["europe"])
+
+
+@register("i15_reset_flag_except_countries", sql(f"""
+    SELECT uniq_id, crawl_timestamp, job_description, job_board, text_language, data_batch,
+      unique_posting_text,
+      CASE WHEN data_batch = '{B}' AND uniq_id IN (SELECT uniq_id FROM positions
+                                                  WHERE inferred_country NOT IN ('europe'))
+           THEN 'yes' ELSE unique_posting_textlocation END AS unique_posting_textlocation
+    FROM postings"""))
+def i15_ex(spark, sf_dir):
+    db = fixture_db(spark, sf_dir, tags=False)
+    return dedup.reset_flag(db.postings, db.positions, "unique_posting_textlocation", "yes", B,
+                            exclude_countries=["europe"])
