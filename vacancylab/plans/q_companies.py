@@ -1 +1,148 @@
-"""Registered queries (filled in below)."""
+"""Registered company-study queries (C1-C10) and their SQL twins.
+
+Firm patterns are re-parametrised on the generated supplier names; order
+matters (supplier 45 matches two patterns of two different firms).
+"""
+
+from __future__ import annotations
+
+from ..operators import companies
+from ..sources.fixtures import fixture_db
+from .catalog import register
+from .fixture_sql import CURRENT_BATCH
+from .oracle import sql
+
+B = CURRENT_BATCH
+FIXTURE_FIRMS = [
+    ("#00000001", "Alpha Group"),
+    ("#00000002", "Beta Holding"),
+    ("0000004", "Gamma Pharma"),
+    ("#000000045", "Delta Pharma"),
+    ("#00000005", "Epsilon"),
+    ("#00000006", "Beta Holding"),
+]
+FIXTURE_EXCLUSIONS = ["#000000013", "#000000052"]
+
+
+def _values() -> str:
+    rows = ", ".join(f"({i}, '{p}', '{f}')" for i, (p, f) in enumerate(FIXTURE_FIRMS))
+    return f"SELECT * FROM (VALUES {rows}) AS t(pattern_order, firm_name_pattern, firm_name)"
+
+
+def _match_sql(ai: bool) -> str:
+    inc = " OR ".join(f"company_name LIKE '%{p}%'" for p, _ in FIXTURE_FIRMS)
+    exc = " AND ".join(f"pc.company_name NOT LIKE '%{t}%'" for t in FIXTURE_EXCLUSIONS)
+    ai_join = "JOIN ai_tags aa ON aa.uniq_id = pc.uniq_id" if ai else ""
+    return f"""
+    SELECT pc.company_name, pc.nuts_2, count(*) AS {"n_ai_postings" if ai else "n_postings"}
+    FROM (SELECT DISTINCT company_name FROM employers WHERE {inc}) e
+    JOIN positions pc ON pc.company_name = e.company_name
+    JOIN (SELECT uniq_id FROM postings WHERE data_batch = '{B}' AND unique_posting_text = 'yes') jp
+      ON jp.uniq_id = pc.uniq_id
+    {ai_join}
+    WHERE {exc}
+    GROUP BY pc.company_name, pc.nuts_2"""
+
+
+def _canon(col: str) -> str:
+    whens = " ".join(f"WHEN {col} LIKE '%{p}%' THEN '{f}'" for p, f in FIXTURE_FIRMS)
+    return f"CASE {whens} ELSE {col} END"
+
+
+C_CTES = [
+    ("c2", _match_sql(False)),
+    ("c3", _match_sql(True)),
+    ("tot", f"SELECT {_canon('company_name')} AS company_name, nuts_2, cast(sum(n_postings) AS bigint) AS n_postings "
+            f"FROM c2 GROUP BY 1, 2"),
+    ("ai", f"SELECT {_canon('company_name')} AS company_name, nuts_2, "
+           f"cast(sum(n_ai_postings) AS bigint) AS n_ai_postings FROM c3 GROUP BY 1, 2"),
+    ("res0", """
+    SELECT coalesce(t.company_name, a.company_name) AS company_name, coalesce(t.nuts_2, a.nuts_2) AS nuts_2,
+           t.n_postings, coalesce(a.n_ai_postings, 0) AS n_ai_postings, a.n_ai_postings / t.n_postings AS ai_share
+    FROM tot t FULL JOIN ai a ON t.company_name IS NOT DISTINCT FROM a.company_name
+                              AND t.nuts_2 IS NOT DISTINCT FROM a.nuts_2"""),
+    ("c8", """
+    SELECT r.company_name, r.nuts_2, r.n_postings, r.n_ai_postings, r.ai_share, g.name_en, g.country
+    FROM (SELECT company_name,
+                 CASE WHEN starts_with(nuts_2, 'UK') THEN substr(nuts_2, 1, 3) ELSE nuts_2 END AS nuts_2,
+                 n_postings, n_ai_postings, ai_share FROM res0) r
+    LEFT JOIN (SELECT name_en, coalesce(nuts_2, oecd_tl2) AS nuts_2, cast(NULL AS varchar) AS country
+               FROM regions WHERE oecd_level = 2) g ON r.nuts_2 IS NOT DISTINCT FROM g.nuts_2"""),
+]
+
+
+def _patterns(spark):
+    return companies.patterns_from_list(spark, FIXTURE_FIRMS)
+
+
+def _db(spark, sf_dir):
+    return fixture_db(spark, sf_dir)
+
+
+@register("c1_firm_patterns_dedup", sql("""
+    SELECT pattern_order, firm_name_pattern, firm_name FROM (
+      SELECT *, row_number() OVER (PARTITION BY firm_name_pattern ORDER BY pattern_order) AS rn
+      FROM (SELECT pattern_order, firm_name_pattern, firm_name FROM fp
+            UNION ALL SELECT pattern_order + 100, firm_name_pattern, 'Subsidiary' FROM fp) u) t
+    WHERE rn = 1""", [("fp", f"""SELECT p.pattern_order, p.firm_name_pattern, p.firm_name FROM ({_values()}) p
+                          WHERE EXISTS (SELECT 1 FROM employers e WHERE e.company_name LIKE
+                                        '%' || p.firm_name_pattern || '%')""")]))
+def c1(spark, sf_dir):
+    from pyspark.sql import functions as F
+    db = _db(spark, sf_dir)
+    # patterns that occur in the stored employer names, with a subsidiary list
+    # that repeats them (each repeated pattern keeps its first row)
+    present = companies.patterns_present(_patterns(spark), db.employers)
+    subs = present.select((F.col("pattern_order") + 100).alias("pattern_order"), "firm_name_pattern",
+                          F.lit("Subsidiary").alias("firm_name"))
+    return companies.firm_patterns(present.unionByName(subs))
+
+
+@register("c2_company_region_postings", sql("SELECT * FROM c2", C_CTES))
+def c2(spark, sf_dir):
+    return companies.company_region_postings(_db(spark, sf_dir), _patterns(spark), FIXTURE_EXCLUSIONS, B)
+
+
+@register("c3_company_region_ai_postings", sql("SELECT * FROM c3", C_CTES))
+def c3(spark, sf_dir):
+    return companies.company_region_ai_postings(_db(spark, sf_dir), _patterns(spark), FIXTURE_EXCLUSIONS, B)
+
+
+@register("c4_matched_employer_count", sql("SELECT count(DISTINCT company_name) AS n_employers FROM c2", C_CTES))
+def c4(spark, sf_dir):
+    return companies.matched_employer_count(
+        companies.company_region_postings(_db(spark, sf_dir), _patterns(spark), FIXTURE_EXCLUSIONS, B))
+
+
+@register("c5_false_positive_review", sql("""
+    SELECT company_name, cast(sum(n_postings) AS bigint) AS n_postings FROM c2 GROUP BY company_name
+    HAVING sum(n_postings) >= 5""", C_CTES))
+def c5(spark, sf_dir):
+    total = companies.company_region_postings(_db(spark, sf_dir), _patterns(spark), FIXTURE_EXCLUSIONS, B)
+    return companies.false_positive_review(total, 5)
+
+
+@register("c6_c8_company_ai_shares", sql("SELECT * FROM c8", C_CTES))
+def c8(spark, sf_dir):
+    return companies.company_ai_shares(_db(spark, sf_dir), _patterns(spark), FIXTURE_EXCLUSIONS, B)
+
+
+@register("c9_top_companies_by_ai_share", sql("""
+    SELECT company_name, n_ai_postings, n_postings, n_ai_postings / n_postings AS ai_share FROM (
+      SELECT company_name, cast(sum(n_ai_postings) AS bigint) AS n_ai_postings,
+             cast(sum(n_postings) AS bigint) AS n_postings FROM c8 GROUP BY company_name) s
+    WHERE n_ai_postings / n_postings > 0 ORDER BY ai_share DESC, company_name LIMIT 20""", C_CTES))
+def c9(spark, sf_dir):
+    shares = companies.company_ai_shares(_db(spark, sf_dir), _patterns(spark), FIXTURE_EXCLUSIONS, B)
+    return companies.top_companies_by_ai_share(shares, 20)
+
+
+@register("c10_top_companies_min_postings", sql("""
+    SELECT company_name, n_ai_postings, n_postings, n_ai_postings / n_postings AS ai_share FROM (
+      SELECT company_name, cast(sum(n_ai_postings) AS bigint) AS n_ai_postings,
+             cast(sum(n_postings) AS bigint) AS n_postings FROM c8 GROUP BY company_name) s
+    WHERE n_ai_postings / n_postings > 0 AND n_postings > 10
+    ORDER BY ai_share DESC, company_name LIMIT 20""", C_CTES))
+def c10(spark, sf_dir):
+    shares = companies.company_ai_shares(_db(spark, sf_dir), _patterns(spark), FIXTURE_EXCLUSIONS, B)
+    return companies.top_companies_by_ai_share(shares, 20, min_postings=10)
