@@ -72,6 +72,31 @@ SELECT concat('N', lpad(cast(n.n_nationkey AS string), 2, '0')) AS nuts_2,
 FROM {customer} c JOIN {nation} n ON n.n_nationkey = c.c_nationkey GROUP BY 1
 """
 
+# A raw provider batch over the same documents: ids repeat inside a file
+# (docs b and b+20 share a file) and across files (b+21), names are padded
+# and upper-case, employers new to the store appear, and the remote flag
+# comes in several spellings.
+V_RAW = """
+SELECT md5(cast(CASE WHEN d.doc_id % 50 = 7 THEN d.doc_id - 20
+                     WHEN d.doc_id % 50 = 8 THEN d.doc_id - 21 ELSE d.doc_id END AS string)) AS uniq_id,
+       d.source AS file, d.doc_id AS row_seq,
+       substr(cast(o.o_orderdate AS string), 1, 10) AS crawl_timestamp,
+       d.text AS job_description, upper(d.source) AS job_board, d.lang AS inferred_iso3_lang_code,
+       CASE WHEN d.doc_id % 23 = 0 THEN NULL
+            WHEN d.doc_id % 11 = 0 THEN concat(' New ', s.s_name)
+            ELSE concat(' ', s.s_name, ' ') END AS company_name,
+       CASE WHEN d.doc_id % 4 = 0 THEN NULL ELSE concat('City', cast(d.n_chars % 50 AS string), '  ') END AS city,
+       n.n_name AS state, n.n_name AS inferred_state, r.r_name AS inferred_country,
+       CASE d.doc_id % 5 WHEN 0 THEN 'true' WHEN 1 THEN '1' WHEN 2 THEN '1.0' WHEN 3 THEN '0' END AS is_remote,
+       s.s_acctbal AS inferred_company_type_score
+FROM {documents} d
+JOIN {orders} o ON o.o_orderkey = d.doc_id
+CROSS JOIN (SELECT count(*) AS n_s FROM {supplier}) c
+JOIN {supplier} s ON s.s_suppkey = d.doc_id % c.n_s
+JOIN {nation} n ON n.n_nationkey = s.s_nationkey
+JOIN {region} r ON r.r_regionkey = n.n_regionkey
+"""
+
 VIEWS = {
     "v_postings": V_POSTINGS,
     "v_positions": V_POSITIONS,
@@ -80,6 +105,7 @@ VIEWS = {
     "v_tech_dict": V_TECH_DICT,
     "v_ai_dict": V_AI_DICT,
     "v_external_shares": V_EXTERNAL_SHARES,
+    "v_raw": V_RAW,
 }
 
 
