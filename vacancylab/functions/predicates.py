@@ -14,7 +14,6 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-TRUE = F.lit(True)
 
 
 def _as_list(value) -> list:

@@ -29,5 +29,5 @@ def register(name: str, oracle: str | None = None):
 
 def load_all() -> None:
     """Import the modules that register queries."""
-    from . import (q_companies, q_dedup, q_evaluation, q_ingest, q_keywords,  # noqa: F401
+    from . import (q_companies, q_dedup, q_evaluation, q_ingest, q_keywords, q_setops,  # noqa: F401
                    q_regions, q_reports, q_sampling, q_shares)
