@@ -46,7 +46,8 @@ def with_file_order(df: DataFrame, file_col: str | None = None, seq_col: str | N
     """
     if file_col and seq_col:
         return df.withColumn("_file", F.col(file_col)).withColumn(
-            ORDER, F.struct(F.col(file_col).alias("f"), F.col(seq_col).cast("long").alias("s")))
+            ORDER, F.struct(F.col(file_col).alias("f"), F.lit(0).cast("long").alias("b"),
+                            F.col(seq_col).cast("long").alias("s")))
     meta = F.col("_metadata")
     return (df.withColumn("_file", meta.getField("file_path"))
             .withColumn(ORDER, F.struct(meta.getField("file_path").alias("f"),

@@ -31,8 +31,12 @@ def list_raw_files(spark: SparkSession, directory: str, suffix: str = ".zip") ->
 
 
 def read_raw_csv(spark: SparkSession, paths, schema: T.StructType = schemas.RAW_POSTINGS) -> DataFrame:
-    """S2 (csv / csv.gz): raw provider rows with ``_file`` and ``_order``."""
-    df = spark.read.options(**CSV_OPTIONS).schema(schema).csv(paths)
+    """S2 (csv / csv.gz): raw provider rows with ``_file`` and ``_order``.
+
+    Columns are matched by header name (all read as strings, then cast to
+    ``schema``; absent ones become NULL), not by position."""
+    from ..operators.ingest import conform_raw
+    df = conform_raw(spark.read.options(**CSV_OPTIONS).csv(paths), schema)
     meta = F.col("_metadata")
     return (df.withColumn("_file", meta.getField("file_path"))
             .withColumn(ORDER, F.struct(meta.getField("file_path").alias("f"),
@@ -71,7 +75,8 @@ def read_raw_zip(spark: SparkSession, directory_or_paths, schema: T.StructType =
                                     T.StructField("_seq", T.LongType())])
     parsed = files.select("path", "content").mapInPandas(_zip_reader(schema, chunk_rows), string_schema)
     casted = parsed.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields],
-                           "_file", F.struct(F.col("_file").alias("f"), F.col("_seq").alias("s")).alias(ORDER))
+                           "_file", F.struct(F.col("_file").alias("f"), F.lit(0).cast("long").alias("b"),
+                                     F.col("_seq").alias("s")).alias(ORDER))
     return casted
 
 
