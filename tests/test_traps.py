@@ -195,3 +195,19 @@ def test_share_invariants(spark):
         assert abs(total - 1.0) < 1e-12
     m = shares.month_distribution(db).collect()
     assert abs(sum(r.share for r in m) - 1.0) < 1e-12
+
+
+def test_automaton_equals_jvm_matching(spark):
+    import bench
+    from conftest import SF_SMALL
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select(
+        F.col("doc_id").cast("string").alias("uniq_id"), F.col("text").alias("job_description"))
+    rows = [(f, c, k) for f, c, ks in bench._real_style_dictionary() for k in ks] + [("x", 99, "the")]
+    d = spark.createDataFrame(rows, "bloom_field string, bloom_code int, keyword_en string")
+    a = sorted(keywords.tag_tech(docs, d, engine="automaton").collect())
+    j = sorted(keywords.tag_tech(docs, d, engine="jvm").collect())
+    assert a == j and len(a) > 0
+    kws = [k for _, _, k in rows]
+    ka = ids(docs.filter(P.keyword_condition(F.col("job_description"), kws, engine="automaton")))
+    kj = ids(docs.filter(P.keyword_condition(F.col("job_description"), kws, engine="jvm")))
+    assert ka == kj and len(ka) > 0

@@ -101,26 +101,28 @@ def geo_scope_condition(column: str, restrict_to: Sequence[str] | None = None,
     return None
 
 
-def keyword_condition(text: Column, keywords: Sequence[str], boundary: str = "space") -> Column:
+def keyword_condition(text: Column, keywords: Sequence[str], boundary: str = "space",
+                      engine: str = "auto") -> Column:
     """OR over keywords of ``lower(text)`` containing ``' ' + keyword``.
 
     ``boundary='space'`` is the stored semantics (a keyword needs a leading
     space; the suffix is open so stems match).  ``boundary='word'`` also
     accepts text start and any non-word character before the keyword.
-    Keywords are matched literally (no LIKE wildcards).
+    Keywords are matched literally (no LIKE wildcards).  ``engine``: 'jvm'
+    (one ``contains`` per keyword), 'automaton' (one Aho-Corasick pass) or
+    'auto' (automaton from 16 keywords on).
     """
     if not keywords:
         return F.lit(False)
     lowered = F.lower(text)
     if boundary == "space":
-        parts = [lowered.contains(F.lit(" " + k)) for k in keywords]
-    elif boundary == "word":
+        from .matching import any_contains
+        return any_contains(lowered, [" " + k for k in keywords], engine)
+    if boundary == "word":
         import re
         pattern = "(^|\\W)(" + "|".join(re.escape(k) for k in keywords) + ")"
         return lowered.rlike(pattern)
-    else:
-        raise ValueError("boundary must be 'space' or 'word'")
-    return functools.reduce(operator.or_, parts)
+    raise ValueError("boundary must be 'space' or 'word'")
 
 
 def name_pattern_condition(column: str, include: Sequence[str],

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.predicates import (apply_condition, batch_condition, combine_conditions,
                                     country_condition, keyword_condition)
+from ..functions.matching import AUTOMATON_MIN_PATTERNS, group_matcher
 from ._util import MAX_DICTIONARY_ROWS, collect_bounded
 
 LANGUAGES = ("en", "de", "fr", "it")
@@ -161,9 +162,12 @@ def tech_patterns(dictionary: DataFrame, multilingual: bool = False) -> list[tup
     return [(f, c, sorted(p)) for (f, c), p in grouped.items()]
 
 
-def tech_field_matches(text: Column, patterns: list[tuple[str, int, list[str]]]) -> Column:
-    """Array<struct<bloom_field, bloom_code>> of the fields whose patterns occur."""
-    lowered = F.lower(text)
+def tech_field_matches(lowered: Column, patterns: list[tuple[str, int, list[str]]]) -> Column:
+    """Array<struct<bloom_field, bloom_code>>, one entry per field: the field
+    when one of its patterns occurs in ``lowered`` (already lower-cased),
+    else NULL.  No higher-order function wraps it (``array_compact`` would
+    force the whole expression out of generated code); callers explode and
+    drop the NULL entries."""
     items = []
     for field, code, pats in patterns:
         cond = None
@@ -172,19 +176,34 @@ def tech_field_matches(text: Column, patterns: list[tuple[str, int, list[str]]])
             cond = c if cond is None else (cond | c)
         items.append(F.when(cond, F.struct(F.lit(field).alias("bloom_field"),
                                            F.lit(code).cast("int").alias("bloom_code"))))
-    return F.array_compact(F.array(*items))
+    return F.array(*items)
 
 
 def tag_tech(postings: DataFrame, dictionary: DataFrame, data_batch="all",
              existing: DataFrame | None = None, multilingual: bool = False,
-             matching_column: str = "job_description") -> DataFrame:
+             matching_column: str = "job_description", engine: str = "auto") -> DataFrame:
     """K6: one row per (posting, technology field) whose keywords occur;
-    pairs already stored are skipped.  Columns: uniq_id, bloom_field, bloom_code."""
+    pairs already stored are skipped.  Columns: uniq_id, bloom_field, bloom_code.
+
+    The text is lower-cased once in its own projection; every pattern is
+    then a ``contains`` on that column (no per-pattern lower-casing)."""
     patterns = tech_patterns(dictionary, multilingual)
     scope = apply_condition(postings, combine_conditions([batch_condition(data_batch),
                                                           F.col("uniq_id").isNotNull()]))
-    tags = (scope.select("uniq_id", F.explode(tech_field_matches(F.col(matching_column), patterns))
-                         .alias("m"))
+    lowered = scope.select("uniq_id", F.lower(F.col(matching_column)).alias("__lt"))
+    n_pat = sum(len(p) for _, _, p in patterns)
+    if engine == "jvm" or (engine == "auto" and n_pat < AUTOMATON_MIN_PATTERNS):
+        matches = tech_field_matches(F.col("__lt"), patterns)
+    else:
+        fields = F.array(*[F.struct(F.lit(f).alias("bloom_field"), F.lit(c).cast("int").alias("bloom_code"))
+                           for f, c, _ in patterns])
+        udf = group_matcher([(" " + p, i) for i, (_, _, pats) in enumerate(patterns) for p in pats],
+                            len(patterns))
+        matches = F.transform(udf(F.col("__lt")), lambda i: F.element_at(fields, i + 1))
+        lowered = lowered.select("uniq_id", matches.alias("__m"))
+        matches = F.col("__m")
+    tags = (lowered.select("uniq_id", F.explode(matches).alias("m"))
+            .filter(F.col("m").isNotNull())
             .select("uniq_id", "m.bloom_field", "m.bloom_code"))
     if existing is not None:
         tags = tags.join(existing.select("uniq_id", "bloom_code"), ["uniq_id", "bloom_code"], "left_anti")
