@@ -62,33 +62,57 @@ def token_windows(text: Column, seed_key: Column, sequence_length: int = 10, n_s
 
 
 # ------------------------------------------------------------------------ fingerprints
-def _shifted(arr: Column, width: int) -> Column:
-    """Array of structs (arr[i], ..., arr[i+width-1]) for every full run.
-
-    Built from shifted slices zipped together, so no lambda refers to an
-    outer expression (Spark would re-evaluate it per element)."""
-    n = F.greatest(F.size(arr) - width + 1, F.lit(0))
-    return F.arrays_zip(*[F.slice(arr, j + 1, n) for j in range(width)])
-
-
-def _kgram_hashes(tokens: Column) -> Column:
-    """xxhash64 of every run of ``K_GRAM`` consecutive tokens."""
-    return F.transform(_shifted(tokens, K_GRAM), lambda z: F.xxhash64(*[z[str(j)] for j in range(K_GRAM)]))
-
-
-def winnowed_fingerprints(text: Column) -> Column:
-    """Distinct winnowed 4-gram fingerprints of a text (array<bigint>)."""
-    h = _kgram_hashes(F.split(text, " ", -1))
-    return F.array_distinct(F.transform(_shifted(h, WINNOW),
-                                        lambda z: F.least(*[z[str(j)] for j in range(WINNOW)])))
-
-
-def window_probe(window: Column) -> Column:
-    """Fingerprint a containing text must have, or NULL when the window has
-    fewer than ``INNER`` inner tokens."""
-    toks = F.split(window, " ", -1)
-    head = F.slice(toks, 2, INNER)
-    return F.when(F.size(toks) >= INNER + 2, F.array_min(_kgram_hashes(head)))
+# Per-text shingling is a tight loop over tokens; Spark's higher-order array
+# functions run it interpreted (~5 us per token), so it runs in Arrow-batched
+# pandas UDFs with xxhash and numpy.  Both sides (index and probes) use the
+# same hash of the k-gram joined by single spaces (tokens hold no spaces, so
+# the join is injective).
+
+def _kgram_hash_array(tokens: list[str]):
+    import numpy as np
+    import xxhash
+    n = len(tokens) - K_GRAM + 1
+    if n <= 0:
+        return np.empty(0, dtype=np.int64)
+    h = np.fromiter((xxhash.xxh64_intdigest(" ".join(tokens[i:i + K_GRAM])) for i in range(n)),
+                    dtype=np.uint64, count=n)
+    return h.view(np.int64)
+
+
+def _winnow(h):
+    import numpy as np
+    if len(h) < WINNOW:
+        return np.empty(0, dtype=np.int64)
+    from numpy.lib.stride_tricks import sliding_window_view
+    return np.unique(sliding_window_view(h, WINNOW).min(axis=1))
+
+
+@F.pandas_udf(T.ArrayType(T.LongType()))
+def winnowed_fingerprints(texts: pd.Series) -> pd.Series:
+    """Distinct winnowed 4-gram fingerprints of each text (array<bigint>)."""
+    return pd.Series([None if t is None else _winnow(_kgram_hash_array(t.split(" "))).tolist()
+                      for t in texts], dtype=object)
+
+
+@F.pandas_udf(T.ArrayType(T.LongType()))
+def window_probes(windows: pd.Series) -> pd.Series:
+    """Per window: the fingerprint any containing text must have (the minimum
+    4-gram hash over the first ``INNER`` inner tokens), or NULL when the
+    window has fewer than ``INNER`` inner tokens."""
+    out = []
+    for ws in windows:
+        if ws is None:
+            out.append(None)
+            continue
+        row = []
+        for w in ws:
+            toks = w.split(" ")
+            if len(toks) < INNER + 2:
+                row.append(None)
+            else:
+                row.append(int(_kgram_hash_array(toks[1:1 + INNER]).min()))
+        out.append(row)
+    return pd.Series(out, dtype=object)
 
 
 # ------------------------------------------------------------------------ E4
@@ -99,10 +123,10 @@ def distinct_employer_texts(postings: DataFrame) -> DataFrame:
     """First posting (smallest id) per (employer, text); NULL texts and NULL
     employers do not take part.  Columns: company_name, uniq_id, job_description."""
     rows = postings.filter(F.col("company_name").isNotNull() & F.col("job_description").isNotNull())
+    # one shuffle; the map-side partial aggregate already drops repeated texts
     firsts = (rows.groupBy("company_name", F.unhex(F.sha2("job_description", 256)).alias("__h"))
-              .agg(F.min("uniq_id").alias("uniq_id")))
-    return rows.join(firsts.select("uniq_id"), "uniq_id", "left_semi").select(
-        "company_name", "uniq_id", "job_description")
+              .agg(F.min_by(F.struct("uniq_id", "job_description"), F.col("uniq_id")).alias("r")))
+    return firsts.select("company_name", "r.uniq_id", "r.job_description")
 
 
 def candidate_edges(docs: DataFrame, n_sequences: int = 3, sequence_length: int = 10,
@@ -116,7 +140,7 @@ def candidate_edges(docs: DataFrame, n_sequences: int = 3, sequence_length: int
                         F.explode(winnowed_fingerprints(F.col("job_description"))).alias("fp"))
     df = index.groupBy("company_name", "fp").agg(F.count(F.lit(1)).alias("df"))
     probes = win.select("company_name", "uniq_id",
-                        F.posexplode(F.transform("windows", window_probe)).alias("wi", "fp"))
+                        F.posexplode(window_probes(F.col("windows"))).alias("wi", "fp"))
     ranked = (probes.filter(F.col("fp").isNotNull())
               .join(df, ["company_name", "fp"], "left")
               .groupBy("company_name", "uniq_id")
@@ -138,6 +162,9 @@ def candidate_edges(docs: DataFrame, n_sequences: int = 3, sequence_length: int
 def _greedy(skip_last_pair: bool):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.astype(object)
+        company = pdf["company_name"].iloc[0]
+        if not (pdf["kind"] == "e").any():
+            return _frame(company, [])
         nodes = sorted(pdf.loc[pdf["kind"] == "n", "src"].tolist())
         out_edges: dict[str, list[str]] = {}
         for s, d in zip(pdf.loc[pdf["kind"] == "e", "src"], pdf.loc[pdf["kind"] == "e", "dst"]):
