@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from ..functions.predicates import (apply_condition, batch_condition, geo_scope_condition)
 from ..functions.text import group_key
+from ..schemas import FLAG_COLUMNS
 
 POSTING_COLUMNS = {"job_description", "job_title", "crawl_timestamp", "job_board",
                    "text_language", "url", "post_date", "html_job_description"}
@@ -39,6 +40,30 @@ def _scoped_rows(postings: DataFrame, positions: DataFrame, data_batch, levels:
     return pc.join(jp, "uniq_id", "inner")
 
 
+def duplicate_ids_by_level(postings: DataFrame, positions: DataFrame, data_batch,
+                           level_sets: dict[str, Sequence[str]],
+                           restrict_scope_by: str = "inferred_country",
+                           restrict_to: Sequence[str] | None = None,
+                           exclude: Sequence[str] | None = None) -> DataFrame:
+    """Ids to flag for several level sets at once: (uniq_id, level).
+
+    One join of postings with positions, one hashing pass per level set, one
+    ``min`` aggregate over (level, key) and one join back - texts are read
+    and hashed once however many level sets are flagged.
+    """
+    names = list(level_sets)
+    needed = sorted({c for lv in level_sets.values() for c in lv})
+    rows = _scoped_rows(postings, positions, data_batch, needed, restrict_scope_by, restrict_to, exclude)
+    keyed = rows.select("uniq_id", F.explode(F.array(*[
+        F.struct(F.lit(n).alias("level"),
+                 group_key([F.col("data_batch")] + [F.col(c) for c in level_sets[n]]).alias("gk"))
+        for n in names])).alias("k")).select("uniq_id", "k.level", "k.gk")
+    firsts = keyed.groupBy("level", "gk").agg(F.min("uniq_id").alias("first_id"))
+    return (keyed.join(firsts, ["level", "gk"], "inner")
+            .filter(F.col("uniq_id") != F.col("first_id"))
+            .select("uniq_id", "level"))
+
+
 def duplicate_ids(postings: DataFrame, positions: DataFrame, data_batch="all",
                   levels: Sequence[str] = ("job_description",),
                   restrict_scope_by: str = "inferred_country",
@@ -49,12 +74,9 @@ def duplicate_ids(postings: DataFrame, positions: DataFrame, data_batch="all",
     ``data_batch`` may be one batch, a list or ``"all"``; batches never mix
     (each batch is deduplicated on its own, like one cleaner run per batch).
     """
-    rows = _scoped_rows(postings, positions, data_batch, levels, restrict_scope_by, restrict_to, exclude)
-    rows = rows.select("uniq_id", group_key([F.col("data_batch")] + [F.col(c) for c in levels]).alias("gk"))
-    firsts = rows.groupBy("gk").agg(F.min("uniq_id").alias("first_id"))
-    return (rows.join(firsts, "gk", "inner")
-            .filter(F.col("uniq_id") != F.col("first_id"))
-            .select("uniq_id"))
+    out = duplicate_ids_by_level(postings, positions, data_batch, {"l": list(levels)},
+                                 restrict_scope_by, restrict_to, exclude)
+    return out.select("uniq_id")
 
 
 def duplicate_ids_window(postings: DataFrame, positions: DataFrame, data_batch="all",
@@ -69,18 +91,16 @@ def duplicate_ids_window(postings: DataFrame, positions: DataFrame, data_batch="
     return rows.withColumn("rn", F.row_number().over(w)).filter("rn > 1").select("uniq_id")
 
 
-def apply_flags(postings: DataFrame, flagged: dict[str, DataFrame], update_value: str = "no") -> DataFrame:
-    """Lower the given flag columns for the flagged ids (others keep their
-    value).  All flag sets are merged first so ``postings`` is joined once."""
-    marks = None
-    for i, (col, ids) in enumerate(flagged.items()):
-        m = ids.select("uniq_id", *[F.lit(1 if j == i else 0).alias(f"__m{j}") for j in range(len(flagged))])
-        marks = m if marks is None else marks.unionByName(m)
-    marks = marks.groupBy("uniq_id").agg(*[F.max(f"__m{j}").alias(f"__m{j}") for j in range(len(flagged))])
+def apply_flags(postings: DataFrame, flagged: DataFrame, update_value: str = "no") -> DataFrame:
+    """Lower the flag columns named in ``flagged`` (uniq_id, level) for
+    those ids; other rows keep their value.  ``postings`` is joined once."""
+    marks = flagged.groupBy("uniq_id").agg(F.collect_set("level").alias("__lv"))
     out = postings.join(marks, "uniq_id", "left")
-    for j, col in enumerate(flagged):
-        out = out.withColumn(col, F.when(F.col(f"__m{j}") == 1, F.lit(update_value)).otherwise(F.col(col)))
-    return out.drop(*[f"__m{j}" for j in range(len(flagged))]).select(*postings.columns)
+    for col in FLAG_COLUMNS:
+        if col in postings.columns:
+            hit = F.coalesce(F.array_contains(F.col("__lv"), F.lit(col)), F.lit(False))
+            out = out.withColumn(col, F.when(hit, F.lit(update_value)).otherwise(F.col(col)))
+    return out.select(*postings.columns)
 
 
 def clean_duplicates(postings: DataFrame, positions: DataFrame, data_batch="all",
@@ -88,11 +108,12 @@ def clean_duplicates(postings: DataFrame, positions: DataFrame, data_batch="all"
                      exclude=None) -> DataFrame:
     """D1 + D2 + D4: both duplicate flags for the batch(es); rows outside the
     batch or scope keep their flags (flags are only ever lowered)."""
-    text = duplicate_ids(postings, positions, data_batch, ["job_description"],
-                         restrict_scope_by, restrict_to, exclude)
-    loc = duplicate_ids(postings, positions, data_batch, ["city", "job_description"],
-                        restrict_scope_by, restrict_to, exclude)
-    return apply_flags(postings, {"unique_posting_text": text, "unique_posting_textlocation": loc})
+    flagged = duplicate_ids_by_level(
+        postings, positions, data_batch,
+        {"unique_posting_text": ["job_description"],
+         "unique_posting_textlocation": ["city", "job_description"]},
+        restrict_scope_by, restrict_to, exclude)
+    return apply_flags(postings, flagged)
 
 
 def with_default_flags(postings: DataFrame, value: str = "yes") -> DataFrame:
