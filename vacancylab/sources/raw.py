@@ -44,40 +44,60 @@ def read_raw_csv(spark: SparkSession, paths, schema: T.StructType = schemas.RAW_
                                         F.monotonically_increasing_id().alias("s"))))
 
 
-def _zip_reader(schema: T.StructType, chunk_rows: int):
+def _open_member(path: str, content: bytes):
+    """File object of a raw file: the single member of a zip, a gzip stream or
+    the bytes themselves; any other zip layout is an error."""
+    import gzip
+    if path.endswith(".zip"):
+        zf = zipfile.ZipFile(io.BytesIO(content))
+        members = zf.infolist()
+        if len(members) != 1:
+            raise ValueError(f"{path}: expected one member, found {len(members)}")
+        return zf.open(members[0])
+    if path.endswith(".gz"):
+        return gzip.GzipFile(fileobj=io.BytesIO(content))
+    if path.endswith(".csv"):
+        return io.BytesIO(content)
+    raise ValueError(f"{path}: raw data must be .csv, .csv.gz or a zipped .csv")
+
+
+def _file_reader(schema: T.StructType, chunk_rows: int):
     names = schema.fieldNames()
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for path, content in zip(pdf["path"], pdf["content"]):
-                with zipfile.ZipFile(io.BytesIO(content)) as zf:
-                    members = zf.infolist()
-                    if len(members) != 1:
-                        raise ValueError(f"{path}: expected one member, found {len(members)}")
-                    with zf.open(members[0]) as fh:
-                        seq = 0
-                        for chunk in pd.read_csv(fh, dtype=str, keep_default_na=True, chunksize=chunk_rows):
-                            out = pd.DataFrame({c: chunk[c] if c in chunk.columns else None for c in names})
-                            out["_file"] = path
-                            out["_seq"] = range(seq, seq + len(out))
-                            seq += len(out)
-                            yield out
+                with _open_member(path, content) as fh:
+                    seq = 0
+                    for chunk in pd.read_csv(fh, dtype=str, keep_default_na=True, chunksize=chunk_rows):
+                        out = pd.DataFrame({c: chunk[c] if c in chunk.columns else None for c in names})
+                        out = out.astype(object).where(out.notna(), None)
+                        out["_file"] = path
+                        out["_seq"] = range(seq, seq + len(out))
+                        seq += len(out)
+                        yield out
     return parse
 
 
-def read_raw_zip(spark: SparkSession, directory_or_paths, schema: T.StructType = schemas.RAW_POSTINGS,
-                 chunk_rows: int = 50_000) -> DataFrame:
-    """S2 (zip with one CSV member; another member count is an error).
-    Values arrive as strings and are cast to ``schema``."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(directory_or_paths)
+def parse_raw_files(files: DataFrame, schema: T.StructType = schemas.RAW_POSTINGS,
+                    chunk_rows: int = 50_000) -> DataFrame:
+    """Parse a ``binaryFile`` DataFrame (batch or streaming) of raw files by
+    header name; values are cast to ``schema``; ``_file`` / ``_order`` kept."""
     string_schema = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields]
                                  + [T.StructField("_file", T.StringType()),
                                     T.StructField("_seq", T.LongType())])
-    parsed = files.select("path", "content").mapInPandas(_zip_reader(schema, chunk_rows), string_schema)
-    casted = parsed.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields],
-                           "_file", F.struct(F.col("_file").alias("f"), F.lit(0).cast("long").alias("b"),
-                                     F.col("_seq").alias("s")).alias(ORDER))
-    return casted
+    parsed = files.select("path", "content").mapInPandas(_file_reader(schema, chunk_rows), string_schema)
+    return parsed.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields],
+                         "_file", F.struct(F.col("_file").alias("f"), F.lit(0).cast("long").alias("b"),
+                                           F.col("_seq").alias("s")).alias(ORDER))
+
+
+def read_raw_zip(spark: SparkSession, directory_or_paths, schema: T.StructType = schemas.RAW_POSTINGS,
+                 chunk_rows: int = 50_000, suffix: str = ".zip") -> DataFrame:
+    """S2 (zip with one CSV member; another member count is an error).  Each
+    archive is parsed inside one task; land the result as Parquet once."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", f"*{suffix}").load(directory_or_paths)
+    return parse_raw_files(files, schema, chunk_rows)
 
 
 def read_dimension_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, sep: str = ",",
