@@ -211,3 +211,25 @@ def test_automaton_equals_jvm_matching(spark):
     ka = ids(docs.filter(P.keyword_condition(F.col("job_description"), kws, engine="automaton")))
     kj = ids(docs.filter(P.keyword_condition(F.col("job_description"), kws, engine="jvm")))
     assert ka == kj and len(ka) > 0
+
+
+def test_k1_k2_dictionaries(spark):
+    fields = spark.createDataFrame([("Oled display", 17), ("Cloud computing", 4)], "bloom_field string, bloom_code int")
+    kws = spark.createDataFrame([(17, "OLED screen"), (4, "Software as a service")],
+                                "bloom_code int, keyword_en string")
+    d = {r.bloom_code: r.keyword_en for r in keywords.build_tech_dictionary(fields, kws).collect()}
+    assert d == {17: " oled", 4: "software as a service"}
+    line = spark.createDataFrame([("Machine Learning, Deep Learning, Chatbot",)], "value string")
+    assert [r[0] for r in keywords.build_ai_dictionary(line).collect()] == \
+        ["machine learning", "deep learning", "chatbot"]
+    assert len(keywords.AI_KEYWORDS_EN) == 35 and len(keywords.TECH_FIELDS) == 29
+
+
+def test_catalog_helpers(spark, tmpdir_path):
+    import os
+    from vacancylab.sources import catalog
+    spark.range(3).write.parquet(os.path.join(tmpdir_path, "postings"))
+    assert catalog.list_tables(tmpdir_path) == ["postings"]
+    assert catalog.register_views(spark, tmpdir_path) == ["postings"]
+    assert spark.sql("SELECT count(*) FROM postings").first()[0] == 3
+    assert catalog.table_keys("tech_tags") == ["uniq_id", "bloom_code"]
