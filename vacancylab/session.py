@@ -17,6 +17,8 @@ DEFAULT_CONF = {
     # one employer / one boilerplate text may hold a third of all rows:
     # AQE splits such partitions on the big side of a join.
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # small selective join sides (tags, samples) prune the big side's scan
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
