@@ -25,24 +25,35 @@ DEFAULT_CONF = {
 }
 
 
+STATIC_KEYS = {"spark.ui.enabled"}
+
+
 def get_spark(app_name: str = "vacancylab", master: str | None = None,
               shuffle_partitions: int | None = None,
               extra_conf: dict[str, str] | None = None) -> SparkSession:
     """Return (or create) a session with the library defaults.
 
-    ``master`` and ``shuffle_partitions`` are meant for local runs and tests;
-    on a cluster leave them ``None`` so the submit configuration applies.
+    Defaults never override what the cluster set (spark-defaults / --conf);
+    ``master``, ``shuffle_partitions`` and ``extra_conf`` are explicit
+    requests for local runs and tests - on a cluster leave them unset.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    conf = dict(DEFAULT_CONF)
+    explicit = dict(extra_conf or {})
     if shuffle_partitions:
-        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.update(extra_conf or {})
-    for key, value in conf.items():
+        explicit["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    for key, value in explicit.items():
         builder = builder.config(key, value)
+    # the web UI is a server; it stays off unless explicitly requested
+    if "spark.ui.enabled" not in explicit:
+        builder = builder.config("spark.ui.enabled", "false")
     spark = builder.getOrCreate()
+    preset = spark.sparkContext.getConf()
+    for key, value in DEFAULT_CONF.items():
+        if key in explicit or key in STATIC_KEYS or preset.contains(key):
+            continue
+        spark.conf.set(key, value)
     ensure_checkpoint_dir(spark)
     return spark
 
