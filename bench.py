@@ -4,10 +4,11 @@ Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8).
 Prints ONE JSON line: {"metric", "value", "unit", "queries", "sf", ...}.
 
 Stages timed separately:
-  pipeline - duplicate flags (D1+D2), region assignment (G1+G2), AI tags
-             (K5), technology tags (K6): each forced with a no-op sink;
-  store    - the derived database written as Parquet (scratch folder);
-  reports  - headline reports over the stored tables.
+  pipeline - dimensions (S5), region assignment (G1+G2), duplicate flags
+             (D1+D2), AI tags (K5), technology tags (K6), in pipeline order,
+             each step writing its Parquet table (scratch folder) and the
+             next reading it; plus the tagger with a 176-pattern dictionary;
+  reports  - headline reports over the stored tables (no-op sink).
 """
 
 from __future__ import annotations
@@ -36,7 +37,7 @@ def main() -> None:
 
     from vacancylab.operators import dedup, evaluation, keywords, near_dups, regions, reports, shares
     from vacancylab.plans.fixture_sql import CURRENT_BATCH
-    from vacancylab.sources.fixtures import FIXTURE_RULES, fixture_views, stored_db, write_db, JobTables
+    from vacancylab.sources.fixtures import build_database, fixture_views
 
     def run(df):
         df.write.format("noop").mode("overwrite").save()
@@ -53,29 +54,13 @@ def main() -> None:
     run(v["v_postings"].select("uniq_id"))
     n_postings = v["v_postings"].count()
 
-    postings0 = dedup.with_default_flags(v["v_postings"])
-    positions0 = v["v_positions"].withColumns({"nuts_2": F.lit(None).cast("string"),
-                                               "nuts_3": F.lit(None).cast("string")})
-    positions = regions.assign_regions(positions0, v["v_regions"], FIXTURE_RULES)
-    timed("g1_g2_assign_regions", lambda: run(positions))
-    flagged = dedup.clean_duplicates(postings0, positions, data_batch="all")
-    timed("d1_d2_duplicate_flags", lambda: run(flagged))
-    ai = keywords.tag_ai(flagged, v["v_ai_dict"], data_batch="all")
-    timed("k5_ai_tagging", lambda: run(ai))
-    tech = keywords.tag_tech(flagged, v["v_tech_dict"], data_batch="all")
-    timed("k6_tech_tagging", lambda: run(tech))
-    big = keywords.tag_tech(flagged, spark.createDataFrame(
+    root = os.path.join(scratch, "db")
+    db = build_database(spark, sf_dir, root, timer=timed)
+    big = keywords.tag_tech(db.postings, spark.createDataFrame(
         [(f, c, k) for f, c, ks in _real_style_dictionary() for k in ks],
         "bloom_field string, bloom_code int, keyword_en string"), data_batch="all")
     timed("k6_tech_tagging_176_patterns", lambda: run(big))
 
-    root = os.path.join(scratch, "db")
-    db0 = JobTables(postings=flagged, positions=positions, employers=v["v_employers"], regions=v["v_regions"],
-                    ai_tags=ai, tech_tags=tech, tech_dict=v["v_tech_dict"], ai_dict=v["v_ai_dict"],
-                    external_shares=v["v_external_shares"])
-    timed("store_database", lambda: write_db(db0, root))
-    db = stored_db(spark, root)
-
     months = ["1996-03", "1998-07", "2000-01"]
     samples = ["full_sample", *months]
     emp = evaluation.employer_sample(db, 1000, 2, seed=472023)

@@ -34,6 +34,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import cut_lineage
+
 K_GRAM = 4
 WINNOW = 5
 INNER = K_GRAM + WINNOW - 1          # inner tokens a probe needs
@@ -136,8 +138,10 @@ def candidate_edges(docs: DataFrame, n_sequences: int = 3, sequence_length: int
     win = docs.select("company_name", "uniq_id",
                       token_windows(F.col("job_description"), F.col("uniq_id"), sequence_length,
                                     n_sequences, seq_multiple, seed).alias("windows"))
-    index = docs.select("company_name", F.col("uniq_id").alias("dst"),
-                        F.explode(winnowed_fingerprints(F.col("job_description"))).alias("fp"))
+    # the index feeds both the frequency count and the probe join: cut it once
+    # into the shared checkpoint folder instead of running the UDF twice
+    index = cut_lineage(docs.select("company_name", F.col("uniq_id").alias("dst"),
+                                    F.explode(winnowed_fingerprints(F.col("job_description"))).alias("fp")))
     df = index.groupBy("company_name", "fp").agg(F.count(F.lit(1)).alias("df"))
     probes = win.select("company_name", "uniq_id",
                         F.posexplode(window_probes(F.col("windows"))).alias("wi", "fp"))
@@ -199,7 +203,9 @@ def _frame(company: str, ids: list[str]) -> pd.DataFrame:
 def token_duplicates(postings: DataFrame, n_sequences: int = 3, sequence_length: int = 10,
                      seq_multiple: int = 5, seed: int = 42, skip_last_pair: bool = True) -> DataFrame:
     """Flagged near-duplicate postings (company_name, uniq_id)."""
-    docs = distinct_employer_texts(postings)
+    # texts are read by five consumers below: materialise them once (reliable
+    # checkpoint in spark.checkpoint.dir, survives executor loss)
+    docs = cut_lineage(distinct_employer_texts(postings))
     edges = candidate_edges(docs, n_sequences, sequence_length, seq_multiple, seed)
     nodes = docs.select("company_name", F.lit("n").alias("kind"), F.col("uniq_id").alias("src"),
                         F.lit(None).cast("string").alias("dst"))

@@ -81,6 +81,38 @@ def fixture_db(spark: SparkSession, sf_dir: str, flags: bool = True, geo: bool =
                      external_shares=v["v_external_shares"])
 
 
+def build_database(spark: SparkSession, sf_dir: str, root: str, timer=None) -> JobTables:
+    """Materialise the test database in pipeline order, each step reading
+    the table the previous step wrote (as the batch jobs do): dimensions,
+    positions with region codes, postings with duplicate flags, then tags.
+    ``timer(name, fn)`` may wrap each step (for the benchmark)."""
+    run = timer or (lambda name, fn: fn())
+    v = fixture_views(spark, sf_dir)
+    path = lambda n: os.path.join(root, n)
+
+    def dims():
+        for n, df in (("employers", v["v_employers"]), ("regions", v["v_regions"]),
+                      ("tech_dict", v["v_tech_dict"]), ("ai_dict", v["v_ai_dict"]),
+                      ("external_shares", v["v_external_shares"])):
+            df.write.mode("overwrite").parquet(path(n))
+    run("s5_dimensions", dims)
+    regions_s = spark.read.parquet(path("regions"))
+    positions = v["v_positions"].withColumns({"nuts_2": F.lit(None).cast("string"),
+                                              "nuts_3": F.lit(None).cast("string")})
+    run("g1_g2_assign_regions", lambda: regions.assign_regions(positions, regions_s, FIXTURE_RULES)
+        .write.mode("overwrite").parquet(path("positions")))
+    positions_s = spark.read.parquet(path("positions"))
+    run("d1_d2_duplicate_flags", lambda: dedup.clean_duplicates(
+        dedup.with_default_flags(v["v_postings"]), positions_s, data_batch="all")
+        .write.mode("overwrite").partitionBy("data_batch").parquet(path("postings")))
+    postings_s = spark.read.parquet(path("postings"))
+    run("k5_ai_tagging", lambda: keywords.tag_ai(postings_s, spark.read.parquet(path("ai_dict")), "all")
+        .write.mode("overwrite").parquet(path("ai_tags")))
+    run("k6_tech_tagging", lambda: keywords.tag_tech(postings_s, spark.read.parquet(path("tech_dict")), "all")
+        .write.mode("overwrite").parquet(path("tech_tags")))
+    return stored_db(spark, root)
+
+
 def stored_db(spark: SparkSession, root: str) -> JobTables:
     """Open a database written by ``write_db`` (Parquet per table)."""
     r = lambda n: spark.read.parquet(os.path.join(root, n))
