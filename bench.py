@@ -4,8 +4,8 @@ Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8).
 Prints ONE JSON line: {"metric", "value", "unit", "queries", "sf", ...}.
 
 Stages timed separately:
-  pipeline - dimensions (S5), region assignment (G1+G2), duplicate flags
-             (D1+D2), AI tags (K5), technology tags (K6), in pipeline order,
+  jobs     - dimensions (S5), region assignment (G1+G2), duplicate flags
+             (D1+D2), AI tags (K5), technology tags (K6), in job order,
              each step writing its Parquet table (scratch folder) and the
              next reading it; plus the tagger with a 176-pattern dictionary;
   reports  - headline reports over the stored tables (no-op sink).
@@ -87,7 +87,7 @@ def main() -> None:
 
     total = round(sum(timings.values()), 3)
     out = {
-        "metric": "total_seconds_pipeline_and_reports",
+        "metric": "total_seconds_batch_jobs_and_reports",
         "value": total,
         "unit": "sec",
         "queries": timings,
