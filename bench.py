@@ -1,4 +1,4 @@
-"""Benchmark: the batch pipeline and the headline reports at one scale factor.
+"""Benchmark: the batch jobs and the headline reports at one scale factor.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8).
 Prints ONE JSON line: {"metric", "value", "unit", "queries", "sf", ...}.

@@ -82,7 +82,7 @@ def fixture_db(spark: SparkSession, sf_dir: str, flags: bool = True, geo: bool =
 
 
 def build_database(spark: SparkSession, sf_dir: str, root: str, timer=None) -> JobTables:
-    """Materialise the test database in pipeline order, each step reading
+    """Materialise the test database in job order, each step reading
     the table the previous step wrote (as the batch jobs do): dimensions,
     positions with region codes, postings with duplicate flags, then tags.
     ``timer(name, fn)`` may wrap each step (for the benchmark)."""
