@@ -22,8 +22,10 @@ Plan:
 4. The greedy pass is order dependent; it runs per employer with
    ``applyInPandas`` over ids and verified edges only (no texts).
 
-Sources whose windows all have fewer than ``W + 3`` inner tokens (texts of a
-handful of tokens) cannot be indexed; they are compared with the later
+Sources whose windows all have fewer than ``W + 3`` inner tokens (texts under
+about 20 tokens) probe a single-token index instead: a whole inner token of a
+window must be a token of any containing text.  Only texts whose windows
+hold no whole token (about three tokens or fewer) are compared with the later
 postings of their employer directly.
 """
 
@@ -35,6 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import cut_lineage
+from ._util import broadcast_if_small
 
 K_GRAM = 4
 WINNOW = 5
@@ -151,12 +154,35 @@ def candidate_edges(docs: DataFrame, n_sequences: int = 3, sequence_length: int
               .agg(F.min_by(F.col("fp"), F.struct(F.col("df"), F.col("fp"))).alias("fp")))
     indexed = ranked.join(index, ["company_name", "fp"], "inner").filter(F.col("dst") > F.col("uniq_id"))
     cands = indexed.select("company_name", F.col("uniq_id").alias("src"), "dst")
-    # sources without any indexable window: compare with later postings directly
+    # sources whose windows are too short for the 4-gram index: a whole inner
+    # token of any window must occur as a token of the target, so probe a
+    # token index restricted (map-side, size-checked broadcast) to the probe
+    # tokens, again with the rarest token per source
     tiny = win.join(ranked.select("company_name", "uniq_id"), ["company_name", "uniq_id"], "left_anti")
-    tiny_c = (tiny.select("company_name", F.col("uniq_id").alias("src"))
+    inner = F.flatten(F.transform("windows", lambda w: F.slice(F.split(w, " ", -1), 2,
+                                                                F.greatest(F.size(F.split(w, " ", -1)) - 2,
+                                                                           F.lit(0)))))
+    tiny_tok = tiny.select("company_name", "uniq_id", F.explode(F.array_distinct(inner)).alias("tok"))
+    probe_tokens = broadcast_if_small(tiny_tok.select("company_name", "tok").distinct())
+    tiny_emp = broadcast_if_small(tiny.select("company_name").distinct())
+    tok_index = (docs.join(tiny_emp, "company_name", "left_semi")
+                 .select("company_name", F.col("uniq_id").alias("dst"),
+                             F.explode(F.array_distinct(F.split("job_description", " ", -1))).alias("tok"))
+                 .join(probe_tokens, ["company_name", "tok"], "left_semi"))
+    tok_df = tok_index.groupBy("company_name", "tok").agg(F.count(F.lit(1)).alias("df"))
+    tok_choice = (tiny_tok.join(tok_df, ["company_name", "tok"], "inner")
+                  .groupBy("company_name", "uniq_id")
+                  .agg(F.min_by(F.col("tok"), F.struct(F.col("df"), F.col("tok"))).alias("tok")))
+    tok_c = (tok_choice.join(tok_index, ["company_name", "tok"], "inner")
+             .filter(F.col("dst") > F.col("uniq_id"))
+             .select("company_name", F.col("uniq_id").alias("src"), "dst"))
+    # texts whose windows hold no whole token (a few characters / tokens):
+    # substring containment has no index, compare with later postings
+    bare = tiny.join(tok_choice.select("company_name", "uniq_id"), ["company_name", "uniq_id"], "left_anti")
+    bare_c = (bare.select("company_name", F.col("uniq_id").alias("src"))
               .join(docs.select("company_name", F.col("uniq_id").alias("dst")), "company_name", "inner")
               .filter(F.col("dst") > F.col("src")))
-    cands = cands.unionByName(tiny_c).distinct()
+    cands = cands.unionByName(tok_c).unionByName(bare_c).distinct()
     verified = (cands.join(win.select(F.col("uniq_id").alias("src"), "windows"), "src", "inner")
                 .join(docs.select(F.col("uniq_id").alias("dst"), F.col("job_description").alias("t")), "dst")
                 .filter(F.forall("windows", lambda w: F.col("t").contains(w))))
