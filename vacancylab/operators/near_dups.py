@@ -226,17 +226,70 @@ def _frame(company: str, ids: list[str]) -> pd.DataFrame:
                          "uniq_id": pd.Series(ids, dtype=object)})
 
 
+def greedy_rounds(edges: DataFrame, max_rounds: int = 1000) -> DataFrame:
+    """Distributed form of the greedy pass (without the "at most one posting
+    remains" skip): a node is decided once every source with an edge into it
+    is decided - flagged when one of them is kept, kept otherwise.  Nodes with
+    no in-edge are kept from the start.  One join + aggregate per round over
+    the edge list; rounds = depth of the dependency chains.  Each round's
+    state is checkpointed into the shared checkpoint folder.
+    Returns (company_name, uniq_id) of flagged nodes."""
+    spark = edges.sparkSession
+    e = edges.select("company_name", "src", "dst")
+    nodes = (e.select("company_name", F.col("src").alias("id"))
+             .unionByName(e.select("company_name", F.col("dst").alias("id"))).distinct())
+    has_in = e.select("company_name", F.col("dst").alias("id")).distinct().withColumn("__in", F.lit(True))
+    # 0 undecided, 1 kept, 2 flagged
+    state = cut_lineage(nodes.join(has_in, ["company_name", "id"], "left")
+                        .select("company_name", "id", F.when(F.col("__in").isNull(), F.lit(1))
+                                .otherwise(F.lit(0)).alias("st")))
+    for _ in range(max_rounds):
+        if state.filter(F.col("st") == 0).limit(1).count() == 0:
+            break
+        src_st = state.select("company_name", F.col("id").alias("src"), F.col("st").alias("sst"))
+        votes = (e.join(src_st, ["company_name", "src"], "inner")
+                 .groupBy("company_name", F.col("dst").alias("id"))
+                 .agg(F.max(F.when(F.col("sst") == 1, 1).otherwise(0)).alias("any_kept"),
+                      F.max(F.when(F.col("sst") == 0, 1).otherwise(0)).alias("any_open")))
+        state = cut_lineage(
+            state.join(votes, ["company_name", "id"], "left")
+            .select("company_name", "id",
+                    F.when(F.col("st") != 0, F.col("st"))
+                    .when(F.col("any_kept") == 1, F.lit(2))
+                    .when(F.coalesce(F.col("any_open"), F.lit(0)) == 0, F.lit(1))
+                    .otherwise(F.lit(0)).alias("st")))
+    else:
+        raise RuntimeError("greedy rounds did not converge")
+    del spark
+    return state.filter(F.col("st") == 2).select("company_name", F.col("id").alias("uniq_id"))
+
+
 def token_duplicates(postings: DataFrame, n_sequences: int = 3, sequence_length: int = 10,
-                     seq_multiple: int = 5, seed: int = 42, skip_last_pair: bool = True) -> DataFrame:
-    """Flagged near-duplicate postings (company_name, uniq_id)."""
-    # texts are read by five consumers below: materialise them once (reliable
-    # checkpoint in spark.checkpoint.dir, survives executor loss)
+                     seq_multiple: int = 5, seed: int = 42, skip_last_pair: bool = True,
+                     max_group_nodes: int = 200_000) -> DataFrame:
+    """Flagged near-duplicate postings (company_name, uniq_id).
+
+    Employers with up to ``max_group_nodes`` distinct texts run the exact
+    sequential pass in one pandas group (ids and edges only); larger ones -
+    an employer may hold a third of all postings - use ``greedy_rounds``,
+    which never gathers a group in one task (it differs from the sequential
+    pass only in the "at most one posting remains" skip)."""
+    # texts are read by several consumers below: materialise them once
+    # (reliable checkpoint in spark.checkpoint.dir, survives executor loss)
     docs = cut_lineage(distinct_employer_texts(postings))
     edges = candidate_edges(docs, n_sequences, sequence_length, seq_multiple, seed)
-    nodes = docs.select("company_name", F.lit("n").alias("kind"), F.col("uniq_id").alias("src"),
-                        F.lit(None).cast("string").alias("dst"))
-    both = nodes.unionByName(edges.select("company_name", F.lit("e").alias("kind"), "src", "dst"))
-    return both.groupBy("company_name").applyInPandas(_greedy(skip_last_pair), GREEDY_SCHEMA)
+    sizes = docs.groupBy("company_name").agg(F.count(F.lit(1)).alias("n"))
+    big = broadcast_if_small(sizes.filter(F.col("n") > max_group_nodes).select("company_name"))
+    small_docs = docs.join(big, "company_name", "left_anti")
+    small_edges = edges.join(big, "company_name", "left_anti")
+    nodes = small_docs.select("company_name", F.lit("n").alias("kind"), F.col("uniq_id").alias("src"),
+                              F.lit(None).cast("string").alias("dst"))
+    both = nodes.unionByName(small_edges.select("company_name", F.lit("e").alias("kind"), "src", "dst"))
+    flagged = both.groupBy("company_name").applyInPandas(_greedy(skip_last_pair), GREEDY_SCHEMA)
+    big_edges = edges.join(big, "company_name", "left_semi")
+    if big_edges.limit(1).count() > 0:
+        flagged = flagged.unionByName(greedy_rounds(big_edges))
+    return flagged
 
 
 # ------------------------------------------------------------------------ E6
