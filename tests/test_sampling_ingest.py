@@ -94,3 +94,23 @@ def test_delete_and_orphans(spark):
     tags = ingest.remove_orphan_tags(db.tech_tags, kept)
     assert tags.join(kept, "uniq_id", "left_anti").count() == 0
     assert ingest.delete_batch(db.positions, db.postings, None).count() == 0
+
+
+def test_files_not_loaded_sampled(spark):
+    raw = spark.createDataFrame([("f1", str(i)) for i in range(50)] + [("f2", str(i)) for i in range(50, 60)],
+                                "_file string, uniq_id string")
+    stored = spark.createDataFrame([(str(i),) for i in range(55)], "uniq_id string")
+    full = {r.files: r.n_missing for r in ingest.files_not_loaded(raw, stored).collect()}
+    assert full == {"f2": 5}
+    some = {r.files: r.n_missing for r in ingest.files_not_loaded(raw, stored, sample_rows=5).collect()}
+    assert set(some) <= {"f2"} and all(0 < n <= 5 for n in some.values())
+
+
+def test_employer_postings_accepts_list(spark):
+    db = fixture_db(spark, SF_SMALL, tags=False)
+    from vacancylab.operators import evaluation
+    names = [r.company_name for r in db.positions.select("company_name").distinct().limit(3).collect()
+             if r.company_name]
+    a = evaluation.employer_postings(db, names).count()
+    b = evaluation.employer_postings(db, spark.createDataFrame([(n,) for n in names], "company_name string")).count()
+    assert a == b > 0

@@ -167,10 +167,17 @@ def exclude_duplicated(df: DataFrame, dup_ids: DataFrame, policy: str = "drop_al
 
 
 # ------------------------------------------------------------------------ I11 / I16
-def files_not_loaded(raw: DataFrame, stored_positions: DataFrame) -> DataFrame:
-    """Files with at least one id not in the stored table (a full check
-    instead of five sampled rows), with the number of missing ids."""
+def files_not_loaded(raw: DataFrame, stored_positions: DataFrame, sample_rows: int | None = None,
+                     seed: int = 472023) -> DataFrame:
+    """Files with at least one id not in the stored table, with the
+    number of missing ids.  Default: every row is checked; ``sample_rows``
+    checks only that many hash-chosen rows per file (``row_number() <= n``,
+    planned with a map-side group limit)."""
     ids = raw.select("_file", "uniq_id").filter(F.col("uniq_id").isNotNull())
+    if sample_rows:
+        from pyspark.sql import Window
+        w = Window.partitionBy("_file").orderBy(F.xxhash64("uniq_id", F.lit(seed)), "uniq_id")
+        ids = ids.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= sample_rows).drop("__rn")
     stored = stored_positions.select("uniq_id").distinct().withColumn("__hit", F.lit(1))
     return (ids.join(stored, "uniq_id", "left").groupBy(F.col("_file").alias("files"))
             .agg(F.count(F.when(F.col("__hit").isNull(), 1)).alias("n_missing"))

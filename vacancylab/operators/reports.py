@@ -23,14 +23,14 @@ def _posting_ids(postings: DataFrame, data_batch, unique_postings_only: bool) ->
 
 # ------------------------------------------------------------------------ A1
 def total_postings_by_region(db, regional_level: int = 2, data_batch="all",
-                             unique_postings_only: bool = True) -> DataFrame:
+                             unique_postings_only: bool = True, sort: bool = True) -> DataFrame:
     """A1: postings per region code; a posting without position counts 0."""
     rc = region_column(regional_level)
     jp = _posting_ids(db.postings, data_batch, unique_postings_only)
     pc = db.positions.select(F.col("uniq_id").alias("pc_id"), F.col(rc).alias("region_code"))
     df = (jp.join(pc, jp.uniq_id == pc.pc_id, "left")
           .groupBy("region_code").agg(F.count("pc_id").alias("n_postings")))
-    return add_region_names(df, db.regions, "n_postings")
+    return add_region_names(df, db.regions, "n_postings" if sort else None)
 
 
 def _tagged_by_region(db, tags: DataFrame, count_name: str, regional_level, data_batch,
@@ -47,11 +47,11 @@ def _tagged_by_region(db, tags: DataFrame, count_name: str, regional_level, data
 
 # ------------------------------------------------------------------------ A2
 def ai_postings_by_region(db, regional_level: int = 2, data_batch="all",
-                          unique_postings_only: bool = True) -> DataFrame:
+                          unique_postings_only: bool = True, sort: bool = True) -> DataFrame:
     """A2: AI-tagged postings per (country, region code)."""
     df = _tagged_by_region(db, db.ai_tags.select("uniq_id"), "n_ai_postings",
                            regional_level, data_batch, unique_postings_only)
-    return add_region_names(df, db.regions, "n_ai_postings")
+    return add_region_names(df, db.regions, "n_ai_postings" if sort else None)
 
 
 # ------------------------------------------------------------------------ A3 / A4
@@ -85,8 +85,8 @@ def ai_share_by_region(db, regional_level: int = 2, data_batch="all",
                        unique_postings_only: bool = True) -> DataFrame:
     """A2 joined with A1 on the region code only (NULL matches NULL),
     ``ai_share = n_ai_postings / n_postings``, sorted by share."""
-    ai = ai_postings_by_region(db, regional_level, data_batch, unique_postings_only)
-    total = total_postings_by_region(db, regional_level, data_batch, unique_postings_only)
+    ai = ai_postings_by_region(db, regional_level, data_batch, unique_postings_only, sort=False)
+    total = total_postings_by_region(db, regional_level, data_batch, unique_postings_only, sort=False)
     out = null_safe_join(ai, total.select("region_code", "n_postings"), ["region_code"], "left")
     out = out.withColumn("ai_share", F.col("n_ai_postings") / F.col("n_postings"))
     return (out.select("country", "region_code", "n_ai_postings", "region", "n_postings", "ai_share")
