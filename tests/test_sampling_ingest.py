@@ -114,3 +114,22 @@ def test_employer_postings_accepts_list(spark):
     a = evaluation.employer_postings(db, names).count()
     b = evaluation.employer_postings(db, spark.createDataFrame([(n,) for n in names], "company_name string")).count()
     assert a == b > 0
+
+
+def test_dimension_files_and_export(spark, tmpdir_path):
+    grid = os.path.join(tmpdir_path, "grid.csv")
+    header = ("name_en;name_de;name_fr;regio_abbrev;nuts_level;oecd_level;iso_2;iso_3;nuts_0;nuts_1;"
+              "nuts_2;nuts_3;oecd_tl1;oecd_tl2;oecd_tl3;self_classified\n")
+    with open(grid, "w", encoding="ISO-8859-1") as fh:
+        fh.write(header)
+        fh.write("Zurich;Zürich;Zurich;ZH;3;3;CH;CHE;CH0;CH0;CH04;CH040;CHE;CH04;CH040;no\n")
+    reg = rawsrc.read_region_grid(spark, grid).first()
+    assert (reg.name_en, reg.name_de, reg.nuts_level, reg.nuts_3) == ("zurich", "zürich", 3, "CH040")
+    emp = os.path.join(tmpdir_path, "emp.csv")
+    with open(emp, "w") as fh:
+        fh.write("nuts_2;employed_people;employed_share\nCH0;10;1\nCH01;4;0.4\n")
+    e = rawsrc.read_dimension_csv(spark, emp, sep=";").collect()
+    assert [(r.nuts_2, r.employed_people) for r in e] == [("CH0", 10), ("CH01", 4)]
+    out = os.path.join(tmpdir_path, "export")
+    rawsrc.export_csv(spark.createDataFrame(e), out)
+    assert spark.read.option("header", "true").csv(out).count() == 2
