@@ -277,18 +277,20 @@ def token_duplicates(postings: DataFrame, n_sequences: int = 3, sequence_length:
     # texts are read by several consumers below: materialise them once
     # (reliable checkpoint in spark.checkpoint.dir, survives executor loss)
     docs = cut_lineage(distinct_employer_texts(postings))
-    edges = candidate_edges(docs, n_sequences, sequence_length, seq_multiple, seed)
+    # verified edges are few (ids only): computed once, read by both branches
+    edges = cut_lineage(candidate_edges(docs, n_sequences, sequence_length, seq_multiple, seed))
     sizes = docs.groupBy("company_name").agg(F.count(F.lit(1)).alias("n"))
-    big = broadcast_if_small(sizes.filter(F.col("n") > max_group_nodes).select("company_name"))
+    big_list = sizes.filter(F.col("n") > max_group_nodes).select("company_name")
+    has_big = big_list.limit(1).count() > 0
+    big = broadcast_if_small(big_list)
     small_docs = docs.join(big, "company_name", "left_anti")
     small_edges = edges.join(big, "company_name", "left_anti")
     nodes = small_docs.select("company_name", F.lit("n").alias("kind"), F.col("uniq_id").alias("src"),
                               F.lit(None).cast("string").alias("dst"))
     both = nodes.unionByName(small_edges.select("company_name", F.lit("e").alias("kind"), "src", "dst"))
     flagged = both.groupBy("company_name").applyInPandas(_greedy(skip_last_pair), GREEDY_SCHEMA)
-    big_edges = edges.join(big, "company_name", "left_semi")
-    if big_edges.limit(1).count() > 0:
-        flagged = flagged.unionByName(greedy_rounds(big_edges))
+    if has_big:
+        flagged = flagged.unionByName(greedy_rounds(edges.join(big, "company_name", "left_semi")))
     return flagged
 
 
