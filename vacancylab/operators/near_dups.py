@@ -42,6 +42,7 @@ from ._util import broadcast_if_small
 K_GRAM = 4
 WINNOW = 5
 INNER = K_GRAM + WINNOW - 1          # inner tokens a probe needs
+MAX_LITERAL_TOKENS = 5_000           # probe vocabulary inlined as a literal up to this size
 
 
 # ------------------------------------------------------------------------ E5
@@ -165,9 +166,15 @@ def candidate_edges(docs: DataFrame, n_sequences: int = 3, sequence_length: int
     tiny_tok = tiny.select("company_name", "uniq_id", F.explode(F.array_distinct(inner)).alias("tok"))
     probe_tokens = broadcast_if_small(tiny_tok.select("company_name", "tok").distinct())
     tiny_emp = broadcast_if_small(tiny.select("company_name").distinct())
+    doc_tokens = F.array_distinct(F.split("job_description", " ", -1))
+    few = tiny_tok.select("tok").distinct().limit(MAX_LITERAL_TOKENS + 1).collect()
+    if len(few) <= MAX_LITERAL_TOKENS:
+        # small probe vocabulary: keep only those tokens per text, natively,
+        # instead of exploding every token of every text
+        vocab = F.array(*[F.lit(r[0]) for r in few]) if few else F.array().cast("array<string>")
+        doc_tokens = F.array_intersect(doc_tokens, vocab)
     tok_index = (docs.join(tiny_emp, "company_name", "left_semi")
-                 .select("company_name", F.col("uniq_id").alias("dst"),
-                             F.explode(F.array_distinct(F.split("job_description", " ", -1))).alias("tok"))
+                 .select("company_name", F.col("uniq_id").alias("dst"), F.explode(doc_tokens).alias("tok"))
                  .join(probe_tokens, ["company_name", "tok"], "left_semi"))
     tok_df = tok_index.groupBy("company_name", "tok").agg(F.count(F.lit(1)).alias("df"))
     tok_choice = (tiny_tok.join(tok_df, ["company_name", "tok"], "inner")
