@@ -80,14 +80,14 @@ def _matched_postings(db, patterns: DataFrame, exclusions: Sequence[str], data_b
     pats = [p for p, _ in _pattern_rows(patterns)]
     employers = (db.employers.filter(name_pattern_condition("company_name", pats))
                  .select("company_name").distinct())
-    pc = (db.positions.join(employers, "company_name", "inner")
+    posn = (db.positions.join(employers, "company_name", "inner")
           .select("company_name", "uniq_id", "nuts_2"))
     for token in exclusions:
-        pc = pc.filter(~F.col("company_name").contains(F.lit(token)))
-    jp = apply_condition(db.postings, batch_condition(data_batch))
+        posn = posn.filter(~F.col("company_name").contains(F.lit(token)))
+    chosen = apply_condition(db.postings, batch_condition(data_batch))
     if distinct_only:
-        jp = jp.filter(F.col("unique_posting_text") == "yes")
-    return pc.join(jp.select("uniq_id"), "uniq_id", "inner")
+        chosen = chosen.filter(F.col("unique_posting_text") == "yes")
+    return posn.join(chosen.select("uniq_id"), "uniq_id", "inner")
 
 
 def company_region_postings(db, patterns: DataFrame, exclusions: Sequence[str] = PHARMA_EXCLUSIONS,

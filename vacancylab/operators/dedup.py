@@ -34,10 +34,10 @@ def _scoped_rows(postings: DataFrame, positions: DataFrame, data_batch, levels:
     with the level columns (from whichever table holds them)."""
     pos_cols = [c for c in levels if c not in POSTING_COLUMNS]
     post_cols = [c for c in levels if c in POSTING_COLUMNS]
-    pc = apply_condition(positions, geo_scope_condition(restrict_scope_by, restrict_to, exclude))
-    pc = pc.select("uniq_id", *pos_cols)
-    jp = apply_condition(postings, batch_condition(data_batch)).select("uniq_id", "data_batch", *post_cols)
-    return pc.join(jp, "uniq_id", "inner")
+    posn = apply_condition(positions, geo_scope_condition(restrict_scope_by, restrict_to, exclude))
+    posn = posn.select("uniq_id", *pos_cols)
+    chosen = apply_condition(postings, batch_condition(data_batch)).select("uniq_id", "data_batch", *post_cols)
+    return posn.join(chosen, "uniq_id", "inner")
 
 
 def duplicate_ids_by_level(postings: DataFrame, positions: DataFrame, data_batch,
@@ -156,8 +156,8 @@ def unique_share_by_country(postings: DataFrame, positions: DataFrame, data_batc
                             flag: str = "unique_posting_text") -> DataFrame:
     """Per country of a batch: postings, unique postings and their share
     rounded half-up to 3 digits (NULL country is a group)."""
-    jp = apply_condition(postings, batch_condition(data_batch)).select("uniq_id", flag)
-    rows = jp.join(positions.select("uniq_id", "inferred_country"), "uniq_id", "inner")
+    chosen = apply_condition(postings, batch_condition(data_batch)).select("uniq_id", flag)
+    rows = chosen.join(positions.select("uniq_id", "inferred_country"), "uniq_id", "inner")
     agg = rows.groupBy(F.col("inferred_country").alias("country")).agg(
         F.count(F.lit(1)).alias("n_postings"),
         F.count(F.when(F.col(flag) == "yes", 1)).alias("n_unique"))

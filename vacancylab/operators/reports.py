@@ -26,9 +26,9 @@ def total_postings_by_region(db, regional_level: int = 2, data_batch="all",
                              unique_postings_only: bool = True, sort: bool = True) -> DataFrame:
     """A1: postings per region code; a posting without position counts 0."""
     rc = region_column(regional_level)
-    jp = _posting_ids(db.postings, data_batch, unique_postings_only)
-    pc = db.positions.select(F.col("uniq_id").alias("pc_id"), F.col(rc).alias("region_code"))
-    df = (jp.join(pc, jp.uniq_id == pc.pc_id, "left")
+    chosen = _posting_ids(db.postings, data_batch, unique_postings_only)
+    posn = db.positions.select(F.col("uniq_id").alias("pc_id"), F.col(rc).alias("region_code"))
+    df = (chosen.join(posn, chosen.uniq_id == posn.pc_id, "left")
           .groupBy("region_code").agg(F.count("pc_id").alias("n_postings")))
     return add_region_names(df, db.regions, "n_postings" if sort else None)
 
@@ -36,11 +36,11 @@ def total_postings_by_region(db, regional_level: int = 2, data_batch="all",
 def _tagged_by_region(db, tags: DataFrame, count_name: str, regional_level, data_batch,
                       unique_postings_only, extra_keys=()) -> DataFrame:
     rc = region_column(regional_level)
-    jp = _posting_ids(db.postings, data_batch, unique_postings_only)
-    pc = db.positions.select("uniq_id", F.col("inferred_country").alias("country"),
+    chosen = _posting_ids(db.postings, data_batch, unique_postings_only)
+    posn = db.positions.select("uniq_id", F.col("inferred_country").alias("country"),
                              F.col(rc).alias("region_code"))
-    rows = (tags.join(pc, "uniq_id", "left")
-            .join(jp, "uniq_id", "inner"))
+    rows = (tags.join(posn, "uniq_id", "left")
+            .join(chosen, "uniq_id", "inner"))
     keys = ["country", "region_code", *extra_keys]
     return rows.groupBy(*keys).agg(F.count("uniq_id").alias(count_name))
 
@@ -72,10 +72,10 @@ def remote_postings_by_region(db, regional_level: int = 2, data_batch="all",
                               unique_postings_only: bool = True) -> DataFrame:
     """A5: remote postings per (country, region code)."""
     rc = region_column(regional_level)
-    jp = _posting_ids(db.postings, data_batch, unique_postings_only)
-    pc = (db.positions.filter(remote_condition())
+    chosen = _posting_ids(db.postings, data_batch, unique_postings_only)
+    posn = (db.positions.filter(remote_condition())
           .select("uniq_id", F.col("inferred_country").alias("country"), F.col(rc).alias("region_code")))
-    df = (jp.join(pc, "uniq_id", "inner")
+    df = (chosen.join(posn, "uniq_id", "inner")
           .groupBy("country", "region_code").agg(F.count("uniq_id").alias("n_remote_postings")))
     return add_region_names(df, db.regions, "n_remote_postings")
 
@@ -97,9 +97,9 @@ def ai_share_by_region(db, regional_level: int = 2, data_batch="all",
 def ai_postings_in_country(db, country: str, regional_level: int = 2) -> DataFrame:
     """AI postings per region of one country; NULL region excluded."""
     rc = region_column(regional_level)
-    pc = db.positions.filter(F.col("inferred_country") == F.lit(country)).select(
+    posn = db.positions.filter(F.col("inferred_country") == F.lit(country)).select(
         "uniq_id", F.col(rc).alias("region"))
-    return (db.ai_tags.join(pc, "uniq_id", "inner").groupBy("region")
+    return (db.ai_tags.join(posn, "uniq_id", "inner").groupBy("region")
             .agg(F.count("uniq_id").alias("n_ai_postings"))
             .filter(F.col("region").isNotNull())
             .orderBy(F.col("n_ai_postings").desc(), "region"))
@@ -108,9 +108,9 @@ def ai_postings_in_country(db, country: str, regional_level: int = 2) -> DataFra
 # ------------------------------------------------------------------------ A17
 def unique_postings_listing(db, flag: str = "unique_posting_text") -> DataFrame:
     """Non-duplicated postings with employer, city and text."""
-    jp = db.postings.filter(F.col(flag) == "yes").select("uniq_id", "job_description")
-    pc = db.positions.select("uniq_id", "company_name", "city")
-    return jp.join(pc, "uniq_id", "left").select("uniq_id", "company_name", "city", "job_description")
+    chosen = db.postings.filter(F.col(flag) == "yes").select("uniq_id", "job_description")
+    posn = db.positions.select("uniq_id", "company_name", "city")
+    return chosen.join(posn, "uniq_id", "left").select("uniq_id", "company_name", "city", "job_description")
 
 
 # ------------------------------------------------------------------------ X1-X6
@@ -125,29 +125,29 @@ def top_cities(db, k: int = 10, drop_null: bool = False) -> DataFrame:
     """Top-k cities.  SQL form: ``count(city)`` (the NULL group counts 0)
     and the literal 'nan' excluded null-safely; ``drop_null=True`` is the
     dplyr form (NULL city dropped, rows counted)."""
-    pc = db.positions
+    posn = db.positions
     if drop_null:
-        pc = pc.filter(F.col("city").isNotNull())
-        agg = pc.groupBy("city").agg(F.count(F.lit(1)).alias("n_postings"))
+        posn = posn.filter(F.col("city").isNotNull())
+        agg = posn.groupBy("city").agg(F.count(F.lit(1)).alias("n_postings"))
     else:
-        agg = (pc.groupBy("city").agg(F.count("city").alias("n_postings"))
+        agg = (posn.groupBy("city").agg(F.count("city").alias("n_postings"))
                .filter(is_not_null_safe("city", "nan")))
     return agg.orderBy(F.col("n_postings").desc(), F.col("city").asc_nulls_first()).limit(k)
 
 
 def company_titles_in_city(db, city_pattern: str, company_pattern: str) -> DataFrame:
     """Positions whose city / company match case-insensitive LIKE patterns."""
-    pc = db.positions
-    cols = ["company_name", "city"] + (["inferred_job_title"] if "inferred_job_title" in pc.columns else [])
-    return pc.filter(F.col("city").ilike(city_pattern) & F.col("company_name").ilike(company_pattern)).select(*cols)
+    posn = db.positions
+    cols = ["company_name", "city"] + (["inferred_job_title"] if "inferred_job_title" in posn.columns else [])
+    return posn.filter(F.col("city").ilike(city_pattern) & F.col("company_name").ilike(company_pattern)).select(*cols)
 
 
 def postings_with_term(db, term: str) -> DataFrame:
     """Postings whose text contains ``term`` (case-insensitive substring,
     no leading space) with employer and city."""
-    jp = db.postings.filter(F.col("job_description").ilike(f"%{term}%")).select("uniq_id", "job_description")
-    pc = db.positions.select("uniq_id", "company_name", "city")
-    return jp.join(pc, "uniq_id", "left").select("uniq_id", "company_name", "city", "job_description")
+    chosen = db.postings.filter(F.col("job_description").ilike(f"%{term}%")).select("uniq_id", "job_description")
+    posn = db.positions.select("uniq_id", "company_name", "city")
+    return chosen.join(posn, "uniq_id", "left").select("uniq_id", "company_name", "city", "job_description")
 
 
 def top_companies_for_term(db, term: str, k: int = 20) -> DataFrame:

@@ -32,18 +32,18 @@ def posting_samples(postings: DataFrame, samples, cleaned_duplicates: bool = Tru
     """(uniq_id, sample) for every posting and each requested sample it falls in."""
     samples = _samples(samples)
     months = [s for s in samples if s != FULL]
-    jp = postings
+    chosen = postings
     if cleaned_duplicates:
-        jp = jp.filter(F.col(flag) == "yes")
+        chosen = chosen.filter(F.col(flag) == "yes")
     if FULL not in samples:
-        jp = jp.filter(month_of().isin(months))
+        chosen = chosen.filter(month_of().isin(months))
     m = month_of()
     arr = []
     if FULL in samples:
         arr.append(F.lit(FULL))
     if months:
         arr.append(F.when(m.isin(months), m))
-    return (jp.select("uniq_id", F.explode(F.array_compact(F.array(*arr))).alias("sample")))
+    return (chosen.select("uniq_id", F.explode(F.array_compact(F.array(*arr))).alias("sample")))
 
 
 def _region_dim(regions: DataFrame, nuts_level: int) -> DataFrame:
@@ -66,8 +66,8 @@ def geo_dist(db, samples=FULL, nuts_level: int = 2, cleaned_duplicates: bool = T
     the sample total (the NULL region stays in the denominator)."""
     col = f"nuts_{nuts_level}"
     ids = posting_samples(db.postings, samples, cleaned_duplicates)
-    pc = db.positions.select("uniq_id", F.col(col).alias("region_code"))
-    counts = (pc.join(ids, "uniq_id", "inner")
+    posn = db.positions.select("uniq_id", F.col(col).alias("region_code"))
+    counts = (posn.join(ids, "uniq_id", "inner")
               .groupBy("sample", "region_code").agg(F.count(F.lit(1)).alias("total_postings")))
     named = counts.join(_region_dim(db.regions, nuts_level), "region_code", "left")
     out = _share_within_sample(named, "total_postings", "postings_share")
@@ -104,9 +104,9 @@ def spatial_tech(db, samples=FULL, tech: str = "bloom", cleaned_duplicates: bool
     """Tagged postings per NUTS-2 region and sample; rows with a NULL code
     or name are dropped before the share is taken."""
     ids = posting_samples(db.postings, samples, cleaned_duplicates)
-    pc = (db.positions.join(_tags(db, tech).distinct(), "uniq_id", "left_semi")
+    posn = (db.positions.join(_tags(db, tech).distinct(), "uniq_id", "left_semi")
           .select("uniq_id", F.col("nuts_2").alias("region_code")))
-    counts = (pc.join(ids, "uniq_id", "inner")
+    counts = (posn.join(ids, "uniq_id", "inner")
               .groupBy("sample", "region_code").agg(F.count(F.lit(1)).alias("n_postings")))
     named = (counts.join(_region_dim(db.regions, 2), "region_code", "left")
              .dropna(subset=["region_code", "region"]))
@@ -134,10 +134,10 @@ def complete_panel(df: DataFrame, group: str, n_periods: int, period: str = "sam
 # ------------------------------------------------------------------------ A12
 def month_distribution(db, cleaned_duplicates: bool = True) -> DataFrame:
     """Postings per month, share of all, and the mean share over months."""
-    jp = db.postings
+    chosen = db.postings
     if cleaned_duplicates:
-        jp = jp.filter(F.col("unique_posting_textlocation") == "yes")
-    counts = jp.groupBy(month_of().alias("month")).agg(F.count(F.lit(1)).alias("n_postings"))
+        chosen = chosen.filter(F.col("unique_posting_textlocation") == "yes")
+    counts = chosen.groupBy(month_of().alias("month")).agg(F.count(F.lit(1)).alias("n_postings"))
     w = Window.partitionBy()
     return (counts.withColumn("share", F.col("n_postings") / F.sum("n_postings").over(w))
             .withColumn("mean_share", F.avg("share").over(w)))

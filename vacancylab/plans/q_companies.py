@@ -31,17 +31,17 @@ def _values() -> str:
 
 def _match_sql(ai: bool) -> str:
     inc = " OR ".join(f"company_name LIKE '%{p}%'" for p, _ in FIXTURE_FIRMS)
-    exc = " AND ".join(f"pc.company_name NOT LIKE '%{t}%'" for t in FIXTURE_EXCLUSIONS)
-    ai_join = "JOIN ai_tags aa ON aa.uniq_id = pc.uniq_id" if ai else ""
+    exc = " AND ".join(f"posn.company_name NOT LIKE '%{t}%'" for t in FIXTURE_EXCLUSIONS)
+    ai_join = "JOIN ai_tags ait ON ait.uniq_id = posn.uniq_id" if ai else ""
     return f"""
-    SELECT pc.company_name, pc.nuts_2, count(*) AS {"n_ai_postings" if ai else "n_postings"}
+    SELECT posn.company_name, posn.nuts_2, count(*) AS {"n_ai_postings" if ai else "n_postings"}
     FROM (SELECT DISTINCT company_name FROM employers WHERE {inc}) e
-    JOIN positions pc ON pc.company_name = e.company_name
-    JOIN (SELECT uniq_id FROM postings WHERE data_batch = '{B}' AND unique_posting_text = 'yes') jp
-      ON jp.uniq_id = pc.uniq_id
+    JOIN positions posn ON posn.company_name = e.company_name
+    JOIN (SELECT uniq_id FROM postings WHERE data_batch = '{B}' AND unique_posting_text = 'yes') chosen
+      ON chosen.uniq_id = posn.uniq_id
     {ai_join}
     WHERE {exc}
-    GROUP BY pc.company_name, pc.nuts_2"""
+    GROUP BY posn.company_name, posn.nuts_2"""
 
 
 def _canon(col: str) -> str:

@@ -65,12 +65,12 @@ def d5(spark, sf_dir):
 
 
 @register("d6_unique_share_by_country", sql(f"""
-    SELECT pc.inferred_country AS country, count(*) AS n_postings,
-           count(CASE WHEN jp.unique_posting_text = 'yes' THEN 1 END) AS n_unique,
-           floor(count(CASE WHEN jp.unique_posting_text = 'yes' THEN 1 END) * 1000.0 / count(*) + 0.5) / 1000.0
+    SELECT posn.inferred_country AS country, count(*) AS n_postings,
+           count(CASE WHEN chosen.unique_posting_text = 'yes' THEN 1 END) AS n_unique,
+           floor(count(CASE WHEN chosen.unique_posting_text = 'yes' THEN 1 END) * 1000.0 / count(*) + 0.5) / 1000.0
              AS share_unique
-    FROM (SELECT * FROM postings WHERE data_batch = '{B}') jp JOIN positions pc ON pc.uniq_id = jp.uniq_id
-    GROUP BY pc.inferred_country"""))
+    FROM (SELECT * FROM postings WHERE data_batch = '{B}') chosen JOIN positions posn ON posn.uniq_id = chosen.uniq_id
+    GROUP BY posn.inferred_country"""))
 def d6(spark, sf_dir):
     db = fixture_db(spark, sf_dir, tags=False)
     return dedup.unique_share_by_country(db.postings, db.positions, B)

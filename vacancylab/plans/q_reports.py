@@ -14,8 +14,8 @@ JP = f"SELECT uniq_id FROM postings WHERE data_batch = '{B}' AND unique_posting_
 
 def _a1_sql(level: str) -> str:
     return sql(with_names("a"), [REGION_NAMES, ("a", f"""
-        SELECT pc.{level} AS region_code, count(pc.uniq_id) AS n_postings
-        FROM ({JP}) jp LEFT JOIN positions pc ON pc.uniq_id = jp.uniq_id GROUP BY pc.{level}""")])
+        SELECT posn.{level} AS region_code, count(posn.uniq_id) AS n_postings
+        FROM ({JP}) chosen LEFT JOIN positions posn ON posn.uniq_id = chosen.uniq_id GROUP BY posn.{level}""")])
 
 
 @register("a1_total_postings_by_region", _a1_sql("nuts_2"))
@@ -29,10 +29,10 @@ def a1_n3(spark, sf_dir):
 
 
 A2_CTE = ("a", f"""
-    SELECT pc.inferred_country AS country, pc.nuts_2 AS region_code, count(aa.uniq_id) AS n_ai_postings
-    FROM ai_tags aa LEFT JOIN positions pc ON aa.uniq_id = pc.uniq_id
-    JOIN ({JP}) jp ON aa.uniq_id = jp.uniq_id
-    GROUP BY pc.inferred_country, pc.nuts_2""")
+    SELECT posn.inferred_country AS country, posn.nuts_2 AS region_code, count(ait.uniq_id) AS n_ai_postings
+    FROM ai_tags ait LEFT JOIN positions posn ON ait.uniq_id = posn.uniq_id
+    JOIN ({JP}) chosen ON ait.uniq_id = chosen.uniq_id
+    GROUP BY posn.inferred_country, posn.nuts_2""")
 
 
 @register("a2_ai_postings_by_region", sql(with_names("a"), [REGION_NAMES, A2_CTE]))
@@ -41,29 +41,29 @@ def a2(spark, sf_dir):
 
 
 @register("a3_tech_postings_by_region_field", sql(with_names("a"), [REGION_NAMES, ("a", f"""
-    SELECT pc.inferred_country AS country, pc.nuts_2 AS region_code, bt.bloom_field AS technology_field,
-           count(bt.uniq_id) AS n_disruptive_tech_postings
-    FROM tech_tags bt LEFT JOIN positions pc ON bt.uniq_id = pc.uniq_id
-    JOIN ({JP}) jp ON bt.uniq_id = jp.uniq_id
-    GROUP BY pc.inferred_country, pc.nuts_2, bt.bloom_field""")]))
+    SELECT posn.inferred_country AS country, posn.nuts_2 AS region_code, ttag.bloom_field AS technology_field,
+           count(ttag.uniq_id) AS n_disruptive_tech_postings
+    FROM tech_tags ttag LEFT JOIN positions posn ON ttag.uniq_id = posn.uniq_id
+    JOIN ({JP}) chosen ON ttag.uniq_id = chosen.uniq_id
+    GROUP BY posn.inferred_country, posn.nuts_2, ttag.bloom_field""")]))
 def a3(spark, sf_dir):
     return reports.tech_postings_by_region(fixture_db(spark, sf_dir), True, 2, B, True)
 
 
 @register("a4_tech_postings_by_region", sql(with_names("a"), [REGION_NAMES, ("a", f"""
-    SELECT pc.inferred_country AS country, pc.nuts_2 AS region_code,
-           count(bt.uniq_id) AS n_disruptive_tech_postings
-    FROM tech_tags bt LEFT JOIN positions pc ON bt.uniq_id = pc.uniq_id
-    JOIN ({JP}) jp ON bt.uniq_id = jp.uniq_id
-    GROUP BY pc.inferred_country, pc.nuts_2""")]))
+    SELECT posn.inferred_country AS country, posn.nuts_2 AS region_code,
+           count(ttag.uniq_id) AS n_disruptive_tech_postings
+    FROM tech_tags ttag LEFT JOIN positions posn ON ttag.uniq_id = posn.uniq_id
+    JOIN ({JP}) chosen ON ttag.uniq_id = chosen.uniq_id
+    GROUP BY posn.inferred_country, posn.nuts_2""")]))
 def a4(spark, sf_dir):
     return reports.tech_postings_by_region(fixture_db(spark, sf_dir), False, 2, B, True)
 
 
 @register("a5_remote_postings_by_region", sql(with_names("a"), [REGION_NAMES, ("a", f"""
-    SELECT pc.inferred_country AS country, pc.nuts_2 AS region_code, count(pc.uniq_id) AS n_remote_postings
-    FROM ({JP}) jp JOIN (SELECT * FROM positions WHERE remote_position = '1') pc ON pc.uniq_id = jp.uniq_id
-    GROUP BY pc.inferred_country, pc.nuts_2""")]))
+    SELECT posn.inferred_country AS country, posn.nuts_2 AS region_code, count(posn.uniq_id) AS n_remote_postings
+    FROM ({JP}) chosen JOIN (SELECT * FROM positions WHERE remote_position = '1') posn ON posn.uniq_id = chosen.uniq_id
+    GROUP BY posn.inferred_country, posn.nuts_2""")]))
 def a5(spark, sf_dir):
     return reports.remote_postings_by_region(fixture_db(spark, sf_dir), 2, B, True)
 
@@ -73,8 +73,8 @@ def a5(spark, sf_dir):
            a.n_ai_postings / t.n_postings AS ai_share
     FROM a LEFT JOIN region_names n ON a.region_code IS NOT DISTINCT FROM n.region_code
     LEFT JOIN t ON a.region_code IS NOT DISTINCT FROM t.region_code""", [REGION_NAMES, A2_CTE, ("t", f"""
-    SELECT pc.nuts_2 AS region_code, count(pc.uniq_id) AS n_postings
-    FROM ({JP}) jp LEFT JOIN positions pc ON pc.uniq_id = jp.uniq_id GROUP BY pc.nuts_2""")]))
+    SELECT posn.nuts_2 AS region_code, count(posn.uniq_id) AS n_postings
+    FROM ({JP}) chosen LEFT JOIN positions posn ON posn.uniq_id = chosen.uniq_id GROUP BY posn.nuts_2""")]))
 def a6(spark, sf_dir):
     return reports.ai_share_by_region(fixture_db(spark, sf_dir), 2, B, True)
 
@@ -83,18 +83,18 @@ A16_COUNTRY = "europe"
 
 
 @register("a16_ai_postings_in_country", sql(f"""
-    SELECT pc.nuts_2 AS region, count(aa.uniq_id) AS n_ai_postings
-    FROM ai_tags aa JOIN positions pc ON aa.uniq_id = pc.uniq_id
-    WHERE pc.inferred_country = '{A16_COUNTRY}'
-    GROUP BY pc.nuts_2 HAVING pc.nuts_2 IS NOT NULL"""))
+    SELECT posn.nuts_2 AS region, count(ait.uniq_id) AS n_ai_postings
+    FROM ai_tags ait JOIN positions posn ON ait.uniq_id = posn.uniq_id
+    WHERE posn.inferred_country = '{A16_COUNTRY}'
+    GROUP BY posn.nuts_2 HAVING posn.nuts_2 IS NOT NULL"""))
 def a16(spark, sf_dir):
     return reports.ai_postings_in_country(fixture_db(spark, sf_dir), A16_COUNTRY)
 
 
 @register("a17_unique_postings_listing", sql("""
-    SELECT jp.uniq_id, pc.company_name, pc.city, jp.job_description
-    FROM (SELECT * FROM postings WHERE unique_posting_text = 'yes') jp
-    LEFT JOIN positions pc ON jp.uniq_id = pc.uniq_id"""))
+    SELECT chosen.uniq_id, posn.company_name, posn.city, chosen.job_description
+    FROM (SELECT * FROM postings WHERE unique_posting_text = 'yes') chosen
+    LEFT JOIN positions posn ON chosen.uniq_id = posn.uniq_id"""))
 def a17(spark, sf_dir):
     return reports.unique_postings_listing(fixture_db(spark, sf_dir))
 
@@ -132,18 +132,18 @@ X_TERM = "licen"
 
 
 @register("x4_postings_with_term", sql(f"""
-    SELECT jp.uniq_id, pc.company_name, pc.city, jp.job_description
-    FROM (SELECT uniq_id, job_description FROM postings WHERE job_description ILIKE '%{X_TERM}%') jp
-    LEFT JOIN positions pc ON pc.uniq_id = jp.uniq_id"""))
+    SELECT chosen.uniq_id, posn.company_name, posn.city, chosen.job_description
+    FROM (SELECT uniq_id, job_description FROM postings WHERE job_description ILIKE '%{X_TERM}%') chosen
+    LEFT JOIN positions posn ON posn.uniq_id = chosen.uniq_id"""))
 def x4(spark, sf_dir):
     return reports.postings_with_term(fixture_db(spark, sf_dir, flags=False, tags=False), X_TERM)
 
 
 @register("x5_top_companies_for_term", sql(f"""
-    SELECT pc.company_name, count(*) AS n_postings
-    FROM (SELECT uniq_id FROM postings WHERE job_description ILIKE '%{X_TERM}%') jp
-    LEFT JOIN positions pc ON pc.uniq_id = jp.uniq_id
-    GROUP BY pc.company_name ORDER BY n_postings DESC, pc.company_name ASC NULLS FIRST LIMIT 20"""))
+    SELECT posn.company_name, count(*) AS n_postings
+    FROM (SELECT uniq_id FROM postings WHERE job_description ILIKE '%{X_TERM}%') chosen
+    LEFT JOIN positions posn ON posn.uniq_id = chosen.uniq_id
+    GROUP BY posn.company_name ORDER BY n_postings DESC, posn.company_name ASC NULLS FIRST LIMIT 20"""))
 def x5(spark, sf_dir):
     return reports.top_companies_for_term(fixture_db(spark, sf_dir, flags=False, tags=False), X_TERM)
 

@@ -71,10 +71,10 @@ PERIOD = ["1996-01", "1996-02", "1996-03", "1996-04", "1996-05", "1996-06",
 N_PERIOD = 60
 PERIOD_LIST = ", ".join(f"'{m}'" for m in PERIOD)
 PP_CTE = ("pp", f"""
-    SELECT pc.company_name, jp.uniq_id, jp.job_description
+    SELECT posn.company_name, chosen.uniq_id, chosen.job_description
     FROM (SELECT * FROM postings WHERE unique_posting_textlocation = 'yes'
-          AND substr(crawl_timestamp, 1, 7) IN ({PERIOD_LIST})) jp
-    LEFT JOIN positions pc ON pc.uniq_id = jp.uniq_id""")
+          AND substr(crawl_timestamp, 1, 7) IN ({PERIOD_LIST})) chosen
+    LEFT JOIN positions posn ON posn.uniq_id = chosen.uniq_id""")
 
 
 @register("r5_period_posting_sample", sql(f"""

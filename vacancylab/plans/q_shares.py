@@ -30,8 +30,8 @@ def _geo_sql(level: int) -> str:
     return sql(f"""
     SELECT c.sample, c.region_code, d.region, c.total_postings,
            c.total_postings / sum(c.total_postings) OVER (PARTITION BY c.sample) AS postings_share
-    FROM (SELECT s.sample, pc.nuts_{level} AS region_code, count(*) AS total_postings
-          FROM positions pc JOIN samp s ON s.uniq_id = pc.uniq_id GROUP BY s.sample, pc.nuts_{level}) c
+    FROM (SELECT s.sample, posn.nuts_{level} AS region_code, count(*) AS total_postings
+          FROM positions posn JOIN samp s ON s.uniq_id = posn.uniq_id GROUP BY s.sample, posn.nuts_{level}) c
     LEFT JOIN dim{level} d ON c.region_code = d.region_code""", [SAMPLES_CTE, _dim(level)])
 
 
@@ -69,10 +69,10 @@ def _spatial_sql(table: str) -> str:
     return sql(f"""
     SELECT c.sample, '{table}' AS tech, c.region_code, d.region, c.n_postings,
            c.n_postings / sum(c.n_postings) OVER (PARTITION BY c.sample) AS share
-    FROM (SELECT s.sample, pc.nuts_2 AS region_code, count(*) AS n_postings
-          FROM positions pc JOIN samp s ON s.uniq_id = pc.uniq_id
-          WHERE pc.uniq_id IN (SELECT uniq_id FROM {table})
-          GROUP BY s.sample, pc.nuts_2) c
+    FROM (SELECT s.sample, posn.nuts_2 AS region_code, count(*) AS n_postings
+          FROM positions posn JOIN samp s ON s.uniq_id = posn.uniq_id
+          WHERE posn.uniq_id IN (SELECT uniq_id FROM {table})
+          GROUP BY s.sample, posn.nuts_2) c
     LEFT JOIN dim2 d ON c.region_code = d.region_code
     WHERE c.region_code IS NOT NULL AND d.region IS NOT NULL""", [SAMPLES_CTE, _dim(2)])
 
@@ -112,8 +112,8 @@ def a11(spark, sf_dir):
       SELECT g.*, count(*) OVER (PARTITION BY region) AS n FROM (
         SELECT c.sample, c.region_code, d.region, c.total_postings,
                c.total_postings / sum(c.total_postings) OVER (PARTITION BY c.sample) AS postings_share
-        FROM (SELECT s.sample, pc.nuts_2 AS region_code, count(*) AS total_postings
-              FROM positions pc JOIN samp s ON s.uniq_id = pc.uniq_id GROUP BY s.sample, pc.nuts_2) c
+        FROM (SELECT s.sample, posn.nuts_2 AS region_code, count(*) AS total_postings
+              FROM positions posn JOIN samp s ON s.uniq_id = posn.uniq_id GROUP BY s.sample, posn.nuts_2) c
         LEFT JOIN dim2 d ON c.region_code = d.region_code) g
       WHERE g.region_code IS NOT NULL AND g.region IS NOT NULL AND g.region <> 'nation_0') t
     WHERE n = {len(SAMPLES)}""", [SAMPLES_CTE, _dim(2)]))
@@ -147,9 +147,9 @@ A14_BODY = """
            (g.postings_share - e.employed_share) / e.employed_share AS rel_diff
     FROM ext e JOIN (
         SELECT c.region_code, d.region, c.total_postings / sum(c.total_postings) OVER () AS postings_share
-        FROM (SELECT pc.nuts_2 AS region_code, count(*) AS total_postings FROM positions pc
-              WHERE pc.uniq_id IN (SELECT uniq_id FROM postings WHERE unique_posting_textlocation = 'yes')
-              GROUP BY pc.nuts_2) c
+        FROM (SELECT posn.nuts_2 AS region_code, count(*) AS total_postings FROM positions posn
+              WHERE posn.uniq_id IN (SELECT uniq_id FROM postings WHERE unique_posting_textlocation = 'yes')
+              GROUP BY posn.nuts_2) c
         LEFT JOIN dim2 d ON c.region_code = d.region_code) g
       ON g.region_code = e.nuts_2
     WHERE g.region IS NOT NULL"""
