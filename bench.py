@@ -70,7 +70,7 @@ def main() -> None:
         "a3_tech_postings_by_region_field": lambda: reports.tech_postings_by_region(db, True, 2, CURRENT_BATCH),
         "a6_ai_share_by_region": lambda: reports.ai_share_by_region(db, 2, CURRENT_BATCH, True),
         "a7_geo_dist_4_samples": lambda: shares.geo_dist(db, samples, 2),
-        "a9_spatial_tech_4_samples": lambda: shares.spatial_tech(db, samples, "bloom"),
+        "a9_spatial_tech_4_samples": lambda: shares.spatial_tech(db, samples, "tech"),
         "a10_field_shares_4_samples": lambda: shares.field_shares(db, samples),
         "d6_unique_share_by_country": lambda: dedup.unique_share_by_country(db.postings, db.positions,
                                                                              CURRENT_BATCH),

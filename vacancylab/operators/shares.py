@@ -76,17 +76,17 @@ def geo_dist(db, samples=FULL, nuts_level: int = 2, cleaned_duplicates: bool = T
 
 # ------------------------------------------------------------------------ A8
 def _tags(db, tech: str) -> DataFrame:
-    if tech == "bloom":
+    if tech == "tech":
         return db.tech_tags.select("uniq_id")
     if tech == "ai":
         return db.ai_tags.select("uniq_id")
-    raise ValueError(f"Invalid tech {tech!r}; use 'bloom' or 'ai'.")
+    raise ValueError(f"Invalid tech {tech!r}; use 'tech' or 'ai'.")
 
 
-TECH_TABLE = {"bloom": "tech_tags", "ai": "ai_tags"}
+TECH_TABLE = {"tech": "tech_tags", "ai": "ai_tags"}
 
 
-def tech_share(db, samples=FULL, tech: str = "bloom", cleaned_duplicates: bool = True) -> DataFrame:
+def tech_share(db, samples=FULL, tech: str = "tech", cleaned_duplicates: bool = True) -> DataFrame:
     """Distinct tagged postings / all postings of the sample."""
     ids = posting_samples(db.postings, samples, cleaned_duplicates)
     tagged = _tags(db, tech).distinct().withColumn("__t", F.lit(1))
@@ -100,7 +100,7 @@ def tech_share(db, samples=FULL, tech: str = "bloom", cleaned_duplicates: bool =
 
 
 # ------------------------------------------------------------------------ A9
-def spatial_tech(db, samples=FULL, tech: str = "bloom", cleaned_duplicates: bool = True) -> DataFrame:
+def spatial_tech(db, samples=FULL, tech: str = "tech", cleaned_duplicates: bool = True) -> DataFrame:
     """Tagged postings per NUTS-2 region and sample; rows with a NULL code
     or name are dropped before the share is taken."""
     ids = posting_samples(db.postings, samples, cleaned_duplicates)
@@ -155,7 +155,7 @@ def period_panel(db, months: Sequence[str], measure: str = "nuts_2",
         df = geo_dist(db, samples, int(measure[-1]), cleaned_duplicates).dropna(subset=["region_code", "region"])
         group = "region"
     elif measure in ("tech", "ai"):
-        df = spatial_tech(db, samples, "bloom" if measure == "tech" else "ai", cleaned_duplicates)
+        df = spatial_tech(db, samples, measure, cleaned_duplicates)
         group = "region"
     elif measure == "fields":
         df = field_shares(db, samples, cleaned_duplicates)

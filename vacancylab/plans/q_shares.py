@@ -55,9 +55,9 @@ def _tech_share_sql(table: str) -> str:
     GROUP BY s.sample""", [SAMPLES_CTE])
 
 
-@register("a8_tech_share_bloom", _tech_share_sql("tech_tags"))
+@register("a8_tech_share_technology", _tech_share_sql("tech_tags"))
 def a8(spark, sf_dir):
-    return shares.tech_share(fixture_db(spark, sf_dir), SAMPLES, "bloom")
+    return shares.tech_share(fixture_db(spark, sf_dir), SAMPLES, "tech")
 
 
 @register("a8_tech_share_ai", _tech_share_sql("ai_tags"))
@@ -77,9 +77,9 @@ def _spatial_sql(table: str) -> str:
     WHERE c.region_code IS NOT NULL AND d.region IS NOT NULL""", [SAMPLES_CTE, _dim(2)])
 
 
-@register("a9_spatial_tech_bloom", _spatial_sql("tech_tags"))
+@register("a9_spatial_tech_technology", _spatial_sql("tech_tags"))
 def a9(spark, sf_dir):
-    return shares.spatial_tech(fixture_db(spark, sf_dir), SAMPLES, "bloom")
+    return shares.spatial_tech(fixture_db(spark, sf_dir), SAMPLES, "tech")
 
 
 @register("a9_spatial_tech_ai", _spatial_sql("ai_tags"))
