@@ -139,9 +139,10 @@ def candidate_edges(docs: DataFrame, n_sequences: int = 3, sequence_length: int
                     seq_multiple: int = 5, seed: int = 42) -> DataFrame:
     """Verified edges (company_name, src, dst): dst is later than src and its
     text contains every window of src."""
-    win = docs.select("company_name", "uniq_id",
-                      token_windows(F.col("job_description"), F.col("uniq_id"), sequence_length,
-                                    n_sequences, seq_multiple, seed).alias("windows"))
+    # windows are small (a few dozen tokens per text) and read three times
+    win = cut_lineage(docs.select("company_name", "uniq_id",
+                                  token_windows(F.col("job_description"), F.col("uniq_id"), sequence_length,
+                                                n_sequences, seq_multiple, seed).alias("windows")))
     # the index feeds both the frequency count and the probe join: cut it once
     # into the shared checkpoint folder instead of running the UDF twice
     index = cut_lineage(docs.select("company_name", F.col("uniq_id").alias("dst"),
@@ -149,10 +150,10 @@ def candidate_edges(docs: DataFrame, n_sequences: int = 3, sequence_length: int
     df = index.groupBy("company_name", "fp").agg(F.count(F.lit(1)).alias("df"))
     probes = win.select("company_name", "uniq_id",
                         F.posexplode(window_probes(F.col("windows"))).alias("wi", "fp"))
-    ranked = (probes.filter(F.col("fp").isNotNull())
-              .join(df, ["company_name", "fp"], "left")
-              .groupBy("company_name", "uniq_id")
-              .agg(F.min_by(F.col("fp"), F.struct(F.col("df"), F.col("fp"))).alias("fp")))
+    ranked = cut_lineage(probes.filter(F.col("fp").isNotNull())
+                         .join(df, ["company_name", "fp"], "left")
+                         .groupBy("company_name", "uniq_id")
+                         .agg(F.min_by(F.col("fp"), F.struct(F.col("df"), F.col("fp"))).alias("fp")))
     indexed = ranked.join(index, ["company_name", "fp"], "inner").filter(F.col("dst") > F.col("uniq_id"))
     cands = indexed.select("company_name", F.col("uniq_id").alias("src"), "dst")
     # sources whose windows are too short for the 4-gram index: a whole inner
