@@ -14,7 +14,7 @@ SF_SMALL = "/root/testdata/sf0.001"
 def spark():
     from pyspark.sql import SparkSession
 
-    from vacancylab.session import DEFAULT_CONF, ensure_checkpoint_dir
+    from vacancylab.session import DEFAULT_CONF, ensure_checkpoint_dir, ship_package
     b = (SparkSession.builder.master("local[*]").appName("vacancylab-tests")
          .config("spark.sql.shuffle.partitions", "8"))
     for k, v in DEFAULT_CONF.items():
@@ -22,6 +22,7 @@ def spark():
     s = b.getOrCreate()
     s.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(s, tempfile.mkdtemp(prefix="vacancylab-test-ckpt-"))
+    ship_package(s)
     yield s
     s.stop()
 

@@ -55,9 +55,35 @@ def get_spark(app_name: str = "vacancylab", master: str | None = None,
             continue
         spark.conf.set(key, value)
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: dict[str, str] = {}
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``vacancylab`` importable in Python workers (pandas UDFs are
+    pickled by module reference): zip the package once per driver process
+    and ``addPyFile`` it, so executors on any host receive it."""
+    import os
+    import zipfile
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    zpath = os.path.join(tempfile.mkdtemp(prefix="vacancylab-pkg-"), "vacancylab.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as zf:
+        for folder, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(zpath)
+    _SHIPPED[key] = zpath
+
+
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Return the shared checkpoint folder, setting one only where none is set.
 
