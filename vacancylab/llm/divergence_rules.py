@@ -33,6 +33,8 @@ MAX_WORD_DISTANCE, MIN_WORDS = 0.25, 60
 WORD_NOISE = 0.9
 #: A language serves as reference from so many words on; below, the pooled one does.
 MIN_REFERENCE_WORDS = 1000
+#: So many references (half a kilobyte each) are sent to every task; more are joined by shuffle.
+MAX_BROADCAST_LANGUAGES = 5000
 
 
 def _let(value: Column, body) -> Column:
@@ -126,11 +128,12 @@ def js_distance(p: Column, q: Column) -> Column:
     def part(a: Column, b: Column) -> Column:
         return F.when(a > 0, a * F.log2(2 * a / (a + b))).otherwise(0.0)
 
-    def divergence(np_: Column, nq: Column) -> Column:
-        terms = F.zip_with(p, q, lambda a, b: part(a / np_, b / nq) + part(b / nq, a / np_))
-        return F.sqrt(F.greatest(F.lit(0.0), total(terms) / 2))
+    def distance(sums: Column) -> Column:
+        shares = F.zip_with(p, q, lambda a, b: F.struct((a / sums["p"]).alias("p"), (b / sums["q"]).alias("q")))
+        terms = F.transform(shares, lambda x: part(x["p"], x["q"]) + part(x["q"], x["p"]))
+        return F.when((sums["p"] > 0) & (sums["q"] > 0), F.sqrt(F.greatest(F.lit(0.0), total(terms) / 2)))
 
-    return F.when((total(p) > 0) & (total(q) > 0), divergence(total(p), total(q)))
+    return _let(F.struct(total(p).alias("p"), total(q).alias("q")), distance)
 
 
 def quality_verdicts(documents: DataFrame, max_char_distance: float = MAX_CHAR_DISTANCE,
@@ -149,11 +152,12 @@ def quality_verdicts(documents: DataFrame, max_char_distance: float = MAX_CHAR_D
     empty table gives an empty result.
     """
     features = materialize(base_features(documents), "quality-features")
-    refs = references(features)
+    refs = materialize(references(features), "quality-references")
+    small = F.broadcast if refs.count() <= MAX_BROADCAST_LANGUAGES else (lambda df: df)
     known = refs.where(F.col("ref").isNotNull())
     pooled = refs.where(F.col("ref").isNull()).select(
         F.col("ref_chars").alias("all_chars"), F.col("ref_commons").alias("all_commons"), F.lit(1).alias("one"))
-    rows = (features.join(known, features["lang"] == known["ref"], "left").withColumn("one", F.lit(1))
+    rows = (features.join(small(known), features["lang"] == known["ref"], "left").withColumn("one", F.lit(1))
             .join(F.broadcast(pooled), "one", "left"))
     distance = rows.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_chars",
