@@ -41,7 +41,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets in the texts are masked."""
     _prepare(spark)
-    return secrets_battery.redact(docs, secrets_battery.secret_spans(docs))
+    return secrets_battery.redact(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

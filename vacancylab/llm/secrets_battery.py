@@ -145,6 +145,18 @@ def battery(token: str) -> tuple[float, float] | None:
     return p_random, min(1.0, both * (1 - math.log(both)))  # chi-square tail, 4 degrees of freedom
 
 
+def tested_spans(text: str, base: list[tuple[int, int, int]]) -> Iterator[tuple[int, int, int, int, bool]]:
+    """(start, end, length class, bin, random) of the tokens outside base spans that the battery can test."""
+    for m in CANDIDATE.finditer(text):
+        start, end = m.span()
+        if any(s <= start and end <= e for s, _, e in base):
+            continue
+        if (found := battery(m.group())) is not None:
+            p_random, p_text = found
+            yield (start, end, max(x for x in LENGTH_CLASSES if x <= end - start),
+                   int(min(-math.log10(max(p_text, 1e-300)), MAX_LOG) * BINS), p_random >= MIN_RANDOMNESS)
+
+
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([
         ("doc_id", pa.int64()), ("n_assign", pa.int64()), ("n_access", pa.int64()), ("n_hex", pa.int64()),
@@ -152,30 +164,19 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ("base", pa.list_(pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64())]))),
         ("tested", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("length_class", pa.int32()),
                                        ("bin", pa.int32()), ("random", pa.bool_())])))])
+    names = [f.name for f in schema.field("tested").type.value_type]
     for batch in batches:
         rows = []
         for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
             text = text.as_py() or ""
             base = base_spans(text)
-            tested = []
-            for m in CANDIDATE.finditer(text):
-                start, end = m.span()
-                if any(s <= start and end <= e for s, _, e in base):
-                    continue
-                if (found := battery(m.group())) is None:
-                    continue
-                p_random, p_text = found
-                tested.append({
-                    "start": start, "end": end,
-                    "length_class": max(x for x in LENGTH_CLASSES if x <= end - start),
-                    "bin": int(min(-math.log10(max(p_text, 1e-300)), MAX_LOG) * BINS),
-                    "random": p_random >= MIN_RANDOMNESS})
             joined = ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in base)
             kinds = [k for _, k, _ in base]
             rows.append({
                 "doc_id": doc_id, "n_assign": kinds.count(0), "n_access": kinds.count(1), "n_hex": kinds.count(2),
                 "base_sha256": hashlib.sha256(joined.encode()).hexdigest(),
-                "base": [{"start": s, "kind": k, "end": e} for s, k, e in base], "tested": tested})
+                "base": [{"start": s, "kind": k, "end": e} for s, k, e in base],
+                "tested": [dict(zip(names, t, strict=True)) for t in tested_spans(text, base)]})
         yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
 
@@ -196,6 +197,10 @@ def thresholds(tested: DataFrame, fdr: float = FDR) -> dict[int, int]:
     return least
 
 
+def _scanned(documents: DataFrame) -> DataFrame:
+    return materialize(documents.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(_scan, SCHEMA), "secrets")
+
+
 def secret_spans(documents: DataFrame, fdr: float = FDR) -> DataFrame:
     """Secrets of every document: counts and digest of the base spans, and all spans.
 
@@ -210,8 +215,7 @@ def secret_spans(documents: DataFrame, fdr: float = FDR) -> DataFrame:
     empty table gives an empty result.  ``all_spans`` holds the spans as
     (start, kind, end), kinds by their place in ``KINDS``.
     """
-    scanned = materialize(
-        documents.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(_scan, SCHEMA), "secrets")
+    scanned = _scanned(documents)
     least = thresholds(scanned.select(F.explode("tested").alias("t")).select("t.*"), fdr)
     limits = F.create_map(*[F.lit(x) for pair in sorted(least.items()) for x in pair] or [F.lit(0), F.lit(0)])
     never = F.lit(MAX_LOG * BINS + 1)
@@ -227,32 +231,46 @@ def secret_spans(documents: DataFrame, fdr: float = FDR) -> DataFrame:
             ":", F.get(names, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))), ","))
 
 
-def _masked(text: str | None, spans: list, mask: str) -> str | None:
-    if text is None or spans is None or not len(spans):
-        return text
+def masked(text: str, spans: list[tuple[int, int]], mask: str) -> str:
+    """``text`` with each of the (start, end) spans, or run of overlapping ones, replaced."""
     out, at = [], 0
-    for span in spans:  # in order of start; spans may overlap
-        if span["end"] <= at:
-            continue
-        if span["start"] >= at:
-            out += [text[at:span["start"]], mask]
-        at = span["end"]
+    for start, end in sorted(spans):
+        if start >= at:
+            out += [text[at:start], mask]
+        at = max(at, end)
     return "".join([*out, text[at:]])
 
 
-def redact(documents: DataFrame, spans: DataFrame, mask: str = "[SECRET]") -> DataFrame:
-    """``documents`` with every reported span of its text replaced by ``mask``.
+def redact(documents: DataFrame, mask: str = "[SECRET]", fdr: float = FDR) -> DataFrame:
+    """``documents`` with every secret of its texts replaced by ``mask``.
 
-    Only documents with spans are joined by doc_id; rows that share a doc_id
-    and differ in text must not both have spans (the spans of one doc_id are
-    taken from its first row).  n_chars follows the new text.
+    A first pass over the texts counts p-values for the thresholds; a second
+    one scans them again and masks, so no text crosses the network and rows
+    need no key.  n_chars, where there is such a column, follows the new text.
     """
-    marked = spans.where(F.size("all_spans") > 0).groupBy("doc_id").agg(F.first("all_spans").alias("__spans"))
-    mask_text = F.udf(lambda text, s: _masked(text, s, mask), "string")
-    joined = documents.join(marked, "doc_id", "left")
-    text = F.when(F.col("__spans").isNull(), F.col("text")).otherwise(mask_text("text", "__spans"))
-    out = joined.withColumn("text", text)
-    if "n_chars" in documents.columns:
-        out = out.withColumn("n_chars", F.when(F.col("__spans").isNull(), F.col("n_chars"))
-                             .otherwise(F.length("text").cast("long")))
-    return out.select(*documents.columns)
+    least = thresholds(_scanned(documents).select(F.explode("tested").alias("t")).select("t.*"), fdr)
+    at = documents.columns.index("text")
+    size = documents.columns.index("n_chars") if "n_chars" in documents.columns else None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(at).to_pylist()
+            sizes = batch.column(size).to_pylist() if size is not None else []
+            for i, text in enumerate(texts):
+                if not text:
+                    continue
+                base = base_spans(text)
+                spans = [(s, e) for s, _, e in base] + [
+                    (s, e) for s, e, length, b, random in tested_spans(text, base)
+                    if random and b >= least.get(length, MAX_LOG * BINS + 1)]
+                if spans:
+                    texts[i] = masked(text, spans, mask)
+                    if sizes:
+                        sizes[i] = len(texts[i])
+            columns = list(batch.columns)
+            columns[at] = pa.array(texts, type=columns[at].type)
+            if size is not None:
+                columns[size] = pa.array(sizes, type=columns[size].type)
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+
+    return documents.mapInArrow(run, documents.schema)

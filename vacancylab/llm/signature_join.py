@@ -245,7 +245,8 @@ def drop_near_duplicates(documents: DataFrame, **options) -> DataFrame:
     verdicts = materialize(near_duplicates(documents, **options), "verdicts")
     ids = verdicts.where("doc_id is not null").groupBy("doc_id").agg(
         F.max("kept").alias("kept"), F.count("*").alias("n"))
-    kept = documents.join(ids.where("not kept").select("doc_id"), "doc_id", "left_anti")
+    # the dropped ids grow with the documents, so they are never broadcast
+    kept = documents.join(ids.where("not kept").select("doc_id").hint("merge"), "doc_id", "left_anti")
     if not ids.where("n > 1 and kept").isEmpty():
         named = kept.where("doc_id is not null").dropDuplicates(["doc_id"])
         kept = named.unionByName(kept.where("doc_id is null"))

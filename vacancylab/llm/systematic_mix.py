@@ -114,7 +114,8 @@ def mix_documents(documents: DataFrame, **options) -> DataFrame:
         F.sum("copies").alias("__copies"), F.count("*").alias("__rows"))
     copies = materialize(copies.select(F.col("doc_id").alias("__d"), F.col("source").alias("__s"),
                                        F.col("size").alias("__z"), "__copies", "__rows"), "copies")
-    joined = sized.join(copies, F.col("doc_id").eqNullSafe(F.col("__d")) & F.col("source").eqNullSafe(F.col("__s"))
+    # as many rows as documents, so never broadcast
+    joined = sized.join(copies.hint("merge"), F.col("doc_id").eqNullSafe(F.col("__d")) & F.col("source").eqNullSafe(F.col("__s"))
                         & (F.col("__size") == F.col("__z")))
     own = F.col("__copies")
     if not copies.where("__rows > 1").isEmpty():
