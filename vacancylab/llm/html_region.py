@@ -124,8 +124,10 @@ def tag_costs(pages: DataFrame, sample_pages: int = SAMPLE_PAGES) -> dict[str, f
     often it stands, per word, outside than inside; at least 0.05, as every
     tag interrupts the text.  The key "" holds the cost of an unknown tag.
     """
-    sample = pages.select("html").where(F.col("html").rlike("(?i)<(article|main)\\b")).orderBy(
-        F.xxhash64("html"), "html").limit(sample_pages)
+    marked = pages.select("html", F.xxhash64("html").alias("h")).where(F.col("html").rlike("(?i)<(article|main)\\b"))
+    # the least hashes of different pages are chosen first, so no other page crosses the network
+    last = marked.select("h").distinct().orderBy("h").limit(sample_pages).agg(F.max("h")).first()[0]
+    sample = marked.where(F.col("h") <= F.lit(last)).groupBy("h").agg(F.first("html").alias("html")).select("html")
     total: dict[tuple[str, bool], int] = {}
     for r in sample.mapInArrow(_count, "key string, inside boolean, n long").groupBy("key", "inside").agg(
             F.sum("n").alias("n")).collect():
