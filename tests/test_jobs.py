@@ -2,12 +2,13 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from vacancylab import jobs
 from vacancylab.operators import dedup
-from vacancylab.sources.fixtures import FIXTURE_RULES, fixture_views
+from vacancylab.sources.fixtures import fixture_views
 
 
 def test_update_augment_clean(spark, tmpdir_path):
@@ -17,8 +18,8 @@ def test_update_augment_clean(spark, tmpdir_path):
     pdf = v["v_raw"].orderBy("file", "row_seq").toPandas()
     for f, part in pdf.groupby("file"):
         part.drop(columns=["file", "row_seq"]).to_csv(os.path.join(raw_dir, f"{f}.csv"), index=False)
-    root = os.path.join(tmpdir_path, "db")
-    v["v_regions"].write.parquet(os.path.join(root, "regions"))
+    root = "file://" + os.path.join(tmpdir_path, "db")
+    v["v_regions"].write.parquet(f"{root}/regions")
 
     n = jobs.update_batch(spark, raw_dir, root, "b24", suffix=".csv")
     assert n["postings"] > 0 and n["positions"] == n["postings"] and n["employers"] > 0
@@ -27,16 +28,38 @@ def test_update_augment_clean(spark, tmpdir_path):
 
     t = jobs.open_tables(spark, root)
     assert t.positions.filter(F.col("nuts_2").isNotNull()).count() > 0   # G5 on ingest
-    jobs.augment(spark, root, "b24", ["licen", "tionha"], v["v_tech_dict"], FIXTURE_RULES)
+    codes = sorted(map(tuple, t.positions.select("uniq_id", "nuts_2", "nuts_3").collect()), key=repr)
+    jobs.augment(spark, root, "b24", ["licen", "tionha"], v["v_tech_dict"])
     t = jobs.open_tables(spark, root)
+    assert sorted(map(tuple, t.positions.select("uniq_id", "nuts_2", "nuts_3").collect()), key=repr) == codes
     n_dup = dedup.duplicate_ids(t.postings, t.positions, "b24").count()
     assert t.postings.filter(F.col("unique_posting_text") == "no").count() == n_dup
     n_ai = t.ai_tags.count()
     assert n_ai > 0 and t.tech_tags.count() > 0
-    jobs.augment(spark, root, "b24", ["licen", "tionha"], v["v_tech_dict"], FIXTURE_RULES)
+    jobs.augment(spark, root, "b24", ["licen", "tionha"], v["v_tech_dict"])
     assert jobs.open_tables(spark, root).ai_tags.count() == n_ai
 
     jobs.clean_tables(spark, root, "b24")
     t = jobs.open_tables(spark, root)
     assert t.postings.count() == 0 and t.positions.count() == 0
     assert t.employers.count() == 0 and t.ai_tags.count() == 0 and t.tech_tags.count() == 0
+
+
+def test_killed_replacement_keeps_a_version(spark, tmpdir_path):
+    root = "file://" + tmpdir_path
+    tags = lambda *ids: spark.createDataFrame([(i,) for i in ids], "uniq_id string")
+    jobs.replace_table(spark, tags("a"), root, "ai_tags")
+    # killed between the two moves: the new version is written, the old one moved away
+    tags("b").write.parquet(jobs._swap_path(root, "ai_tags", "new"))
+    jobs._move(spark, f"{root}/ai_tags", jobs._swap_path(root, "ai_tags", "old"))
+    assert [r.uniq_id for r in jobs.open_tables(spark, root).ai_tags.collect()] == ["a"]
+    # killed after them: the old version is left over
+    tags("x").write.parquet(jobs._swap_path(root, "ai_tags", "old"))
+    jobs.replace_table(spark, tags("c"), root, "ai_tags")
+    assert [r.uniq_id for r in jobs.open_tables(spark, root).ai_tags.collect()] == ["c"]
+
+
+def test_missing_table_is_an_error(spark, tmpdir_path):
+    for job in (lambda: jobs.augment(spark, tmpdir_path, "b", ["x"], None), lambda: jobs.clean_tables(spark, tmpdir_path, "b")):
+        with pytest.raises(FileNotFoundError):
+            job()

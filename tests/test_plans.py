@@ -42,3 +42,26 @@ def test_report_pushes_batch_and_flag_into_scan(spark, tmpdir_path):
     assert "EqualTo(unique_posting_text,yes)" in formatted
     assert "ReadSchema: struct<uniq_id:string,unique_posting_text:string>" in formatted
     assert p
+
+
+def test_duplicate_ids_exchange_no_text(spark):
+    from vacancylab.operators import dedup
+    from vacancylab.sources.fixtures import fixture_views
+    v = fixture_views(spark, SF_SMALL)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        flagged = dedup.duplicate_ids_by_level(
+            v["v_postings"], v["v_positions"], "all",
+            {"t": ["job_description"], "l": ["city", "job_description"]})
+        plan = flagged._jdf.queryExecution().explainString(
+            spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    import re
+    bodies = re.split(r"\n(?=\(\d+\) )", plan)
+    exchanges = [b for b in bodies if re.match(r"\(\d+\) Exchange", b)]
+    assert exchanges
+    # the only column of that name that crosses is the 64-character digest made below the join
+    projects = [b for b in bodies if "sha2(" in b]
+    assert projects and not any("sha2(" in b and "Join" in b.split("\n")[0] for b in bodies)

@@ -229,7 +229,33 @@ def test_catalog_helpers(spark, tmpdir_path):
     import os
     from vacancylab.sources import catalog
     spark.range(3).write.parquet(os.path.join(tmpdir_path, "postings"))
-    assert catalog.list_tables(tmpdir_path) == ["postings"]
+    assert catalog.list_tables(spark, tmpdir_path) == ["postings"]
     assert catalog.register_views(spark, tmpdir_path) == ["postings"]
     assert spark.sql("SELECT count(*) FROM postings").first()[0] == 3
     assert catalog.table_keys("tech_tags") == ["uniq_id", "bloom_code"]
+
+
+def test_name_patterns_fold_case_and_null_rules(spark, tmpdir_path):
+    import zipfile
+
+    from pyspark.sql import functions as F
+
+    from vacancylab.functions.predicates import name_pattern_condition
+    from vacancylab.operators.companies import firm_patterns
+    from vacancylab.operators.evaluation import timewindow
+    from vacancylab.sources.raw import read_raw_csv, read_raw_zip
+    names = spark.createDataFrame([("ROCHE AG",), ("Rochester",), (None,)], "company_name string")
+    assert [r[0] for r in names.where(name_pattern_condition("company_name", ["roche"], ["rochesteR"])).collect()] == [
+        "ROCHE AG"]
+    table = lambda *rows: spark.createDataFrame(rows, "pattern_order int, firm_name_pattern string, firm_name string")
+    both = firm_patterns(table((0, "a", "A"), (1, "b", "B")), table((0, "c", "C"), (1, "a", "Z"))).collect()
+    assert sorted((r[0], r[2]) for r in both) == [(0, "A"), (1, "B"), (2, "C")]
+    assert timewindow("2020-01", 2) == ["2019-12", "2019-11", "2020-01", "2020-02", "2020-03"]
+    raw = "uniq_id,job_title,city\n1,NA,\n2,null,None\n"
+    with open(f"{tmpdir_path}/r.csv", "w") as f:
+        f.write(raw)
+    with zipfile.ZipFile(f"{tmpdir_path}/r.zip", "w") as z:
+        z.writestr("r.csv", raw)
+    found = [sorted(tuple(r) for r in df.select("uniq_id", "job_title", F.coalesce("city", F.lit("-"))).collect())
+             for df in (read_raw_csv(spark, f"{tmpdir_path}/r.csv"), read_raw_zip(spark, tmpdir_path))]
+    assert found[0] == found[1] == [("1", "NA", "-"), ("2", "null", "None")]

@@ -93,7 +93,7 @@ def geo_scope_condition(column: str, restrict_to: Sequence[str] | None = None,
                         exclude: Sequence[str] | None = None) -> Column | None:
     """IN / NOT IN on a geo column; NULL values are outside both scopes."""
     if restrict_to and exclude:
-        raise ValueError("Only one of restrict_to and exclude can be chosen.")
+        raise ValueError("a scope either names units or leaves some out, not both")
     if restrict_to:
         return F.col(column).isin(list(restrict_to))
     if exclude:
@@ -129,13 +129,13 @@ def name_pattern_condition(column: str, include: Sequence[str],
                            exclude: Sequence[str] = ()) -> Column:
     """Name contains any include pattern and none of the exclusions.
 
-    Plain substring semantics of ``LIKE '%p%'`` (patterns hold no wildcards);
-    a NULL name fails both parts.
+    Plain substring semantics of ``LIKE '%p%'`` (patterns hold no wildcards),
+    without regard to case; a NULL name fails both parts.
     """
-    col = F.col(column)
-    inc = functools.reduce(operator.or_, [col.contains(F.lit(p)) for p in include])
+    col = F.lower(F.col(column))
+    inc = functools.reduce(operator.or_, [col.contains(F.lit(p.lower())) for p in include])
     if exclude:
-        exc = functools.reduce(operator.and_, [~col.contains(F.lit(p)) for p in exclude])
+        exc = functools.reduce(operator.and_, [~col.contains(F.lit(p.lower())) for p in exclude])
         return inc & exc
     return inc
 

@@ -1,52 +1,64 @@
 """Batch jobs over a stored database folder (the runnable counterparts of the
 monthly update and augmentation scripts).
 
-Tables live as Parquet folders under ``root``.  A job never overwrites a
-folder it reads: a recomputed table is written next to it (``<name>.__next``)
-and swapped in through the Hadoop FileSystem API once the write succeeded, so
-a failed or killed job leaves the previous version intact.  Appends go
-through anti joins, so re-running a job adds nothing twice.
+Tables live as Parquet folders under ``root``, any path that Hadoop's
+FileSystem reads.  A job never overwrites a folder that it reads: a recomputed
+table, or one batch of it, is written to ``_swap`` and moved in once the write
+succeeded; the old version waits in ``_swap`` meanwhile.  A job that was killed
+between the two moves left the old version there, and ``open_tables`` and the
+next replacement put it back first.  Appends go through anti joins, so
+re-running a job adds nothing twice.
 """
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from . import schemas
 from .operators import dedup, ingest, keywords, regions
+from .session import land_table
 from .sources import raw as rawsrc
+from .sources.catalog import file_system, path_exists
 from .sources.fixtures import JobTables
 
+TABLES = ("postings", "positions", "employers", "regions", "ai_tags", "tech_tags")
+
+
+def _swap_path(root: str, name: str, version: str) -> str:
+    return f"{root}/_swap/{name.replace('/', '+')}.{version}"
+
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
+def _move(spark: SparkSession, source: str, target: str) -> None:
+    fs, from_, to = (*file_system(spark, source), file_system(spark, target)[1])
+    fs.mkdirs(to.getParent())
+    if not fs.rename(from_, to):
+        raise OSError(f"could not move {source} to {target}")
+
+
+def restore(spark: SparkSession, root: str, name: str) -> None:
+    """Put back the old version of a table that a killed job moved away."""
+    old = _swap_path(root, name, "old")
+    if not path_exists(spark, f"{root}/{name}") and path_exists(spark, old):
+        _move(spark, old, f"{root}/{name}")
 
 
 def replace_table(spark: SparkSession, df: DataFrame, root: str, name: str,
                   partition_by: tuple[str, ...] = ()) -> None:
-    """Write ``df`` as the new version of table ``name`` (staging + swap)."""
-    target = os.path.join(root, name)
-    staging = target + ".__next"
+    """Write ``df`` as the new version of table ``name``; a name such as
+    ``postings/data_batch=b`` replaces this partition only."""
+    target, new, old = f"{root}/{name}", _swap_path(root, name, "new"), _swap_path(root, name, "old")
+    restore(spark, root, name)
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.parquet(staging)
-    fs, tpath, jvm = _fs(spark, target)
-    spath = jvm.org.apache.hadoop.fs.Path(staging)
-    old = jvm.org.apache.hadoop.fs.Path(target + ".__old")
-    if fs.exists(old):
-        fs.delete(old, True)
-    if fs.exists(tpath):
-        fs.rename(tpath, old)
-    if not fs.rename(spath, tpath):
-        raise OSError(f"could not move {staging} to {target}")
-    if fs.exists(old):
-        fs.delete(old, True)
+    w.parquet(new)
+    fs, old_path = file_system(spark, old)
+    fs.delete(old_path, True)
+    if path_exists(spark, target):
+        _move(spark, target, old)
+    _move(spark, new, target)
+    fs.delete(old_path, True)
 
 
 def append_rows(df: DataFrame, path: str, partition_by: tuple[str, ...] = (),
@@ -65,57 +77,83 @@ def append_rows(df: DataFrame, path: str, partition_by: tuple[str, ...] = (),
     return n
 
 
-def open_tables(spark: SparkSession, root: str) -> JobTables:
-    """Stored tables (empty frames with the table schema where none exist)."""
+def open_tables(spark: SparkSession, root: str, required: tuple[str, ...] = ()) -> JobTables:
+    """Stored tables; empty frames with the table schema where none exists,
+    but a missing table that is ``required`` is an error."""
     def read(name: str):
-        path = os.path.join(root, name)
-        if os.path.exists(path):
-            return spark.read.schema(schemas.SCHEMAS[name]).parquet(path)
+        restore(spark, root, name)
+        if path_exists(spark, f"{root}/{name}"):
+            return spark.read.schema(schemas.SCHEMAS[name]).parquet(f"{root}/{name}")
+        if name in required:
+            raise FileNotFoundError(f"no table {name} in {root}")
         return spark.createDataFrame([], schemas.SCHEMAS[name])
-    return JobTables(**{n: read(n) for n in ("postings", "positions", "employers", "regions",
-                                             "ai_tags", "tech_tags")})
+    return JobTables(**{n: read(n) for n in TABLES})
+
+
+def batch_partition(data_batch: str) -> str:
+    """Folder of a batch inside postings."""
+    if not data_batch or not all(c.isalnum() or c in "_-." for c in data_batch):
+        raise ValueError(f"batch label {data_batch!r} may hold letters, digits, '_', '-' and '.' only")
+    return f"postings/data_batch={data_batch}"
 
 
 def update_batch(spark: SparkSession, raw_dir: str, root: str, data_batch: str,
                  suffix: str = ".zip", dup_policy: str = "drop_all") -> dict[str, int]:
     """Monthly update: read every raw file of the batch, attach region codes on
-    ``inferred_state``, append new postings / positions / employers."""
+    ``inferred_state``, append new postings / positions / employers.
+
+    The raw files are parsed once.  Each append must have as many rows as the
+    keys it adds (I12): a region name with several codes would store an id
+    twice, and stops the job before anything is written."""
+    batch_partition(data_batch)
     if suffix == ".zip":
         raw = rawsrc.read_raw_zip(spark, raw_dir)
     else:
-        raw = rawsrc.read_raw_csv(spark, os.path.join(raw_dir, f"*{suffix}"))
+        raw = rawsrc.read_raw_csv(spark, f"{raw_dir}/*{suffix}")
     stored = open_tables(spark, root)
-    new = ingest.ingest_batch(raw, data_batch, stored, stored.regions, dup_policy)
+    new = ingest.ingest_batch(land_table(raw, "raw"), data_batch, stored, stored.regions, dup_policy)
     post = new.postings.select(*[F.col(c) for c in schemas.POSTINGS.fieldNames() if c in new.postings.columns])
     pos = new.positions.select(*[F.col(f.name).cast(f.dataType) if f.name in new.positions.columns
                                  else F.lit(None).cast(f.dataType).alias(f.name)
                                  for f in schemas.POSITIONS.fields])
     emp = new.employers.select(*[F.col(f.name).cast(f.dataType) for f in schemas.EMPLOYERS.fields])
-    return {"positions": append_rows(pos, os.path.join(root, "positions")),
-            "employers": append_rows(emp, os.path.join(root, "employers")),
-            "postings": append_rows(post, os.path.join(root, "postings"), ("data_batch",))}
+    landed = {"positions": (land_table(pos, "positions"), "uniq_id", ()),
+              "employers": (land_table(emp, "employers"), "company_name", ()),
+              "postings": (land_table(post, "postings"), "uniq_id", ("data_batch",))}
+    expected = {}
+    for name, (df, key, _) in landed.items():
+        rows, keys = df.agg(F.count("*"), F.countDistinct(key)).first()
+        if rows != keys:
+            raise AssertionError(f"{name} of {data_batch}: {rows} rows for {keys} keys")
+        expected[name] = keys
+    return {name: append_rows(df, f"{root}/{name}", parts, expected[name])
+            for name, (df, _, parts) in landed.items()}
+
+
+def assign_regions(spark: SparkSession, root: str, rules=regions.SWISS_RULES) -> None:
+    """Region codes of all positions anew from their names (G1+G2), as after the
+    initial load; codes that the update attached (G5) are replaced."""
+    t = open_tables(spark, root, required=("positions", "regions"))
+    replace_table(spark, regions.assign_regions(t.positions, t.regions, rules), root, "positions")
 
 
-def augment(spark: SparkSession, root: str, data_batch: str, ai_keywords, tech_dictionary: DataFrame,
-            rules=regions.SWISS_RULES) -> None:
-    """Augmentation: region codes (G1+G2), duplicate flags for the batch
-    (D1+D2), AI tags (K5) and technology tags (K6) for the batch."""
-    t = open_tables(spark, root)
-    replace_table(spark, regions.assign_regions(t.positions, t.regions, rules), root, "positions")
+def augment(spark: SparkSession, root: str, data_batch: str, ai_keywords, tech_dictionary: DataFrame) -> None:
+    """Augmentation of one batch: duplicate flags (D1+D2), AI tags (K5) and
+    technology tags (K6).  Of postings only the batch's partition is written."""
+    t = open_tables(spark, root, required=("postings", "positions"))
+    mine = t.postings.where(F.col("data_batch") == data_batch)
+    if not mine.isEmpty():
+        replace_table(spark, dedup.clean_duplicates(mine, t.positions, data_batch).drop("data_batch"), root,
+                      batch_partition(data_batch))
     t = open_tables(spark, root)
-    replace_table(spark, dedup.clean_duplicates(t.postings, t.positions, data_batch), root, "postings",
-                  ("data_batch",))
-    t = open_tables(spark, root)
-    append_rows(keywords.tag_ai(t.postings, ai_keywords, data_batch, existing=t.ai_tags),
-                os.path.join(root, "ai_tags"))
-    append_rows(keywords.tag_tech(t.postings, tech_dictionary, data_batch, existing=t.tech_tags),
-                os.path.join(root, "tech_tags"))
+    append_rows(keywords.tag_ai(t.postings, ai_keywords, data_batch, existing=t.ai_tags), f"{root}/ai_tags")
+    append_rows(keywords.tag_tech(t.postings, tech_dictionary, data_batch, existing=t.tech_tags), f"{root}/tech_tags")
 
 
 def clean_tables(spark: SparkSession, root: str, data_batch: str) -> None:
     """Delete a batch (positions first, ids looked up in postings), then drop
     employers and tags without a posting (I13, I14)."""
-    t = open_tables(spark, root)
+    t = open_tables(spark, root, required=("postings", "positions", "employers"))
     replace_table(spark, ingest.delete_batch(t.positions, t.postings, data_batch), root, "positions")
     replace_table(spark, ingest.delete_batch(t.postings, t.postings, data_batch), root, "postings",
                   ("data_batch",))

@@ -38,7 +38,8 @@ def firm_patterns(parents: DataFrame, subsidiaries: DataFrame | None = None) ->
     appended after the parents and a repeated pattern keeps its first row."""
     p = parents.select("pattern_order", "firm_name_pattern", "firm_name")
     if subsidiaries is not None:
-        off = p.agg(F.max("pattern_order")).first()[0] or 0
+        last = p.agg(F.max("pattern_order")).first()[0]
+        off = 0 if last is None else last + 1
         p = p.unionByName(subsidiaries.select((F.col("pattern_order") + off).alias("pattern_order"),
                                               "firm_name_pattern", "firm_name"))
     w = Window.partitionBy("firm_name_pattern").orderBy("pattern_order")
@@ -51,7 +52,7 @@ def patterns_present(patterns: DataFrame, employers: DataFrame) -> DataFrame:
     rows = _pattern_rows_full(patterns)
     if not rows:
         return patterns
-    flags = employers.agg(*[F.max(F.col("company_name").contains(F.lit(p))).alias(f"p{i}")
+    flags = employers.agg(*[F.max(F.lower("company_name").contains(F.lit(p.lower()))).alias(f"p{i}")
                             for i, (_, p, _) in enumerate(rows)]).first()
     keep = [o for i, (o, _, _) in enumerate(rows) if flags[f"p{i}"]]
     return patterns.filter(F.col("pattern_order").isin(keep))

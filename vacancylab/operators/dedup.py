@@ -29,14 +29,17 @@ POSTING_COLUMNS = {"job_description", "job_title", "crawl_timestamp", "job_board
 
 
 def _scoped_rows(postings: DataFrame, positions: DataFrame, data_batch, levels: Sequence[str],
-                 restrict_scope_by: str, restrict_to, exclude) -> DataFrame:
+                 restrict_scope_by: str, restrict_to, exclude, digests: bool = False) -> DataFrame:
     """Postings of the batch(es) that have a position row in the geo scope,
-    with the level columns (from whichever table holds them)."""
+    with the level columns (from whichever table holds them).  With
+    ``digests`` those of postings are replaced by their SHA-256 before the
+    join, so no text is in an exchange (NULL stays NULL)."""
     pos_cols = [c for c in levels if c not in POSTING_COLUMNS]
     post_cols = [c for c in levels if c in POSTING_COLUMNS]
     posn = apply_condition(positions, geo_scope_condition(restrict_scope_by, restrict_to, exclude))
     posn = posn.select("uniq_id", *pos_cols)
-    chosen = apply_condition(postings, batch_condition(data_batch)).select("uniq_id", "data_batch", *post_cols)
+    chosen = apply_condition(postings, batch_condition(data_batch)).select(
+        "uniq_id", "data_batch", *[F.sha2(F.col(c), 256).alias(c) if digests else F.col(c) for c in post_cols])
     return posn.join(chosen, "uniq_id", "inner")
 
 
@@ -53,7 +56,8 @@ def duplicate_ids_by_level(postings: DataFrame, positions: DataFrame, data_batch
     """
     names = list(level_sets)
     needed = sorted({c for lv in level_sets.values() for c in lv})
-    rows = _scoped_rows(postings, positions, data_batch, needed, restrict_scope_by, restrict_to, exclude)
+    rows = _scoped_rows(postings, positions, data_batch, needed, restrict_scope_by, restrict_to, exclude,
+                        digests=True)
     keyed = rows.select("uniq_id", F.explode(F.array(*[
         F.struct(F.lit(n).alias("level"),
                  group_key([F.col("data_batch")] + [F.col(c) for c in level_sets[n]]).alias("gk"))

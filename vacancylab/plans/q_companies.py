@@ -30,8 +30,8 @@ def _values() -> str:
 
 
 def _match_sql(ai: bool) -> str:
-    inc = " OR ".join(f"company_name LIKE '%{p}%'" for p, _ in FIXTURE_FIRMS)
-    exc = " AND ".join(f"posn.company_name NOT LIKE '%{t}%'" for t in FIXTURE_EXCLUSIONS)
+    inc = " OR ".join(f"lower(company_name) LIKE lower('%{p}%')" for p, _ in FIXTURE_FIRMS)
+    exc = " AND ".join(f"lower(posn.company_name) NOT LIKE lower('%{t}%')" for t in FIXTURE_EXCLUSIONS)
     ai_join = "JOIN ai_tags ait ON ait.uniq_id = posn.uniq_id" if ai else ""
     return f"""
     SELECT posn.company_name, posn.nuts_2, count(*) AS {"n_ai_postings" if ai else "n_postings"}
@@ -85,8 +85,8 @@ def _db(spark, sf_dir):
       FROM (SELECT pattern_order, firm_name_pattern, firm_name FROM fp
             UNION ALL SELECT pattern_order + 100, firm_name_pattern, 'Subsidiary' FROM fp) u) t
     WHERE rn = 1""", [("fp", f"""SELECT p.pattern_order, p.firm_name_pattern, p.firm_name FROM ({_values()}) p
-                          WHERE EXISTS (SELECT 1 FROM employers e WHERE e.company_name LIKE
-                                        '%' || p.firm_name_pattern || '%')""")]))
+                          WHERE EXISTS (SELECT 1 FROM employers e WHERE lower(e.company_name) LIKE
+                                        '%' || lower(p.firm_name_pattern) || '%')""")]))
 def c1(spark, sf_dir):
     from pyspark.sql import functions as F
     db = _db(spark, sf_dir)

@@ -2,16 +2,28 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import schemas
 
 
-def list_tables(root: str) -> list[str]:
+def file_system(spark: SparkSession, path: str):
+    """Hadoop FileSystem and Path of any path that Spark reads."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = file_system(spark, path)
+    return bool(fs.exists(p))
+
+
+def list_tables(spark: SparkSession, root: str) -> list[str]:
     """Stored tables under a database folder (one Parquet folder each)."""
-    return sorted(n for n in os.listdir(root) if os.path.isdir(os.path.join(root, n)) and not n.startswith("_"))
+    fs, p = file_system(spark, root)
+    found = [(s.getPath().getName(), s.isDirectory()) for s in fs.listStatus(p)]
+    return sorted(n for n, folder in found if folder and not n.startswith(("_", ".")))
 
 
 def table_columns(df: DataFrame) -> list[str]:
@@ -32,7 +44,7 @@ def base_properties() -> dict:
 
 def register_views(spark: SparkSession, root: str, prefix: str = "") -> list[str]:
     """Every stored table as a temp view, for ad-hoc ``spark.sql``."""
-    names = list_tables(root)
+    names = list_tables(spark, root)
     for n in names:
-        spark.read.parquet(os.path.join(root, n)).createOrReplaceTempView(prefix + n)
+        spark.read.parquet(f"{root}/{n}").createOrReplaceTempView(prefix + n)
     return names

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..operators import dedup, keywords, regions
 from ..operators.regions import RegionRule
 from ..plans import fixture_sql
+from .catalog import path_exists
 
 
 @dataclass
@@ -118,7 +119,7 @@ def stored_db(spark: SparkSession, root: str) -> JobTables:
     r = lambda n: spark.read.parquet(os.path.join(root, n))
     extra = {}
     for n in ("tech_dict", "ai_dict", "external_shares"):
-        if os.path.exists(os.path.join(root, n)):
+        if path_exists(spark, f"{root}/{n}"):
             extra[n] = r(n)
     return JobTables(postings=r("postings"), positions=r("positions"), employers=r("employers"),
                      regions=r("regions"), ai_tags=r("ai_tags"), tech_tags=r("tech_tags"), **extra)

@@ -21,7 +21,8 @@ from pyspark.sql import types as T
 from .. import schemas
 from ..operators.ingest import ORDER
 
-CSV_OPTIONS = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
+# Both readers take only the empty field as NULL; words such as NA or null are text.
+CSV_OPTIONS = {"nullValue": "", "header": "true", "multiLine": "true", "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
 
 
 def list_raw_files(spark: SparkSession, directory: str, suffix: str = ".zip") -> DataFrame:
@@ -69,7 +70,8 @@ def _file_reader(schema: T.StructType, chunk_rows: int):
             for path, content in zip(pdf["path"], pdf["content"]):
                 with _open_member(path, content) as fh:
                     seq = 0
-                    for chunk in pd.read_csv(fh, dtype=str, keep_default_na=True, chunksize=chunk_rows):
+                    for chunk in pd.read_csv(fh, dtype=str, keep_default_na=False, na_values=[""],
+                                             chunksize=chunk_rows):
                         out = pd.DataFrame({c: chunk[c] if c in chunk.columns else None for c in names})
                         out = out.astype(object).where(out.notna(), None)
                         out["_file"] = path

@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from .. import schemas
 from ..operators import ingest
+from ..sources.catalog import path_exists
 from ..sources.fixtures import JobTables
 from ..sources.raw import parse_raw_files
 
@@ -39,8 +40,8 @@ def raw_stream(spark: SparkSession, raw_dir: str, suffix: str = ".csv",
 
 def _open_tables(spark: SparkSession, root: str) -> JobTables:
     def read(name: str, schema: T.StructType) -> DataFrame:
-        path = os.path.join(root, name)
-        if os.path.exists(path):
+        path = f"{root}/{name}"
+        if path_exists(spark, path):
             return spark.read.schema(schema).parquet(path)
         return spark.createDataFrame([], schema)
     return JobTables(postings=read("postings", schemas.POSTINGS), positions=read("positions", schemas.POSITIONS),
