@@ -158,5 +158,5 @@ def top_companies_for_term(db, term: str, k: int = 20) -> DataFrame:
 
 
 def first_descriptions(db, n: int = 5) -> DataFrame:
-    """``SELECT job_description ... LIMIT n`` (any n rows)."""
-    return db.postings.select("job_description").limit(n)
+    """The first n descriptions in the order of ``uniq_id``."""
+    return db.postings.select("uniq_id", "job_description").orderBy("uniq_id").limit(n).select("job_description")

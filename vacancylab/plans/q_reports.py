@@ -148,6 +148,7 @@ def x5(spark, sf_dir):
     return reports.top_companies_for_term(fixture_db(spark, sf_dir, flags=False, tags=False), X_TERM)
 
 
-@register("x6_first_descriptions")
+@register("x6_first_descriptions", sql("""
+    SELECT job_description FROM (SELECT * FROM postings ORDER BY uniq_id LIMIT 5) first_five"""))
 def x6(spark, sf_dir):
     return reports.first_descriptions(fixture_db(spark, sf_dir, flags=False, geo=False, tags=False))
