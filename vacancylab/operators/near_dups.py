@@ -122,7 +122,6 @@ def window_probes(windows: pd.Series) -> pd.Series:
 
 
 # ------------------------------------------------------------------------ E4
-GREEDY_SCHEMA = "company_name string, uniq_id string"
 
 
 def distinct_employer_texts(postings: DataFrame) -> DataFrame:
@@ -197,52 +196,13 @@ def candidate_edges(docs: DataFrame, n_sequences: int = 3, sequence_length: int
     return verified.select("company_name", "src", "dst")
 
 
-def _greedy(skip_last_pair: bool):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.astype(object)
-        company = pdf["company_name"].iloc[0]
-        if not (pdf["kind"] == "e").any():
-            return _frame(company, [])
-        nodes = sorted(pdf.loc[pdf["kind"] == "n", "src"].tolist())
-        out_edges: dict[str, list[str]] = {}
-        for s, d in zip(pdf.loc[pdf["kind"] == "e", "src"], pdf.loc[pdf["kind"] == "e", "dst"]):
-            out_edges.setdefault(s, []).append(d)
-        company = pdf["company_name"].iloc[0]
-        if len(nodes) <= 1:
-            return _frame(company, [])
-        flagged: set[str] = set()
-        pos = {u: i for i, u in enumerate(nodes)}
-        flagged_after = 0  # flagged nodes with position > current
-        n = len(nodes)
-        for i, p in enumerate(nodes):
-            if p in flagged:
-                flagged_after -= 1
-                continue
-            remaining = (n - i - 1) - flagged_after
-            if skip_last_pair and remaining <= 1:
-                continue
-            for q in out_edges.get(p, ()):
-                if q not in flagged and pos[q] > i:
-                    flagged.add(q)
-                    flagged_after += 1
-        return _frame(company, sorted(flagged))
-    return run
-
-
-def _frame(company: str, ids: list[str]) -> pd.DataFrame:
-    return pd.DataFrame({"company_name": pd.Series([company] * len(ids), dtype=object),
-                         "uniq_id": pd.Series(ids, dtype=object)})
-
-
-def greedy_rounds(edges: DataFrame, max_rounds: int = 1000) -> DataFrame:
-    """Distributed form of the greedy pass (without the "at most one posting
-    remains" skip): a node is decided once every source with an edge into it
-    is decided - flagged when one of them is kept, kept otherwise.  Nodes with
-    no in-edge are kept from the start.  One join + aggregate per round over
-    the edge list; rounds = depth of the dependency chains.  Each round's
-    state is checkpointed into the shared checkpoint folder.
-    Returns (company_name, uniq_id) of flagged nodes."""
-    spark = edges.sparkSession
+def greedy_rounds(edges: DataFrame) -> DataFrame:
+    """The greedy pass in rounds: a posting is decided once every source with
+    an edge into it is decided - flagged when one of them is kept, kept
+    otherwise.  Edges point from the smaller to the larger id, so the smallest
+    undecided posting is decided in each round and the loop ends.  One join
+    and aggregate per round, each round's state checkpointed in the shared
+    folder.  Returns (company_name, id, st) with st 1 kept, 2 flagged."""
     e = edges.select("company_name", "src", "dst")
     nodes = (e.select("company_name", F.col("src").alias("id"))
              .unionByName(e.select("company_name", F.col("dst").alias("id"))).distinct())
@@ -251,9 +211,7 @@ def greedy_rounds(edges: DataFrame, max_rounds: int = 1000) -> DataFrame:
     state = cut_lineage(nodes.join(has_in, ["company_name", "id"], "left")
                         .select("company_name", "id", F.when(F.col("__in").isNull(), F.lit(1))
                                 .otherwise(F.lit(0)).alias("st")))
-    for _ in range(max_rounds):
-        if state.filter(F.col("st") == 0).limit(1).count() == 0:
-            break
+    while not state.filter(F.col("st") == 0).isEmpty():
         src_st = state.select("company_name", F.col("id").alias("src"), F.col("st").alias("sst"))
         votes = (e.join(src_st, ["company_name", "src"], "inner")
                  .groupBy("company_name", F.col("dst").alias("id"))
@@ -266,40 +224,36 @@ def greedy_rounds(edges: DataFrame, max_rounds: int = 1000) -> DataFrame:
                     .when(F.col("any_kept") == 1, F.lit(2))
                     .when(F.coalesce(F.col("any_open"), F.lit(0)) == 0, F.lit(1))
                     .otherwise(F.lit(0)).alias("st")))
-    else:
-        raise RuntimeError("greedy rounds did not converge")
-    del spark
-    return state.filter(F.col("st") == 2).select("company_name", F.col("id").alias("uniq_id"))
+    return state
 
 
 def token_duplicates(postings: DataFrame, n_sequences: int = 3, sequence_length: int = 10,
-                     seq_multiple: int = 5, seed: int = 42, skip_last_pair: bool = True,
-                     max_group_nodes: int = 200_000) -> DataFrame:
+                     seq_multiple: int = 5, seed: int = 42, skip_last_pair: bool = True) -> DataFrame:
     """Flagged near-duplicate postings (company_name, uniq_id).
 
-    Employers with up to ``max_group_nodes`` distinct texts run the exact
-    sequential pass in one pandas group (ids and edges only); larger ones -
-    an employer may hold a third of all postings - use ``greedy_rounds``,
-    which never gathers a group in one task (it differs from the sequential
-    pass only in the "at most one posting remains" skip)."""
+    The order-dependent pass runs in distributed rounds for every employer,
+    whatever its size.  ``skip_last_pair`` is its rule that a posting flags
+    nothing when at most one unflagged posting follows: that concerns only the
+    last kept posting, and only if exactly one posting was flagged by it
+    first, so that one is taken back."""
     # texts are read by several consumers below: materialise them once
     # (reliable checkpoint in spark.checkpoint.dir, survives executor loss)
     docs = cut_lineage(distinct_employer_texts(postings))
-    # verified edges are few (ids only): computed once, read by both branches
-    edges = cut_lineage(candidate_edges(docs, n_sequences, sequence_length, seq_multiple, seed))
-    sizes = docs.groupBy("company_name").agg(F.count(F.lit(1)).alias("n"))
-    big_list = sizes.filter(F.col("n") > max_group_nodes).select("company_name")
-    has_big = big_list.limit(1).count() > 0
-    big = broadcast_if_small(big_list)
-    small_docs = docs.join(big, "company_name", "left_anti")
-    small_edges = edges.join(big, "company_name", "left_anti")
-    nodes = small_docs.select("company_name", F.lit("n").alias("kind"), F.col("uniq_id").alias("src"),
-                              F.lit(None).cast("string").alias("dst"))
-    both = nodes.unionByName(small_edges.select("company_name", F.lit("e").alias("kind"), "src", "dst"))
-    flagged = both.groupBy("company_name").applyInPandas(_greedy(skip_last_pair), GREEDY_SCHEMA)
-    if has_big:
-        flagged = flagged.unionByName(greedy_rounds(edges.join(big, "company_name", "left_semi")))
-    return flagged
+    # verified edges are few (ids only): computed once, read by every round
+    edges = cut_lineage(candidate_edges(docs, n_sequences, sequence_length, seq_multiple, seed)
+                        .where("src < dst"))
+    state = greedy_rounds(edges)
+    flagged = state.where("st = 2").select("company_name", F.col("id").alias("uniq_id"))
+    if not skip_last_pair:
+        return flagged
+    last = docs.join(flagged, ["company_name", "uniq_id"], "left_anti").groupBy("company_name").agg(
+        F.max("uniq_id").alias("last_kept"))
+    kept = state.where("st = 1").select("company_name", F.col("id").alias("src"))
+    earliest = edges.join(kept, ["company_name", "src"], "left_semi").groupBy(
+        "company_name", F.col("dst").alias("uniq_id")).agg(F.min("src").alias("by"))
+    by_last = earliest.join(last, "company_name").where(F.col("by") == F.col("last_kept"))
+    back = by_last.groupBy("company_name").agg(F.count("*").alias("n"), F.min("uniq_id").alias("uniq_id")).where("n = 1")
+    return flagged.join(back, ["company_name", "uniq_id"], "left_anti")
 
 
 # ------------------------------------------------------------------------ E6
