@@ -141,3 +141,27 @@ def test_rounds_equal_sequential_pass(spark):
     for skip in (False, True):
         found = {(r.company_name, r.uniq_id) for r in near_dups.token_duplicates(df, skip_last_pair=skip).collect()}
         assert found == brute_force(texts, skip_last_pair=skip) and len(found) > 5
+
+
+def test_a_group_of_near_copies_makes_one_edge_per_posting(spark):
+    rng = random.Random(5)
+    words = _words(rng, 300)
+    for n in (60, 1000):
+        df = spark.createDataFrame([("c", f"id{i:05d}", " ".join([*words, f"end{i}"])) for i in range(n)],
+                                   "company_name string, uniq_id string, job_description string")
+        docs = near_dups.distinct_employer_texts(df).persist()
+        windows = docs.select("company_name", "uniq_id", near_dups.token_windows(
+            F.col("job_description"), F.col("uniq_id"), 10, 3, 5, 42).alias("windows"))
+        state, edges = near_dups.greedy_rounds(docs, windows, *near_dups.probe_tables(docs, windows))
+        assert edges.count() == n - 1
+        assert state.where("st = 2").count() == n - 1
+
+
+def test_texts_that_share_a_key_without_containing_each_other(spark):
+    rng = random.Random(6)
+    shared = " ".join(_words(rng, 60))
+    rows = [("c", f"id{i:03d}", f"{shared} " + " ".join(_words(rng, 8))) for i in range(40)]
+    rows += [("c", f"tiny{i:03d}", f"k{i} m{i % 3}") for i in range(20)]
+    df = spark.createDataFrame(rows, "company_name string, uniq_id string, job_description string")
+    got, want = run_both(spark, df)
+    assert got == want

@@ -19,30 +19,29 @@ Plan:
    candidate filter is lossless.  Only the window with the rarest fingerprint
    (within the employer) probes, since all windows must match.
 3. Candidates are verified with ``contains`` for every window.
-4. The greedy pass is order dependent; it runs per employer with
-   ``applyInPandas`` over ids and verified edges only (no texts).
+4. The greedy pass is order dependent; it runs in rounds over (employer, key,
+   id) tables, and only postings that are kept, or may have to be, look up
+   candidates, so near copies never meet in pairs.
 
 Sources whose windows all have fewer than ``W + 3`` inner tokens (texts under
 about 20 tokens) probe a single-token index instead: a whole inner token of a
-window must be a token of any containing text.  Only texts whose windows
-hold no whole token (about three tokens or fewer) are compared with the later
-postings of their employer directly.
+window must be a token of any containing text.  Texts whose windows hold no
+whole token (about three tokens or fewer) look up all later postings of their
+employer.
 """
 
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import cut_lineage
-from ._util import broadcast_if_small
 
 K_GRAM = 4
 WINNOW = 5
 INNER = K_GRAM + WINNOW - 1          # inner tokens a probe needs
-MAX_LITERAL_TOKENS = 5_000           # probe vocabulary inlined as a literal up to this size
 
 
 # ------------------------------------------------------------------------ E5
@@ -134,97 +133,131 @@ def distinct_employer_texts(postings: DataFrame) -> DataFrame:
     return firsts.select("company_name", "r.uniq_id", "r.job_description")
 
 
-def candidate_edges(docs: DataFrame, n_sequences: int = 3, sequence_length: int = 10,
-                    seq_multiple: int = 5, seed: int = 42) -> DataFrame:
-    """Verified edges (company_name, src, dst): dst is later than src and its
-    text contains every window of src."""
-    # windows are small (a few dozen tokens per text) and read three times
-    win = cut_lineage(docs.select("company_name", "uniq_id",
-                                  token_windows(F.col("job_description"), F.col("uniq_id"), sequence_length,
-                                                n_sequences, seq_multiple, seed).alias("windows")))
-    # the index feeds both the frequency count and the probe join: cut it once
-    # into the shared checkpoint folder instead of running the UDF twice
-    index = cut_lineage(docs.select("company_name", F.col("uniq_id").alias("dst"),
-                                    F.explode(winnowed_fingerprints(F.col("job_description"))).alias("fp")))
-    df = index.groupBy("company_name", "fp").agg(F.count(F.lit(1)).alias("df"))
-    probes = win.select("company_name", "uniq_id",
-                        F.posexplode(window_probes(F.col("windows"))).alias("wi", "fp"))
-    ranked = cut_lineage(probes.filter(F.col("fp").isNotNull())
-                         .join(df, ["company_name", "fp"], "left")
-                         .groupBy("company_name", "uniq_id")
-                         .agg(F.min_by(F.col("fp"), F.struct(F.col("df"), F.col("fp"))).alias("fp")))
-    indexed = ranked.join(index, ["company_name", "fp"], "inner").filter(F.col("dst") > F.col("uniq_id"))
-    cands = indexed.select("company_name", F.col("uniq_id").alias("src"), "dst")
-    # sources whose windows are too short for the 4-gram index: a whole inner
-    # token of any window must occur as a token of the target, so probe a
-    # token index restricted (map-side, size-checked broadcast) to the probe
-    # tokens, again with the rarest token per source
-    tiny = win.join(ranked.select("company_name", "uniq_id"), ["company_name", "uniq_id"], "left_anti")
-    inner = F.flatten(F.transform("windows", lambda w: F.slice(F.split(w, " ", -1), 2,
-                                                                F.greatest(F.size(F.split(w, " ", -1)) - 2,
-                                                                           F.lit(0)))))
-    tiny_tok = tiny.select("company_name", "uniq_id", F.explode(F.array_distinct(inner)).alias("tok"))
-    probe_tokens = broadcast_if_small(tiny_tok.select("company_name", "tok").distinct())
-    tiny_emp = broadcast_if_small(tiny.select("company_name").distinct())
-    doc_tokens = F.array_distinct(F.split("job_description", " ", -1))
-    few = tiny_tok.select("tok").distinct().limit(MAX_LITERAL_TOKENS + 1).collect()
-    if len(few) <= MAX_LITERAL_TOKENS:
-        # small probe vocabulary: keep only those tokens per text, natively,
-        # instead of exploding every token of every text
-        vocab = F.array(*[F.lit(r[0]) for r in few]) if few else F.array().cast("array<string>")
-        doc_tokens = F.array_intersect(doc_tokens, vocab)
-    tok_index = (docs.join(tiny_emp, "company_name", "left_semi")
-                 .select("company_name", F.col("uniq_id").alias("dst"), F.explode(doc_tokens).alias("tok"))
-                 .join(probe_tokens, ["company_name", "tok"], "left_semi"))
-    tok_df = tok_index.groupBy("company_name", "tok").agg(F.count(F.lit(1)).alias("df"))
-    tok_choice = (tiny_tok.join(tok_df, ["company_name", "tok"], "inner")
-                  .groupBy("company_name", "uniq_id")
-                  .agg(F.min_by(F.col("tok"), F.struct(F.col("df"), F.col("tok"))).alias("tok")))
-    tok_c = (tok_choice.join(tok_index, ["company_name", "tok"], "inner")
-             .filter(F.col("dst") > F.col("uniq_id"))
-             .select("company_name", F.col("uniq_id").alias("src"), "dst"))
-    # texts whose windows hold no whole token (a few characters / tokens):
-    # substring containment has no index, compare with later postings
-    bare = tiny.join(tok_choice.select("company_name", "uniq_id"), ["company_name", "uniq_id"], "left_anti")
-    bare_c = (bare.select("company_name", F.col("uniq_id").alias("src"))
-              .join(docs.select("company_name", F.col("uniq_id").alias("dst")), "company_name", "inner")
-              .filter(F.col("dst") > F.col("src")))
-    cands = cands.unionByName(tok_c).unionByName(bare_c).distinct()
-    verified = (cands.join(win.select(F.col("uniq_id").alias("src"), "windows"), "src", "inner")
-                .join(docs.select(F.col("uniq_id").alias("dst"), F.col("job_description").alias("t")), "dst")
-                .filter(F.forall("windows", lambda w: F.col("t").contains(w))))
-    return verified.select("company_name", "src", "dst")
-
-
-def greedy_rounds(edges: DataFrame) -> DataFrame:
-    """The greedy pass in rounds: a posting is decided once every source with
-    an edge into it is decided - flagged when one of them is kept, kept
-    otherwise.  Edges point from the smaller to the larger id, so the smallest
-    undecided posting is decided in each round and the loop ends.  One join
-    and aggregate per round, each round's state checkpointed in the shared
-    folder.  Returns (company_name, id, st) with st 1 kept, 2 flagged."""
-    e = edges.select("company_name", "src", "dst")
-    nodes = (e.select("company_name", F.col("src").alias("id"))
-             .unionByName(e.select("company_name", F.col("dst").alias("id"))).distinct())
-    has_in = e.select("company_name", F.col("dst").alias("id")).distinct().withColumn("__in", F.lit(True))
-    # 0 undecided, 1 kept, 2 flagged
-    state = cut_lineage(nodes.join(has_in, ["company_name", "id"], "left")
-                        .select("company_name", "id", F.when(F.col("__in").isNull(), F.lit(1))
-                                .otherwise(F.lit(0)).alias("st")))
-    while not state.filter(F.col("st") == 0).isEmpty():
-        src_st = state.select("company_name", F.col("id").alias("src"), F.col("st").alias("sst"))
-        votes = (e.join(src_st, ["company_name", "src"], "inner")
+def _inner_tokens(windows: Column) -> Column:
+    """Tokens of the windows that no cut can have shortened."""
+    def inner(w: Column) -> Column:
+        tokens = F.split(w, " ", -1)
+        return F.slice(tokens, 2, F.greatest(F.size(tokens) - 2, F.lit(0)))
+    return F.array_distinct(F.flatten(F.transform(windows, inner)))
+
+
+def _rarest(probes: DataFrame, index: DataFrame) -> DataFrame:
+    """One key per source: the one that fewest texts of its employer hold."""
+    df = index.groupBy("company_name", "key").agg(F.count(F.lit(1)).alias("df"))
+    return probes.join(df, ["company_name", "key"]).groupBy("company_name", "src").agg(
+        F.min_by("key", F.struct("df", "key")).alias("key"))
+
+
+def probe_tables(docs: DataFrame, windows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(probes, index): the key (company_name, key, src) that each source looks
+    up, and the keys (company_name, key, dst) of the texts.  A text that
+    contains all windows of a source has the source's key in the index.
+
+    Keys are 4-gram fingerprints, hashes of whole tokens for sources too short
+    for those, and one common key for sources without a whole token.
+    """
+    prints = cut_lineage(docs.select("company_name", F.col("uniq_id").alias("dst"),
+                                     F.explode(winnowed_fingerprints(F.col("job_description"))).alias("key")))
+    sources = windows.withColumnRenamed("uniq_id", "src")
+    by_print = cut_lineage(_rarest(
+        sources.select("company_name", "src", F.explode(window_probes(F.col("windows"))).alias("key"))
+        .where("key is not null"), prints))
+    short = sources.join(by_print, ["company_name", "src"], "left_anti")
+    token_key = F.xxhash64(F.lit("token"), F.col("token")).alias("key")
+    short_tokens = cut_lineage(short.select("company_name", "src", F.explode(_inner_tokens(F.col("windows"))).alias(
+        "token")).select("company_name", "src", token_key))
+    tokens = cut_lineage(docs.join(short_tokens.select("company_name").distinct(), "company_name", "left_semi").select(
+        "company_name", F.col("uniq_id").alias("dst"),
+        F.explode(F.array_distinct(F.split("job_description", " ", -1))).alias("token"))
+        .select("company_name", "dst", token_key)
+        .join(short_tokens.select("company_name", "key").distinct(), ["company_name", "key"], "left_semi")
+        .select("company_name", "dst", "key"))
+    by_token = cut_lineage(_rarest(short_tokens, tokens))
+    bare = short.join(by_token, ["company_name", "src"], "left_anti").select(
+        "company_name", "src", F.lit(0).cast("long").alias("key"))
+    probes = cut_lineage(by_print.unionByName(by_token).unionByName(bare))
+    everywhere = docs.join(bare.select("company_name").distinct(), "company_name", "left_semi").select(
+        "company_name", F.col("uniq_id").alias("dst"), F.lit(0).cast("long").alias("key"))
+    index = cut_lineage(prints.unionByName(tokens).unionByName(everywhere).join(
+        probes.select("company_name", "key").distinct(), ["company_name", "key"], "left_semi"))
+    return probes, index
+
+
+def verified_edges(sources: DataFrame, targets: DataFrame, docs: DataFrame, windows: DataFrame) -> DataFrame:
+    """Edges (company_name, src, dst) from the probes ``sources`` to the later
+    texts of the index rows ``targets`` that contain every window."""
+    met = sources.join(targets, ["company_name", "key"]).where("dst > src").select("company_name", "src", "dst").distinct()
+    return (met.join(windows.select("company_name", F.col("uniq_id").alias("src"), "windows"), ["company_name", "src"])
+            .join(docs.select("company_name", F.col("uniq_id").alias("dst"), "job_description"), ["company_name", "dst"])
+            .where(F.forall("windows", lambda w: F.col("job_description").contains(w)))
+            .select("company_name", "src", "dst"))
+
+
+def _settle(state: DataFrame, edges: DataFrame, blocked: DataFrame) -> DataFrame:
+    """Decide what the edges made so far decide: a posting with an edge out of
+    a kept one is flagged; one that is not blocked and whose edges all come
+    from flagged ones is kept.  One join and aggregate per round."""
+    state = state.join(blocked.withColumn("blocked", F.lit(True)), ["company_name", "id"], "left")
+    state = cut_lineage(state.fillna(False, ["blocked"]))
+    left = state.where("st = 0").count()
+    while left:
+        votes = (edges.join(state.select("company_name", F.col("id").alias("src"), F.col("st").alias("by")),
+                            ["company_name", "src"])
                  .groupBy("company_name", F.col("dst").alias("id"))
-                 .agg(F.max(F.when(F.col("sst") == 1, 1).otherwise(0)).alias("any_kept"),
-                      F.max(F.when(F.col("sst") == 0, 1).otherwise(0)).alias("any_open")))
-        state = cut_lineage(
-            state.join(votes, ["company_name", "id"], "left")
-            .select("company_name", "id",
-                    F.when(F.col("st") != 0, F.col("st"))
-                    .when(F.col("any_kept") == 1, F.lit(2))
-                    .when(F.coalesce(F.col("any_open"), F.lit(0)) == 0, F.lit(1))
-                    .otherwise(F.lit(0)).alias("st")))
-    return state
+                 .agg(F.bool_or(F.col("by") == 1).alias("hit"), F.bool_or(F.col("by") == 0).alias("waits")))
+        state = cut_lineage(state.join(votes, ["company_name", "id"], "left").select(
+            "company_name", "id", "done", "blocked",
+            F.when(F.col("st") != 0, F.col("st"))
+            .when(F.col("hit"), F.lit(2))
+            .when(~F.col("blocked") & ~F.coalesce("waits", F.lit(False)), F.lit(1))
+            .otherwise(F.lit(0)).alias("st")))
+        before, left = left, state.where("st = 0").count()
+        if left == before:
+            break
+    return state.drop("blocked")
+
+
+def greedy_rounds(docs: DataFrame, windows: DataFrame, probes: DataFrame, index: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The greedy pass in rounds that make edges where they are needed.
+
+    A posting is blocked while an earlier, unflagged source of one of its keys
+    has not looked up its targets.  Each round lets the unblocked sources look
+    up the undecided postings; from the second round on also the first 1, 4,
+    16, ... waiting sources of every key, so that lists of texts that share a
+    key without containing each other take a logarithmic number of rounds.  A
+    group of near copies falls to its first posting and makes one edge per
+    posting.  Returns the state (company_name, id, st with 1 kept, 2 flagged)
+    and the edges made."""
+    state = cut_lineage(docs.select("company_name", F.col("uniq_id").alias("id"), F.lit(0).alias("st"),
+                                    F.lit(False).alias("done")))
+    edges = state.select("company_name", F.col("id").alias("src"), F.col("id").alias("dst")).limit(0)
+    ahead = 0
+    while not state.where("st = 0").isEmpty():
+        targets = cut_lineage(index.join(state.where("st = 0").select("company_name", F.col("id").alias("dst")),
+                                         ["company_name", "dst"], "left_semi"))
+
+        def waiting(state: DataFrame) -> DataFrame:
+            return probes.join(state.where("not done and st != 2").select("company_name", F.col("id").alias("src")),
+                               ["company_name", "src"], "left_semi")
+
+        def blocked(state: DataFrame, targets: DataFrame = targets) -> DataFrame:
+            first = waiting(state).groupBy("company_name", "key").agg(F.min("src").alias("first"))
+            return targets.join(first, ["company_name", "key"]).where("first < dst").select(
+                "company_name", F.col("dst").alias("id")).distinct()
+
+        turn = waiting(state).join(blocked(state).withColumnRenamed("id", "src"), ["company_name", "src"], "left_anti")
+        if ahead:
+            order = Window.partitionBy("company_name", "key").orderBy("src")
+            turn = turn.unionByName(waiting(state).withColumn("nth", F.row_number().over(order))
+                                    .where(F.col("nth") <= ahead).drop("nth")).distinct()
+        turn = cut_lineage(turn)
+        edges = cut_lineage(edges.unionByName(verified_edges(turn, targets, docs, windows)))
+        looked = turn.select("company_name", F.col("src").alias("id"), F.lit(True).alias("now"))
+        state = cut_lineage(state.join(looked, ["company_name", "id"], "left").select(
+            "company_name", "id", "st", (F.col("done") | F.coalesce("now", F.lit(False))).alias("done")))
+        state = _settle(state, edges, blocked(state))
+        ahead = max(1, 4 * ahead)
+    return state, edges
 
 
 def token_duplicates(postings: DataFrame, n_sequences: int = 3, sequence_length: int = 10,
@@ -236,23 +269,28 @@ def token_duplicates(postings: DataFrame, n_sequences: int = 3, sequence_length:
     nothing when at most one unflagged posting follows: that concerns only the
     last kept posting, and only if exactly one posting was flagged by it
     first, so that one is taken back."""
-    # texts are read by several consumers below: materialise them once
+    # texts, windows and keys are read by every round: materialised once
     # (reliable checkpoint in spark.checkpoint.dir, survives executor loss)
     docs = cut_lineage(distinct_employer_texts(postings))
-    # verified edges are few (ids only): computed once, read by every round
-    edges = cut_lineage(candidate_edges(docs, n_sequences, sequence_length, seq_multiple, seed)
-                        .where("src < dst"))
-    state = greedy_rounds(edges)
+    windows = cut_lineage(docs.select("company_name", "uniq_id", token_windows(
+        F.col("job_description"), F.col("uniq_id"), sequence_length, n_sequences, seq_multiple, seed).alias("windows")))
+    probes, index = probe_tables(docs, windows)
+    state, edges = greedy_rounds(docs, windows, probes, index)
     flagged = state.where("st = 2").select("company_name", F.col("id").alias("uniq_id"))
     if not skip_last_pair:
         return flagged
-    last = docs.join(flagged, ["company_name", "uniq_id"], "left_anti").groupBy("company_name").agg(
-        F.max("uniq_id").alias("last_kept"))
     kept = state.where("st = 1").select("company_name", F.col("id").alias("src"))
-    earliest = edges.join(kept, ["company_name", "src"], "left_semi").groupBy(
-        "company_name", F.col("dst").alias("uniq_id")).agg(F.min("src").alias("by"))
-    by_last = earliest.join(last, "company_name").where(F.col("by") == F.col("last_kept"))
-    back = by_last.groupBy("company_name").agg(F.count("*").alias("n"), F.min("uniq_id").alias("uniq_id")).where("n = 1")
+    last = kept.groupBy("company_name").agg(F.max("src").alias("last_kept"))
+    earliest = edges.join(kept, ["company_name", "src"], "left_semi").groupBy("company_name", "dst").agg(
+        F.min("src").alias("by"))
+    by_last = cut_lineage(earliest.join(last, "company_name").where(F.col("by") == F.col("last_kept")))
+    # an earlier kept source may have had its turn after the posting was flagged
+    earlier = verified_edges(
+        probes.join(kept.join(by_last.select("company_name", F.col("by").alias("src")), ["company_name", "src"], "left_anti"),
+                    ["company_name", "src"], "left_semi"),
+        index.join(by_last, ["company_name", "dst"], "left_semi"), docs, windows)
+    back = (by_last.join(earlier, ["company_name", "dst"], "left_anti").groupBy("company_name")
+            .agg(F.count("*").alias("n"), F.min("dst").alias("uniq_id")).where("n = 1"))
     return flagged.join(back, ["company_name", "uniq_id"], "left_anti")
 
 
