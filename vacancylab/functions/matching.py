@@ -3,9 +3,9 @@
 Spark's ``contains`` costs one pass over the text per pattern; with the
 keyword convention (every pattern starts with a space) the first byte
 matches every few bytes, and 176 patterns take ~20 s on 25 MB of text
-(local[8]).  Above ``AUTOMATON_MIN_PATTERNS`` patterns the dictionary is
-compiled once per Python worker into an Aho-Corasick automaton and every text
-is scanned once, in Arrow batches.  Lower-casing stays in the JVM (Spark's
+(local[8]).  So the dictionary, whatever its size, is compiled once per Python
+worker into an Aho-Corasick automaton and every text is scanned once, in Arrow
+batches; ``engine="jvm"`` asks for the ``contains`` chain instead.  Lower-casing stays in the JVM (Spark's
 ``lower``), so both engines see the same characters.
 """
 
@@ -20,8 +20,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-AUTOMATON_MIN_PATTERNS = 16
-
 _CACHE: dict[tuple, object] = {}
 
 
@@ -64,12 +62,12 @@ def group_matcher(patterns: Sequence[tuple[str, int]], n_groups: int):
     return match
 
 
-def any_contains(lowered: Column, literals: Sequence[str], engine: str = "auto") -> Column:
+def any_contains(lowered: Column, literals: Sequence[str], engine: str = "automaton") -> Column:
     """True when ``lowered`` contains any literal (NULL text -> NULL)."""
     lits = sorted(set(literals))
     if not lits:
         return F.lit(False)
-    if engine == "jvm" or (engine == "auto" and len(lits) < AUTOMATON_MIN_PATTERNS):
+    if engine == "jvm":
         return functools.reduce(operator.or_, [lowered.contains(F.lit(p)) for p in lits])
     m = group_matcher([(p, 0) for p in lits], 1)(lowered)
     return F.when(lowered.isNull(), F.lit(None)).otherwise(F.size(m) > 0)

@@ -136,21 +136,10 @@ def company_ai_shares(db, patterns: DataFrame, exclusions: Sequence[str] = PHARM
     none), ai_share (NULL when there are no AI postings: computed before the
     zero fill), region name and country from the OECD level-2 rows."""
     canon = canonical_firm_name("company_name", patterns)
-    total = (company_region_postings(db, patterns, exclusions, data_batch, distinct_only)
-             .withColumn("company_name", canon)
-             .groupBy("company_name", "nuts_2").agg(F.sum("n_postings").cast("bigint").alias("n_postings")))
-    ai = (company_region_ai_postings(db, patterns, exclusions, data_batch, distinct_only)
-          .withColumn("company_name", canon)
-          .groupBy("company_name", "nuts_2").agg(F.sum("n_ai_postings").cast("bigint").alias("n_ai_postings")))
-    joined = total.alias("t").join(
-        ai.alias("a"),
-        F.col("t.company_name").eqNullSafe(F.col("a.company_name")) & F.col("t.nuts_2").eqNullSafe(F.col("a.nuts_2")),
-        "full")
-    res = joined.select(
-        F.coalesce("t.company_name", "a.company_name").alias("company_name"),
-        F.coalesce("t.nuts_2", "a.nuts_2").alias("nuts_2"),
-        F.col("t.n_postings").alias("n_postings"),
-        F.col("a.n_ai_postings").alias("n_ai_postings"))
+    tags = db.ai_tags.groupBy("uniq_id").agg(F.count(F.lit(1)).alias("tags"))
+    res = (_matched_postings(db, patterns, exclusions, data_batch, distinct_only)
+           .join(tags, "uniq_id", "left").groupBy(canon.alias("company_name"), "nuts_2")
+           .agg(F.count(F.lit(1)).alias("n_postings"), F.sum("tags").cast("bigint").alias("n_ai_postings")))
     res = (res.withColumn("ai_share", F.col("n_ai_postings") / F.col("n_postings"))
            .withColumn("n_ai_postings", F.coalesce("n_ai_postings", F.lit(0).cast("bigint"))))
     res = res.withColumn("nuts_2", truncate_prefixed(F.col("nuts_2"), uk_prefix, uk_length))

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.predicates import (apply_condition, batch_condition, combine_conditions,
                                     country_condition, keyword_condition)
-from ..functions.matching import AUTOMATON_MIN_PATTERNS, group_matcher
+from ..functions.matching import group_matcher
 from ._util import MAX_DICTIONARY_ROWS, collect_bounded
 
 LANGUAGES = ("en", "de", "fr", "it")
@@ -53,17 +53,34 @@ TECH_FIELDS = [
 ]
 
 
+# Translations that are replaced, and the field whose keywords are one pattern.
+TECH_REPLACEMENTS = [
+    ("Cloud computing", "it", "pas", "paas"),
+    ("Cloud computing", "it", "saa", "saas"),
+    ("Online streaming", "fr", "direct", "transmission en direct"),
+]
+ONE_PATTERN_FIELD = ("Oled display", " oled")
+
+
 # --------------------------------------------------------------------- K1 / K2
 def build_tech_dictionary(fields: DataFrame, keywords: DataFrame) -> DataFrame:
     """K1: join technology fields with their keywords on ``bloom_code``;
-    non-breaking spaces become spaces, keywords are lower-cased, and the
-    'Oled display' field uses the single pattern ' oled' (it needs a space
-    before it in the text).  Columns: bloom_field, bloom_code, keyword_en."""
+    non-breaking spaces become spaces, keywords are lower-cased, and the fixed
+    replacements apply.  Columns: bloom_field, bloom_code and the language
+    columns that ``keywords`` has (translations are inputs)."""
     joined = fields.join(keywords, "bloom_code", "inner")
-    kw = F.lower(F.regexp_replace(F.col("keyword_en"), "\u00a0", " "))
-    kw = F.when(F.col("bloom_field") == "Oled display", F.lit(" oled")).otherwise(kw)
-    return joined.select("bloom_field", F.col("bloom_code").cast("int").alias("bloom_code"),
-                         kw.alias("keyword_en"))
+
+    def cleaned(column: str) -> Column:
+        word = F.lower(F.regexp_replace(F.col(column), "\u00a0", " "))
+        fixed = word
+        for field, lang, old, new in TECH_REPLACEMENTS:
+            if column == f"keyword_{lang}":
+                fixed = F.when((F.col("bloom_field") == field) & (word == old), F.lit(new)).otherwise(fixed)
+        return F.when(F.col("bloom_field") == ONE_PATTERN_FIELD[0], F.lit(ONE_PATTERN_FIELD[1])).otherwise(
+            fixed).alias(column)
+
+    columns = [f"keyword_{lang}" for lang in LANGUAGES if f"keyword_{lang}" in keywords.columns]
+    return joined.select("bloom_field", F.col("bloom_code").cast("int").alias("bloom_code"), *map(cleaned, columns))
 
 
 def build_ai_dictionary(comma_text: DataFrame, column: str = "value") -> DataFrame:
@@ -181,7 +198,7 @@ def tech_field_matches(lowered: Column, patterns: list[tuple[str, int, list[str]
 
 def tag_tech(postings: DataFrame, dictionary: DataFrame, data_batch="all",
              existing: DataFrame | None = None, multilingual: bool = False,
-             matching_column: str = "job_description", engine: str = "auto") -> DataFrame:
+             matching_column: str = "job_description", engine: str = "automaton") -> DataFrame:
     """K6: one row per (posting, technology field) whose keywords occur;
     pairs already stored are skipped.  Columns: uniq_id, bloom_field, bloom_code.
 
@@ -191,8 +208,7 @@ def tag_tech(postings: DataFrame, dictionary: DataFrame, data_batch="all",
     scope = apply_condition(postings, combine_conditions([batch_condition(data_batch),
                                                           F.col("uniq_id").isNotNull()]))
     lowered = scope.select("uniq_id", F.lower(F.col(matching_column)).alias("__lt"))
-    n_pat = sum(len(p) for _, _, p in patterns)
-    if engine == "jvm" or (engine == "auto" and n_pat < AUTOMATON_MIN_PATTERNS):
+    if engine == "jvm":
         matches = tech_field_matches(F.col("__lt"), patterns)
     else:
         fields = F.array(*[F.struct(F.lit(f).alias("bloom_field"), F.lit(c).cast("int").alias("bloom_code"))

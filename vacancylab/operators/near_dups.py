@@ -54,12 +54,16 @@ def token_windows(text: Column, seed_key: Column, sequence_length: int = 10, n_s
     Short texts: three character slices cut at round-half-even(tokens / 3).
     """
     L, n = sequence_length, n_sequences
+    if (n * L * seq_multiple - L) // n <= L + 1:
+        raise ValueError("windows of the shortest long text would overlap: raise seq_multiple")
     tokens = F.split(text, " ", -1)
     size = F.size(tokens)
     stratum = F.floor((size - L) / n).cast("int")
     span = stratum - L - 1
-    starts = [F.lit(i) * stratum + F.pmod(F.xxhash64(seed_key, F.lit(seed), F.lit(i)), span).cast("int")
-              for i in range(n)]
+    def drawn(i: int) -> Column:
+        digest = F.md5(F.concat(seed_key.cast("string"), F.lit(f"|{seed}|{i}")))
+        return F.pmod(F.conv(F.substring(digest, 1, 8), 16, 10).cast("long"), span).cast("int")
+    starts = [F.lit(i) * stratum + drawn(i) for i in range(n)]
     long_w = F.array(*[F.array_join(F.slice(tokens, s + 1, L), " ") for s in starts])
     cut = F.bround(size / 3.0, 0).cast("int")
     short_w = F.array(F.substr(text, F.lit(1), cut), F.substr(text, cut + 1, cut), F.substr(text, 2 * cut + 1))

@@ -7,12 +7,11 @@ region / NULL country groups; region names are attached last (G8).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.predicates import (apply_condition, batch_condition, combine_conditions,
                                     is_not_null_safe, remote_condition, unique_condition)
-from ._util import null_safe_join
 from .regions import add_region_names, region_column
 
 
@@ -83,12 +82,22 @@ def remote_postings_by_region(db, regional_level: int = 2, data_batch="all",
 # ------------------------------------------------------------------------ A6
 def ai_share_by_region(db, regional_level: int = 2, data_batch="all",
                        unique_postings_only: bool = True) -> DataFrame:
-    """A2 joined with A1 on the region code only (NULL matches NULL),
-    ``ai_share = n_ai_postings / n_postings``, sorted by share."""
-    ai = ai_postings_by_region(db, regional_level, data_batch, unique_postings_only, sort=False)
-    total = total_postings_by_region(db, regional_level, data_batch, unique_postings_only, sort=False)
-    out = null_safe_join(ai, total.select("region_code", "n_postings"), ["region_code"], "left")
-    out = out.withColumn("ai_share", F.col("n_ai_postings") / F.col("n_postings"))
+    """AI postings per (country, region) next to all postings of the region
+    (NULL is a region), ``ai_share = n_ai_postings / n_postings``, sorted by
+    share.  Postings, positions and tags are read and joined once; both counts
+    come out of one aggregate."""
+    rc = region_column(regional_level)
+    chosen = _posting_ids(db.postings, data_batch, unique_postings_only)
+    posn = db.positions.select("uniq_id", F.lit(True).alias("placed"), F.col("inferred_country").alias("country"),
+                               F.col(rc).alias("region_code"))
+    tags = db.ai_tags.groupBy("uniq_id").agg(F.count(F.lit(1)).alias("tags"))
+    cells = (chosen.join(posn, "uniq_id", "left").join(tags, "uniq_id", "left")
+             .groupBy("country", "region_code")
+             .agg(F.count("placed").alias("n"), F.sum("tags").cast("bigint").alias("n_ai_postings")))
+    # one row per (country, region): small whatever the number of postings
+    out = cells.withColumn("n_postings", F.sum("n").over(Window.partitionBy("region_code")).cast("bigint")).where(
+        "n_ai_postings > 0")
+    out = add_region_names(out, db.regions).withColumn("ai_share", F.try_divide("n_ai_postings", "n_postings"))
     return (out.select("country", "region_code", "n_ai_postings", "region", "n_postings", "ai_share")
             .orderBy(F.col("ai_share").desc_nulls_last(), "country", "region_code"))
 

@@ -10,11 +10,9 @@ rows of that single bucket (about N / 2^20) are ordered and cut.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._util import collect_bounded
-
 PREFIX_HEX = 5          # 20-bit buckets
 MAX_BUCKETS = 16 ** PREFIX_HEX
 
@@ -24,33 +22,29 @@ def hash_order(key: Column, seed) -> Column:
     return F.md5(F.concat(F.coalesce(key.cast("string"), F.lit("")), F.lit(str(seed))))
 
 
-def hash_top_n(df: DataFrame, n: int, key: str, seed=472023) -> DataFrame:
-    """Exactly the ``n`` rows with the smallest ``hash_order(key, seed)``
-    (ties by key), computed distributed."""
-    if n <= 0:
-        return df.limit(0)
+def hash_top_n(df: DataFrame, n: int | None, key: str, seed=472023, share: float | None = None) -> DataFrame:
+    """Exactly the ``n`` rows with the smallest ``hash_order(key, seed)`` (ties
+    by key), or ``int(rows * share)`` of them; no job runs while the plan is
+    built."""
     h = hash_order(F.col(key), seed)
     bucket = F.conv(F.substring(h, 1, PREFIX_HEX), 16, 10).cast("long")
-    hist = collect_bounded(df.select(bucket.alias("b")).groupBy("b").count(), MAX_BUCKETS, "hash histogram")
-    cum = 0
-    cut, need = None, 0
-    for row in sorted(hist, key=lambda r: r["b"]):
-        if cum + row["count"] >= n:
-            cut, need = row["b"], n - cum
-            break
-        cum += row["count"]
-    if cut is None:
-        return df
-    below = df.filter(bucket < F.lit(cut))
-    edge = (df.filter(bucket == F.lit(cut))
-            .withColumn("__h", h).orderBy("__h", key).limit(need).drop("__h"))
-    return below.unionByName(edge)
+    hist = df.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("in_bucket"))
+    wanted = F.lit(n) if share is None else F.floor(F.sum("in_bucket").over(Window.partitionBy()) * F.lit(float(share)))
+    # at most 2^20 rows, whatever the size of the table
+    upto = hist.withColumn("upto", F.sum("in_bucket").over(Window.orderBy("b"))).withColumn("wanted", wanted)
+    cut = upto.where("upto >= wanted").agg(
+        F.min_by(F.struct("b", (F.col("wanted") - F.col("upto") + F.col("in_bucket")).alias("need")), "b").alias("cut"))
+    last = F.coalesce(cut.select("cut.b").scalar(), F.lit(MAX_BUCKETS))
+    below = df.where(bucket < last)
+    nth = F.row_number().over(Window.partitionBy("__b").orderBy("__h", key))
+    edge = (df.withColumn("__b", bucket).where(F.col("__b") == last).withColumn("__h", h).withColumn("__nth", nth)
+            .where(F.col("__nth") <= F.coalesce(cut.select("cut.need").scalar(), F.lit(0))))
+    return below.unionByName(edge.select(*df.columns))
 
 
 def overall_random_sample(positions: DataFrame, sample_share: float = 0.002, seed=472023) -> DataFrame:
     """``int(rows * share)`` random positions: (uniq_id, company_name)."""
-    n = int(positions.count() * sample_share)
-    return hash_top_n(positions.select("uniq_id", "company_name"), n, "uniq_id", seed)
+    return hash_top_n(positions.select("uniq_id", "company_name"), None, "uniq_id", seed, share=sample_share)
 
 
 def country_sample(positions: DataFrame, n_postings: int = 200, seed=472023) -> DataFrame:
@@ -58,7 +52,6 @@ def country_sample(positions: DataFrame, n_postings: int = 200, seed=472023) ->
     (NULL country is a group).  ``row_number() <= n`` lets Spark insert a
     map-side WindowGroupLimit, so a country holding a third of all rows
     ships at most n rows per map partition to its window task."""
-    from pyspark.sql import Window
     w = Window.partitionBy("inferred_country").orderBy(hash_order(F.col("uniq_id"), seed), "uniq_id")
     return (positions.select("uniq_id", "company_name", "inferred_country")
             .withColumn("__rn", F.row_number().over(w))

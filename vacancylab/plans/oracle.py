@@ -78,11 +78,12 @@ def stored_ctes(rules=FIXTURE_RULES) -> list[tuple[str, str]]:
     ]
 
 
-def sql(body: str, ctes: list[tuple[str, str]] | None = None) -> str:
-    """Full DuckDB statement: fixture views + stored tables + extra CTEs + body."""
+def sql(body: str, ctes: list[tuple[str, str]] | None = None, computed_once: tuple[str, ...] = ()) -> str:
+    """Full DuckDB statement: fixture views + stored tables + extra CTEs + body.
+    CTEs ``computed_once`` are materialised; naming some allows recursive ones."""
     all_ctes = fixture_sql.duckdb_prefix() + stored_ctes() + list(ctes or [])
-    head = ",\n".join(f"{name} AS (\n{text}\n)" for name, text in all_ctes)
-    return f"WITH {head}\n{body}"
+    head = ",\n".join(f"{name} AS {'MATERIALIZED ' * (name in computed_once)}(\n{text}\n)" for name, text in all_ctes)
+    return f"WITH {'RECURSIVE ' * bool(computed_once)}{head}\n{body}"
 
 
 # Region-name twin of G6/G8 (NULL = NULL match).

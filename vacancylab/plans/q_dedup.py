@@ -11,30 +11,30 @@ from .oracle import sql
 B = CURRENT_BATCH
 
 
-def _rn_sql(partition: str, where: str = "", batch: str | None = B) -> str:
-    bcond = f"WHERE p.data_batch = '{batch}'" if batch else ""
+def _later_sql(key: str, scope: str = "true") -> str:
+    """All ids of a group but the least."""
     return sql(f"""
-    SELECT uniq_id FROM (
-      SELECT c.uniq_id, row_number() OVER (PARTITION BY {partition} ORDER BY c.uniq_id) AS rn
-      FROM (SELECT * FROM positions {where}) c
-      JOIN (SELECT * FROM v_postings p {bcond}) p ON c.uniq_id = p.uniq_id) t
-    WHERE rn > 1""")
+    SELECT unnest(list_sort(list(uniq_id))[2:]) AS uniq_id
+    FROM v_postings JOIN positions USING (uniq_id) WHERE {scope} GROUP BY {key}""")
 
 
-@register("d1_text_duplicates", _rn_sql("p.job_description"))
+IN_BATCH = f"data_batch = '{B}'"
+
+
+@register("d1_text_duplicates", _later_sql("job_description", IN_BATCH))
 def d1(spark, sf_dir):
     db = fixture_db(spark, sf_dir, flags=False, tags=False)
     return dedup.duplicate_ids(db.postings, db.positions, B, ["job_description"])
 
 
-@register("d2_city_text_duplicates", _rn_sql("p.data_batch, c.city, p.job_description", batch=None))
+@register("d2_city_text_duplicates", _later_sql("data_batch, city, job_description"))
 def d2(spark, sf_dir):
     db = fixture_db(spark, sf_dir, flags=False, tags=False)
     return dedup.duplicate_ids(db.postings, db.positions, "all", ["city", "job_description"])
 
 
 @register("d3_duplicates_restricted_scope",
-          _rn_sql("p.job_description", "WHERE inferred_country IN ('europe', 'asia')"))
+          _later_sql("job_description", IN_BATCH + " AND inferred_country IN ('europe', 'asia')"))
 def d3(spark, sf_dir):
     db = fixture_db(spark, sf_dir, flags=False, tags=False)
     return dedup.duplicate_ids(db.postings, db.positions, B, ["job_description"],
@@ -42,7 +42,7 @@ def d3(spark, sf_dir):
 
 
 @register("d3_duplicates_excluded_scope",
-          _rn_sql("p.job_description", "WHERE inferred_country NOT IN ('europe', 'asia')"))
+          _later_sql("job_description", IN_BATCH + " AND inferred_country NOT IN ('europe', 'asia')"))
 def d3_ex(spark, sf_dir):
     db = fixture_db(spark, sf_dir, flags=False, tags=False)
     return dedup.duplicate_ids(db.postings, db.positions, B, ["job_description"],

@@ -79,6 +79,16 @@ def k5_all(spark, sf_dir):
     return fixture_db(spark, sf_dir).ai_tags
 
 
+#: The published list, with two words that the generated texts hold.
+LISTED = [*keywords.AI_KEYWORDS_EN, "licen", "tionha"]
+
+
+@register("k5_published_ai_keywords", sql(f"""
+    SELECT uniq_id FROM postings WHERE len([k for k in {LISTED} if contains(lower(job_description), ' ' || k)]) > 0"""))
+def k5_listed(spark, sf_dir):
+    return keywords.tag_ai(fixture_db(spark, sf_dir, flags=False, geo=False, tags=False).postings, LISTED)
+
+
 @register("k7_hits_per_field", sql("""
     SELECT f.bloom_field, f.bloom_code, coalesce(c.n, 0) AS n_postings
     FROM (SELECT DISTINCT bloom_field, bloom_code FROM v_tech_dict) f

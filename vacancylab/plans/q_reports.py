@@ -9,72 +9,73 @@ from .fixture_sql import CURRENT_BATCH
 from .oracle import REGION_NAMES, sql, with_names
 
 B = CURRENT_BATCH
-JP = f"SELECT uniq_id FROM postings WHERE data_batch = '{B}' AND unique_posting_text = 'yes'"
+#: One row per chosen posting, with its place and what it is tagged as.
+FACTS = ("facts", f"""
+    SELECT p.uniq_id, q.uniq_id AS placed, q.inferred_country AS country, q.nuts_2, q.nuts_3,
+           coalesce(q.remote_position = '1', false) AS remote, p.uniq_id IN (SELECT uniq_id FROM ai_tags) AS ai,
+           coalesce(t.fields, []) AS fields
+    FROM postings p LEFT JOIN positions q USING (uniq_id)
+    LEFT JOIN (SELECT uniq_id, list(bloom_field) AS fields FROM tech_tags GROUP BY uniq_id) t USING (uniq_id)
+    WHERE data_batch = '{B}' AND unique_posting_text = 'yes'""")
 
 
-def _a1_sql(level: str) -> str:
-    return sql(with_names("a"), [REGION_NAMES, ("a", f"""
-        SELECT posn.{level} AS region_code, count(posn.uniq_id) AS n_postings
-        FROM ({JP}) chosen LEFT JOIN positions posn ON posn.uniq_id = chosen.uniq_id GROUP BY posn.{level}""")])
+def _cells(level: str = "nuts_2") -> list[tuple[str, str]]:
+    """All counts of a (country, region) cell in one aggregate."""
+    return [REGION_NAMES, FACTS, ("cells", f"""
+    SELECT country, {level} AS region_code, count(placed) AS n_postings, count(*) FILTER (ai) AS n_ai,
+           sum(len(fields))::BIGINT AS n_tech, count(*) FILTER (remote) AS n_remote
+    FROM facts GROUP BY ALL""")]
 
 
-@register("a1_total_postings_by_region", _a1_sql("nuts_2"))
+def _cell_sql(count: str, name: str) -> str:
+    return sql(with_names("a"), [*_cells(), (
+        "a", f"SELECT country, region_code, {count} AS {name} FROM cells WHERE {count} > 0")])
+
+
+def _total_sql(level: str) -> str:
+    return sql(with_names("a"), [*_cells(level), (
+        "a", "SELECT region_code, sum(n_postings)::BIGINT AS n_postings FROM cells GROUP BY region_code")])
+
+
+@register("a1_total_postings_by_region", _total_sql("nuts_2"))
 def a1(spark, sf_dir):
     return reports.total_postings_by_region(fixture_db(spark, sf_dir), 2, B, True)
 
 
-@register("a1_total_postings_by_region_nuts3", _a1_sql("nuts_3"))
+@register("a1_total_postings_by_region_nuts3", _total_sql("nuts_3"))
 def a1_n3(spark, sf_dir):
     return reports.total_postings_by_region(fixture_db(spark, sf_dir), 3, B, True)
 
 
-A2_CTE = ("a", f"""
-    SELECT posn.inferred_country AS country, posn.nuts_2 AS region_code, count(ait.uniq_id) AS n_ai_postings
-    FROM ai_tags ait LEFT JOIN positions posn ON ait.uniq_id = posn.uniq_id
-    JOIN ({JP}) chosen ON ait.uniq_id = chosen.uniq_id
-    GROUP BY posn.inferred_country, posn.nuts_2""")
-
-
-@register("a2_ai_postings_by_region", sql(with_names("a"), [REGION_NAMES, A2_CTE]))
+@register("a2_ai_postings_by_region", _cell_sql("n_ai", "n_ai_postings"))
 def a2(spark, sf_dir):
     return reports.ai_postings_by_region(fixture_db(spark, sf_dir), 2, B, True)
 
 
-@register("a3_tech_postings_by_region_field", sql(with_names("a"), [REGION_NAMES, ("a", f"""
-    SELECT posn.inferred_country AS country, posn.nuts_2 AS region_code, ttag.bloom_field AS technology_field,
-           count(ttag.uniq_id) AS n_disruptive_tech_postings
-    FROM tech_tags ttag LEFT JOIN positions posn ON ttag.uniq_id = posn.uniq_id
-    JOIN ({JP}) chosen ON ttag.uniq_id = chosen.uniq_id
-    GROUP BY posn.inferred_country, posn.nuts_2, ttag.bloom_field""")]))
+@register("a3_tech_postings_by_region_field", sql(with_names("a"), [REGION_NAMES, FACTS, ("a", """
+    SELECT country, nuts_2 AS region_code, technology_field, count(*) AS n_disruptive_tech_postings
+    FROM (SELECT country, nuts_2, unnest(fields) AS technology_field FROM facts) tagged GROUP BY ALL""")]))
 def a3(spark, sf_dir):
     return reports.tech_postings_by_region(fixture_db(spark, sf_dir), True, 2, B, True)
 
 
-@register("a4_tech_postings_by_region", sql(with_names("a"), [REGION_NAMES, ("a", f"""
-    SELECT posn.inferred_country AS country, posn.nuts_2 AS region_code,
-           count(ttag.uniq_id) AS n_disruptive_tech_postings
-    FROM tech_tags ttag LEFT JOIN positions posn ON ttag.uniq_id = posn.uniq_id
-    JOIN ({JP}) chosen ON ttag.uniq_id = chosen.uniq_id
-    GROUP BY posn.inferred_country, posn.nuts_2""")]))
+@register("a4_tech_postings_by_region", _cell_sql("n_tech", "n_disruptive_tech_postings"))
 def a4(spark, sf_dir):
     return reports.tech_postings_by_region(fixture_db(spark, sf_dir), False, 2, B, True)
 
 
-@register("a5_remote_postings_by_region", sql(with_names("a"), [REGION_NAMES, ("a", f"""
-    SELECT posn.inferred_country AS country, posn.nuts_2 AS region_code, count(posn.uniq_id) AS n_remote_postings
-    FROM ({JP}) chosen JOIN (SELECT * FROM positions WHERE remote_position = '1') posn ON posn.uniq_id = chosen.uniq_id
-    GROUP BY posn.inferred_country, posn.nuts_2""")]))
+@register("a5_remote_postings_by_region", _cell_sql("n_remote", "n_remote_postings"))
 def a5(spark, sf_dir):
     return reports.remote_postings_by_region(fixture_db(spark, sf_dir), 2, B, True)
 
 
 @register("a6_ai_share_by_region", sql("""
-    SELECT a.country, a.region_code, a.n_ai_postings, n.region, t.n_postings,
-           a.n_ai_postings / t.n_postings AS ai_share
+    SELECT a.*, n.region, n_ai_postings / n_postings AS ai_share
     FROM a LEFT JOIN region_names n ON a.region_code IS NOT DISTINCT FROM n.region_code
-    LEFT JOIN t ON a.region_code IS NOT DISTINCT FROM t.region_code""", [REGION_NAMES, A2_CTE, ("t", f"""
-    SELECT posn.nuts_2 AS region_code, count(posn.uniq_id) AS n_postings
-    FROM ({JP}) chosen LEFT JOIN positions posn ON posn.uniq_id = chosen.uniq_id GROUP BY posn.nuts_2""")]))
+    WHERE n_ai_postings > 0""", [*_cells(), ("a", """
+    SELECT country, region_code, n_ai AS n_ai_postings,
+           (sum(n_postings) OVER (PARTITION BY region_code))::BIGINT AS n_postings
+    FROM cells""")]))
 def a6(spark, sf_dir):
     return reports.ai_share_by_region(fixture_db(spark, sf_dir), 2, B, True)
 
@@ -83,18 +84,15 @@ A16_COUNTRY = "europe"
 
 
 @register("a16_ai_postings_in_country", sql(f"""
-    SELECT posn.nuts_2 AS region, count(ait.uniq_id) AS n_ai_postings
-    FROM ai_tags ait JOIN positions posn ON ait.uniq_id = posn.uniq_id
-    WHERE posn.inferred_country = '{A16_COUNTRY}'
-    GROUP BY posn.nuts_2 HAVING posn.nuts_2 IS NOT NULL"""))
+    SELECT nuts_2 AS region, count(*) AS n_ai_postings FROM positions SEMI JOIN ai_tags USING (uniq_id)
+    WHERE inferred_country = '{A16_COUNTRY}' AND nuts_2 IS NOT NULL GROUP BY nuts_2"""))
 def a16(spark, sf_dir):
     return reports.ai_postings_in_country(fixture_db(spark, sf_dir), A16_COUNTRY)
 
 
 @register("a17_unique_postings_listing", sql("""
-    SELECT chosen.uniq_id, posn.company_name, posn.city, chosen.job_description
-    FROM (SELECT * FROM postings WHERE unique_posting_text = 'yes') chosen
-    LEFT JOIN positions posn ON chosen.uniq_id = posn.uniq_id"""))
+    SELECT uniq_id, company_name, city, job_description FROM positions RIGHT JOIN postings USING (uniq_id)
+    WHERE unique_posting_text = 'yes'"""))
 def a17(spark, sf_dir):
     return reports.unique_postings_listing(fixture_db(spark, sf_dir))
 
@@ -132,18 +130,16 @@ X_TERM = "licen"
 
 
 @register("x4_postings_with_term", sql(f"""
-    SELECT chosen.uniq_id, posn.company_name, posn.city, chosen.job_description
-    FROM (SELECT uniq_id, job_description FROM postings WHERE job_description ILIKE '%{X_TERM}%') chosen
-    LEFT JOIN positions posn ON posn.uniq_id = chosen.uniq_id"""))
+    SELECT uniq_id, company_name, city, job_description FROM positions RIGHT JOIN postings USING (uniq_id)
+    WHERE contains(lower(job_description), '{X_TERM}')"""))
 def x4(spark, sf_dir):
     return reports.postings_with_term(fixture_db(spark, sf_dir, flags=False, tags=False), X_TERM)
 
 
 @register("x5_top_companies_for_term", sql(f"""
-    SELECT posn.company_name, count(*) AS n_postings
-    FROM (SELECT uniq_id FROM postings WHERE job_description ILIKE '%{X_TERM}%') chosen
-    LEFT JOIN positions posn ON posn.uniq_id = chosen.uniq_id
-    GROUP BY posn.company_name ORDER BY n_postings DESC, posn.company_name ASC NULLS FIRST LIMIT 20"""))
+    SELECT company_name, count(*) AS n_postings FROM positions RIGHT JOIN postings USING (uniq_id)
+    WHERE contains(lower(job_description), '{X_TERM}')
+    GROUP BY company_name ORDER BY n_postings DESC, company_name NULLS FIRST LIMIT 20"""))
 def x5(spark, sf_dir):
     return reports.top_companies_for_term(fixture_db(spark, sf_dir, flags=False, tags=False), X_TERM)
 
