@@ -2,6 +2,7 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -165,3 +166,8 @@ def test_texts_that_share_a_key_without_containing_each_other(spark):
     df = spark.createDataFrame(rows, "company_name string, uniq_id string, job_description string")
     got, want = run_both(spark, df)
     assert got == want
+
+
+def test_overlapping_windows_are_refused():
+    with pytest.raises(ValueError):
+        near_dups.token_windows(F.col("t"), F.col("uniq_id"), 10, 3, 1)

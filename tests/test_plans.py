@@ -3,7 +3,8 @@
 import os
 
 from conftest import SF_SMALL
-from vacancylab.operators import dedup, ingest, keywords, reports
+from vacancylab.operators import dedup, ingest, keywords, reports, sampling
+from vacancylab.sources import fixtures
 from vacancylab.sources.fixtures import build_database, fixture_views
 
 
@@ -65,3 +66,21 @@ def test_duplicate_ids_exchange_no_text(spark):
     # the only column of that name that crosses is the 64-character digest made below the join
     projects = [b for b in bodies if "sha2(" in b]
     assert projects and not any("sha2(" in b and "Join" in b.split("\n")[0] for b in bodies)
+
+
+def test_a6_reads_postings_and_positions_once(spark, tmp_path):
+    root = str(tmp_path)
+    fixtures.write_db(fixtures.fixture_db(spark, SF_SMALL), root)
+    plan = reports.ai_share_by_region(fixtures.stored_db(spark, root), 2, "all", True)._jdf.queryExecution().optimizedPlan().toString()
+    assert [plan.count(f"{c}#") > 0 for c in ("unique_posting_text", "inferred_country")] == [True, True]
+    assert plan.count("Relation [") == 4  # postings, positions, tags, region names
+
+
+def test_sample_plans_run_no_job(spark):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("build", "sample plan")
+    df = spark.range(1000).selectExpr("cast(id as string) k")
+    sample = sampling.hash_top_n(df, None, "k", share=0.1)
+    assert not tracker.getJobIdsForGroup("build")
+    assert sample.count() == 100
+    spark.sparkContext.setJobGroup("rest", "other tests")

@@ -259,3 +259,22 @@ def test_name_patterns_fold_case_and_null_rules(spark, tmpdir_path):
     found = [sorted(tuple(r) for r in df.select("uniq_id", "job_title", F.coalesce("city", F.lit("-"))).collect())
              for df in (read_raw_csv(spark, f"{tmpdir_path}/r.csv"), read_raw_zip(spark, tmpdir_path))]
     assert found[0] == found[1] == [("1", "NA", "-"), ("2", "null", "None")]
+
+
+def test_tech_dictionary_languages_and_replacements(spark):
+    fields = spark.createDataFrame([("Cloud computing", 3), ("Online streaming", 18), ("Oled display", 17)],
+                                   "bloom_field string, bloom_code int")
+    kws = spark.createDataFrame([(3, "PaaS", "PaaS", "Pas"), (3, "SaaS", "SaaS", "saa"), (18, "Stream\u00a0live", "Direct", "pas"),
+                                 (17, "OLED screen", "ecran oled", None)],
+                                "bloom_code int, keyword_en string, keyword_fr string, keyword_it string")
+    rows = {tuple(r)[1:] for r in keywords.build_tech_dictionary(fields, kws).collect()}
+    assert rows == {(3, "paas", "paas", "paas"), (3, "saas", "saas", "saas"),
+                    (18, "stream live", "transmission en direct", "pas"), (17, " oled", " oled", " oled")}
+
+
+def test_keyword_hits_counts_postings(spark):
+    posts = spark.createDataFrame([("a", "x Deep learning"), ("b", None), ("c", "deep learning"), ("d", "a deep learning deep learning")],
+                                  "uniq_id string, job_description string")
+    words = spark.createDataFrame([("deep learning",), ("keras",)], "keyword string")
+    assert {tuple(r) for r in keywords.keyword_hits(posts, words).collect()} == {("deep learning", 2), ("keras", 0)}
+    assert keywords.keyword_hits(posts, words.limit(0)).count() == 0

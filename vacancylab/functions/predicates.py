@@ -102,7 +102,7 @@ def geo_scope_condition(column: str, restrict_to: Sequence[str] | None = None,
 
 
 def keyword_condition(text: Column, keywords: Sequence[str], boundary: str = "space",
-                      engine: str = "auto") -> Column:
+                      engine: str = "automaton") -> Column:
     """OR over keywords of ``lower(text)`` containing ``' ' + keyword``.
 
     ``boundary='space'`` is the stored semantics (a keyword needs a leading

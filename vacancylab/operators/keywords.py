@@ -118,6 +118,17 @@ def _keyword_list(keywords) -> list[str]:
     return sorted(set(keywords))
 
 
+def keyword_hits(postings: DataFrame, keywords: DataFrame, matching_column: str = "job_description") -> DataFrame:
+    """Loaded keywords (K3) with the postings that hold ``' ' + keyword`` in
+    lower case (0 if none).  Columns: keyword, n_postings."""
+    words = _keyword_list(keywords)
+    found = group_matcher([(" " + w, i) for i, w in enumerate(words)], len(words))(F.lower(F.col(matching_column)))
+    counts = postings.select(F.explode(found).alias("nth")).groupBy("nth").agg(F.count(F.lit(1)).alias("n_postings"))
+    literals = F.array(*[F.lit(w) for w in words]).cast("array<string>")
+    counts = counts.select(F.get(literals, F.col("nth")).alias("keyword"), "n_postings")
+    return keywords.select("keyword").distinct().join(counts, "keyword", "left").fillna(0, ["n_postings"])
+
+
 # ------------------------------------------------------------------------ K4
 def keyword_query(postings: DataFrame, keywords, matching_column: str = "job_description",
                   data_batch="all", countries="all", positions: DataFrame | None = None,

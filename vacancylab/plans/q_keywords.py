@@ -15,17 +15,23 @@ LIKE = "lower(p.job_description) LIKE ('% ' || d.keyword_en || '%')"
 COUNTRIES = ["europe", "asia"]
 
 
-@register("k3_load_keywords", sql("SELECT DISTINCT keyword_en AS keyword FROM v_tech_dict"))
+def _k3_sql(scope: str = "true") -> str:
+    return sql(f"""
+    SELECT keyword, count(uniq_id) AS n_postings
+    FROM (SELECT DISTINCT keyword_en AS keyword FROM v_tech_dict WHERE {scope}) k
+    LEFT JOIN postings ON contains(lower(job_description), ' ' || keyword) GROUP BY keyword""")
+
+
+@register("k3_load_keywords", _k3_sql())
 def k3(spark, sf_dir):
     db = fixture_db(spark, sf_dir, flags=False, geo=False, tags=False)
-    return keywords.load_keywords(db.tech_dict)
+    return keywords.keyword_hits(db.postings, keywords.load_keywords(db.tech_dict))
 
 
-@register("k3_load_keywords_field", sql(
-    "SELECT DISTINCT keyword_en AS keyword FROM v_tech_dict WHERE bloom_field = 'Beta'"))
+@register("k3_load_keywords_field", _k3_sql("bloom_field = 'Beta'"))
 def k3_field(spark, sf_dir):
     db = fixture_db(spark, sf_dir, flags=False, geo=False, tags=False)
-    return keywords.load_keywords(db.tech_dict, tech_field_subset="Beta")
+    return keywords.keyword_hits(db.postings, keywords.load_keywords(db.tech_dict, tech_field_subset="Beta"))
 
 
 @register("k4_keyword_query", sql(f"""
