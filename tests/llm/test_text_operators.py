@@ -7,6 +7,7 @@ import string
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from vacancylab.llm import (_tokens, crf_langid, divergence_rules, html_region, pattern_packing, secrets_battery,
@@ -283,3 +284,24 @@ def test_code_switched_words_and_accuracy(spark, documents):
     nothing = crf_langid.predict_languages(documents([(1, "some words", None, "a")])).collect()
     assert nothing[0].lang_pred == "und"
     assert crf_langid.predict_languages(documents(ODD).limit(0)).count() == 0
+
+
+def test_every_character_of_long_runs_counts(documents):
+    letters = "abcdefghij" * 10
+    assert "".join(crf_langid._runs(letters)) == letters and max(map(len, crf_langid._runs(letters))) <= 32
+    assert crf_langid._runs("Don't " + "one-two/three_" * 5) == ["don't", *["one", "two", "three"] * 5]
+    assert crf_langid._runs("\u0e17\u0e35\u0e48" * 40) == ["\u0e17" * 32, "\u0e17" * 8]
+    # only the middle of a run tells the language
+    rng = random.Random(4)
+    first, second = "\u4e00\u4e8c\u4e09\u56db\u4e94\u516d\u4e03\u516b", "\u5c71\u5ddd\u7530\u6751\u6728\u6797\u68ee\u82b1"
+    shared = "\u3042\u3044\u3046\u3048\u304a" * 4
+    docs = [(i, shared + "".join(rng.choice(first if i % 2 else second) for _ in range(300)) + shared,
+             "xa" if i % 2 else "xb", "a") for i in range(80)]
+    model = crf_langid.train(documents(docs))
+    found = {r.doc_id: r.lang_pred for r in crf_langid.predict_languages(documents(docs), model).collect()}
+    assert found == {i: lang for i, _, lang, _ in docs}
+    hyphened = "-".join(text.replace(shared, "") for _, text, *_ in docs[1:21:2])
+    assert crf_langid.predict_languages(documents([(1, shared + hyphened + shared, None, "a")]), model).first().lang_pred == "xa"
+    parts = pa.concat_batches(list(crf_langid._training_parts(iter([pa.RecordBatch.from_arrays(
+        [pa.array(["xa"]), pa.array([first * 10_000])], names=["lang", "text"])]))))
+    assert 0 < max(map(len, parts.column(1).to_pylist())) <= crf_langid.PART_WORDS * 33

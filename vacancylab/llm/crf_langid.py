@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -35,11 +36,11 @@ def held_out(doc_id: Column) -> Column:
 
 
 def _codes(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Characters of the words between two marks, one word a row; of a longer
-    word its head and its tail."""
-    short = [w if len(w) <= _WIDTH else w[:_WIDTH // 2] + w[-_WIDTH // 2:] for w in words]
-    chars = np.array(short, dtype=f"U{_WIDTH}").view(np.uint32).reshape(len(words), _WIDTH)
-    length = np.fromiter(map(len, short), dtype=np.int64, count=len(words))
+    """Characters of the words between two marks, one word a row."""
+    length = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+    if length.max(initial=0) > _WIDTH:
+        raise ValueError(f"a word of more than {_WIDTH} characters")
+    chars = np.array(words, dtype=f"U{_WIDTH}").view(np.uint32).reshape(len(words), _WIDTH)
     out = np.zeros((len(words), _WIDTH + 2), dtype=np.uint32)
     out[:, 0] = 2
     out[:, 1:-1] = chars
@@ -202,7 +203,7 @@ def _training_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     for batch in batches:
         langs, parts = [], []
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            words = [w for w in map(_letters, text.lower().split()) if w]
+            words = [w for w in map(_letters, _runs(text)) if w]
             for at in sorted({int(x) for x in np.linspace(0, max(0, len(words) - PART_WORDS), PARTS)}):
                 if part := words[at:at + PART_WORDS]:
                     langs.append(lang)
@@ -215,6 +216,27 @@ def _letters(word: str) -> str:
     return word if word.isalpha() else "".join(_LETTERS.findall(word))
 
 
+def _runs(text: str) -> list[str]:
+    """Runs without white space of a lower-cased text; those of more than
+    ``_WIDTH`` characters as words of at most so many letters."""
+    runs = text.lower().split()
+    if max(map(len, runs), default=0) > _WIDTH:
+        runs = [w for run in runs for w in (_pieces(run) if len(run) > _WIDTH else (run,))]
+    return runs
+
+
+def _pieces(run: str) -> list[str]:
+    """The letters of a run as one word if it is short enough, else the parts
+    between non-letters, cut into consecutive pieces.  Marks (vowel signs,
+    accents) stand inside words and separate nothing."""
+    letters = _letters(run)
+    if len(letters) <= _WIDTH:
+        return [letters]
+    if not run.isalpha():
+        run = "".join(c for c in run if c.isalnum() or unicodedata.category(c)[0] != "M")
+    return [part[i:i + _WIDTH] for part in _LETTERS.findall(run) for i in range(0, len(part), _WIDTH)]
+
+
 def train(documents: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE) -> Model:
     """Model from a bounded sample: of every language the ``docs_per_language``
     labelled documents with the least hash of their id that are not held out,
@@ -249,7 +271,7 @@ class _Labeller:
         before = len(self.index)
         tokens = []
         for text in texts:
-            words = text.lower().split()
+            words = _runs(text)
             tokens.append(np.fromiter(map(self.index.__getitem__, words), dtype=np.int64, count=len(words)))
         new = [_letters(w) for w in list(islice(reversed(self.index), len(self.index) - before))[::-1]]
         self.scores = np.concatenate([self.scores, self.model.emission(new)])
