@@ -305,3 +305,11 @@ def test_every_character_of_long_runs_counts(documents):
     parts = pa.concat_batches(list(crf_langid._training_parts(iter([pa.RecordBatch.from_arrays(
         [pa.array(["xa"]), pa.array([first * 10_000])], names=["lang", "text"])]))))
     assert 0 < max(map(len, parts.column(1).to_pylist())) <= crf_langid.PART_WORDS * 33
+
+
+def test_lexicon_of_many_languages():
+    languages = [f"x{i:02}" for i in range(70)]
+    words = [chr(0x4E00 + i) * 3 for i in range(70)]
+    model = crf_langid.fit([(lang, [word] * 8) for lang, word in zip(languages, words, strict=True)] * 4, rounds=1)
+    assert model.languages == languages
+    assert (model.in_lexicon([*words, "other"]) == np.eye(71, 70)).all()

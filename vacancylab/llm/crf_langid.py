@@ -117,7 +117,8 @@ class Model:
     languages: list[str]
     weights: np.ndarray  # WEIGHTS x languages
     transition: np.ndarray  # from x to
-    lexicon: dict[str, int]  # bit i: a word of language i
+    lexicon: dict[str, int]  # row of a word in lexicon_rows
+    lexicon_rows: np.ndarray  # words x languages: a word of the language; the last row is of all other words
     lexicon_weights: np.ndarray  # languages x languages
 
     def emission(self, words: list[str]) -> np.ndarray:
@@ -130,8 +131,8 @@ class Model:
         return out + self.in_lexicon(words) @ self.lexicon_weights
 
     def in_lexicon(self, words: list[str]) -> np.ndarray:
-        bits = np.fromiter((self.lexicon.get(w, 0) for w in words), dtype=np.int64, count=len(words))
-        return ((bits[:, None] >> np.arange(len(self.languages))) & 1).astype(float)
+        rows = np.fromiter((self.lexicon.get(w, -1) for w in words), dtype=np.int64, count=len(words))
+        return self.lexicon_rows[rows].astype(float)
 
 
 def fit(parts: list[tuple[str, list[str]]], rounds: int = ROUNDS, seed: int = 10) -> Model:
@@ -162,8 +163,10 @@ def fit(parts: list[tuple[str, list[str]]], rounds: int = ROUNDS, seed: int = 10
     counts = np.zeros((len(vocabulary), k))
     np.add.at(counts, (tokens, gold), 1)
     mostly = (counts >= 3) & (counts >= 0.7 * counts.sum(axis=1, keepdims=True))
-    lexicon = {vocabulary[i]: int((mostly[i] << np.arange(k)).sum()) for i in np.flatnonzero(mostly.any(axis=1))}
-    model = Model(languages, np.zeros((WEIGHTS, k)), np.zeros((k, k)), lexicon, np.zeros((k, k)))
+    listed = np.flatnonzero(mostly.any(axis=1))
+    lexicon = {vocabulary[i]: row for row, i in enumerate(listed.tolist())}
+    model = Model(languages, np.zeros((WEIGHTS, k)), np.zeros((k, k)), lexicon,
+                  np.concatenate([mostly[listed], np.zeros((1, k), dtype=bool)]), np.zeros((k, k)))
     if not len(tokens):
         return model
 
