@@ -121,6 +121,17 @@ def test_main_text(spark):
     assert html_region.extract_pages(pages).count() == 8 and html_region.extract_pages(pages.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<article><p>one <svg-icon></svg-icon> two three</p></article>", "one two three"),
+    ("<article><title-bar>zero</title-bar><p>one <template-x a=b>two</template-x> three</p></article>", "zero one two three"),
+    ('<p>one <svg class="i"/> two three', "one two three"),
+    ('<p>one <SVG class="i" aria-label="a > b" /> two <svg><path d="M0"/>no</svg> three', "one two three"),
+    ("<p>one <svg/>two<svg viewBox='0 0 1 1'><use/></svg > three", "one two three"),
+    ('<p>one <script src="x"/> no </script x> two three', "one two three")])
+def test_only_unread_elements_are_skipped(page, text):
+    assert html_region.main_text(page, {"": 0.1}) == text
+
+
 def test_best_region_against_all_regions():
     rng = random.Random(3)
     for _ in range(200):

@@ -32,7 +32,8 @@ NOISE = frozenset(
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|$)"
-    rf"|<(?P<unread>{UNREAD})\b[^>]*>.*?(?:</(?P=unread)\s*>|$)"
+    rf"|<(?P<unread>{UNREAD})(?=[\s/>])(?:(?<=svg)(?:\"[^\"]*\"|'[^']*'|[^>\"'])*/>"  # only svg may be self-closed
+    r"|[^>]*>.*?(?:</(?P=unread)(?:[\s/][^>]*)?>|$))"
     r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s>/]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>?"
     r"|<[!?/][^>]*>?",
     re.S | re.I)
