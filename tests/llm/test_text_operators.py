@@ -132,6 +132,19 @@ def test_only_unread_elements_are_skipped(page, text):
     assert html_region.main_text(page, {"": 0.1}) == text
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<article><p>one two<figure><figcaption>a caption</figcaption></figure><address>by me</address><p>three</article>",
+     "one two a caption by me three"),
+    ('<article><h2 class="section-header">A heading</h2><p class="social-policy">one two</p><p data-id=search>three</p>'
+     '<div class="share-bar">no</div><div id="post-comments">no</div><div class="ad">no</div></article>',
+     "A heading one two three"),
+    ('<main><h1>The title</h1><article><p>one two three four</p></article><div class="related-posts">no</div>'
+     '<article class="comment">no</article><p>end</p></main>', "The title one two three four end"),
+    ('<div class="social-policy">no</div><p>one two three</p><div class="site-header">no</div>', "one two three")])
+def test_articles_lose_only_what_is_marked(page, text):
+    assert html_region.main_text(page, {"": 0.6}) == text
+
+
 def test_best_region_against_all_regions():
     rng = random.Random(3)
     for _ in range(200):

@@ -17,6 +17,8 @@ SAMPLE_PAGES = 500
 # Elements by how a page uses them.
 DROPPED = frozenset("nav header footer aside form dialog menu button select option datalist fieldset label "
                     "object canvas audio video map figcaption address".split())
+#: Of these, what may belong to the text of an article.
+KEPT_INSIDE = frozenset("fieldset label object map figcaption address".split())
 UNREAD = "script|style|noscript|template|textarea|iframe|svg|title|xmp|noembed|noframes"
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd mark q s samp small "
@@ -29,6 +31,9 @@ NOISE = frozenset(
     "navbar navigation breadcrumb breadcrumbs header masthead footer cookie cookies consent notice notices popup modal "
     "newsletter subscribe subscription share sharing social related recommended comment comments disqus pagination "
     "pager login signup search contentinfo complementary".split())
+#: Words after a mark that only say it is a box: share-bar is marked as share is.
+BOXES = frozenset("area bar block body box button buttons container content icon icons inner item items link links list "
+                  "panel posts section slot unit wrap wrapper".split())
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|$)"
@@ -37,19 +42,28 @@ TOKEN = re.compile(
     r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s>/]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>?"
     r"|<[!?/][^>]*>?",
     re.S | re.I)
-MARKS = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+MARKS = re.compile(r"(?<![\w-])(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 WORD_PART = re.compile(r"[a-z]+")
 
 
-def _is_noise(name: str, attrs: str) -> bool:
-    if name in ROOTS:
+def _is_noise(name: str, attrs: str, inside: bool) -> bool:
+    """Tells if an element begins a menu, an advert and the like.  Inside an
+    article a mark needs a NOISE word as its whole name or last part (before
+    words for boxes); a compound with header names a heading there."""
+    if name in ROOTS and not (inside and name in CONTENT):
         return False
-    if name in DROPPED:
+    if name in DROPPED and not (inside and name in KEPT_INSIDE):
         return True
     for marks in MARKS.finditer(attrs) if "=" in attrs else ():
         for mark in (marks[1] or marks[2] or marks[3] or "").lower().split():
             parts = WORD_PART.findall(mark)
-            if parts and parts[0] not in ("no", "has", "with", "without", "hide") and NOISE.intersection(parts):
+            if not parts or parts[0] in ("no", "has", "with", "without", "hide"):
+                continue
+            if inside:
+                while len(parts) > 1 and parts[-1] in BOXES:
+                    parts.pop()
+                parts = parts[-1:] if len(parts) == 1 or parts[-1] != "header" else []
+            if NOISE.intersection(parts):
                 return True
     return False
 
@@ -59,7 +73,8 @@ def events(page: str) -> Iterator[tuple[str, str, bool, int]]:
 
     kind is "text", "open" or "close"; value the raw text or the element's
     name; noise tells if the place is in a menu, advert and the like; content
-    counts from 1 the article or main elements that were opened, 0 outside.
+    counts from 1 the article or main elements that were opened, those inside
+    another as part of it, 0 outside.
     Comments and elements without readable text are left out.  Elements that
     the page does not close end with the element around them.
     """
@@ -92,8 +107,8 @@ def events(page: str) -> Iterator[tuple[str, str, bool, int]]:
                     break
         if name not in VOID and not m["attrs"].endswith("/"):
             stack.append((name, noise, content))
-            noise = noise or _is_noise(name, m["attrs"])
-            if name in CONTENT:
+            noise = noise or _is_noise(name, m["attrs"], bool(content))
+            if name in CONTENT and not content:
                 opened += 1
                 content = opened
         yield "open", name, noise, content
