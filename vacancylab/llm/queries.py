@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (crf_langid, divergence_rules, html_region, pattern_packing, pivot_index, secrets_battery,
-               signature_join, suffix_dedup, systematic_mix, token_attribution)
+from . import (crf_langid, divergence_rules, html_region, merkle_manifest, pattern_packing, pivot_index,
+               secrets_battery, signature_join, suffix_dedup, systematic_mix, token_attribution)
 from ._tables import materialize, read_table
 
 
@@ -59,9 +59,14 @@ def op10_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return crf_langid.predict_languages(read_table(spark, sf_dir, "documents"))
 
 
+def op13_recursive_climb(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_manifest.prove(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_randomness_battery, op2_suffix_sort_dedup, op3_pattern_packing, op4_best_region, op5_offset_attribution,
-    op6_distribution_divergence, op7_pivot_permutation, op8_signature_join, op9_systematic_mix, op10_crf_language)}
+    op6_distribution_divergence, op7_pivot_permutation, op8_signature_join, op9_systematic_mix, op10_crf_language,
+    op13_recursive_climb)}
 
 
 def _op6_sql() -> str:
@@ -146,4 +151,64 @@ OP9_SQL = r"""
                 AS copies FROM places)
     SELECT doc_id, size::BIGINT AS size, source_size, target, copies * size::BIGINT AS taken, source, copies FROM dealt"""
 
-ORACLES: dict[str, str] = {"op6_distribution_divergence": _op6_sql(), "op9_systematic_mix": OP9_SQL}
+#: Trees are keyed by source ('s' || source, 'n' for null); the subroots form the tree 'top'.
+OP13_SQL = r"""
+    WITH RECURSIVE bytes AS (
+      SELECT row_number() OVER () AS r, * FROM documents),
+    crc AS (
+      SELECT r, doc_id, 0 AS i, 4294967295::BIGINT AS c FROM bytes WHERE doc_id IS NOT NULL
+      UNION ALL
+      SELECT r, doc_id, i + 1, list_reduce([xor(c, ascii(substr(doc_id::VARCHAR, i + 1, 1))::BIGINT)] || [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[],
+               lambda x, y: CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384::BIGINT) ELSE x >> 1 END)
+      FROM crc WHERE i < length(doc_id::VARCHAR)),
+    chosen AS (SELECT r FROM crc WHERE i = length(doc_id::VARCHAR) AND xor(c, 4294967295::BIGINT) % 5 = 0),
+    fields AS (
+      SELECT b.r, doc_id, source, text, CASE WHEN c.r IS NULL THEN text
+               ELSE translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') END AS other,
+             coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+               || coalesce(strlen(lang) || ':' || lang, '-')
+               || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head
+      FROM bytes b LEFT JOIN chosen c ON c.r = b.r),
+    leaves AS (
+      SELECT r, doc_id, CASE WHEN source IS NULL THEN 'n' ELSE 's' || source END AS tree,
+             sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+             sha256(head || coalesce(strlen(other) || ':' || other, '-')) AS tampered FROM fields),
+    placed AS (
+      SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place,
+             count(*) OVER (PARTITION BY tree) AS n FROM leaves),
+    nodes AS (
+      SELECT tree, 0 AS level, place, leaf AS digest, n FROM placed
+      UNION ALL
+      SELECT tree, level + 1, place // 16, sha256(string_agg(digest, '' ORDER BY place)), (any_value(n) + 15) // 16
+      FROM nodes WHERE n > 1 GROUP BY tree, level, place // 16),
+    subroots AS (SELECT tree, digest, level, row_number() OVER (ORDER BY tree) - 1 AS place, count(*) OVER () AS n
+                 FROM nodes WHERE n = 1),
+    tops AS (
+      SELECT 0 AS level, place, digest, n FROM subroots
+      UNION ALL
+      SELECT level + 1, place // 16, sha256(string_agg(digest, '' ORDER BY place)), (any_value(n) + 15) // 16
+      FROM tops WHERE n > 1 GROUP BY level, place // 16),
+    joined AS (
+      SELECT tree, level, place, digest, n FROM nodes UNION ALL SELECT 'top', level, place, digest, n FROM tops),
+    siblings AS (
+      SELECT a.tree, a.level, a.place, coalesce(string_agg(b.digest, '' ORDER BY b.place) FILTER (b.place < a.place), '') AS lefts,
+             coalesce(string_agg(b.digest, '' ORDER BY b.place) FILTER (b.place > a.place), '') AS rights
+      FROM joined a JOIN joined b ON a.tree = b.tree AND a.level = b.level AND a.place // 16 = b.place // 16
+      WHERE a.n > 1 GROUP BY ALL),
+    climb AS (
+      SELECT p.r, p.tree, 0 AS level, p.place, p.tampered AS folded, '' AS proof, s.place AS top_place
+      FROM placed p JOIN subroots s USING (tree)
+      UNION ALL
+      SELECT c.r, CASE WHEN s.tree IS NULL THEN 'top' ELSE c.tree END, CASE WHEN s.tree IS NULL THEN 0 ELSE c.level + 1 END,
+             CASE WHEN s.tree IS NULL THEN c.top_place ELSE c.place // 16 END,
+             CASE WHEN s.tree IS NULL THEN c.folded ELSE sha256(s.lefts || c.folded || s.rights) END,
+             c.proof || coalesce(s.lefts || s.rights, ''), c.top_place
+      FROM climb c LEFT JOIN siblings s USING (tree, level, place)
+      WHERE c.tree <> 'top' OR s.tree IS NOT NULL),
+    ends AS (SELECT r, arg_max(folded, level) AS folded, arg_max(proof, level) AS proof FROM climb WHERE tree = 'top' GROUP BY r)
+    SELECT placed.doc_id, placed.leaf, s.digest AS subroot, t.digest AS root, sha256(proof) AS proof_sha256, folded AS folded_root,
+           folded = t.digest AS verified
+    FROM placed JOIN ends USING (r) JOIN subroots s USING (tree) JOIN tops t ON t.n = 1"""
+
+ORACLES: dict[str, str] = {"op6_distribution_divergence": _op6_sql(), "op9_systematic_mix": OP9_SQL,
+                           "op13_recursive_climb": OP13_SQL}
