@@ -11,7 +11,8 @@ its run left and right of it).  A Spark recursive query joins what it holds
 with these rows level by level, appends the siblings and folds the digest it
 came with.  All leaves of one lowest run share every sibling above that run,
 so the recursion carries one row per run with its up to 16 leaves' folded
-digests in an array: about a tenth of the bytes of a row per leaf.  Rows of
+digests in an array: about a tenth of the bytes of a row per leaf.  Digests
+are bytes while they climb and hex text where they are hashed.  Rows of
 nodes that stand over many runs are stored once per ``RUNS_A_COPY`` of them and
 joined on (node, copy), so that the rows of the root's children, which every
 climb meets, are no hot key.
@@ -50,7 +51,7 @@ CLIMB = """
       UNION ALL
         SELECT n.parent, pmod(c.spread, n.parent_copies), c.spread,
                transform(c.members, m -> struct(m.doc_id AS doc_id, m.leaf AS leaf,
-                                                sha2(concat(n.left, m.folded, n.right), 256) AS folded)),
+                                                unhex(sha2(lower(hex(concat(n.left, m.folded, n.right))), 256)) AS folded)),
                concat(c.proof, n.left, n.right),
                CASE WHEN n.is_subroot THEN n.digest ELSE c.subroot END
         FROM climb c JOIN {nodes} n ON c.node = n.node AND c.copy = n.copy)
@@ -116,8 +117,8 @@ def _level(nodes: DataFrame, level: int, top: bool) -> tuple[DataFrame, DataFram
                        _node(F.lit("top") if top else F.col("tree"), level + 1, F.col("above")).alias("parent"))
     rows = runs.select("digests", "parent", "run_runs", F.posexplode("run").alias("i", "m")).select(
         F.col("m.node").alias("node"), "parent", F.col("m.digest").alias("digest"),
-        F.concat_ws("", F.slice("digests", F.lit(1), F.col("i"))).alias("left"),
-        F.concat_ws("", F.slice("digests", F.col("i") + 2, F.lit(FAN))).alias("right"),
+        F.unhex(F.concat_ws("", F.slice("digests", F.lit(1), F.col("i")))).alias("left"),
+        F.unhex(F.concat_ws("", F.slice("digests", F.col("i") + 2, F.lit(FAN)))).alias("right"),
         F.lit(top and level == 0).alias("is_subroot"),
         _copies("run_runs").alias("parent_copies"),
         F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.ceil(F.col("m.runs") / F.lit(RUNS_A_COPY)),
@@ -166,8 +167,8 @@ def build_manifest(documents: DataFrame, tampering=default_tampering) -> tuple[D
     def folded(m: Column, i: Column) -> Column:
         hashed = F.sha2(F.concat_ws("", F.slice("digests", F.lit(1), i), F.array(told(m)),
                                     F.slice("digests", i + 2, F.lit(FAN))), 256)
-        return F.struct(m["doc_id"].alias("doc_id"), m["leaf"].alias("leaf"),
-                        F.when(F.col("n") == 1, told(m)).otherwise(hashed).alias("folded"))
+        return F.struct(m["doc_id"].alias("doc_id"), F.unhex(m["leaf"]).alias("leaf"),
+                        F.unhex(F.when(F.col("n") == 1, told(m)).otherwise(hashed)).alias("folded"))
 
     runs = placed.groupBy("tree", "n", F.floor(F.col("place") / FAN).alias("place")).agg(
         F.sort_array(F.collect_list(F.struct("place", "doc_id", "leaf", "tampered"))).alias("run"))
@@ -207,7 +208,7 @@ def build_manifest(documents: DataFrame, tampering=default_tampering) -> tuple[D
         everything = materialize(everything, "nodes")
     starts = runs.select(
         "node", F.lit(0).cast("long").alias("copy"), F.xxhash64("tree", "place").alias("spread"), "members",
-        F.lit("").alias("proof"), F.when(F.lit(n_trees == 1), F.lit(root["digest"])).alias("subroot"))
+        F.lit(b"").alias("proof"), F.when(F.lit(n_trees == 1), F.lit(root["digest"])).alias("subroot"))
     return starts, everything, root
 
 
@@ -227,10 +228,12 @@ def prove(documents: DataFrame, tampering=default_tampering) -> DataFrame:
     else:
         with _unlimited_recursion(spark):
             ends = materialize(spark.sql(CLIMB, starts=starts, nodes=nodes, root=root["node"]), "climb")
-    others = F.array_join(F.concat(F.slice("leaves", F.lit(1), F.col("i")), F.slice("leaves", F.col("i") + 2, F.lit(FAN))), "")
-    return (ends.select("proof", "subroot", F.transform("members", lambda m: m["leaf"]).alias("leaves"),
+    shown = lambda c: F.lower(F.hex(c))
+    others = F.concat_ws("", F.slice("leaves", F.lit(1), F.col("i")), F.slice("leaves", F.col("i") + 2, F.lit(FAN)))
+    return (ends.select("proof", "subroot", F.transform("members", lambda m: shown(m["leaf"])).alias("leaves"),
                         F.posexplode("members").alias("i", "m"))
-            .select(F.col("m.doc_id").alias("doc_id"), F.col("m.leaf").alias("leaf"), "subroot",
+            .select(F.col("m.doc_id").alias("doc_id"), shown("m.leaf").alias("leaf"), "subroot",
                     F.lit(root["digest"]).alias("root"),
-                    F.sha2(F.concat(others, "proof"), 256).alias("proof_sha256"),
-                    F.col("m.folded").alias("folded_root"), (F.col("m.folded") == F.lit(root["digest"])).alias("verified")))
+                    F.sha2(F.concat(others, shown("proof")), 256).alias("proof_sha256"),
+                    shown("m.folded").alias("folded_root"))
+            .withColumn("verified", F.col("folded_root") == F.col("root")))
