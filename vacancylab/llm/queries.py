@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (crf_langid, divergence_rules, html_region, lanczos_whitening, merkle_manifest, pattern_packing,
-               pivot_index, secrets_battery, signature_join, suffix_dedup, systematic_mix, token_attribution)
+from . import (crf_langid, divergence_rules, html_region, lanczos_whitening, license_index, merkle_manifest,
+               pattern_packing, pivot_index, secrets_battery, signature_join, suffix_dedup, systematic_mix, token_attribution)
 from ._tables import materialize, read_table
 
 
@@ -59,6 +59,10 @@ def op10_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return crf_langid.predict_languages(read_table(spark, sf_dir, "documents"))
 
 
+def op11_rare_token_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_index.scan_licences(read_table(spark, sf_dir, "documents")).drop("matches")
+
+
 def op12_lanczos_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lanczos_whitening.whiten(read_table(spark, sf_dir, "embeddings"))
 
@@ -70,7 +74,7 @@ def op13_recursive_climb(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_randomness_battery, op2_suffix_sort_dedup, op3_pattern_packing, op4_best_region, op5_offset_attribution,
     op6_distribution_divergence, op7_pivot_permutation, op8_signature_join, op9_systematic_mix, op10_crf_language,
-    op12_lanczos_whitening, op13_recursive_climb)}
+    op11_rare_token_index, op12_lanczos_whitening, op13_recursive_climb)}
 
 
 def _op6_sql() -> str:
