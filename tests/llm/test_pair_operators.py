@@ -183,6 +183,43 @@ def test_near_duplicates_against_brute_force(documents):
     assert signature_join.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_one_doc_id_with_several_texts(documents):
+    rng = random.Random(18)
+    a, b, c = ([f"{x}{rng.randrange(900)}" for _ in range(120)] for x in "abc")
+    near = lambda words, at: " ".join([*words[:at], "changed", *words[at + 1:]])
+    rows = [(1, " ".join(a)), (1, " ".join(b)), (7, near(a, 50)), (8, near(b, 60)), (3, " ".join(c)), (3, " ".join(c)),
+            (3, "  ".join(c)), (9, near(c, 3)), (9, "text of its own that nothing else is like"), (4, ""), (4, None), (4, "x")]
+    docs = documents([(i, t, "en", "a") for i, t in rows])
+    sets = [(i, _shingles(t)) for i, t in rows]
+    links = [(x, y) for x, (_, s) in enumerate(sets) for y in range(x + 1, len(sets)) if s and sets[y][1]
+             and 100 * len(s & sets[y][1]) >= 85 * len(s | sets[y][1])]
+    part = _components(range(len(rows)), links)
+    least = {}
+    for x, root in part.items():
+        least[root] = min(least.get(root, rows[x][0]), rows[x][0])
+    expected = sorted((rows[x][0], len(sets[x][1]), least[part[x]], rows[x][0] == least[part[x]]) for x in part)
+    assert sorted(tuple(r) for r in signature_join.near_duplicates(docs).collect()) == expected
+    assert {r.component_id for r in signature_join.near_duplicates(docs).where("doc_id in (7, 8)").collect()} == {1}
+    kept = sorted((r.doc_id, " ".join((r.text or "").split())) for r in signature_join.drop_near_duplicates(docs).collect())
+    assert kept == sorted([(1, " ".join(a)), (1, " ".join(b)), (3, " ".join(c)), (9, rows[8][1]), (4, ""), (4, "x")])
+
+
+def test_block_lists_count_like_all_pairs():
+    rng = np.random.default_rng(5)
+    docs = []
+    for i in range(120):
+        base = np.arange(300, dtype=np.uint64) + np.uint64(1000 * (i % 7))
+        own = np.unique(np.where(rng.random(300) < rng.choice([0, 0.03, 0.1]), rng.integers(1, 2**62, 300).astype(np.uint64), base))
+        docs.append((i.to_bytes(2), signature_join.signature(own), own))
+    for left, right in ((docs, []), (docs[:50], docs[50:])):
+        links = [(x[0], y[0]) for i, x in enumerate(left) for y in (left[i + 1:] if not right else right)
+                 if (x[1] == y[1]).sum() >= 17 and 100 * len(np.intersect1d(x[2], y[2])) >= 85 * len(np.union1d(x[2], y[2]))]
+        found = signature_join._links_of_block(left, right, not right, 17, 85)
+        assert set(found) <= set(links)
+        names = [d[0] for d in docs]
+        assert _components(names, found) == _components(names, links)
+
+
 # --- pipeline and registry
 def test_pipeline_stages(spark):
     import corpus_pipeline
@@ -208,6 +245,6 @@ def test_pipeline_stages(spark):
 def test_queries_are_registered():
     import __spark_entry__ as entry
     names = entry.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(x.startswith(f"op{n}_") for x in names) == 1
-    assert "pipeline" in names and {"op6_distribution_divergence", "op9_systematic_mix"} <= set(entry.oracle_sql())
+    assert "pipeline" in names and {"op6_distribution_divergence", "op9_systematic_mix", "op13_recursive_climb"} <= set(entry.oracle_sql())

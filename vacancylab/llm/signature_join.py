@@ -66,9 +66,9 @@ def _features(coordinates: int, with_set: bool):
                 digests.append(xxhash.xxh3_128_digest(raw) if len(shingles) else None)
                 signatures.append(signature(shingles, coordinates).tobytes() if len(shingles) else None)
                 sets.append(raw)
-            cols = [batch.column(0), pa.array(n, type=pa.int64()), pa.array(digests, type=pa.binary()),
+            cols = [batch.column(0), batch.column(2), pa.array(n, type=pa.int64()), pa.array(digests, type=pa.binary()),
                     pa.array(signatures, type=pa.binary())]
-            names = ["doc_id", "n_shingles", "digest", "signature"]
+            names = ["doc_id", "text_key", "n_shingles", "digest", "signature"]
             if with_set:
                 cols.append(pa.array(sets, type=pa.binary()))
                 names.append("shingles")
@@ -77,12 +77,17 @@ def _features(coordinates: int, with_set: bool):
 
 
 def document_features(documents: DataFrame, coordinates: int = COORDINATES, with_set: bool = False) -> DataFrame:
-    """doc_id, n_shingles, digest of the set and signature of every document."""
-    schema = "doc_id long, n_shingles long, digest binary, signature binary" + ", shingles binary" * with_set
-    return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text")).mapInArrow(
+    """doc_id, key of the text, n_shingles, digest of the set and signature of every document."""
+    schema = "doc_id long, text_key binary, n_shingles long, digest binary, signature binary" + ", shingles binary" * with_set
+    return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text"), _text_key()).mapInArrow(
         _features(coordinates, with_set), schema)
 
 
+def _text_key():
+    """128 bits of a text; a null one counts as empty."""
+    return F.unhex(F.md5(F.coalesce(F.col("text").cast("binary"), F.lit(b"")))).alias("text_key")
+
+
 def prefix_postings(classes: DataFrame, coordinates: int, matches: int) -> DataFrame:
     """(key, rep): postings that can still lead to a pair with ``matches`` equal coordinates.
 
@@ -102,10 +107,10 @@ def prefix_postings(classes: DataFrame, coordinates: int, matches: int) -> DataF
             key ^= key >> np.uint64(32)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(key.ravel().view(np.int64)),
-                 pa.array(np.repeat(batch.column(0).to_numpy(zero_copy_only=False), coordinates))],
+                 batch.column(0).take(pa.array(np.repeat(np.arange(batch.num_rows), coordinates)))],
                 names=["key", "rep"])
 
-    postings = classes.select("rep", "signature").mapInArrow(post, "key long, rep long")
+    postings = classes.select("rep", "signature").mapInArrow(post, "key long, rep binary")
     lists = postings.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     ordered = postings.join(lists, "key").groupBy("rep").agg(
         F.sort_array(F.collect_list(F.struct("n", "key"))).alias("keys")).where(F.size("keys") >= matches)
@@ -115,7 +120,11 @@ def prefix_postings(classes: DataFrame, coordinates: int, matches: int) -> DataF
 
 def _links_of_block(left: list[tuple], right: list[tuple], same: bool, matches: int, similarity: int) -> list[tuple]:
     """Links between documents of two lists of (rep, signature, set), without
-    those that follow from links already found (a spanning forest)."""
+    those that follow from links already found (a spanning forest).
+
+    Each document merges its shortest lists; collisions are counted for the
+    documents that it meets there and that are not connected with it yet.
+    """
     docs = left if same else left + right
     parent = list(range(len(docs)))
 
@@ -131,18 +140,28 @@ def _links_of_block(left: list[tuple], right: list[tuple], same: bool, matches:
     order = np.argsort(values, kind="stable")
     values, owner = values[order], owner[order]
     signatures = np.stack([d[1] for d in docs])
-    # the inverted lists of this block: documents by (coordinate, value)
+    coordinates = signatures.shape[1]
+    # the block's inverted lists: per coordinate the documents ordered by value, and where each one's list lies
+    lists = np.argsort(signatures, axis=0, kind="stable")
+    ordered = np.take_along_axis(signatures, lists, axis=0)
+    begin, end = np.empty(signatures.shape, dtype=np.int64), np.empty(signatures.shape, dtype=np.int64)
+    for j in range(coordinates):
+        begin[:, j] = np.searchsorted(ordered[:, j], signatures[:, j], side="left")
+        end[:, j] = np.searchsorted(ordered[:, j], signatures[:, j], side="right")
+    # sharing ``matches`` coordinates means meeting in one of this many shortest lists; the longest are skipped
+    prefix = np.argsort(end - begin, axis=1, kind="stable")[:, : coordinates - matches + 1]
     first_right = 0 if same else len(left)
     roots = np.arange(len(docs))
     links = []
     for a in range(len(left)):
-        others = np.arange(max(a + 1, first_right), len(docs))
-        if not len(others):
-            break
-        collisions = (signatures[others] == signatures[a]).sum(axis=1)
+        met = np.concatenate([lists[begin[a, j]:end[a, j], j] for j in prefix[a]])
         root = find(a)
-        found = others[(collisions >= matches) & (roots[others] != root)]
-        found = [b for b in found.tolist() if find(b) != root]
+        met = met[(met >= max(a + 1, first_right)) & (roots[met] != root)]
+        if not len(met):
+            continue
+        others = np.unique(met)
+        collisions = (signatures[others] == signatures[a]).sum(axis=1)
+        found = [b for b in others[collisions >= matches].tolist() if find(b) != root]
         if not found:
             continue
         lo = np.searchsorted(values, docs[a][2], side="left")
@@ -165,6 +184,10 @@ def near_links(classes: DataFrame, documents: DataFrame, coordinates: int = COOR
     """Links (u, v) between classes of equal shingle sets that connect what
     the similarity connects; every link is confirmed on the full sets.
 
+    ``classes``: rep (the digest of the set, so that a doc_id may stand for
+    several texts), doc_id (a document that holds the text), n_shingles and
+    signature.
+
     Classes that share a list go to the block of the list's least class, each
     with its whole set and once for all its lists.  A block that is too large
     for one task is dealt into parts and compared part by part, so no task
@@ -185,25 +208,46 @@ def near_links(classes: DataFrame, documents: DataFrame, coordinates: int = COOR
     placed = materialize(parted.select("center", "rep", "part", F.explode(other).alias("q")).select(
         "center", "rep", "part", F.least("part", "q").alias("p"), F.greatest("part", "q").alias("q")), "blocks")
 
-    wanted = placed.select("rep").distinct().withColumnRenamed("rep", "doc_id")
-    texts = documents.select(F.col("doc_id").cast("long"), "text").join(wanted, "doc_id", "left_semi")
+    wanted = placed.select("rep").distinct().join(classes.select("rep", "doc_id"), "rep")
+    texts = documents.select(F.col("doc_id").cast("long"), "text").join(
+        wanted.select("doc_id").distinct(), "doc_id", "left_semi")
     sets = document_features(texts, coordinates, with_set=True).select(
-        F.col("doc_id").alias("rep"), "digest", "signature", "shingles")
-    sets = sets.join(classes.select("rep", "digest"), ["rep", "digest"], "left_semi").drop("digest")
+        "doc_id", F.col("digest").alias("rep"), "signature", "shingles")
+    # one copy of each set: a row of the document that stands for the class; repeated rows fall together in the task
+    sets = sets.join(wanted, ["rep", "doc_id"], "left_semi").drop("doc_id")
 
     def compare(key: tuple, table: pa.Table) -> pa.Table:
-        sides: dict[bool, dict[int, tuple]] = {True: {}, False: {}}
+        sides: dict[bool, dict[bytes, tuple]] = {True: {}, False: {}}
         p, q = key[1].as_py(), key[2].as_py()
         for rep, part, sig, raw in zip(*(table.column(c).to_pylist() for c in ("rep", "part", "signature", "shingles")),
                                        strict=True):
             sides[part == p][rep] = (rep, np.frombuffer(sig, dtype=np.uint32), np.frombuffer(raw, dtype=np.uint64))
         left, right = ([side[r] for r in sorted(side)] for side in (sides[True], sides[False]))
         links = _links_of_block(left, right, p == q, matches, similarity) if left and (right or p == q) else []
-        return pa.table({"u": pa.array([x for x, _ in links], type=pa.int64()),
-                         "v": pa.array([x for _, x in links], type=pa.int64())})
+        return pa.table({"u": pa.array([x for x, _ in links], type=pa.binary()),
+                         "v": pa.array([x for _, x in links], type=pa.binary())})
 
     return placed.join(sets, "rep").select("center", "p", "q", "rep", "part", "signature", "shingles").groupBy(
-        "center", "p", "q").applyInArrow(compare, "u long, v long")
+        "center", "p", "q").applyInArrow(compare, "u binary, v binary")
+
+
+def _grouped(documents: DataFrame, coordinates: int, matches: int, similarity: int, blocks: dict) -> DataFrame:
+    """doc_id, text_key, n_shingles, component (digest of a set in it; null without shingles) and
+    component_id of every row of ``documents``."""
+    features = materialize(document_features(documents, coordinates), "features")
+    classes = materialize(
+        features.where("n_shingles > 0 and doc_id is not null").groupBy(F.col("digest").alias("rep")).agg(
+            F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n_shingles"),
+            F.max("signature").alias("signature")), "classes")
+    links = near_links(classes, documents, coordinates, matches, similarity, **blocks)
+    components = connected_components(links)
+    named = materialize(classes.join(components, classes["rep"] == components["node"], "left").select(
+        F.col("rep").alias("digest"), "doc_id", F.coalesce("component", "rep").alias("component")), "named")
+    least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    named = named.select("digest", "component").join(least, "component")
+    return features.join(named, "digest", "left").select(
+        "doc_id", "text_key", "n_shingles", "component",
+        F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
 
 
 def near_duplicates(documents: DataFrame, coordinates: int = COORDINATES, matches: int = MATCHES,
@@ -216,38 +260,34 @@ def near_duplicates(documents: DataFrame, coordinates: int = COORDINATES, matche
     reachable), kept (doc_id = component_id).  Equal sets are one class from
     the start, so copies never meet in pairs.  Null and empty texts and texts
     without words have no shingles and link with nothing; repeated rows are
-    copies of each other (each is kept if its doc_id is); rows without a
-    doc_id are components of their own, with a null component, and kept;
-    extra columns are ignored; an empty table gives an empty result.
+    copies of each other (each is kept if its doc_id is); rows of one doc_id
+    with different texts are documents of their own, each with the smallest
+    doc_id that its text reaches; rows without a doc_id are components of
+    their own, with a null component, and kept; extra columns are ignored; an
+    empty table gives an empty result.
     """
-    features = materialize(document_features(documents, coordinates), "features")
-    classes = materialize(
-        features.where("n_shingles > 0 and doc_id is not null").groupBy("digest").agg(
-            F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n_shingles"),
-            F.max("signature").alias("signature")), "classes")
-    links = near_links(classes, documents, coordinates, matches, similarity, **blocks)
-    components = connected_components(links)
-    named = classes.join(components, classes["rep"] == components["node"], "left").select(
-        "digest", F.coalesce("component", "rep").alias("component"))
-    rows = features.join(named, "digest", "left")
-    # a doc_id may stand for several texts: it belongs to the least of their components
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
-    return rows.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
-        "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return _grouped(documents, coordinates, matches, similarity, blocks).select(
+        "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
-def drop_near_duplicates(documents: DataFrame, **options) -> DataFrame:
-    """``documents`` with one document of each component.
+def drop_near_duplicates(documents: DataFrame, coordinates: int = COORDINATES, matches: int = MATCHES,
+                         similarity: int = SIMILARITY, **blocks) -> DataFrame:
+    """``documents`` with one document of each component: the one with the
+    least doc_id (of several texts under it, the one with the least key).
 
-    A doc_id stays if one of its rows is the least of its component; of
-    repeated rows of a doc_id one stays.  Rows without a doc_id stay.
+    A doc_id that stands for different texts is judged text by text.  Of rows
+    with equal doc_id and equal text one stays; so does one row for each
+    doc_id and text without shingles, and every row without a doc_id.  Extra
+    columns are kept, whatever their names.
     """
-    verdicts = materialize(near_duplicates(documents, **options), "verdicts")
-    ids = verdicts.where("doc_id is not null").groupBy("doc_id").agg(
-        F.max("kept").alias("kept"), F.count("*").alias("n"))
-    # the dropped ids grow with the documents, so they are never broadcast
-    kept = documents.join(ids.where("not kept").select("doc_id").hint("merge"), "doc_id", "left_anti")
-    if not ids.where("n > 1 and kept").isEmpty():
-        named = kept.where("doc_id is not null").dropDuplicates(["doc_id"])
-        kept = named.unionByName(kept.where("doc_id is null"))
-    return kept.select(*documents.columns)
+    rows = materialize(_grouped(documents, coordinates, matches, similarity, blocks).where("doc_id is not null"), "verdicts")
+    chosen = rows.where("component is not null").groupBy("component").agg(
+        F.min(F.struct("doc_id", "text_key")).alias("k")).select("k.*")
+    chosen = chosen.unionByName(rows.where("component is null").select("doc_id", "text_key").distinct())
+    whole = documents.select(F.struct(*documents.columns).alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
+                             _text_key())
+    # the chosen ids grow with the documents, so they are never broadcast
+    kept = whole.join(chosen.hint("merge"), ["doc_id", "text_key"], "left_semi")
+    if not rows.groupBy("doc_id", "text_key").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
+        kept = kept.dropDuplicates(["doc_id", "text_key"])
+    return kept.unionByName(whole.where("doc_id is null").select(*kept.columns)).select("row.*")
