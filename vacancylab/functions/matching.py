@@ -3,10 +3,12 @@
 Spark's ``contains`` costs one pass over the text per pattern; with the
 keyword convention (every pattern starts with a space) the first byte
 matches every few bytes, and 176 patterns take ~20 s on 25 MB of text
-(local[8]).  So the dictionary, whatever its size, is compiled once per Python
-worker into an Aho-Corasick automaton and every text is scanned once, in Arrow
-batches; ``engine="jvm"`` asks for the ``contains`` chain instead.  Lower-casing stays in the JVM (Spark's
-``lower``), so both engines see the same characters.
+(local[8]).  So the technology tags (K6, hundreds of patterns) and the counts
+per keyword (K3) compile the dictionary once per Python worker into an
+Aho-Corasick automaton and scan every text once, in Arrow batches.  The
+keyword search and the AI tags (K4, K5, tens of keywords) chain ``contains``
+and need no Python.  Lower-casing stays in the JVM (Spark's ``lower``), so both
+see the same characters.
 """
 
 from __future__ import annotations
@@ -62,11 +64,13 @@ def group_matcher(patterns: Sequence[tuple[str, int]], n_groups: int):
     return match
 
 
-def any_contains(lowered: Column, literals: Sequence[str], engine: str = "automaton") -> Column:
+def any_contains(lowered: Column, literals: Sequence[str], engine: str = "jvm") -> Column:
     """True when ``lowered`` contains any literal (NULL text -> NULL)."""
     lits = sorted(set(literals))
     if not lits:
         return F.lit(False)
+    if engine not in ("jvm", "automaton"):
+        raise ValueError("engine must be 'jvm' or 'automaton'")
     if engine == "jvm":
         return functools.reduce(operator.or_, [lowered.contains(F.lit(p)) for p in lits])
     m = group_matcher([(p, 0) for p in lits], 1)(lowered)

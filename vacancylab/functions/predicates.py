@@ -102,19 +102,21 @@ def geo_scope_condition(column: str, restrict_to: Sequence[str] | None = None,
 
 
 def keyword_condition(text: Column, keywords: Sequence[str], boundary: str = "space",
-                      engine: str = "automaton") -> Column:
-    """OR over keywords of ``lower(text)`` containing ``' ' + keyword``.
+                      engine: str = "jvm") -> Column:
+    """OR over keywords of ``lower(text)`` containing ``' ' + lower(keyword)``
+    (LIKE folds case, so a capital in a keyword is no condition).
 
     ``boundary='space'`` is the stored semantics (a keyword needs a leading
     space; the suffix is open so stems match).  ``boundary='word'`` also
     accepts text start and any non-word character before the keyword.
-    Keywords are matched literally (no LIKE wildcards).  ``engine``: 'jvm'
-    (one ``contains`` per keyword), 'automaton' (one Aho-Corasick pass) or
-    'auto' (automaton from 16 keywords on).
+    Keywords are matched literally (no LIKE wildcards).  ``engine``:
+    'jvm' (one ``contains`` per keyword, inside generated code: for lists of tens) or
+    'automaton' (one Aho-Corasick pass in Python workers: for hundreds).
     """
     if not keywords:
         return F.lit(False)
     lowered = F.lower(text)
+    keywords = sorted({k.lower() for k in keywords})
     if boundary == "space":
         from .matching import any_contains
         return any_contains(lowered, [" " + k for k in keywords], engine)

@@ -43,7 +43,9 @@ def broadcast_if_small(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> D
 def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
     """Join on ``keys`` with NULL = NULL matching (pandas merge / dplyr semantics).
 
-    The right-hand key columns are dropped; the left ones are kept.
+    The result has each key once: the left one, and where a right or full join
+    has no left row the right one.  Null-safe equality is an equi-join to
+    Spark, so both sides are hashed on the keys, never compared pair by pair.
     """
     renamed = right
     for k in keys:
@@ -53,6 +55,8 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str
         c = left[k].eqNullSafe(renamed[f"__r_{k}"])
         cond = c if cond is None else cond & c
     out = left.join(renamed, cond, how)
+    if how in ("right", "right_outer", "full", "outer", "full_outer"):
+        out = out.withColumns({k: F.coalesce(F.col(k), F.col(f"__r_{k}")) for k in keys})
     return out.drop(*[f"__r_{k}" for k in keys])
 
 

@@ -81,10 +81,8 @@ def _matched_postings(db, patterns: DataFrame, exclusions: Sequence[str], data_b
     pats = [p for p, _ in _pattern_rows(patterns)]
     employers = (db.employers.filter(name_pattern_condition("company_name", pats))
                  .select("company_name").distinct())
-    posn = (db.positions.join(employers, "company_name", "inner")
-          .select("company_name", "uniq_id", "nuts_2"))
-    for token in exclusions:
-        posn = posn.filter(~F.col("company_name").contains(F.lit(token)))
+    posn = (db.positions.filter(name_pattern_condition("company_name", pats, exclusions))
+            .join(employers, "company_name", "inner").select("company_name", "uniq_id", "nuts_2"))
     chosen = apply_condition(db.postings, batch_condition(data_batch))
     if distinct_only:
         chosen = chosen.filter(F.col("unique_posting_text") == "yes")
@@ -106,6 +104,17 @@ def company_region_ai_postings(db, patterns: DataFrame, exclusions: Sequence[str
     return rows.groupBy("company_name", "nuts_2").agg(F.count(F.lit(1)).alias("n_ai_postings"))
 
 
+def company_regions_of_batches(db, first: str, second: str) -> DataFrame:
+    """Postings per (employer, nuts_2) of two batches side by side, a
+    NULL-safe full outer join (NULL employers and regions are keys, too)."""
+    def counted(batch: str, name: str) -> DataFrame:
+        chosen = db.postings.filter((F.col("data_batch") == batch) & (F.col("unique_posting_textlocation") == "yes"))
+        return (db.positions.select("uniq_id", "company_name", "nuts_2").join(chosen.select("uniq_id"), "uniq_id")
+                .groupBy("company_name", "nuts_2").agg(F.count(F.lit(1)).alias(name)))
+    return null_safe_join(counted(first, "n_first"), counted(second, "n_second"), ["company_name", "nuts_2"],
+                          "full").fillna(0, ["n_first", "n_second"])
+
+
 # ------------------------------------------------------------------------ C4 / C5
 def matched_employer_count(counts: DataFrame) -> DataFrame:
     """C4: number of distinct matched employer names."""

@@ -1,10 +1,11 @@
 """Keyword dictionaries and text tagging (K1-K7).
 
-Tagging is one scan of ``postings``: the dictionary is small and bounded, so
-it is turned into literal expressions (one OR chain of ``contains`` per
-field) that stay inside whole-stage codegen.  No join with the dictionary,
-no shuffle - the tags come out of the scan stage, and only the anti join
-against already stored tags shuffles.
+Tagging is one scan of ``postings``: the dictionary is small and bounded.  AI
+keywords (tens) become an OR chain of ``contains`` inside whole-stage codegen;
+technology patterns (hundreds) an automaton that scans each text once in
+Arrow-batched workers.  No join with the dictionary, no shuffle - the tags come
+out of the scan stage, and only the anti join against already stored tags
+shuffles.  Case never matters: texts and keywords are lower-cased alike.
 """
 
 from __future__ import annotations
@@ -119,10 +120,10 @@ def _keyword_list(keywords) -> list[str]:
 
 
 def keyword_hits(postings: DataFrame, keywords: DataFrame, matching_column: str = "job_description") -> DataFrame:
-    """Loaded keywords (K3) with the postings that hold ``' ' + keyword`` in
-    lower case (0 if none).  Columns: keyword, n_postings."""
+    """Loaded keywords (K3) with the postings that hold ``' ' + keyword``,
+    both in lower case (0 if none).  Columns: keyword, n_postings."""
     words = _keyword_list(keywords)
-    found = group_matcher([(" " + w, i) for i, w in enumerate(words)], len(words))(F.lower(F.col(matching_column)))
+    found = group_matcher([(" " + w.lower(), i) for i, w in enumerate(words)], len(words))(F.lower(F.col(matching_column)))
     counts = postings.select(F.explode(found).alias("nth")).groupBy("nth").agg(F.count(F.lit(1)).alias("n_postings"))
     literals = F.array(*[F.lit(w) for w in words]).cast("array<string>")
     counts = counts.select(F.get(literals, F.col("nth")).alias("keyword"), "n_postings")
@@ -186,7 +187,7 @@ def tech_patterns(dictionary: DataFrame, multilingual: bool = False) -> list[tup
     rows = collect_bounded(flat, MAX_DICTIONARY_ROWS, "technology dictionary")
     grouped: OrderedDict[tuple[str, int], set[str]] = OrderedDict()
     for r in sorted(rows, key=lambda r: (r["bloom_code"], r["bloom_field"], r["keyword"])):
-        grouped.setdefault((r["bloom_field"], r["bloom_code"]), set()).add(r["keyword"])
+        grouped.setdefault((r["bloom_field"], r["bloom_code"]), set()).add(r["keyword"].lower())
     return [(f, c, sorted(p)) for (f, c), p in grouped.items()]
 
 
@@ -213,8 +214,11 @@ def tag_tech(postings: DataFrame, dictionary: DataFrame, data_batch="all",
     """K6: one row per (posting, technology field) whose keywords occur;
     pairs already stored are skipped.  Columns: uniq_id, bloom_field, bloom_code.
 
-    The text is lower-cased once in its own projection; every pattern is
-    then a ``contains`` on that column (no per-pattern lower-casing)."""
+    The text is lower-cased once in its own projection and scanned once by the
+    automaton over all lower-cased patterns; ``engine="jvm"`` asks for one
+    ``contains`` per pattern instead (same rows)."""
+    if engine not in ("jvm", "automaton"):
+        raise ValueError("engine must be 'jvm' or 'automaton'")
     patterns = tech_patterns(dictionary, multilingual)
     scope = apply_condition(postings, combine_conditions([batch_condition(data_batch),
                                                           F.col("uniq_id").isNotNull()]))

@@ -58,12 +58,12 @@ FROM {nation} WHERE n_nationkey % 5 = 0
 """
 
 V_TECH_DICT = """
-SELECT * FROM (VALUES ('Alpha', 1, 'licen'), ('Alpha', 1, 'licen'), ('Beta', 2, 'und '), ('Beta', 2, 'schen'),
+SELECT * FROM (VALUES ('Alpha', 1, 'licen'), ('Alpha', 1, 'Licen'), ('Beta', 2, 'UND '), ('Beta', 2, 'schen'),
                       ('Gamma', 3, 'of the'), ('Delta', 4, ' oled'), ('Epsilon', 5, 'tionha')) AS t(bloom_field, bloom_code, keyword_en)
 """
 
 V_AI_DICT = """
-SELECT * FROM (VALUES ('tionha'), ('licen'), ('machine learning')) AS t(keyword_en)
+SELECT * FROM (VALUES ('TionHa'), ('licen'), ('Machine Learning')) AS t(keyword_en)
 """
 
 V_EXTERNAL_SHARES = """

@@ -49,7 +49,7 @@ def stored_ctes(rules=FIXTURE_RULES) -> list[tuple[str, str]]:
     n2_case, n3_case = _rules_sql(rules)
     co = lambda lv: ", ".join([f"s.{lv}_{l}" for l in ("en", "de", "fr")]
                               + [f"i.{lv}_{l}" for l in ("en", "de", "fr")])
-    like = "lower(p.job_description) LIKE ('% ' || d.keyword_en || '%')"
+    like = "lower(p.job_description) LIKE ('% ' || lower(d.keyword_en) || '%')"
     return [
         ("region_lookup", _lookup_sql()),
         ("positions_g1", f"""SELECT p.*, coalesce({co('nuts_2')}) AS nuts_2, coalesce({co('nuts_3')}) AS nuts_3

@@ -9,7 +9,7 @@ from __future__ import annotations
 from ..operators import companies
 from ..sources.fixtures import fixture_db
 from .catalog import register
-from .fixture_sql import CURRENT_BATCH
+from .fixture_sql import ALL_BATCHES, CURRENT_BATCH
 from .oracle import sql
 
 B = CURRENT_BATCH
@@ -21,7 +21,7 @@ FIXTURE_FIRMS = [
     ("#00000005", "Epsilon"),
     ("#00000006", "Beta Holding"),
 ]
-FIXTURE_EXCLUSIONS = ["#000000013", "#000000052"]
+FIXTURE_EXCLUSIONS = ["SUPPLIER#000000013", "Supplier#000000052"]
 
 
 def _values() -> str:
@@ -29,45 +29,32 @@ def _values() -> str:
     return f"SELECT * FROM (VALUES {rows}) AS t(pattern_order, firm_name_pattern, firm_name)"
 
 
-def _match_sql(ai: bool) -> str:
-    inc = " OR ".join(f"lower(company_name) LIKE lower('%{p}%')" for p, _ in FIXTURE_FIRMS)
-    exc = " AND ".join(f"lower(posn.company_name) NOT LIKE lower('%{t}%')" for t in FIXTURE_EXCLUSIONS)
-    ai_join = "JOIN ai_tags ait ON ait.uniq_id = posn.uniq_id" if ai else ""
-    return f"""
-    SELECT posn.company_name, posn.nuts_2, count(*) AS {"n_ai_postings" if ai else "n_postings"}
-    FROM (SELECT DISTINCT company_name FROM employers WHERE {inc}) e
-    JOIN positions posn ON posn.company_name = e.company_name
-    JOIN (SELECT uniq_id FROM postings WHERE data_batch = '{B}' AND unique_posting_text = 'yes') chosen
-      ON chosen.uniq_id = posn.uniq_id
-    {ai_join}
-    WHERE {exc}
-    GROUP BY posn.company_name, posn.nuts_2"""
+def _listed(words) -> str:
+    return "[" + ", ".join(f"'{w}'" for w in words) + "]"
 
 
-def _canon(col: str) -> str:
-    whens = " ".join(f"WHEN {col} LIKE '%{p}%' THEN '{f}'" for p, f in FIXTURE_FIRMS)
-    return f"CASE {whens} ELSE {col} END"
-
+#: One row per counted posting of a matched employer; everything else groups it.
+FACTS = f"""
+    SELECT n.company_name, n.nuts_2, (SELECT count(*) FROM ai_tags a WHERE a.uniq_id = n.uniq_id) AS tags,
+           coalesce((SELECT arg_min(firm_name, pattern_order) FROM ({_values()})
+                     WHERE contains(n.company_name, firm_name_pattern)), n.company_name) AS firm
+    FROM positions n SEMI JOIN employers ON employers.company_name = n.company_name
+    SEMI JOIN (SELECT uniq_id FROM postings WHERE data_batch = '{B}' AND unique_posting_text = 'yes') kept
+      ON kept.uniq_id = n.uniq_id
+    WHERE len([w for w in {_listed(p for p, _ in FIXTURE_FIRMS)} if contains(lower(n.company_name), lower(w))]) > 0
+      AND len([w for w in {_listed(FIXTURE_EXCLUSIONS)} if contains(lower(n.company_name), lower(w))]) = 0"""
 
 C_CTES = [
-    ("c2", _match_sql(False)),
-    ("c3", _match_sql(True)),
-    ("tot", f"SELECT {_canon('company_name')} AS company_name, nuts_2, cast(sum(n_postings) AS bigint) AS n_postings "
-            f"FROM c2 GROUP BY 1, 2"),
-    ("ai", f"SELECT {_canon('company_name')} AS company_name, nuts_2, "
-           f"cast(sum(n_ai_postings) AS bigint) AS n_ai_postings FROM c3 GROUP BY 1, 2"),
-    ("res0", """
-    SELECT coalesce(t.company_name, a.company_name) AS company_name, coalesce(t.nuts_2, a.nuts_2) AS nuts_2,
-           t.n_postings, coalesce(a.n_ai_postings, 0) AS n_ai_postings, a.n_ai_postings / t.n_postings AS ai_share
-    FROM tot t FULL JOIN ai a ON t.company_name IS NOT DISTINCT FROM a.company_name
-                              AND t.nuts_2 IS NOT DISTINCT FROM a.nuts_2"""),
+    ("facts", FACTS),
+    ("c2", "SELECT company_name, nuts_2, count(*) AS n_postings FROM facts GROUP BY ALL"),
+    ("c3", "SELECT company_name, nuts_2, cast(sum(tags) AS bigint) AS n_ai_postings FROM facts WHERE tags > 0 GROUP BY ALL"),
     ("c8", """
-    SELECT r.company_name, r.nuts_2, r.n_postings, r.n_ai_postings, r.ai_share, g.name_en, g.country
-    FROM (SELECT company_name,
-                 CASE WHEN starts_with(nuts_2, 'UK') THEN substr(nuts_2, 1, 3) ELSE nuts_2 END AS nuts_2,
-                 n_postings, n_ai_postings, ai_share FROM res0) r
-    LEFT JOIN (SELECT name_en, coalesce(nuts_2, oecd_tl2) AS nuts_2, cast(NULL AS varchar) AS country
-               FROM regions WHERE oecd_level = 2) g ON r.nuts_2 IS NOT DISTINCT FROM g.nuts_2"""),
+    SELECT firm AS company_name, f.nuts_2, n_postings, n_ai_postings, nullif(n_ai_postings, 0) / n_postings AS ai_share,
+           g.name_en, cast(NULL AS varchar) AS country
+    FROM (SELECT firm, regexp_replace(nuts_2, '^(UK.).*', '\\1') AS nuts_2, nuts_2 AS whole, count(*) AS n_postings,
+                 cast(sum(tags) AS bigint) AS n_ai_postings FROM facts GROUP BY ALL) f
+    LEFT JOIN (SELECT name_en, coalesce(nuts_2, oecd_tl2) AS nuts_2 FROM regions WHERE oecd_level = 2) g
+      ON f.nuts_2 IS NOT DISTINCT FROM g.nuts_2"""),
 ]
 
 
@@ -127,6 +114,15 @@ def c8(spark, sf_dir):
     return companies.company_ai_shares(_db(spark, sf_dir), _patterns(spark), FIXTURE_EXCLUSIONS, B)
 
 
+@register("j6_company_regions_of_batches", sql("""
+    SELECT company_name, nuts_2, count(*) FILTER (b = 'src_2022_01') AS n_first, count(*) FILTER (b = 'src_2023_01') AS n_second
+    FROM (SELECT n.company_name, n.nuts_2, p.data_batch AS b FROM positions n JOIN postings p USING (uniq_id)
+          WHERE p.unique_posting_textlocation = 'yes')
+    WHERE b IN ('src_2022_01', 'src_2023_01') GROUP BY company_name, nuts_2"""))
+def j6(spark, sf_dir):
+    return companies.company_regions_of_batches(_db(spark, sf_dir), *ALL_BATCHES)
+
+
 @register("c9_top_companies_by_ai_share", sql("""
     SELECT company_name, n_ai_postings, n_postings, n_ai_postings / n_postings AS ai_share FROM (
       SELECT company_name, cast(sum(n_ai_postings) AS bigint) AS n_ai_postings,

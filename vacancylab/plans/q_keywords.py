@@ -11,7 +11,7 @@ from .fixture_sql import CURRENT_BATCH
 from .oracle import sql
 
 B = CURRENT_BATCH
-LIKE = "lower(p.job_description) LIKE ('% ' || d.keyword_en || '%')"
+LIKE = "lower(p.job_description) LIKE ('% ' || lower(d.keyword_en) || '%')"
 COUNTRIES = ["europe", "asia"]
 
 
@@ -19,7 +19,7 @@ def _k3_sql(scope: str = "true") -> str:
     return sql(f"""
     SELECT keyword, count(uniq_id) AS n_postings
     FROM (SELECT DISTINCT keyword_en AS keyword FROM v_tech_dict WHERE {scope}) k
-    LEFT JOIN postings ON contains(lower(job_description), ' ' || keyword) GROUP BY keyword""")
+    LEFT JOIN postings ON contains(lower(job_description), ' ' || lower(keyword)) GROUP BY keyword""")
 
 
 @register("k3_load_keywords", _k3_sql())
@@ -86,11 +86,11 @@ def k5_all(spark, sf_dir):
 
 
 #: The published list, with two words that the generated texts hold.
-LISTED = [*keywords.AI_KEYWORDS_EN, "licen", "tionha"]
+LISTED = [*keywords.AI_KEYWORDS_EN, "LICEN", "tionHa"]
 
 
 @register("k5_published_ai_keywords", sql(f"""
-    SELECT uniq_id FROM postings WHERE len([k for k in {LISTED} if contains(lower(job_description), ' ' || k)]) > 0"""))
+    SELECT uniq_id FROM postings WHERE len([k for k in {LISTED} if contains(lower(job_description), ' ' || lower(k))]) > 0"""))
 def k5_listed(spark, sf_dir):
     return keywords.tag_ai(fixture_db(spark, sf_dir, flags=False, geo=False, tags=False).postings, LISTED)
 
