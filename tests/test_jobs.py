@@ -63,3 +63,55 @@ def test_missing_table_is_an_error(spark, tmpdir_path):
     for job in (lambda: jobs.augment(spark, tmpdir_path, "b", ["x"], None), lambda: jobs.clean_tables(spark, tmpdir_path, "b")):
         with pytest.raises(FileNotFoundError):
             job()
+
+
+def _paths(root):
+    return {os.path.join(d, f): os.stat(os.path.join(d, f)).st_mtime_ns for d, _, names in os.walk(root) for f in names
+            if "_swap" not in d and f.endswith(".parquet")}
+
+
+def _two_batches(spark, folder):
+    """Two batches with an employer each and one that both name."""
+    root = "file://" + folder
+    for b in ("b1", "b2"):
+        ids = [f"{b}-{i}" for i in range(3)]
+        post = spark.createDataFrame([(i, "t", b, "yes", "yes") for i in ids],
+                                     "uniq_id string, job_description string, data_batch string, "
+                                     "unique_posting_text string, unique_posting_textlocation string")
+        pos = spark.createDataFrame([(i, e) for i, e in zip(ids, ("both", f"only {b}", None))], "uniq_id string, company_name string")
+        post.drop("data_batch").write.parquet(f"{root}/postings/data_batch={b}")
+        pos.write.parquet(f"{root}/positions/data_batch={b}")
+        post.select("uniq_id").write.parquet(f"{root}/ai_tags/data_batch={b}")
+        post.selectExpr("uniq_id", "'F' AS bloom_field", "1 AS bloom_code").write.parquet(f"{root}/tech_tags/data_batch={b}")
+    spark.createDataFrame([("both",), ("only b1",), ("only b2",), ("nobody",)], "company_name string").write.parquet(f"{root}/employers")
+    return root
+
+
+@pytest.mark.parametrize("killed_at", range(8))
+def test_deleting_a_batch_touches_no_other(spark, tmpdir_path, monkeypatch, killed_at):
+    root = _two_batches(spark, tmpdir_path)
+    others = {p: t for p, t in _paths(tmpdir_path).items() if "data_batch=b2" in p}
+    real, moves = jobs._move, [0]
+
+    def move(*args):
+        moves[0] += 1
+        if moves[0] == killed_at:
+            raise KeyboardInterrupt
+        real(*args)
+    monkeypatch.setattr(jobs, "_move", move)
+    if killed_at in range(1, 7):  # four partitions, then the old and the new employers
+        with pytest.raises(KeyboardInterrupt):
+            jobs.clean_tables(spark, root, "b1")
+    jobs.clean_tables(spark, root, "b1")
+    t = jobs.open_tables(spark, root)
+    for name in jobs.BY_BATCH:
+        assert sorted(r.uniq_id for r in getattr(t, name).collect()) == ["b2-0", "b2-1", "b2-2"]
+    assert sorted(r.company_name for r in t.employers.collect()) == ["both", "only b2"]
+    assert {p: t for p, t in _paths(tmpdir_path).items() if "data_batch=" in p} == others
+    assert not [n for n in os.listdir(f"{tmpdir_path}/_swap") if n.endswith(".gone")]
+
+
+def test_half_moved_partition_is_put_back(spark, tmpdir_path):
+    root = _two_batches(spark, tmpdir_path)
+    jobs._move(spark, f"{root}/postings/data_batch=b1", jobs._swap_path(root, "postings/data_batch=b1", "old"))
+    assert jobs.open_tables(spark, root).postings.count() == 6

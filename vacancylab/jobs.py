@@ -8,6 +8,12 @@ succeeded; the old version waits in ``_swap`` meanwhile.  A job that was killed
 between the two moves left the old version there, and ``open_tables`` and the
 next replacement put it back first.  Appends go through anti joins, so
 re-running a job adds nothing twice.
+
+Postings, positions and both tag tables are partitioned by ``data_batch``.
+Deleting a batch drops these partitions: folders are moved, no row of another
+batch is read or written.  New rows of a batch are staged, checked (as many
+rows as keys, I12) and only then appended; a publication that was killed is
+finished from its stage by the next job.
 """
 
 from __future__ import annotations
@@ -22,6 +28,7 @@ from .sources import raw as rawsrc
 from .sources.catalog import file_system, path_exists
 from .sources.fixtures import JobTables
 
+BY_BATCH = ("postings", "positions", "ai_tags", "tech_tags")
 TABLES = ("postings", "positions", "employers", "regions", "ai_tags", "tech_tags")
 
 
@@ -79,22 +86,30 @@ def append_rows(df: DataFrame, path: str, partition_by: tuple[str, ...] = (),
 
 def open_tables(spark: SparkSession, root: str, required: tuple[str, ...] = ()) -> JobTables:
     """Stored tables; empty frames with the table schema where none exists,
-    but a missing table that is ``required`` is an error."""
+    but a missing table that is ``required`` is an error.  What a killed
+    replacement moved away, a whole table or one batch, is put back first."""
+    fs, swap = file_system(spark, f"{root}/_swap")
+    if fs.exists(swap):
+        for left in [s.getPath().getName() for s in fs.listStatus(swap)]:
+            if left.endswith(".old"):
+                restore(spark, root, left.removesuffix(".old").replace("+", "/"))
+
     def read(name: str):
-        restore(spark, root, name)
         if path_exists(spark, f"{root}/{name}"):
-            return spark.read.schema(schemas.SCHEMAS[name]).parquet(f"{root}/{name}")
+            # a partition column that is not in the schema is left out
+            stored = spark.read.schema(schemas.SCHEMAS[name]).parquet(f"{root}/{name}")
+            return stored.select(*schemas.SCHEMAS[name].fieldNames())
         if name in required:
             raise FileNotFoundError(f"no table {name} in {root}")
         return spark.createDataFrame([], schemas.SCHEMAS[name])
     return JobTables(**{n: read(n) for n in TABLES})
 
 
-def batch_partition(data_batch: str) -> str:
-    """Folder of a batch inside postings."""
+def batch_partition(data_batch: str, table: str = "postings") -> str:
+    """Folder of a batch inside a table that is partitioned by batch."""
     if not data_batch or not all(c.isalnum() or c in "_-." for c in data_batch):
         raise ValueError(f"batch label {data_batch!r} may hold letters, digits, '_', '-' and '.' only")
-    return f"postings/data_batch={data_batch}"
+    return f"{table}/data_batch={data_batch}"
 
 
 def update_batch(spark: SparkSession, raw_dir: str, root: str, data_batch: str,
@@ -106,58 +121,132 @@ def update_batch(spark: SparkSession, raw_dir: str, root: str, data_batch: str,
     keys it adds (I12): a region name with several codes would store an id
     twice, and stops the job before anything is written."""
     batch_partition(data_batch)
+    finish_publication(spark, root, data_batch)
     if suffix == ".zip":
         raw = rawsrc.read_raw_zip(spark, raw_dir)
     else:
         raw = rawsrc.read_raw_csv(spark, f"{raw_dir}/*{suffix}")
     stored = open_tables(spark, root)
     new = ingest.ingest_batch(land_table(raw, "raw"), data_batch, stored, stored.regions, dup_policy)
-    post = new.postings.select(*[F.col(c) for c in schemas.POSTINGS.fieldNames() if c in new.postings.columns])
-    pos = new.positions.select(*[F.col(f.name).cast(f.dataType) if f.name in new.positions.columns
-                                 else F.lit(None).cast(f.dataType).alias(f.name)
-                                 for f in schemas.POSITIONS.fields])
-    emp = new.employers.select(*[F.col(f.name).cast(f.dataType) for f in schemas.EMPLOYERS.fields])
-    landed = {"positions": (land_table(pos, "positions"), "uniq_id", ()),
-              "employers": (land_table(emp, "employers"), "company_name", ()),
-              "postings": (land_table(post, "postings"), "uniq_id", ("data_batch",))}
-    expected = {}
-    for name, (df, key, _) in landed.items():
-        rows, keys = df.agg(F.count("*"), F.countDistinct(key)).first()
-        if rows != keys:
-            raise AssertionError(f"{name} of {data_batch}: {rows} rows for {keys} keys")
-        expected[name] = keys
-    return {name: append_rows(df, f"{root}/{name}", parts, expected[name])
-            for name, (df, _, parts) in landed.items()}
+    stage_rows(spark, new, root, data_batch)
+    return finish_publication(spark, root, data_batch)
+
+
+def _stage_path(root: str, data_batch: str) -> str:
+    return f"{root}/_publish/{data_batch}"
+
+
+def stage_rows(spark: SparkSession, new: JobTables, root: str, data_batch: str, sources: DataFrame | None = None) -> None:
+    """Write a batch's new rows beside the tables and check them; nothing is
+    stored yet.  Each table must have as many rows as keys (I12), else the
+    stage stays without its mark and the error names the table.  ``sources``
+    (what the rows were made of) is written last: it marks the stage complete."""
+    stage = _stage_path(root, data_batch)
+    fs, path = file_system(spark, stage)
+    fs.delete(path, True)
+    rows = {"positions": new.positions, "employers": new.employers, "postings": new.postings}
+    for name, df in rows.items():
+        columns = [F.col(f.name).cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name)
+                   for f in schemas.SCHEMAS[name].fields]
+        df.select(*columns).write.parquet(f"{stage}/{name}")
+        key = schemas.BASE_TABLE_KEYS[name]
+        staged = spark.read.schema(schemas.SCHEMAS[name]).parquet(f"{stage}/{name}")
+        n, keys = staged.agg(F.count("*"), F.countDistinct(key)).first()
+        if n != keys:
+            raise AssertionError(f"{name} of {data_batch}: {n} rows for {keys} keys")
+    if sources is None:
+        sources = spark.createDataFrame([], "load string, file string, n_rows long")
+    sources.coalesce(1).write.parquet(f"{stage}/sources")
+
+
+def append_stage(spark: SparkSession, root: str, data_batch: str) -> dict[str, int]:
+    """Append a complete stage to the tables; the number of rows appended per
+    table (0 where the stage is not complete).  Rows that an earlier, killed attempt
+    appended are skipped by their keys, so any number of attempts stores each
+    row once."""
+    stage = _stage_path(root, data_batch)
+    appended = {"positions": 0, "employers": 0, "postings": 0}
+    if path_exists(spark, f"{stage}/sources/_SUCCESS"):
+        stored = open_tables(spark, root)
+        for name in appended:
+            key = schemas.BASE_TABLE_KEYS[name]
+            staged = spark.read.schema(schemas.SCHEMAS[name]).parquet(f"{stage}/{name}")
+            # a killed append left no row or all of them, but the keys decide
+            df = land_table(staged.join(getattr(stored, name).select(key), key, "left_anti")
+                            .select(*staged.columns), f"new-{name}")
+            target = f"{root}/{name if name == 'employers' else batch_partition(data_batch, name)}"
+            appended[name] = append_rows(df.drop("data_batch"), target, expected=df.count())
+    return appended
+
+
+def drop_stage(spark: SparkSession, root: str, data_batch: str) -> None:
+    fs, path = file_system(spark, _stage_path(root, data_batch))
+    fs.delete(path, True)
+
+
+def finish_publication(spark: SparkSession, root: str, data_batch: str) -> dict[str, int]:
+    """Append a stage that is complete and drop it; an incomplete one is dropped."""
+    appended = append_stage(spark, root, data_batch)
+    drop_stage(spark, root, data_batch)
+    return appended
+
+
+def _batches(spark: SparkSession, root: str, table: str) -> list[str]:
+    """Batches that a table has a partition for (a listing, no data is read)."""
+    fs, path = file_system(spark, f"{root}/{table}")
+    if not fs.exists(path):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(path)]
+    return sorted(n.removeprefix("data_batch=") for n in names if n.startswith("data_batch="))
 
 
 def assign_regions(spark: SparkSession, root: str, rules=regions.SWISS_RULES) -> None:
     """Region codes of all positions anew from their names (G1+G2), as after the
-    initial load; codes that the update attached (G5) are replaced."""
+    initial load; codes that the update attached (G5) are replaced.  Batch by
+    batch: a kill leaves whole batches, old or new."""
     t = open_tables(spark, root, required=("positions", "regions"))
-    replace_table(spark, regions.assign_regions(t.positions, t.regions, rules), root, "positions")
+    for batch in _batches(spark, root, "positions"):
+        part = batch_partition(batch, "positions")
+        mine = spark.read.schema(schemas.POSITIONS).parquet(f"{root}/{part}")
+        replace_table(spark, regions.assign_regions(mine, t.regions, rules), root, part)
 
 
 def augment(spark: SparkSession, root: str, data_batch: str, ai_keywords, tech_dictionary: DataFrame) -> None:
     """Augmentation of one batch: duplicate flags (D1+D2), AI tags (K5) and
-    technology tags (K6).  Of postings only the batch's partition is written."""
+    technology tags (K6).  Only the batch's partitions are written."""
     t = open_tables(spark, root, required=("postings", "positions"))
     mine = t.postings.where(F.col("data_batch") == data_batch)
     if not mine.isEmpty():
         replace_table(spark, dedup.clean_duplicates(mine, t.positions, data_batch).drop("data_batch"), root,
                       batch_partition(data_batch))
     t = open_tables(spark, root)
-    append_rows(keywords.tag_ai(t.postings, ai_keywords, data_batch, existing=t.ai_tags), f"{root}/ai_tags")
-    append_rows(keywords.tag_tech(t.postings, tech_dictionary, data_batch, existing=t.tech_tags), f"{root}/tech_tags")
+    for name, tags in (("ai_tags", keywords.tag_ai(t.postings, ai_keywords, data_batch, existing=t.ai_tags)),
+                       ("tech_tags", keywords.tag_tech(t.postings, tech_dictionary, data_batch, existing=t.tech_tags))):
+        append_rows(tags, f"{root}/{batch_partition(data_batch, name)}")
+
+
+def drop_partition(spark: SparkSession, root: str, table: str, data_batch: str) -> None:
+    """Delete a batch of one table: its folder is moved out in one step, then
+    removed.  A kill in between leaves a folder in ``_swap`` that no table
+    reads and that the next call removes."""
+    part = batch_partition(data_batch, table)
+    gone = _swap_path(root, part, "gone")
+    fs, gone_path = file_system(spark, gone)
+    fs.delete(gone_path, True)
+    restore(spark, root, part)
+    if path_exists(spark, f"{root}/{part}"):
+        _move(spark, f"{root}/{part}", gone)
+        fs.delete(gone_path, True)
 
 
 def clean_tables(spark: SparkSession, root: str, data_batch: str) -> None:
-    """Delete a batch (positions first, ids looked up in postings), then drop
-    employers and tags without a posting (I13, I14)."""
-    t = open_tables(spark, root, required=("postings", "positions", "employers"))
-    replace_table(spark, ingest.delete_batch(t.positions, t.postings, data_batch), root, "positions")
-    replace_table(spark, ingest.delete_batch(t.postings, t.postings, data_batch), root, "postings",
-                  ("data_batch",))
+    """Delete a batch (I13) and what is left without a posting (I14): the
+    batch's partitions of tags, positions and postings go, in this order, so
+    that the batch stays known until the last; then employers that no position
+    names any more.  Killed at any step, the next call does the rest."""
+    open_tables(spark, root, required=("postings", "positions", "employers"))
+    finish_publication(spark, root, data_batch)
+    for name in reversed(BY_BATCH):
+        drop_partition(spark, root, name, data_batch)
     t = open_tables(spark, root)
     replace_table(spark, ingest.remove_orphan_employers(t.employers, t.positions), root, "employers")
-    replace_table(spark, ingest.remove_orphan_tags(t.ai_tags, t.postings), root, "ai_tags")
-    replace_table(spark, ingest.remove_orphan_tags(t.tech_tags, t.postings), root, "tech_tags")

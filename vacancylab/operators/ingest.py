@@ -235,14 +235,20 @@ def ingest_batch(raw: DataFrame, data_batch: str, stored, regions: DataFrame | N
     """The batch update (I1-I10 + G5): new rows for postings, positions and
     employers.  ``raw`` carries ``_file`` / ``_order``; ``stored`` is the
     current database (``JobTables``).  Returns a ``JobTables`` of new rows."""
+    raw = rename_raw(raw)
+    return new_rows(raw, duplicated_ids(raw), data_batch, stored, regions, dup_policy)
+
+
+def new_rows(raw: DataFrame, dups: DataFrame, data_batch: str, stored, regions: DataFrame | None = None,
+             dup_policy: str = "drop_all"):
+    """The batch update with the repeated ids (``duplicated_ids``) given."""
     from ..sources.fixtures import JobTables
     from .regions import attach_region_codes
-    raw = rename_raw(raw)
-    dups = duplicated_ids(raw)
-    post = exclude_duplicated(first_per_key(structure(raw, "postings"), "uniq_id"), dups, dup_policy)
-    post = unique_records(post, "uniq_id", stored.postings, dedupe=False)
-    pos = exclude_duplicated(first_per_key(structure(raw, "positions"), "uniq_id"), dups, dup_policy)
-    pos = unique_records(pos, "uniq_id", stored.positions, dedupe=False)
+    # drop_all leaves at most one row per id, so only keep_first has a first row to choose
+    post = unique_records(exclude_duplicated(structure(raw, "postings"), dups, dup_policy),
+                          "uniq_id", stored.postings, dedupe=False)
+    pos = unique_records(exclude_duplicated(structure(raw, "positions"), dups, dup_policy),
+                         "uniq_id", stored.positions, dedupe=False)
     if regions is not None:
         pos = attach_region_codes(pos, regions)
     emp = new_employers(raw, stored.employers)
