@@ -107,16 +107,25 @@ def apply_flags(postings: DataFrame, flagged: DataFrame, update_value: str = "no
     return out.select(*postings.columns)
 
 
+LEVELS = {"unique_posting_text": ["job_description"],
+          "unique_posting_textlocation": ["city", "job_description"]}
+
+
+def flag_rows(flags: DataFrame, texts: DataFrame, positions: DataFrame, data_batch="all",
+              restrict_scope_by: str = "inferred_country", restrict_to=None, exclude=None) -> DataFrame:
+    """D4 on a narrow table: ``flags`` (uniq_id, data_batch and the flag
+    columns) with the flags of D1 and D2 lowered.  ``texts`` holds the
+    postings' texts, which leave the scan as digests only."""
+    return apply_flags(flags, duplicate_ids_by_level(texts, positions, data_batch, LEVELS, restrict_scope_by,
+                                                     restrict_to, exclude))
+
+
 def clean_duplicates(postings: DataFrame, positions: DataFrame, data_batch="all",
                      restrict_scope_by: str = "inferred_country", restrict_to=None,
                      exclude=None) -> DataFrame:
     """D1 + D2 + D4: both duplicate flags for the batch(es); rows outside the
     batch or scope keep their flags (flags are only ever lowered)."""
-    flagged = duplicate_ids_by_level(
-        postings, positions, data_batch,
-        {"unique_posting_text": ["job_description"],
-         "unique_posting_textlocation": ["city", "job_description"]},
-        restrict_scope_by, restrict_to, exclude)
+    flagged = duplicate_ids_by_level(postings, positions, data_batch, LEVELS, restrict_scope_by, restrict_to, exclude)
     return apply_flags(postings, flagged)
 
 
@@ -131,7 +140,7 @@ def reset_flag(postings: DataFrame, positions: DataFrame, column: str, default_v
     """Set ``column`` to ``default_value`` for a batch, optionally only
     for / except some countries (a NULL country is in neither set)."""
     if restrict_to_countries and exclude_countries:
-        raise ValueError("Only one of restrict_to_countries and exclude_countries can be chosen.")
+        raise ValueError("a reset either names countries or leaves some out, not both")
     cond = F.col("data_batch") == F.lit(data_batch)
     if restrict_to_countries or exclude_countries:
         if restrict_to_countries:

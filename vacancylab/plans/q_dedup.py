@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from ..operators import dedup
+from ..schemas import FLAG_COLUMNS
 from ..sources.fixtures import fixture_db
 from .catalog import register
 from .fixture_sql import CURRENT_BATCH
@@ -54,6 +55,13 @@ def d4(spark, sf_dir):
     return fixture_db(spark, sf_dir, tags=False).postings
 
 
+@register("d4_flag_rows", sql("SELECT uniq_id, data_batch, unique_posting_text, unique_posting_textlocation FROM postings"))
+def d4_rows(spark, sf_dir):
+    db = fixture_db(spark, sf_dir, flags=False, tags=False)
+    flags = db.postings.select("uniq_id", "data_batch", *FLAG_COLUMNS)
+    return dedup.flag_rows(flags, db.postings, db.positions)
+
+
 @register("d5_flag_summary", sql("""
     SELECT 'unique_posting_text' AS flag, unique_posting_text AS value, count(*) AS n_postings
     FROM postings GROUP BY unique_posting_text
