@@ -171,3 +171,59 @@ def test_texts_that_share_a_key_without_containing_each_other(spark):
 def test_overlapping_windows_are_refused():
     with pytest.raises(ValueError):
         near_dups.token_windows(F.col("t"), F.col("uniq_id"), 10, 3, 1)
+
+
+def _prose(rng, n):
+    return " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randint(3, 8))) for _ in range(n))
+
+
+def test_winnowed_places_are_the_minima_of_runs():
+    import numpy as np
+    rng = np.random.default_rng(2)
+    for n in (0, 3, 5, 6, 40):
+        h = rng.integers(0, 9, n)
+        want = {i + j for i in range(n - near_dups.WINNOW + 1) for j in range(near_dups.WINNOW)
+                if h[i + j] == h[i:i + near_dups.WINNOW].min()}
+        assert set(near_dups._winnow(h).tolist()) == want
+
+
+def test_a_common_introduction_makes_no_pairs(spark):
+    """Unrelated texts that begin alike (an employer's boilerplate) hardly meet, and not at all on text."""
+    rng = random.Random(9)
+    intro = _prose(rng, 40)
+    rows = [("emp", f"{i:04d}", f"{intro} {_prose(rng, 60)}") for i in range(1000)]
+    rows += [("emp", f"x{i}", f"{rows[i][2][:-3]}new") for i in range(3)]
+    df = spark.createDataFrame(rows, "company_name string, uniq_id string, job_description string")
+    docs = near_dups.distinct_employer_texts(df)
+    windows = docs.select("company_name", "uniq_id", near_dups.token_windows(
+        F.col("job_description"), F.col("uniq_id"), 10, 3, 5, 42).alias("windows"))
+    probes, index, marks = near_dups.probe_tables(docs, windows)
+    assert probes.join(index, ["company_name", "key"]).where("dst > src").count() < 10_000
+    assert near_dups.candidate_pairs(probes, index, marks).count() <= 10
+    assert near_dups.token_duplicates(df).count() == len(_walked(df))
+
+
+def test_checks_keep_their_distance(spark):
+    """The same sentences in another order hold all fingerprints of the sentences, but are no copy."""
+    rng = random.Random(10)
+    a, b, c = (_prose(rng, 30) for _ in range(3))
+    rows = [("e", "1", f"{a} {b} {c}"), ("e", "2", f"{c} {b} {a}"), ("e", "3", f"{a} {b} {c} and more"), ("e", "4", f"{b} {a} {c}")]
+    df = spark.createDataFrame(rows, "company_name string, uniq_id string, job_description string")
+    found = {r.uniq_id for r in near_dups.token_duplicates(df).collect()}
+    assert found == _walked(df) == {"3"}
+
+
+def _walked(df):
+    """Flagged ids by the pass over the postings in id order."""
+    docs = near_dups.distinct_employer_texts(df)
+    rows = {r.uniq_id: (r.job_description, r.w) for r in docs.select("uniq_id", "job_description", near_dups.token_windows(
+        F.col("job_description"), F.col("uniq_id"), 10, 3, 5, 42).alias("w")).collect()}
+    ids, flagged = sorted(rows), set()
+    for i, p in enumerate(ids):
+        if p in flagged:
+            continue
+        left = [q for q in ids[i + 1:] if q not in flagged]
+        if len(left) <= 1:
+            break
+        flagged |= {q for q in left if all(w in rows[q][0] for w in rows[p][1])}
+    return flagged

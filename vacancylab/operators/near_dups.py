@@ -12,13 +12,15 @@ Plan:
    more than ``L`` apart); short texts get three character slices.
 2. Candidates without comparing pairs.  If q contains a window, q contains the
    window's inner tokens (all but the first and last, which may be cut) as
-   whole tokens.  Every text is indexed by *winnowed* 4-gram fingerprints
-   (the minimum hash in every run of ``W`` consecutive 4-grams), and a window
-   probes with the minimum 4-gram hash of its first ``W + 3`` inner tokens:
-   that run occurs in q, so its minimum is one of q's fingerprints.  The
-   candidate filter is lossless.  Only the window with the rarest fingerprint
-   (within the employer) probes, since all windows must match.
-3. Candidates are verified with ``contains`` for every window.
+   whole tokens.  Every text is in a positional index of *winnowed* 4-gram
+   fingerprints (the minimum hash in every run of ``W`` consecutive 4-grams,
+   each with its place); all runs of all windows of p occur in q, so all their
+   fingerprints are in q's list, at equal distances within a window.  p looks
+   up the fingerprint of its windows that is rarest within the employer: texts
+   that share a common introduction, but not the rest, do not meet.
+3. A candidate must also hold the next-rarest fingerprints of p, those of the
+   same window at their distance from the first; only then is a text read and
+   verified with ``contains`` for every window.
 4. The greedy pass is order dependent; it runs in rounds over (employer, key,
    id) tables, and only postings that are kept, or may have to be, look up
    candidates, so near copies never meet in pairs.
@@ -42,6 +44,7 @@ from ..session import cut_lineage
 K_GRAM = 4
 WINNOW = 5
 INNER = K_GRAM + WINNOW - 1          # inner tokens a probe needs
+CHECKS = 4                           # further fingerprints a candidate must hold
 
 
 # ------------------------------------------------------------------------ E5
@@ -89,37 +92,43 @@ def _kgram_hash_array(tokens: list[str]):
 
 
 def _winnow(h):
+    """Places of the fingerprints: wherever a hash is the least of some run of
+    ``WINNOW``.  Ties count all, so a run has the same places in every text."""
     import numpy as np
     if len(h) < WINNOW:
         return np.empty(0, dtype=np.int64)
     from numpy.lib.stride_tricks import sliding_window_view
-    return np.unique(sliding_window_view(h, WINNOW).min(axis=1))
+    least = sliding_window_view(h, WINNOW).min(axis=1)
+    # the greatest of the minima of the runs that hold a place equals its hash where it is one of them
+    padded = np.concatenate([np.full(WINNOW - 1, least[0]), least, np.full(WINNOW - 1, least[-1])])
+    return np.flatnonzero(sliding_window_view(padded, WINNOW).max(axis=1) == h)
 
 
-@F.pandas_udf(T.ArrayType(T.LongType()))
+@F.pandas_udf(T.ArrayType(T.StructType([T.StructField("key", T.LongType()), T.StructField("pos", T.IntegerType())])))
 def winnowed_fingerprints(texts: pd.Series) -> pd.Series:
-    """Distinct winnowed 4-gram fingerprints of each text (array<bigint>)."""
-    return pd.Series([None if t is None else _winnow(_kgram_hash_array(t.split(" "))).tolist()
-                      for t in texts], dtype=object)
+    """Winnowed 4-gram fingerprints of each text with their places."""
+    out = []
+    for t in texts:
+        if t is None:
+            out.append(None)
+            continue
+        h = _kgram_hash_array(t.split(" "))
+        out.append([{"key": int(h[i]), "pos": int(i)} for i in _winnow(h)])
+    return pd.Series(out, dtype=object)
 
 
-@F.pandas_udf(T.ArrayType(T.LongType()))
-def window_probes(windows: pd.Series) -> pd.Series:
-    """Per window: the fingerprint any containing text must have (the minimum
-    4-gram hash over the first ``INNER`` inner tokens), or NULL when the
-    window has fewer than ``INNER`` inner tokens."""
+@F.pandas_udf(T.ArrayType(T.StructType([T.StructField("key", T.LongType()), T.StructField("w", T.IntegerType()),
+                                        T.StructField("pos", T.IntegerType())])))
+def window_fingerprints(windows: pd.Series) -> pd.Series:
+    """Fingerprints of all windows' inner tokens: any text that contains window
+    ``w`` has them, at one distance from ``pos``.  Windows with fewer than
+    ``INNER`` inner tokens have none."""
     out = []
     for ws in windows:
-        if ws is None:
-            out.append(None)
-            continue
         row = []
-        for w in ws:
-            toks = w.split(" ")
-            if len(toks) < INNER + 2:
-                row.append(None)
-            else:
-                row.append(int(_kgram_hash_array(toks[1:1 + INNER]).min()))
+        for w, window in enumerate(ws if ws is not None else ()):
+            h = _kgram_hash_array(window.split(" ")[1:-1])
+            row += [{"key": int(h[i]), "w": w, "pos": int(i)} for i in _winnow(h)]
         out.append(row)
     return pd.Series(out, dtype=object)
 
@@ -146,52 +155,84 @@ def _inner_tokens(windows: Column) -> Column:
 
 
 def _rarest(probes: DataFrame, index: DataFrame) -> DataFrame:
-    """One key per source: the one that fewest texts of its employer hold."""
+    """Per source the key that fewest texts of its employer hold (with window
+    and place), and the next ones as ``checks``.  A source has at most as many
+    keys as its windows have tokens."""
     df = index.groupBy("company_name", "key").agg(F.count(F.lit(1)).alias("df"))
-    return probes.join(df, ["company_name", "key"]).groupBy("company_name", "src").agg(
-        F.min_by("key", F.struct("df", "key")).alias("key"))
+    ranked = probes.join(df, ["company_name", "key"]).groupBy("company_name", "src").agg(
+        F.sort_array(F.collect_list(F.struct("df", "key", "w", "pos"))).alias("r"))
+    return ranked.select("company_name", "src", F.element_at("r", 1).alias("f"),
+                         F.slice("r", 2, CHECKS).alias("checks")).select(
+        "company_name", "src", "f.key", "f.w", "f.pos", "checks")
 
 
-def probe_tables(docs: DataFrame, windows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(probes, index): the key (company_name, key, src) that each source looks
-    up, and the keys (company_name, key, dst) of the texts.  A text that
-    contains all windows of a source has the source's key in the index.
+def probe_tables(docs: DataFrame, windows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(probes, index, marks): what each source looks up (company_name, src, key,
+    w, pos, checks), the places of these keys in the texts (company_name, dst,
+    key, at), and those of the checks.  A text that contains all windows of a
+    source has the source's key in the index and its checks in the marks.
 
     Keys are 4-gram fingerprints, hashes of whole tokens for sources too short
-    for those, and one common key for sources without a whole token.
+    for those, and one common key for sources without a whole token; the
+    latter two have no place and no checks.
     """
     prints = cut_lineage(docs.select("company_name", F.col("uniq_id").alias("dst"),
-                                     F.explode(winnowed_fingerprints(F.col("job_description"))).alias("key")))
+                                     F.explode(winnowed_fingerprints(F.col("job_description"))).alias("f"))
+                         .select("company_name", "dst", "f.key", F.col("f.pos").alias("at")))
     sources = windows.withColumnRenamed("uniq_id", "src")
     by_print = cut_lineage(_rarest(
-        sources.select("company_name", "src", F.explode(window_probes(F.col("windows"))).alias("key"))
-        .where("key is not null"), prints))
+        sources.select("company_name", "src", F.explode(window_fingerprints(F.col("windows"))).alias("f"))
+        .select("company_name", "src", "f.*"), prints))
     short = sources.join(by_print, ["company_name", "src"], "left_anti")
     token_key = F.xxhash64(F.lit("token"), F.col("token")).alias("key")
+    nowhere = F.lit(None).cast("int")
     short_tokens = cut_lineage(short.select("company_name", "src", F.explode(_inner_tokens(F.col("windows"))).alias(
-        "token")).select("company_name", "src", token_key))
+        "token")).select("company_name", "src", token_key, nowhere.alias("w"), nowhere.alias("pos")))
     tokens = cut_lineage(docs.join(short_tokens.select("company_name").distinct(), "company_name", "left_semi").select(
         "company_name", F.col("uniq_id").alias("dst"),
         F.explode(F.array_distinct(F.split("job_description", " ", -1))).alias("token"))
-        .select("company_name", "dst", token_key)
+        .select("company_name", "dst", token_key, nowhere.alias("at"))
         .join(short_tokens.select("company_name", "key").distinct(), ["company_name", "key"], "left_semi")
-        .select("company_name", "dst", "key"))
-    by_token = cut_lineage(_rarest(short_tokens, tokens))
+        .select("company_name", "dst", "key", "at"))
+    unchecked = F.slice("checks", 1, 0).alias("checks")
+    by_token = cut_lineage(_rarest(short_tokens, tokens).select("company_name", "src", "key", "w", "pos", unchecked))
     bare = short.join(by_token, ["company_name", "src"], "left_anti").select(
-        "company_name", "src", F.lit(0).cast("long").alias("key"))
+        "company_name", "src", F.lit(0).cast("long").alias("key"), nowhere.alias("w"), nowhere.alias("pos"))
+    bare = bare.withColumn("checks", F.array().cast(by_print.schema["checks"].dataType))
     probes = cut_lineage(by_print.unionByName(by_token).unionByName(bare))
     everywhere = docs.join(bare.select("company_name").distinct(), "company_name", "left_semi").select(
-        "company_name", F.col("uniq_id").alias("dst"), F.lit(0).cast("long").alias("key"))
+        "company_name", F.col("uniq_id").alias("dst"), F.lit(0).cast("long").alias("key"), nowhere.alias("at"))
     index = cut_lineage(prints.unionByName(tokens).unionByName(everywhere).join(
         probes.select("company_name", "key").distinct(), ["company_name", "key"], "left_semi"))
-    return probes, index
-
-
-def verified_edges(sources: DataFrame, targets: DataFrame, docs: DataFrame, windows: DataFrame) -> DataFrame:
+    checked = probes.select("company_name", F.explode("checks").alias("c")).select("company_name", "c.key").distinct()
+    marks = cut_lineage(prints.join(checked, ["company_name", "key"], "left_semi"))
+    return probes, index, marks
+
+
+def candidate_pairs(sources: DataFrame, targets: DataFrame, marks: DataFrame) -> DataFrame:
+    """(company_name, src, dst): later texts that hold a source's rarest key and
+    all its checks, those of the same window at the same distance."""
+    met = sources.join(targets, ["company_name", "key"]).where("dst > src").select(
+        "company_name", "src", "dst", "w", "pos", "at", "checks")
+    sure = met.where(F.size("checks") == 0).select("company_name", "src", "dst")
+    asked = met.where(F.size("checks") > 0).select(
+        "company_name", "src", "dst", "at", F.col("w").alias("w0"), F.col("pos").alias("pos0"),
+        F.size("checks").alias("wanted"), F.posexplode("checks").alias("nth", "c")).select(
+        "*", F.col("c.key").alias("key"))
+    place = marks.withColumnRenamed("at", "there")
+    held = asked.join(place, ["company_name", "dst", "key"]).where(
+        (F.col("c.w") != F.col("w0")) | (F.col("there") - F.col("at") == F.col("c.pos") - F.col("pos0")))
+    passed = held.groupBy("company_name", "src", "dst", "at", "wanted").agg(
+        F.count_distinct("nth").alias("n")).where("n = wanted").select("company_name", "src", "dst")
+    return sure.unionByName(passed).distinct()
+
+
+def verified_edges(sources: DataFrame, targets: DataFrame, marks: DataFrame, docs: DataFrame,
+                   windows: DataFrame) -> DataFrame:
     """Edges (company_name, src, dst) from the probes ``sources`` to the later
     texts of the index rows ``targets`` that contain every window."""
-    met = sources.join(targets, ["company_name", "key"]).where("dst > src").select("company_name", "src", "dst").distinct()
-    return (met.join(windows.select("company_name", F.col("uniq_id").alias("src"), "windows"), ["company_name", "src"])
+    return (candidate_pairs(sources, targets, marks)
+            .join(windows.select("company_name", F.col("uniq_id").alias("src"), "windows"), ["company_name", "src"])
             .join(docs.select("company_name", F.col("uniq_id").alias("dst"), "job_description"), ["company_name", "dst"])
             .where(F.forall("windows", lambda w: F.col("job_description").contains(w)))
             .select("company_name", "src", "dst"))
@@ -221,7 +262,8 @@ def _settle(state: DataFrame, edges: DataFrame, blocked: DataFrame) -> DataFrame
     return state.drop("blocked")
 
 
-def greedy_rounds(docs: DataFrame, windows: DataFrame, probes: DataFrame, index: DataFrame) -> tuple[DataFrame, DataFrame]:
+def greedy_rounds(docs: DataFrame, windows: DataFrame, probes: DataFrame, index: DataFrame,
+                  marks: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The greedy pass in rounds that make edges where they are needed.
 
     A posting is blocked while an earlier, unflagged source of one of its keys
@@ -255,7 +297,7 @@ def greedy_rounds(docs: DataFrame, windows: DataFrame, probes: DataFrame, index:
             turn = turn.unionByName(waiting(state).withColumn("nth", F.row_number().over(order))
                                     .where(F.col("nth") <= ahead).drop("nth")).distinct()
         turn = cut_lineage(turn)
-        edges = cut_lineage(edges.unionByName(verified_edges(turn, targets, docs, windows)))
+        edges = cut_lineage(edges.unionByName(verified_edges(turn, targets, marks, docs, windows)))
         looked = turn.select("company_name", F.col("src").alias("id"), F.lit(True).alias("now"))
         state = cut_lineage(state.join(looked, ["company_name", "id"], "left").select(
             "company_name", "id", "st", (F.col("done") | F.coalesce("now", F.lit(False))).alias("done")))
@@ -278,8 +320,8 @@ def token_duplicates(postings: DataFrame, n_sequences: int = 3, sequence_length:
     docs = cut_lineage(distinct_employer_texts(postings))
     windows = cut_lineage(docs.select("company_name", "uniq_id", token_windows(
         F.col("job_description"), F.col("uniq_id"), sequence_length, n_sequences, seq_multiple, seed).alias("windows")))
-    probes, index = probe_tables(docs, windows)
-    state, edges = greedy_rounds(docs, windows, probes, index)
+    probes, index, marks = probe_tables(docs, windows)
+    state, edges = greedy_rounds(docs, windows, probes, index, marks)
     flagged = state.where("st = 2").select("company_name", F.col("id").alias("uniq_id"))
     if not skip_last_pair:
         return flagged
@@ -292,7 +334,7 @@ def token_duplicates(postings: DataFrame, n_sequences: int = 3, sequence_length:
     earlier = verified_edges(
         probes.join(kept.join(by_last.select("company_name", F.col("by").alias("src")), ["company_name", "src"], "left_anti"),
                     ["company_name", "src"], "left_semi"),
-        index.join(by_last, ["company_name", "dst"], "left_semi"), docs, windows)
+        index.join(by_last, ["company_name", "dst"], "left_semi"), marks, docs, windows)
     back = (by_last.join(earlier, ["company_name", "dst"], "left_anti").groupBy("company_name")
             .agg(F.count("*").alias("n"), F.min("dst").alias("uniq_id")).where("n = 1"))
     return flagged.join(back, ["company_name", "uniq_id"], "left_anti")
