@@ -145,16 +145,33 @@ def battery(token: str) -> tuple[float, float] | None:
     return p_random, min(1.0, both * (1 - math.log(both)))  # chi-square tail, 4 degrees of freedom
 
 
+def controlled(p_random: float, p_text: float) -> float:
+    """The p-value whose false discoveries are controlled: that as ordinary
+    text over that as random characters, and 1 for a token that the battery
+    refuses.  Never below the former, so text is reported no more often than
+    the rate says; tokens that are neither text nor quite random need more."""
+    return min(1.0, p_text / p_random) if p_random >= MIN_RANDOMNESS else 1.0
+
+
 def tested_spans(text: str, base: list[tuple[int, int, int]]) -> Iterator[tuple[int, int, int, int, bool]]:
-    """(start, end, length class, bin, random) of the tokens outside base spans that the battery can test."""
+    """(start, end, length class, bin, random) of the tokens outside base spans that the battery can test.
+
+    The bin is -log10 of the controlled p-value, see ``controlled``.  Both lists are in order, so
+    the base spans are walked once, with the furthest end so far.
+    """
+    at, covered = 0, -1
     for m in CANDIDATE.finditer(text):
         start, end = m.span()
-        if any(s <= start and end <= e for s, _, e in base):
+        while at < len(base) and base[at][0] <= start:
+            covered = max(covered, base[at][2])
+            at += 1
+        if end <= covered:
             continue
         if (found := battery(m.group())) is not None:
-            p_random, p_text = found
+            random = found[0] >= MIN_RANDOMNESS
+            p = controlled(*found)
             yield (start, end, max(x for x in LENGTH_CLASSES if x <= end - start),
-                   int(min(-math.log10(max(p_text, 1e-300)), MAX_LOG) * BINS), p_random >= MIN_RANDOMNESS)
+                   int(min(-math.log10(max(p, 1e-300)), MAX_LOG) * BINS), random)
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,16 +199,21 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def thresholds(tested: DataFrame, fdr: float = FDR) -> dict[int, int]:
     """Least bin that is reported, by length class: Benjamini-Hochberg over
-    the histogram of all tested tokens of that class."""
-    counts: dict[int, dict[int, list[int]]] = {}
-    for r in tested.groupBy("length_class", "bin").agg(
-            F.count("*").alias("n"), F.count_if("random").alias("n_random")).collect():
-        counts.setdefault(r["length_class"], {})[r["bin"]] = [r["n"], r["n_random"]]
+    the histogram of all tested tokens of that class.
+
+    A token that the battery refuses has p-value 1: it counts among the tests,
+    never among the discoveries.  So what is counted above a bin is what is
+    reported from it, and for ordinary text the controlled p-value is at least
+    the one as text, which keeps the rate.
+    """
+    counts: dict[int, dict[int, int]] = {}
+    for r in tested.groupBy("length_class", "bin").agg(F.count("*").alias("n")).collect():
+        counts.setdefault(r["length_class"], {})[r["bin"]] = r["n"]
     least = {}
     for length, bins in counts.items():
-        total, above = sum(n for n, _ in bins.values()), 0
+        total, above = sum(bins.values()), 0
         for b in sorted(bins, reverse=True):
-            above += bins[b][0]
+            above += bins[b]
             if 10 ** (-b / BINS) <= fdr * above / total:
                 least[length] = b
     return least
@@ -206,9 +228,9 @@ def secret_spans(documents: DataFrame, fdr: float = FDR) -> DataFrame:
 
     Base kinds match fixed patterns.  Every other run of 16 or more key
     characters is tested: it is reported as ``random`` if the battery accepts
-    it as random and its p-value as ordinary text is among the discoveries of
-    its length class at false-discovery rate ``fdr``, counted over all
-    documents.  Only histogram counts (at most classes x bins rows) reach the
+    it as random and its p-value (``controlled``: as text, over as random) is
+    among the discoveries of its length class at false-discovery rate ``fdr``,
+    counted over all documents.  Only histogram counts (at most classes x bins rows) reach the
     driver.  The text is read once.  Null and empty texts have no spans (the
     digest of the empty string); null doc_ids stay null; repeated rows are
     scanned one by one and weigh as often; extra columns are ignored; an
