@@ -110,7 +110,7 @@ def prefix_postings(classes: DataFrame, coordinates: int, matches: int) -> DataF
                  batch.column(0).take(pa.array(np.repeat(np.arange(batch.num_rows), coordinates)))],
                 names=["key", "rep"])
 
-    postings = classes.select("rep", "signature").mapInArrow(post, "key long, rep binary")
+    postings = classes.select("rep", "signature").mapInArrow(post, "key long, rep long")
     lists = postings.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     ordered = postings.join(lists, "key").groupBy("rep").agg(
         F.sort_array(F.collect_list(F.struct("n", "key"))).alias("keys")).where(F.size("keys") >= matches)
@@ -184,9 +184,9 @@ def near_links(classes: DataFrame, documents: DataFrame, coordinates: int = COOR
     """Links (u, v) between classes of equal shingle sets that connect what
     the similarity connects; every link is confirmed on the full sets.
 
-    ``classes``: rep (the digest of the set, so that a doc_id may stand for
-    several texts), doc_id (a document that holds the text), n_shingles and
-    signature.
+    ``classes``: rep (a number of its own, so that a doc_id may stand for
+    several texts), digest of the set, doc_id (a document that holds the
+    text), n_shingles and signature.
 
     Classes that share a list go to the block of the list's least class, each
     with its whole set and once for all its lists.  A block that is too large
@@ -208,41 +208,41 @@ def near_links(classes: DataFrame, documents: DataFrame, coordinates: int = COOR
     placed = materialize(parted.select("center", "rep", "part", F.explode(other).alias("q")).select(
         "center", "rep", "part", F.least("part", "q").alias("p"), F.greatest("part", "q").alias("q")), "blocks")
 
-    wanted = placed.select("rep").distinct().join(classes.select("rep", "doc_id"), "rep")
+    placed = placed.join(classes.select("rep", "digest", "doc_id"), "rep")
     texts = documents.select(F.col("doc_id").cast("long"), "text").join(
-        wanted.select("doc_id").distinct(), "doc_id", "left_semi")
+        placed.select("doc_id").distinct(), "doc_id", "left_semi")
     sets = document_features(texts, coordinates, with_set=True).select(
-        "doc_id", F.col("digest").alias("rep"), "signature", "shingles")
-    # one copy of each set: a row of the document that stands for the class; repeated rows fall together in the task
-    sets = sets.join(wanted, ["rep", "doc_id"], "left_semi").drop("doc_id")
+        "doc_id", "digest", "signature", "shingles")
 
     def compare(key: tuple, table: pa.Table) -> pa.Table:
-        sides: dict[bool, dict[bytes, tuple]] = {True: {}, False: {}}
+        sides: dict[bool, dict[int, tuple]] = {True: {}, False: {}}
         p, q = key[1].as_py(), key[2].as_py()
         for rep, part, sig, raw in zip(*(table.column(c).to_pylist() for c in ("rep", "part", "signature", "shingles")),
                                        strict=True):
             sides[part == p][rep] = (rep, np.frombuffer(sig, dtype=np.uint32), np.frombuffer(raw, dtype=np.uint64))
         left, right = ([side[r] for r in sorted(side)] for side in (sides[True], sides[False]))
         links = _links_of_block(left, right, p == q, matches, similarity) if left and (right or p == q) else []
-        return pa.table({"u": pa.array([x for x, _ in links], type=pa.binary()),
-                         "v": pa.array([x for _, x in links], type=pa.binary())})
+        return pa.table({"u": pa.array([x for x, _ in links], type=pa.int64()),
+                         "v": pa.array([x for _, x in links], type=pa.int64())})
 
-    return placed.join(sets, "rep").select("center", "p", "q", "rep", "part", "signature", "shingles").groupBy(
-        "center", "p", "q").applyInArrow(compare, "u binary, v binary")
+    # the set of a class comes from the document that stands for it; repeated rows fall together in the task
+    return placed.join(sets, ["digest", "doc_id"]).select("center", "p", "q", "rep", "part", "signature", "shingles").groupBy(
+        "center", "p", "q").applyInArrow(compare, "u long, v long")
 
 
 def _grouped(documents: DataFrame, coordinates: int, matches: int, similarity: int, blocks: dict) -> DataFrame:
-    """doc_id, text_key, n_shingles, component (digest of a set in it; null without shingles) and
+    """doc_id, text_key, n_shingles, component (its number; null without shingles) and
     component_id of every row of ``documents``."""
     features = materialize(document_features(documents, coordinates), "features")
+    # the numbers are fixed once they are written
     classes = materialize(
-        features.where("n_shingles > 0 and doc_id is not null").groupBy(F.col("digest").alias("rep")).agg(
+        features.where("n_shingles > 0 and doc_id is not null").groupBy("digest").agg(
             F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n_shingles"),
-            F.max("signature").alias("signature")), "classes")
+            F.max("signature").alias("signature")).withColumn("rep", F.monotonically_increasing_id()), "classes")
     links = near_links(classes, documents, coordinates, matches, similarity, **blocks)
     components = connected_components(links)
     named = materialize(classes.join(components, classes["rep"] == components["node"], "left").select(
-        F.col("rep").alias("digest"), "doc_id", F.coalesce("component", "rep").alias("component")), "named")
+        "digest", "doc_id", F.coalesce("component", "rep").alias("component")), "named")
     least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     named = named.select("digest", "component").join(least, "component")
     return features.join(named, "digest", "left").select(
