@@ -88,9 +88,10 @@ def duplicate_ids_window(postings: DataFrame, positions: DataFrame, data_batch="
                          restrict_scope_by: str = "inferred_country",
                          restrict_to=None, exclude=None) -> DataFrame:
     """Reference formulation (``row_number() over (partition by levels order
-    by uniq_id) > 1``); used in tests to check the hashed plan."""
+    by uniq_id) > 1``) over digests of the levels; a group is ordered in one
+    task, so this form only checks ``duplicate_ids`` in tests and queries."""
     from pyspark.sql import Window
-    rows = _scoped_rows(postings, positions, data_batch, levels, restrict_scope_by, restrict_to, exclude)
+    rows = _scoped_rows(postings, positions, data_batch, levels, restrict_scope_by, restrict_to, exclude, digests=True)
     w = Window.partitionBy("data_batch", *levels).orderBy("uniq_id")
     return rows.withColumn("rn", F.row_number().over(w)).filter("rn > 1").select("uniq_id")
 

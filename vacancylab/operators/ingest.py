@@ -4,10 +4,12 @@ Every step is a DataFrame -> DataFrame function; writers are thin.  A raw
 batch is one wide DataFrame (all files of the batch), with the file name and
 a within-file order key so "first row per key" keeps file order.
 
-Skew: keys are deduplicated with ``min_by`` grouped aggregates (partial
-aggregation collapses a hot key map-side) instead of a window that would
-sort a hot key's rows in one task.  Stored keys are compared with anti
-joins; nothing is collected to the driver.
+Skew: keys are deduplicated with grouped aggregates (partial aggregation
+collapses a hot key map-side) instead of a window that would sort a hot key's
+rows in one task.  Rows with texts are chosen by their places alone and
+fetched afterwards, dealt by place, so no text enters an aggregate and a hot
+key's texts meet in no task.  Stored keys are compared with anti joins;
+nothing is collected to the driver.
 """
 
 from __future__ import annotations
@@ -91,10 +93,12 @@ def structure(df: DataFrame, table: str, lowercase: Sequence[str] = schemas.LOWE
 
 # ------------------------------------------------------------------------ I3
 def first_per_key(df: DataFrame, key: str | Sequence[str], order: str = ORDER) -> DataFrame:
-    """One row per non-NULL key, the first in ``order``.
+    """I3 for narrow rows: one row per non-NULL key, the first in ``order``.
 
     ``min_by`` is a partial aggregate, so a key repeated millions of times is
     reduced map-side before the shuffle (a window would sort it in one task).
+    The whole row sits in the aggregate's buffer: use ``first_rows`` for rows
+    with texts.
     """
     keys = [key] if isinstance(key, str) else list(key)
     others = [c for c in df.columns if c not in keys]
@@ -106,6 +110,25 @@ def first_per_key(df: DataFrame, key: str | Sequence[str], order: str = ORDER) -
             .select(*keys, "__r.*").select(*df.columns))
 
 
+def first_rows(df: DataFrame, key: str | Sequence[str], order: str = ORDER,
+               existing: DataFrame | None = None) -> DataFrame:
+    """I3 for rows with texts: one row per non-NULL key, the first in ``order``,
+    and none whose key is in ``existing``.
+
+    The winners are chosen on (key, order) alone; whole rows are then fetched
+    by a semi join on both, which deals a hot key's rows over all tasks.  They
+    cross at most one exchange.  ``order`` is a row's place (file, block,
+    position): rows that share key and place all stay.  An empty frame gives
+    an empty one.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    places = df.select(*keys, order).dropna(subset=keys)
+    if existing is not None:
+        places = places.join(existing.select(*keys), keys, "left_anti")
+    winners = places.groupBy(*keys).agg(F.min(order).alias(order))
+    return df.join(winners, [*keys, order], "left_semi")
+
+
 # ------------------------------------------------------------------------ I4 / I5 / I6
 def existing_keys(table: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """I4: stored keys (distinct), never collected."""
@@ -118,11 +141,11 @@ def unique_records(df: DataFrame, key: str | Sequence[str], existing: DataFrame,
     """Rows whose key is not stored yet, one per key, non-NULL key.
     ``dedupe=False`` when ``df`` is already one row per key (saves a shuffle)."""
     keys = [key] if isinstance(key, str) else list(key)
+    if dedupe and order and order in df.columns:
+        return first_rows(df, keys, order, existing)
     new = df.join(existing.select(*keys), keys, "left_anti")
     if not dedupe:
         return new.dropna(subset=keys)
-    if order and order in df.columns:
-        return first_per_key(new, keys, order)
     return new.dropna(subset=keys).dropDuplicates(keys)
 
 
@@ -134,9 +157,11 @@ def add_batch_defaults(postings: DataFrame, data_batch: str) -> DataFrame:
 
 # ------------------------------------------------------------------------ I8
 def new_employers(raw: DataFrame, stored_employers: DataFrame) -> DataFrame:
-    """I8: employers of the whole batch not stored yet, first row per name."""
-    emp = structure(raw, "employers")
-    return unique_records(emp, "company_name", stored_employers)
+    """I8: employers of the whole batch not stored yet, first row per name.
+    A name repeats in most of its rows and the rows are narrow, so they are
+    reduced before the shuffle instead of fetched after it."""
+    emp = first_per_key(structure(raw, "employers"), "company_name")
+    return unique_records(emp, "company_name", stored_employers, dedupe=False)
 
 
 # ------------------------------------------------------------------------ I9 / I10
@@ -162,7 +187,7 @@ def exclude_duplicated(df: DataFrame, dup_ids: DataFrame, policy: str = "drop_al
         ids = dup_ids.select(F.col("duplicated_ids").alias("uniq_id")).distinct()
         return df.join(ids, "uniq_id", "left_anti")
     if policy == "keep_first":
-        return first_per_key(df, "uniq_id", order)
+        return first_rows(df, "uniq_id", order)
     raise ValueError("policy must be 'drop_all' or 'keep_first'")
 
 

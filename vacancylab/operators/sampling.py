@@ -6,6 +6,10 @@ without funnelling n rows through one task: a histogram of 20-bit hash
 prefixes (at most 2^20 small rows) locates the prefix bucket where the n-th
 row falls; rows of lower buckets are taken by a plain filter, and only the
 rows of that single bucket (about N / 2^20) are ordered and cut.
+
+"First n per group" uses buckets that double with the hash, some to each
+doubling: a few hundred small rows per group, and the bucket of the n-th row
+holds a fixed share of n rows whatever the size of the group.
 """
 
 from __future__ import annotations
@@ -13,8 +17,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ._util import null_safe_join
+
 PREFIX_HEX = 5          # 20-bit buckets
 MAX_BUCKETS = 16 ** PREFIX_HEX
+STEPS = 8               # buckets to each doubling of the hash: the last one holds about n / 11 rows
 
 
 def hash_order(key: Column, seed) -> Column:
@@ -47,14 +54,36 @@ def overall_random_sample(positions: DataFrame, sample_share: float = 0.002, see
     return hash_top_n(positions.select("uniq_id", "company_name"), None, "uniq_id", seed, share=sample_share)
 
 
+def log_bucket(place: Column) -> Column:
+    """Bucket of a number from 0 on, ``STEPS`` to each doubling; larger numbers
+    never fall into smaller buckets."""
+    return F.floor(F.log2(place.cast("double") + 1) * STEPS).cast("int")
+
+
+def group_cuts(df: DataFrame, n: int, group: list[str], bucket: Column) -> DataFrame:
+    """(group columns, ``__cut``): the bucket in which the n-th row of a group
+    falls; no row for a group of fewer rows.  Rows are counted per (group,
+    bucket) before any shuffle, so a hot group is no hot task."""
+    hist = df.groupBy(*group, bucket.alias("__b")).agg(F.count(F.lit(1)).alias("__n"))
+    upto = F.sum("__n").over(Window.partitionBy(*group).orderBy("__b"))
+    return (hist.withColumn("__upto", upto).where(F.col("__upto") >= n)
+            .groupBy(*group).agg(F.min("__b").alias("__cut")))
+
+
 def country_sample(positions: DataFrame, n_postings: int = 200, seed=472023) -> DataFrame:
     """At most ``n_postings`` random positions per inferred country
-    (NULL country is a group).  ``row_number() <= n`` lets Spark insert a
-    map-side WindowGroupLimit, so a country holding a third of all rows
-    ships at most n rows per map partition to its window task."""
-    w = Window.partitionBy("inferred_country").orderBy(hash_order(F.col("uniq_id"), seed), "uniq_id")
-    return (positions.select("uniq_id", "company_name", "inferred_country")
-            .withColumn("__rn", F.row_number().over(w))
+    (NULL country is a group).  A cut per country leaves about n rows of each,
+    so that the exact ``row_number() <= n`` behind it orders n rows and one
+    bucket, however many rows a country has.  Ties in hash go by id."""
+    rows = positions.select("uniq_id", "company_name", "inferred_country")
+    h = hash_order(F.col("uniq_id"), seed)
+    # the first 52 bits: exact as double, in the order of the whole hash
+    bucket = log_bucket(F.conv(F.substring(h, 1, 13), 16, 10))
+    cuts = group_cuts(rows, n_postings, ["inferred_country"], bucket)
+    near = (null_safe_join(rows.withColumn("__b", bucket), cuts, ["inferred_country"])
+            .where(F.col("__cut").isNull() | (F.col("__b") <= F.col("__cut"))))
+    w = Window.partitionBy("inferred_country").orderBy(h, "uniq_id")
+    return (near.withColumn("__rn", F.row_number().over(w))
             .filter(F.col("__rn") <= n_postings).select("uniq_id", "company_name"))
 
 

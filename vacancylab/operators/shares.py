@@ -2,10 +2,10 @@
 
 All period-aware operators take a list of *samples*: ``"full_sample"`` and/or
 months ``'YYYY-MM'``.  Instead of one query per period (four scans for the
-full sample plus three months), each posting is exploded into the samples it
-belongs to (at most two: the full sample and its own month) and everything is
-aggregated once by ``(sample, ...)``; totals per sample come from a window
-over the small aggregated result, never over postings.
+full sample plus three months), postings are counted once by month, and the
+full sample is the sum of the months' counts: every posting crosses the joins
+once, and only counts are dealt out to the samples.  Totals per sample come
+from a window over the small aggregated result, never over postings.
 """
 
 from __future__ import annotations
@@ -27,23 +27,28 @@ def _samples(samples) -> list[str]:
     return list(samples)
 
 
-def posting_samples(postings: DataFrame, samples, cleaned_duplicates: bool = True,
-                    flag: str = "unique_posting_textlocation") -> DataFrame:
-    """(uniq_id, sample) for every posting and each requested sample it falls in."""
+def posting_months(postings: DataFrame, samples, cleaned_duplicates: bool = True,
+                   flag: str = "unique_posting_textlocation") -> DataFrame:
+    """(uniq_id, month) of every posting that falls into a requested sample."""
     samples = _samples(samples)
-    months = [s for s in samples if s != FULL]
     chosen = postings
     if cleaned_duplicates:
         chosen = chosen.filter(F.col(flag) == "yes")
     if FULL not in samples:
-        chosen = chosen.filter(month_of().isin(months))
-    m = month_of()
-    arr = []
-    if FULL in samples:
-        arr.append(F.lit(FULL))
+        chosen = chosen.filter(month_of().isin(samples))
+    return chosen.select("uniq_id", month_of().alias("month"))
+
+
+def counts_by_sample(monthly: DataFrame, samples, counts: Sequence[str], group: Sequence[str] = ()) -> DataFrame:
+    """Counts by month (and ``group``) added up for each requested sample; a
+    month that is NULL or not requested counts in the full sample only."""
+    samples = _samples(samples)
+    months = [s for s in samples if s != FULL]
+    of = [F.lit(FULL)] if FULL in samples else []
     if months:
-        arr.append(F.when(m.isin(months), m))
-    return (chosen.select("uniq_id", F.explode(F.array_compact(F.array(*arr))).alias("sample")))
+        of.append(F.when(F.col("month").isin(months), F.col("month")))
+    dealt = monthly.select(*group, *counts, F.explode(F.array_compact(F.array(*of))).alias("sample"))
+    return dealt.groupBy("sample", *group).agg(*[F.sum(c).alias(c) for c in counts])
 
 
 def _region_dim(regions: DataFrame, nuts_level: int) -> DataFrame:
@@ -65,10 +70,11 @@ def geo_dist(db, samples=FULL, nuts_level: int = 2, cleaned_duplicates: bool = T
     """Postings per region code and sample, any region name, and share of
     the sample total (the NULL region stays in the denominator)."""
     col = f"nuts_{nuts_level}"
-    ids = posting_samples(db.postings, samples, cleaned_duplicates)
+    ids = posting_months(db.postings, samples, cleaned_duplicates)
     posn = db.positions.select("uniq_id", F.col(col).alias("region_code"))
-    counts = (posn.join(ids, "uniq_id", "inner")
-              .groupBy("sample", "region_code").agg(F.count(F.lit(1)).alias("total_postings")))
+    monthly = (posn.join(ids, "uniq_id", "inner")
+               .groupBy("month", "region_code").agg(F.count(F.lit(1)).alias("total_postings")))
+    counts = counts_by_sample(monthly, samples, ["total_postings"], ["region_code"])
     named = counts.join(_region_dim(db.regions, nuts_level), "region_code", "left")
     out = _share_within_sample(named, "total_postings", "postings_share")
     return out.select("sample", "region_code", "region", "total_postings", "postings_share")
@@ -88,12 +94,12 @@ TECH_TABLE = {"tech": "tech_tags", "ai": "ai_tags"}
 
 def tech_share(db, samples=FULL, tech: str = "tech", cleaned_duplicates: bool = True) -> DataFrame:
     """Distinct tagged postings / all postings of the sample."""
-    ids = posting_samples(db.postings, samples, cleaned_duplicates)
+    ids = posting_months(db.postings, samples, cleaned_duplicates)
     tagged = _tags(db, tech).distinct().withColumn("__t", F.lit(1))
-    rows = ids.join(tagged, "uniq_id", "left")
-    return (rows.groupBy("sample").agg(
+    monthly = ids.join(tagged, "uniq_id", "left").groupBy("month").agg(
         F.count(F.when(F.col("__t") == 1, 1)).alias("tech_postings"),
         F.count(F.lit(1)).alias("total_postings"))
+    return (counts_by_sample(monthly, samples, ["tech_postings", "total_postings"])
         .withColumn("tech", F.lit(TECH_TABLE[tech]))
         .withColumn("share", F.col("tech_postings") / F.col("total_postings"))
         .select("sample", "tech", "tech_postings", "total_postings", "share"))
@@ -103,11 +109,12 @@ def tech_share(db, samples=FULL, tech: str = "tech", cleaned_duplicates: bool =
 def spatial_tech(db, samples=FULL, tech: str = "tech", cleaned_duplicates: bool = True) -> DataFrame:
     """Tagged postings per NUTS-2 region and sample; rows with a NULL code
     or name are dropped before the share is taken."""
-    ids = posting_samples(db.postings, samples, cleaned_duplicates)
+    ids = posting_months(db.postings, samples, cleaned_duplicates)
     posn = (db.positions.join(_tags(db, tech).distinct(), "uniq_id", "left_semi")
           .select("uniq_id", F.col("nuts_2").alias("region_code")))
-    counts = (posn.join(ids, "uniq_id", "inner")
-              .groupBy("sample", "region_code").agg(F.count(F.lit(1)).alias("n_postings")))
+    monthly = (posn.join(ids, "uniq_id", "inner")
+               .groupBy("month", "region_code").agg(F.count(F.lit(1)).alias("n_postings")))
+    counts = counts_by_sample(monthly, samples, ["n_postings"], ["region_code"])
     named = (counts.join(_region_dim(db.regions, 2), "region_code", "left")
              .dropna(subset=["region_code", "region"]))
     out = _share_within_sample(named, "n_postings", "share").withColumn("tech", F.lit(TECH_TABLE[tech]))
@@ -116,10 +123,12 @@ def spatial_tech(db, samples=FULL, tech: str = "tech", cleaned_duplicates: bool
 
 # ------------------------------------------------------------------------ A10
 def field_shares(db, samples=FULL, cleaned_duplicates: bool = True) -> DataFrame:
-    """A10: distinct tagged postings per technology field / sum over fields."""
-    ids = posting_samples(db.postings, samples, cleaned_duplicates)
+    """A10: distinct tagged postings per technology field / sum over fields.
+    A posting has one month, so the months' distinct counts add up."""
+    ids = posting_months(db.postings, samples, cleaned_duplicates)
     rows = db.tech_tags.select("uniq_id", F.col("bloom_field").alias("field")).join(ids, "uniq_id", "inner")
-    counts = rows.groupBy("sample", "field").agg(F.countDistinct("uniq_id").alias("tech_postings"))
+    monthly = rows.groupBy("month", "field").agg(F.countDistinct("uniq_id").alias("tech_postings"))
+    counts = counts_by_sample(monthly, samples, ["tech_postings"], ["field"])
     return _share_within_sample(counts, "tech_postings", "share").select(
         "sample", "field", "tech_postings", "share")
 
@@ -169,8 +178,10 @@ def period_panel(db, months: Sequence[str], measure: str = "nuts_2",
 
 def sample_totals(db, months: Sequence[str], cleaned_duplicates: bool = True) -> DataFrame:
     """A13 totals: postings per sample (full sample and each month), one pass."""
-    ids = posting_samples(db.postings, [FULL, *months], cleaned_duplicates)
-    return ids.groupBy("sample").agg(F.count(F.lit(1)).alias("total_postings"))
+    samples = [FULL, *months]
+    monthly = (posting_months(db.postings, samples, cleaned_duplicates)
+               .groupBy("month").agg(F.count(F.lit(1)).alias("total_postings")))
+    return counts_by_sample(monthly, samples, ["total_postings"])
 
 
 # ------------------------------------------------------------------------ A14 / A15

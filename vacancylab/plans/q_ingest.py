@@ -96,7 +96,7 @@ def i5(spark, sf_dir):
     SELECT {_cols(POST_COLS)}, '{NEW_BATCH}' AS data_batch, 'yes' AS unique_posting_text,
            'yes' AS unique_posting_textlocation FROM first_post""", [RAWC, FIRST_POST]))
 def i7(spark, sf_dir):
-    post = ingest.first_per_key(ingest.structure(_raw(spark, sf_dir), "postings"), "uniq_id")
+    post = ingest.first_rows(ingest.structure(_raw(spark, sf_dir), "postings"), "uniq_id")
     return ingest.add_batch_defaults(post.drop("_file", ingest.ORDER), NEW_BATCH)
 
 
@@ -198,7 +198,7 @@ def i14_tags(spark, sf_dir):
 @register("i16_rows_per_file", sql("SELECT _file AS file, count(*) AS n_rows FROM first_post GROUP BY _file",
                                    [RAWC, FIRST_POST]))
 def i16(spark, sf_dir):
-    post = ingest.first_per_key(ingest.structure(_raw(spark, sf_dir), "postings"), "uniq_id")
+    post = ingest.first_rows(ingest.structure(_raw(spark, sf_dir), "postings"), "uniq_id")
     return ingest.rows_per_file(post)
 
 
