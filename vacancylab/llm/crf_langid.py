@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.sampling import group_cuts, log_bucket
+
 #: Bounds of the training sample: documents of a language, parts of a document, words of a part.
 DOCS_PER_LANGUAGE, PARTS, PART_WORDS = 400, 4, 16
 #: Share of training sequences in which two languages follow each other.
@@ -240,14 +242,30 @@ def _pieces(run: str) -> list[str]:
     return [part[i:i + _WIDTH] for part in _LETTERS.findall(run) for i in range(0, len(part), _WIDTH)]
 
 
+def training_ids(known: DataFrame, docs_per_language: int) -> DataFrame:
+    """(doc_id, lang): of every language the ``docs_per_language`` documents
+    with the least hash of their id, ties by id, repeated ones once.
+
+    A histogram of the hashes gives each language a cut that leaves about as
+    many, so no task orders more of them than that and one bucket.  The cuts,
+    one row a language, are broadcast: the model has a column for each
+    language anyway."""
+    hashed = F.xxhash64("doc_id")
+    bucket = log_bucket(hashed.cast("double") + F.lit(2.0 ** 63))
+    ids = known.select("doc_id", "lang")
+    cuts = group_cuts(ids, docs_per_language, ["lang"], bucket)
+    near = ids.withColumn("__b", bucket).join(F.broadcast(cuts), "lang", "left").where(
+        F.col("__cut").isNull() | (F.col("__b") <= F.col("__cut")))
+    least = Window.partitionBy("lang").orderBy(hashed, "doc_id")
+    return near.select("doc_id", "lang", F.row_number().over(least).alias("rn")).where(
+        F.col("rn") <= docs_per_language).select("doc_id", "lang").distinct()
+
+
 def train(documents: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE) -> Model:
-    """Model from a bounded sample: of every language the ``docs_per_language``
-    labelled documents with the least hash of their id that are not held out,
-    and of each a few parts spread over the whole text."""
+    """Model from a bounded sample (``training_ids``) of the labelled documents
+    that are not held out, and of each a few parts spread over the whole text."""
     known = documents.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    least = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = known.select("doc_id", "lang", F.row_number().over(least).alias("rn")).where(
-        F.col("rn") <= docs_per_language).select("doc_id", "lang").distinct()
+    chosen = training_ids(known, docs_per_language)
     sample = known.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi")
     rows = sample.select("lang", "text").mapInArrow(_training_parts, "lang string, words string").collect()
     return fit(sorted((r["lang"], r["words"].split()) for r in rows))
