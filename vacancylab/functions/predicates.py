@@ -142,6 +142,12 @@ def name_pattern_condition(column: str, include: Sequence[str],
     return inc
 
 
+def name_exclusion_condition(column: str, exclude: Sequence[str]) -> Column:
+    """P8's second part alone: the name holds none of the words, in any case."""
+    name = F.lower(F.col(column))
+    return functools.reduce(operator.and_, [~name.contains(F.lit(w.lower())) for w in exclude], name.isNotNull())
+
+
 def remote_condition(column: str = "remote_position") -> Column:
     """Remote postings (column normalised to '1' at ingest)."""
     return F.col(column) == F.lit("1")

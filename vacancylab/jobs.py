@@ -18,11 +18,11 @@ finished from its stage by the next job.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from . import schemas
-from .operators import dedup, ingest, keywords, regions
+from .operators import dedup, ingest, keywords, regions, sampling, term_index
 from .session import land_table
 from .sources import raw as rawsrc
 from .sources.catalog import file_system, path_exists
@@ -112,26 +112,67 @@ def batch_partition(data_batch: str, table: str = "postings") -> str:
     return f"{table}/data_batch={data_batch}"
 
 
-def update_batch(spark: SparkSession, raw_dir: str, root: str, data_batch: str,
-                 suffix: str = ".zip", dup_policy: str = "drop_all") -> dict[str, int]:
-    """Monthly update: read every raw file of the batch, attach region codes on
-    ``inferred_state``, append new postings / positions / employers.
+def _load_label() -> Column:
+    """What tells a version of a raw file from another: its length and time."""
+    return F.concat_ws("-", F.lit("file"), F.col("length"), F.unix_millis("modificationTime"))
+
+
+def files_to_load(spark: SparkSession, raw_dir: str, root: str, data_batch: str, suffix: str = ".zip") -> DataFrame:
+    """Raw files of a folder (path, load) that the ledger does not name, by
+    path, length and modification time: a file that was replaced is new."""
+    files = rawsrc.list_raw_files(spark, raw_dir, suffix).select("path", _load_label().alias("load"))
+    if not path_exists(spark, f"{root}/_ledger"):
+        return files
+    known = spark.read.parquet(f"{root}/_ledger").where(F.col("data_batch") == data_batch)
+    return files.join(known.select(F.col("file").alias("path"), "load"), ["path", "load"], "left_anti")
 
-    The raw files are parsed once.  Each append must have as many rows as the
-    keys it adds (I12): a region name with several codes would store an id
-    twice, and stops the job before anything is written."""
+
+def update_batch(spark: SparkSession, raw_dir: str, root: str, data_batch: str,
+                 suffix: str = ".zip", dup_policy: str = "drop_all", reread: bool = False) -> dict[str, int]:
+    """Monthly update: read the raw files of the batch that are not loaded yet,
+    attach region codes on ``inferred_state``, append new postings / positions /
+    employers and name the files in the ledger.
+
+    Files that the ledger names are not opened (``reread=True`` opens them all
+    again).  Whether an id occurs more than once is decided over the files of
+    one call and the stored ids.  The raw files are parsed once.  Each append
+    must have as many rows as the keys it adds (I12): a region name with several
+    codes would store an id twice, and stops the job before anything is written."""
     batch_partition(data_batch)
     finish_publication(spark, root, data_batch)
-    if suffix == ".zip":
-        raw = rawsrc.read_raw_zip(spark, raw_dir)
+    if reread:
+        files = rawsrc.list_raw_files(spark, raw_dir, suffix).select("path", _load_label().alias("load"))
     else:
-        raw = rawsrc.read_raw_csv(spark, f"{raw_dir}/*{suffix}")
+        files = files_to_load(spark, raw_dir, root, data_batch, suffix)
+    chosen = sorted(files.collect())  # names only: as many as files in one provider folder, which the reader plans by
+    if not chosen:
+        return {"positions": 0, "employers": 0, "postings": 0}
+    paths = [r["path"] for r in chosen]
+    raw = rawsrc.read_raw_zip(spark, paths, suffix=suffix) if suffix == ".zip" else rawsrc.read_raw_csv(spark, paths)
+    raw = land_table(raw, "raw")
     stored = open_tables(spark, root)
-    new = ingest.ingest_batch(land_table(raw, "raw"), data_batch, stored, stored.regions, dup_policy)
-    stage_rows(spark, new, root, data_batch)
+    new = ingest.ingest_batch(raw, data_batch, stored, stored.regions, dup_policy)
+    name = F.element_at(F.split("file", "/"), -1)  # Spark escapes the paths of rows, not those of listed files
+    counts = (ingest.rows_per_file(raw).withColumn("file", F.url_decode(F.replace("file", F.lit("+"), F.lit("%2B"))))
+              if suffix != ".zip" else ingest.rows_per_file(raw))
+    read = spark.createDataFrame([(r["load"], r["path"]) for r in chosen], "load string, file string")
+    sources = (read.withColumn("__name", name).join(counts.select(name.alias("__name"), "n_rows"), "__name", "left")
+               .select("load", "file", F.coalesce("n_rows", F.lit(0).cast("long")).alias("n_rows")))
+    stage_rows(spark, new, root, data_batch, sources)
     return finish_publication(spark, root, data_batch)
 
 
+def record_loads(spark: SparkSession, root: str, data_batch: str) -> None:
+    """Name the sources of a complete stage in the ledger, each once."""
+    sources, ledger = f"{_stage_path(root, data_batch)}/sources", f"{root}/_ledger"
+    if not path_exists(spark, f"{sources}/_SUCCESS"):
+        return
+    rows = spark.read.schema("load string, file string, n_rows long").parquet(sources).withColumn("data_batch", F.lit(data_batch))
+    if path_exists(spark, ledger):
+        rows = rows.join(spark.read.parquet(ledger).select("data_batch", "load", "file"), ["data_batch", "load", "file"], "left_anti")
+    rows.select("data_batch", "load", "file", "n_rows").coalesce(1).write.mode("append").parquet(ledger)
+
+
 def _stage_path(root: str, data_batch: str) -> str:
     return f"{root}/_publish/{data_batch}"
 
@@ -179,14 +220,25 @@ def append_stage(spark: SparkSession, root: str, data_batch: str) -> dict[str, i
     return appended
 
 
+def forget_loads(spark: SparkSession, root: str, data_batch: str) -> None:
+    """Take a batch out of the ledger, so that its files count as new again."""
+    restore(spark, root, "_ledger")
+    if path_exists(spark, f"{root}/_ledger"):
+        ledger = spark.read.parquet(f"{root}/_ledger")
+        replace_table(spark, ledger.where(F.col("data_batch") != data_batch), root, "_ledger")
+
+
 def drop_stage(spark: SparkSession, root: str, data_batch: str) -> None:
     fs, path = file_system(spark, _stage_path(root, data_batch))
     fs.delete(path, True)
 
 
 def finish_publication(spark: SparkSession, root: str, data_batch: str) -> dict[str, int]:
-    """Append a stage that is complete and drop it; an incomplete one is dropped."""
+    """Append a stage that is complete, name its files in the ledger and drop
+    it; an incomplete one is dropped.  The ledger comes after the rows: a file
+    that it names is stored."""
     appended = append_stage(spark, root, data_batch)
+    record_loads(spark, root, data_batch)
     drop_stage(spark, root, data_batch)
     return appended
 
@@ -225,6 +277,68 @@ def augment(spark: SparkSession, root: str, data_batch: str, ai_keywords, tech_d
         append_rows(tags, f"{root}/{batch_partition(data_batch, name)}")
 
 
+def load_region_grid(spark: SparkSession, csv_path: str, root: str) -> int:
+    """Region dimension from its file (S4): names in lower case, the stored
+    table replaced.  A row without an English name, or two for one (name,
+    nuts_3), is an error and leaves the table as it was.  Returns the number of rows."""
+    grid = land_table(rawsrc.read_region_grid(spark, csv_path), "regions")
+    key = schemas.PRIMARY_KEYS["regions"]
+    seen = grid.agg(F.count("*").alias("n"), F.count("name_en").alias("named"),
+                    F.countDistinct(F.struct(*key)).alias("keys")).first()
+    if not seen["n"] == seen["named"] == seen["keys"]:
+        raise ValueError(f"{csv_path}: {seen['n']} rows, {seen['named']} with a name, {seen['keys']} keys {key}")
+    replace_table(spark, grid, root, "regions")
+    return seen["n"]
+
+
+def create_development_db(spark: SparkSession, root: str, target: str, sample_share: float = 0.002,
+                          n_per_country: int = 200, seed: int = 472023) -> dict[str, int]:
+    """R4 as a job: a small database under ``target`` with the sampled postings,
+    everything that belongs to them and the whole region dimension, laid out
+    like the large one.  The ids are landed once, so all tables agree.  Returns
+    the rows per table."""
+    if target.rstrip("/") == root.rstrip("/"):
+        raise ValueError("the subset needs a folder of its own")
+    stored = open_tables(spark, root, required=("postings", "positions", "employers"))
+    ids = land_table(sampling.development_sample_ids(stored.positions, sample_share, n_per_country, seed), "sample-ids")
+    subset = sampling.referential_subset(stored, ids)
+    batches = subset.postings.select("uniq_id", "data_batch")
+    rows = {}
+    for name in TABLES:
+        df = getattr(subset, name)
+        if name in BY_BATCH and "data_batch" not in df.columns:
+            df = df.join(batches, "uniq_id")
+        replace_table(spark, df, target, name, ("data_batch",) if name in BY_BATCH else ())
+        rows[name] = getattr(open_tables(spark, target), name).count()
+    return rows
+
+
+def reset_flag(spark: SparkSession, root: str, column: str, default_value: str, data_batch: str,
+               restrict_to_countries=None, exclude_countries=None) -> None:
+    """I15 as a job: only the batch's partition of postings is written."""
+    part = batch_partition(data_batch)
+    t = open_tables(spark, root, required=("postings", "positions"))
+    mine = t.postings.where(F.col("data_batch") == data_batch)
+    if not mine.isEmpty():
+        flags = dedup.reset_flag(mine, t.positions, column, default_value, data_batch, restrict_to_countries, exclude_countries)
+        replace_table(spark, flags.drop("data_batch"), root, part)
+
+
+def index_terms(spark: SparkSession, root: str, data_batch: str) -> None:
+    """Term index of one batch (K4-K7 without texts): its partition is written anew."""
+    t = open_tables(spark, root, required=("postings",))
+    mine = t.postings.where(F.col("data_batch") == data_batch)
+    replace_table(spark, term_index.sorted_index(term_index.term_rows(mine).drop("data_batch")), root,
+                  batch_partition(data_batch, "term_index"))
+
+
+def open_term_index(spark: SparkSession, root: str, data_batch: str | None = None) -> DataFrame:
+    """Stored term index, of one batch or of all that have one."""
+    part = "term_index" if data_batch is None else batch_partition(data_batch, "term_index")
+    restore(spark, root, part)
+    return spark.read.option("basePath", f"{root}/term_index").parquet(f"{root}/{part}")
+
+
 def drop_partition(spark: SparkSession, root: str, table: str, data_batch: str) -> None:
     """Delete a batch of one table: its folder is moved out in one step, then
     removed.  A kill in between leaves a folder in ``_swap`` that no table
@@ -246,7 +360,8 @@ def clean_tables(spark: SparkSession, root: str, data_batch: str) -> None:
     names any more.  Killed at any step, the next call does the rest."""
     open_tables(spark, root, required=("postings", "positions", "employers"))
     finish_publication(spark, root, data_batch)
-    for name in reversed(BY_BATCH):
+    for name in ("term_index", *reversed(BY_BATCH)):
         drop_partition(spark, root, name, data_batch)
+    forget_loads(spark, root, data_batch)
     t = open_tables(spark, root)
     replace_table(spark, ingest.remove_orphan_employers(t.employers, t.positions), root, "employers")

@@ -1,8 +1,8 @@
 """Company-level AI-share study.
 
-Firm patterns are a small, ordered dimension (tens of rows): the employer
-match (P8) and the canonical-name rule (C6, first pattern in list order wins)
-are literal Column expressions built from it, evaluated inside the scan.
+Firm patterns are an ordered table: the employer match (P8) and the
+canonical-name rule (C6, first pattern in list order wins) are joins of the
+distinct employer names with the patterns' rarest pieces.
 """
 
 from __future__ import annotations
@@ -12,9 +12,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.predicates import apply_condition, batch_condition, name_pattern_condition
+from ..functions.predicates import apply_condition, batch_condition, name_exclusion_condition
 from ..functions.text import truncate_prefixed
-from ._util import MAX_DICTIONARY_ROWS, collect_bounded, null_safe_join
+from ._util import null_safe_join
 
 # Parent-company search patterns and canonical names, in order.
 PHARMA_FIRMS = [
@@ -46,22 +46,54 @@ def firm_patterns(parents: DataFrame, subsidiaries: DataFrame | None = None) ->
     return p.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")
 
 
-def patterns_present(patterns: DataFrame, employers: DataFrame) -> DataFrame:
-    """Patterns that occur in at least one employer name: one global
-    aggregate over the employers (a boolean per pattern), no theta join."""
-    rows = _pattern_rows_full(patterns)
-    if not rows:
-        return patterns
-    flags = employers.agg(*[F.max(F.lower("company_name").contains(F.lit(p.lower()))).alias(f"p{i}")
-                            for i, (_, p, _) in enumerate(rows)]).first()
-    keep = [o for i, (o, _, _) in enumerate(rows) if flags[f"p{i}"]]
-    return patterns.filter(F.col("pattern_order").isin(keep))
+#: Length of the pieces by which patterns and names meet; shorter patterns are pieces themselves.
+GRAM = 4
+
+
+def _grams(text, length):
+    """Distinct pieces of ``length`` characters; one empty piece for length 0."""
+    places = F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(text) - length + 1))
+    return F.array_distinct(F.transform(F.when(length <= F.length(text), F.when(length == 0, F.array(F.lit(1))).otherwise(places)),
+                                        lambda i: F.substr(text, i, length)))
+
+
+def matching_patterns(names: DataFrame, patterns: DataFrame, fold_case: bool = True) -> DataFrame:
+    """P8 as data: (company_name, pattern_order, firm_name_pattern, firm_name) for
+    every distinct name and pattern that the name contains, with or without
+    regard to case.
+
+    A pattern is posted under its rarest piece of four characters (by the number
+    of names that hold it); names meet it by an equi-join on their pieces and
+    are compared whole behind it.  Neither side passes the driver and no
+    expression grows with the patterns.  Shorter patterns are pieces of their
+    own length (an empty one is in every name); NULL names and patterns match nothing."""
+    def folded(column: str):
+        return F.lower(column) if fold_case else F.col(column)
+    known = (names.where(F.col("company_name").isNotNull()).select("company_name").distinct()
+             .withColumn("__name", folded("company_name")))
+    wanted = (patterns.where(F.col("firm_name_pattern").isNotNull())
+              .select("pattern_order", "firm_name_pattern", "firm_name", folded("firm_name_pattern").alias("__pattern")))
+    lengths = wanted.select(F.least(F.lit(GRAM), F.length("__pattern")).alias("__length")).distinct()
+    # five lengths at most, one where all patterns have four characters
+    pieces = (known.select("company_name", "__name", F.explode(F.array(*map(F.lit, range(GRAM + 1)))).alias("__length"))
+              .join(F.broadcast(lengths), "__length", "left_semi")
+              .select("company_name", "__name", F.explode(_grams(F.col("__name"), F.col("__length"))).alias("__gram")))
+    texts = wanted.select("__pattern").distinct()
+    keys = texts.select("__pattern", F.explode(_grams(F.col("__pattern"), F.least(F.lit(GRAM), F.length("__pattern")))).alias("__gram"))
+    held = (pieces.join(keys.select("__gram").distinct(), "__gram", "left_semi")
+            .groupBy("__gram").agg(F.count(F.lit(1)).alias("__n")))
+    # a piece that no name holds settles its pattern: it occurs nowhere
+    rarest = (keys.join(held, "__gram", "left").groupBy("__pattern")
+              .agg(F.min_by("__gram", F.struct(F.coalesce("__n", F.lit(0)).alias("n"), "__gram")).alias("__gram")))
+    met = pieces.join(rarest, "__gram").where(F.col("__name").contains(F.col("__pattern")))
+    return (met.join(wanted, "__pattern")
+            .select("company_name", "pattern_order", "firm_name_pattern", "firm_name"))
 
 
-def _pattern_rows_full(patterns: DataFrame) -> list[tuple[int, str, str]]:
-    rows = collect_bounded(patterns.select("pattern_order", "firm_name_pattern", "firm_name"),
-                           MAX_DICTIONARY_ROWS, "firm patterns")
-    return sorted((r[0], r[1], r[2]) for r in rows)
+def patterns_present(patterns: DataFrame, employers: DataFrame) -> DataFrame:
+    """Patterns that occur in at least one employer name, in any case."""
+    found = matching_patterns(employers, patterns).select("firm_name_pattern").distinct()
+    return patterns.join(found, "firm_name_pattern", "left_semi").select(*patterns.columns)
 
 
 def patterns_from_list(spark, firms: Sequence[tuple[str, str]]) -> DataFrame:
@@ -69,20 +101,12 @@ def patterns_from_list(spark, firms: Sequence[tuple[str, str]]) -> DataFrame:
                                  "pattern_order int, firm_name_pattern string, firm_name string")
 
 
-def _pattern_rows(patterns: DataFrame) -> list[tuple[str, str]]:
-    rows = collect_bounded(patterns.select("pattern_order", "firm_name_pattern", "firm_name"),
-                           MAX_DICTIONARY_ROWS, "firm patterns")
-    return [(r[1], r[2]) for r in sorted(rows, key=lambda r: r[0])]
-
-
 # ------------------------------------------------------------------------ C2 / C3
 def _matched_postings(db, patterns: DataFrame, exclusions: Sequence[str], data_batch: str,
                       distinct_only: bool) -> DataFrame:
-    pats = [p for p, _ in _pattern_rows(patterns)]
-    employers = (db.employers.filter(name_pattern_condition("company_name", pats))
-                 .select("company_name").distinct())
-    posn = (db.positions.filter(name_pattern_condition("company_name", pats, exclusions))
-            .join(employers, "company_name", "inner").select("company_name", "uniq_id", "nuts_2"))
+    kept = db.employers.where(name_exclusion_condition("company_name", exclusions))
+    employers = matching_patterns(kept, patterns).select("company_name").distinct()
+    posn = db.positions.select("company_name", "uniq_id", "nuts_2").join(employers, "company_name", "left_semi")
     chosen = apply_condition(db.postings, batch_condition(data_batch))
     if distinct_only:
         chosen = chosen.filter(F.col("unique_posting_text") == "yes")
@@ -129,12 +153,11 @@ def false_positive_review(total: DataFrame, min_postings: int = 50) -> DataFrame
 
 
 # ------------------------------------------------------------------------ C6
-def canonical_firm_name(name_col: str, patterns: DataFrame):
-    """The firm of the first pattern (list order) contained in the name
-    (case-sensitive); otherwise the name unchanged."""
-    rows = _pattern_rows(patterns)
-    return F.coalesce(*[F.when(F.col(name_col).contains(F.lit(p)), F.lit(f)) for p, f in rows],
-                      F.col(name_col))
+def canonical_firm_names(names: DataFrame, patterns: DataFrame) -> DataFrame:
+    """(company_name, firm_name) of the names that contain a pattern
+    (case-sensitive): the firm of the first one in list order."""
+    first = F.min_by("firm_name", F.struct("pattern_order", "firm_name_pattern", "firm_name"))
+    return matching_patterns(names, patterns, fold_case=False).groupBy("company_name").agg(first.alias("firm_name"))
 
 
 # ------------------------------------------------------------------------ C7 / C8
@@ -144,11 +167,15 @@ def company_ai_shares(db, patterns: DataFrame, exclusions: Sequence[str] = PHARM
     """Per canonical firm and region: n_postings, n_ai_postings (0 when
     none), ai_share (NULL when there are no AI postings: computed before the
     zero fill), region name and country from the OECD level-2 rows."""
-    canon = canonical_firm_name("company_name", patterns)
     tags = db.ai_tags.groupBy("uniq_id").agg(F.count(F.lit(1)).alias("tags"))
-    res = (_matched_postings(db, patterns, exclusions, data_batch, distinct_only)
-           .join(tags, "uniq_id", "left").groupBy(canon.alias("company_name"), "nuts_2")
-           .agg(F.count(F.lit(1)).alias("n_postings"), F.sum("tags").cast("bigint").alias("n_ai_postings")))
+    named = (_matched_postings(db, patterns, exclusions, data_batch, distinct_only)
+             .join(tags, "uniq_id", "left").groupBy("company_name", "nuts_2")
+             .agg(F.count(F.lit(1)).alias("n_postings"), F.sum("tags").alias("n_ai_postings")))
+    # few rows by now: one per employer name and region
+    firms = canonical_firm_names(db.employers, patterns)
+    res = (named.join(firms, "company_name", "left")
+           .groupBy(F.coalesce("firm_name", "company_name").alias("company_name"), "nuts_2")
+           .agg(F.sum("n_postings").cast("bigint").alias("n_postings"), F.sum("n_ai_postings").cast("bigint").alias("n_ai_postings")))
     res = (res.withColumn("ai_share", F.col("n_ai_postings") / F.col("n_postings"))
            .withColumn("n_ai_postings", F.coalesce("n_ai_postings", F.lit(0).cast("bigint"))))
     res = res.withColumn("nuts_2", truncate_prefixed(F.col("nuts_2"), uk_prefix, uk_length))

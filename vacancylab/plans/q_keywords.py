@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import keywords
+from ..operators import keywords, term_index
+from ..session import land_table
 from ..sources.fixtures import fixture_db
-from .catalog import register
+from .catalog import ORACLES, register
 from .fixture_sql import CURRENT_BATCH
 from .oracle import sql
 
@@ -103,3 +104,26 @@ def k5_listed(spark, sf_dir):
 def k7(spark, sf_dir):
     db = fixture_db(spark, sf_dir)
     return keywords.hits_per_field(db.tech_tags, db.tech_dict)
+
+
+# ---- the same questions asked of a term index, which is landed before it is read
+def _index(spark, sf_dir):
+    db = fixture_db(spark, sf_dir, flags=False, geo=False, tags=False)
+    return db, land_table(term_index.sorted_index(term_index.term_rows(db.postings)), "terms")
+
+
+@register("k3_keywords_from_index", _k3_sql())
+def k3_index(spark, sf_dir):
+    db, index = _index(spark, sf_dir)
+    return term_index.indexed_counts(index, keywords.load_keywords(db.tech_dict))
+
+
+@register("k5_published_ai_keywords_from_index", ORACLES["k5_published_ai_keywords"])
+def k5_index(spark, sf_dir):
+    return term_index.indexed_ids(_index(spark, sf_dir)[1], LISTED)
+
+
+@register("k6_tech_tags_from_index", sql("SELECT * FROM tech_tags"))
+def k6_index(spark, sf_dir):
+    db, index = _index(spark, sf_dir)
+    return term_index.indexed_tech_tags(index, db.tech_dict)

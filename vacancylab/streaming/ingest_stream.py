@@ -110,12 +110,7 @@ def publish(spark: SparkSession, db_root: str, data_batch: str, regions: DataFra
         files = read("files").select("load", F.col("_file").alias("file"), "n_rows")
         jobs.stage_rows(spark, new, db_root, data_batch, files)
     done = spark.read.schema("load string, file string, n_rows long").parquet(sources)
-    ledger = f"{db_root}/_ledger"
-    rows = done.withColumn("data_batch", F.lit(data_batch))
-    if path_exists(spark, ledger):
-        rows = rows.join(spark.read.parquet(ledger).select("data_batch", "load", "file"),
-                         ["data_batch", "load", "file"], "left_anti")
-    rows.select("data_batch", "load", "file", "n_rows").coalesce(1).write.mode("append").parquet(ledger)
+    jobs.record_loads(spark, db_root, data_batch)
     loads = [r["load"] for r in done.select("load").distinct().collect()]  # as many as triggers since the last publication
     appended = jobs.append_stage(spark, db_root, data_batch)
     for load in loads:
