@@ -176,13 +176,15 @@ def probe_tables(docs: DataFrame, windows: DataFrame) -> tuple[DataFrame, DataFr
     for those, and one common key for sources without a whole token; the
     latter two have no place and no checks.
     """
+    sources = windows.withColumnRenamed("uniq_id", "src")
+    held = cut_lineage(sources.select("company_name", "src", F.explode(window_fingerprints(F.col("windows"))).alias("f"))
+                       .select("company_name", "src", "f.*"))
+    # of all the texts' fingerprints only those that some window holds are kept
     prints = cut_lineage(docs.select("company_name", F.col("uniq_id").alias("dst"),
                                      F.explode(winnowed_fingerprints(F.col("job_description"))).alias("f"))
-                         .select("company_name", "dst", "f.key", F.col("f.pos").alias("at")))
-    sources = windows.withColumnRenamed("uniq_id", "src")
-    by_print = cut_lineage(_rarest(
-        sources.select("company_name", "src", F.explode(window_fingerprints(F.col("windows"))).alias("f"))
-        .select("company_name", "src", "f.*"), prints))
+                         .select("company_name", "dst", "f.key", F.col("f.pos").alias("at"))
+                         .join(held.select("company_name", "key").distinct(), ["company_name", "key"], "left_semi"))
+    by_print = cut_lineage(_rarest(held, prints))
     short = sources.join(by_print, ["company_name", "src"], "left_anti")
     token_key = F.xxhash64(F.lit("token"), F.col("token")).alias("key")
     nowhere = F.lit(None).cast("int")
@@ -202,8 +204,13 @@ def probe_tables(docs: DataFrame, windows: DataFrame) -> tuple[DataFrame, DataFr
     probes = cut_lineage(by_print.unionByName(by_token).unionByName(bare))
     everywhere = docs.join(bare.select("company_name").distinct(), "company_name", "left_semi").select(
         "company_name", F.col("uniq_id").alias("dst"), F.lit(0).cast("long").alias("key"), nowhere.alias("at"))
-    index = cut_lineage(prints.unionByName(tokens).unionByName(everywhere).join(
-        probes.select("company_name", "key").distinct(), ["company_name", "key"], "left_semi"))
+    # a text before all sources of a key is no target, and a source after all texts of its key has none
+    first = probes.groupBy("company_name", "key").agg(F.min("src").alias("first"))
+    index = cut_lineage(prints.unionByName(tokens).unionByName(everywhere).join(first, ["company_name", "key"])
+                        .where("dst > first").drop("first"))
+    last = index.groupBy("company_name", "key").agg(F.max("dst").alias("last"))
+    probes = cut_lineage(probes.join(last, ["company_name", "key"]).where("last > src")
+                         .select("company_name", "src", "key", "w", "pos", "checks"))
     checked = probes.select("company_name", F.explode("checks").alias("c")).select("company_name", "c.key").distinct()
     marks = cut_lineage(prints.join(checked, ["company_name", "key"], "left_semi"))
     return probes, index, marks
