@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -51,3 +53,30 @@ def test_gram_hashes_depend_on_the_characters_alone(n):
         by_gram.setdefault(text[i:i + n], set()).add(h)
     assert all(len(h) == 1 for h in by_gram.values())
     assert len(set.union(*by_gram.values())) == len(by_gram)
+
+
+def test_the_bit_map_of_grams_grows_with_the_keys(spark):
+    """Of the grams that are no key few pass, however many keys there are; all keys pass."""
+    rng = random.Random(5)
+    texts = ["".join(rng.choice("abcdefghijklmnop") for _ in range(4000)) for _ in range(3)]
+    kept = [int(h) for h in near_dups._gram_hashes(texts[0], [8])[8][::100]]
+    keys = spark.range(300_000).select(F.xxhash64("id").alias("key"), F.lit(8).alias("n")).unionByName(
+        spark.createDataFrame([(h, 8) for h in kept], "key long, n int"))
+    found = spark.createDataFrame([(t,) for t in texts], "t string").select(
+        F.explode(near_dups.gram_finder(keys)(F.col("t"))).alias("key"))
+    got = {r["key"] for r in found.collect()}
+    assert set(kept) <= got and len(got) < len(set(kept)) + 0.03 * 3 * 4000
+
+
+def test_hashes_of_token_runs_depend_on_the_tokens_alone():
+    import numpy as np
+    text = "a  b c é😀 d a  b c é😀 x  "
+    tokens = text.split(" ")
+    by_run: dict[tuple, set[int]] = {}
+    hashes = near_dups._kgram_hashes(text)
+    assert len(hashes) == len(tokens) - near_dups.K_GRAM + 1
+    for i, h in enumerate(hashes.tolist()):
+        by_run.setdefault(tuple(tokens[i:i + near_dups.K_GRAM]), set()).add(h)
+    assert all(len(h) == 1 for h in by_run.values()) and len(set.union(*by_run.values())) == len(by_run)
+    assert [len(near_dups._kgram_hashes(t)) for t in ("", " ", "a b c", "a b c d")] == [0, 0, 0, 1]
+    assert np.array_equal(near_dups._kgram_hashes("a b c d"), near_dups._kgram_hashes("x a b c d")[1:])
