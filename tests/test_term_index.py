@@ -77,3 +77,24 @@ def test_plan_reads_no_text_and_runs_no_python(spark, texts, tmpdir_path):
     plan = hits._jdf.queryExecution().executedPlan().toString()
     assert "StringStartsWith(term,keras)" in plan and "job_description" not in plan
     assert "Python" not in plan and "Arrow" not in plan and "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_segments_are_sorted_alone_and_hold_every_row(spark, texts, monkeypatch):
+    monkeypatch.setattr(term_index, "SEGMENT_CHARS", 20_000)
+    dealt = term_index.segmented(texts)
+    assert dealt.rdd.getNumPartitions() == 6    # 100,200 characters and a few
+    rows = term_index.sorted_index(term_index.term_rows(dealt))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    # texts are dealt out before their terms; no term is in an exchange
+    assert "rangepartitioning" not in plan and plan.index("Generate") < plan.index("Exchange") and plan.count("Exchange") == 1
+    index = land_table(rows, "terms")
+    assert sorted(map(tuple, index.collect())) == sorted(map(tuple, term_index.term_rows(texts).collect()))
+    assert _pairs(term_index.indexed_hits(index, WORDS)) == _expected()
+
+
+def test_a_table_of_keywords_multiplies_no_index_row(spark, texts):
+    index = land_table(term_index.sorted_index(term_index.term_rows(texts)), "terms")
+    table = spark.createDataFrame([(w,) for w in WORDS], "keyword string")
+    plan = term_index.indexed_hits(index, table)._jdf.queryExecution().optimizedPlan().toString()
+    # what is exploded are the keywords' words, never prefixes of the index's terms
+    assert "explode(transform" not in plan and "Cartesian" not in plan

@@ -328,7 +328,8 @@ def index_terms(spark: SparkSession, root: str, data_batch: str) -> None:
     """Term index of one batch (K4-K7 without texts): its partition is written anew."""
     t = open_tables(spark, root, required=("postings",))
     mine = t.postings.where(F.col("data_batch") == data_batch)
-    replace_table(spark, term_index.sorted_index(term_index.term_rows(mine).drop("data_batch")), root,
+    rows = term_index.term_rows(term_index.segmented(mine)).drop("data_batch")
+    replace_table(spark, term_index.sorted_index(rows), root,
                   batch_partition(data_batch, "term_index"))
 
 

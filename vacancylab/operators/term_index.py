@@ -5,9 +5,11 @@ stand after spaces: all but the last are whole terms, the last is an open stem.
 The index holds one row per term of a text, with its place and whether a space
 follows; what it answers is exact, so a new keyword list never scans a text.
 
-Stored, a batch is one partition whose rows are sorted by (term, id): a lookup
-pushes the keywords' words into the scan, which skips the row groups that hold
-none of them, and a term of any frequency spreads over files by id.
+Stored, a batch is one partition of segments: files over some of its texts each,
+whose rows are sorted by (term, id).  A lookup pushes the keywords' words into
+the scan, which skips the row groups that hold none of them; a term of any
+frequency spreads over the segments.  Only texts are dealt out, never their
+terms, and a segment holds so few ids that Parquet stores them by dictionary.
 
 Defined results: NULL texts and NULL ids have no rows; ids are the key of
 postings (I12); a keyword without words (empty) matches every text that holds a
@@ -29,6 +31,8 @@ from .keywords import load_keywords
 #: Characters of a word that lookups are joined on; the whole word is compared after it.
 KEY_CHARS = 4
 INDEX_COLUMNS = ("term", "uniq_id", "place", "closed")
+#: Characters of text in a segment, about: some 3 million rows, which a task sorts in memory.
+SEGMENT_CHARS = 1 << 24
 
 
 def term_rows(postings: DataFrame, matching_column: str = "job_description") -> DataFrame:
@@ -41,9 +45,18 @@ def term_rows(postings: DataFrame, matching_column: str = "job_description") ->
     return rows.where("place > 0").select(*batch, "term", "uniq_id", "place", (F.col("place") < F.col("__last")).alias("closed"))
 
 
+def segmented(postings: DataFrame, matching_column: str = "job_description") -> DataFrame:
+    """``postings`` dealt out by id into the segments of an index: one more
+    exchange of the texts, a tenth of the volume of their terms."""
+    chosen = postings.where(F.col("uniq_id").isNotNull() & F.col(matching_column).isNotNull()).select(
+        *[c for c in ("data_batch",) if c in postings.columns], "uniq_id", matching_column)
+    chars = chosen.agg(F.sum(F.length(matching_column).cast("long"))).first()[0] or 0
+    return chosen.repartition(1 + chars // SEGMENT_CHARS, "uniq_id")
+
+
 def sorted_index(rows: DataFrame) -> DataFrame:
-    """Index rows as they are stored: ranges of (term, id), sorted."""
-    return rows.repartitionByRange("term", "uniq_id").sortWithinPartitions("term", "uniq_id", "place")
+    """Index rows as they are stored: each task's rows, a segment, sorted."""
+    return rows.sortWithinPartitions("term", "uniq_id", "place")
 
 
 def keyword_words(keywords: DataFrame) -> DataFrame:
@@ -69,20 +82,23 @@ def indexed_hits(index: DataFrame, keywords: DataFrame | Sequence[str]) -> DataF
     """Distinct (keyword, uniq_id) of the keywords that occur.
 
     A list of keywords is pushed into the index scan; a table of any size is
-    joined.  A word meets the terms that begin with its first characters by
-    an equi-join and is compared whole behind it; a keyword occurs where
-    all its words stand side by side, counted per (keyword, id, start)."""
+    joined.  A whole word meets its terms by an equi-join, a stem those that begin
+    with its first characters, and is compared whole behind it; a keyword occurs
+    where all its words stand side by side, counted per (keyword, id, start)."""
     spark = index.sparkSession
     if not isinstance(keywords, DataFrame):
         listed = sorted(set(keywords))
         index = index.where(_words_condition([p for k in listed for p in k.lower().split(" ")]))
         keywords = spark.createDataFrame([(k,) for k in listed], "keyword string")
-    words = broadcast_if_small(keyword_words(keywords))
-    begins = F.transform(F.sequence(F.lit(0), F.least(F.lit(KEY_CHARS), F.length("term"))),
-                         lambda n: F.left(F.col("term"), n))
-    met = (index.select(*INDEX_COLUMNS, F.explode(begins).alias("key")).join(words.withColumnRenamed("closed", "must_close"), "key")
-           .where(F.when(F.col("open"), F.col("term").startswith(F.col("word"))).otherwise(F.col("term") == F.col("word"))
-                  & (~F.col("must_close") | F.col("closed"))))
+    words = keyword_words(keywords).withColumnRenamed("closed", "must_close")
+    ends = ~F.col("must_close") | F.col("closed")
+    rows = index.select(*INDEX_COLUMNS)
+    # whole words meet their terms; stems the terms that begin alike, in one pass for each length of key (five at most)
+    met = rows.join(broadcast_if_small(words.where("not open")), F.col("term") == F.col("word")).where(ends)
+    for n in sorted(r[0] for r in words.where("open").select(F.length("key")).distinct().collect()):
+        stems = broadcast_if_small(words.where(F.col("open") & (F.length("key") == n)))
+        met = met.unionByName(rows.join(stems, F.left("term", F.lit(n)) == F.col("key"))
+                              .where(F.col("term").startswith(F.col("word")) & ends))
     single = met.where("n_words = 1").select("keyword", "uniq_id").distinct()
     phrases = (met.where("n_words > 1").groupBy("keyword", "uniq_id", (F.col("place") - F.col("nth")).alias("start"), "n_words")
                .agg(F.count(F.lit(1)).alias("n")).where("n = n_words").select("keyword", "uniq_id").distinct())

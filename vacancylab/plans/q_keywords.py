@@ -109,7 +109,7 @@ def k7(spark, sf_dir):
 # ---- the same questions asked of a term index, which is landed before it is read
 def _index(spark, sf_dir):
     db = fixture_db(spark, sf_dir, flags=False, geo=False, tags=False)
-    return db, land_table(term_index.sorted_index(term_index.term_rows(db.postings)), "terms")
+    return db, land_table(term_index.sorted_index(term_index.term_rows(term_index.segmented(db.postings))), "terms")
 
 
 @register("k3_keywords_from_index", _k3_sql())
