@@ -7,6 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from vacancylab.plans import fixture_sql
 from vacancylab.sources.fixtures import fixture_views
 
@@ -48,3 +49,29 @@ def test_a_filter_on_the_name_leaves_an_equi_join(spark, tables, view):
     with_names = [line for line in plan.splitlines() if "Join" in line and "s_name" in line]
     equal = re.compile(r"(supplier_key|s_suppkey)#\d+L? = (supplier_key|s_suppkey)#\d+L?")
     assert with_names and all(equal.search(line) for line in with_names)
+
+
+#: Queries that filter on the employer's name or keep the named employers' rows only.
+QUERIES = [
+    "i8_new_employers",
+]
+
+
+def joins_of_pairs(df):
+    """Joins without equal keys of which neither side is a single row, subqueries included."""
+    equal_keys = df.sparkSession._jvm.org.apache.spark.sql.catalyst.planning.ExtractEquiJoinKeys
+    plan = df._jdf.queryExecution().optimizedPlan()
+    many = lambda side: side.maxRows().isEmpty() or side.maxRows().get() > 1
+    listed = lambda nodes: [nodes.apply(i) for i in range(nodes.size())]
+    todo, found = [plan, *listed(plan.subqueriesAll())], []
+    while todo:
+        node = todo.pop()
+        todo += listed(node.children())
+        if node.nodeName() == "Join" and many(node.left()) and many(node.right()) and equal_keys.unapply(node).isEmpty():
+            found.append(node.simpleString(100))
+    return found
+
+
+@pytest.mark.parametrize("name", QUERIES)
+def test_query_compares_no_document_with_every_supplier(spark, tables, name):
+    assert joins_of_pairs(entry.queries()[name](spark, tables)) == []
