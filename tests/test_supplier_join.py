@@ -54,6 +54,7 @@ def test_a_filter_on_the_name_leaves_an_equi_join(spark, tables, view):
 #: Queries that filter on the employer's name or keep the named employers' rows only.
 QUERIES = [
     "i8_new_employers",
+    "c2_company_region_postings",
 ]
 
 
