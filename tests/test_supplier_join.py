@@ -55,6 +55,7 @@ def test_a_filter_on_the_name_leaves_an_equi_join(spark, tables, view):
 QUERIES = [
     "i8_new_employers",
     "c2_company_region_postings",
+    "c3_company_region_ai_postings",
 ]
 
 
