@@ -56,6 +56,7 @@ QUERIES = [
     "i8_new_employers",
     "c2_company_region_postings",
     "c3_company_region_ai_postings",
+    "c6_c8_company_ai_shares",
 ]
 
 
