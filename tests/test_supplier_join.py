@@ -57,6 +57,7 @@ QUERIES = [
     "c2_company_region_postings",
     "c3_company_region_ai_postings",
     "c6_c8_company_ai_shares",
+    "c5_false_positive_review",
 ]
 
 
