@@ -58,6 +58,7 @@ QUERIES = [
     "c3_company_region_ai_postings",
     "c6_c8_company_ai_shares",
     "c5_false_positive_review",
+    "c4_matched_employer_count",
 ]
 
 
