@@ -59,6 +59,7 @@ QUERIES = [
     "c6_c8_company_ai_shares",
     "c5_false_positive_review",
     "c4_matched_employer_count",
+    "e2_employer_postings",
 ]
 
 
