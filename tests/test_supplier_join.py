@@ -60,6 +60,7 @@ QUERIES = [
     "c5_false_positive_review",
     "c4_matched_employer_count",
     "e2_employer_postings",
+    "c9_top_companies_by_ai_share",
 ]
 
 
