@@ -61,6 +61,7 @@ QUERIES = [
     "c4_matched_employer_count",
     "e2_employer_postings",
     "c9_top_companies_by_ai_share",
+    "e2_employer_postings_window",
 ]
 
 
