@@ -62,6 +62,7 @@ QUERIES = [
     "e2_employer_postings",
     "c9_top_companies_by_ai_share",
     "e2_employer_postings_window",
+    "e3_within_employer_duplicates",
 ]
 
 
