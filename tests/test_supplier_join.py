@@ -63,6 +63,7 @@ QUERIES = [
     "c9_top_companies_by_ai_share",
     "e2_employer_postings_window",
     "e3_within_employer_duplicates",
+    "e3_within_employer_duplicates_min1",
 ]
 
 
