@@ -64,6 +64,7 @@ QUERIES = [
     "e2_employer_postings_window",
     "e3_within_employer_duplicates",
     "e3_within_employer_duplicates_min1",
+    "e3_within_employer_duplicates_min7",
 ]
 
 
