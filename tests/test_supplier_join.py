@@ -66,6 +66,7 @@ QUERIES = [
     "e3_within_employer_duplicates_min1",
     "e3_within_employer_duplicates_min7",
     "e5_token_windows",
+    "e3_within_employer_duplicates_period",
 ]
 
 
