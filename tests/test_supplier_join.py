@@ -67,6 +67,7 @@ QUERIES = [
     "e3_within_employer_duplicates_min7",
     "e5_token_windows",
     "e3_within_employer_duplicates_period",
+    "r4_subset_employers",
 ]
 
 
