@@ -68,6 +68,7 @@ QUERIES = [
     "e5_token_windows",
     "e3_within_employer_duplicates_period",
     "r4_subset_employers",
+    "e2_sampled_employer_postings",
 ]
 
 
