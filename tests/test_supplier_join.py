@@ -69,6 +69,7 @@ QUERIES = [
     "e3_within_employer_duplicates_period",
     "r4_subset_employers",
     "e2_sampled_employer_postings",
+    "x3_company_in_city",
 ]
 
 
