@@ -70,6 +70,7 @@ QUERIES = [
     "r4_subset_employers",
     "e2_sampled_employer_postings",
     "x3_company_in_city",
+    "r4_subset_tech_tags",
 ]
 
 
