@@ -78,3 +78,10 @@ def test_scratch_deletes_what_is_dropped_and_all_at_its_end(spark):
             assert before < _kept_bytes(spark) < with_one and two.count() == 10
             raise KeyError
     assert _kept_bytes(spark) == before and spark.conf.get(Scratch.CLEANUP, None) == setting
+
+
+@pytest.mark.parametrize("by", ["_with_copies"])
+def test_e6_reads_the_postings_once(spark, by):
+    """The counts come from the rows that the flags were made of, not from a second run of the input."""
+    plan = q_evaluation._e6(spark, SF_SMALL, by)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1
