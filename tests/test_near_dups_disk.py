@@ -7,12 +7,11 @@ import random
 from urllib.parse import urlparse
 
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from test_near_dups import run_both
 from vacancylab.operators import near_dups
-from vacancylab.plans import q_evaluation
+from vacancylab.plans import catalog, q_evaluation
 from vacancylab.session import Scratch, ensure_checkpoint_dir
 
 SCHEMA = "company_name string, uniq_id string, job_description string"
@@ -80,8 +79,42 @@ def test_scratch_deletes_what_is_dropped_and_all_at_its_end(spark):
     assert _kept_bytes(spark) == before and spark.conf.get(Scratch.CLEANUP, None) == setting
 
 
-@pytest.mark.parametrize("by", ["_with_copies"])
-def test_e6_reads_the_postings_once(spark, by):
+def test_e6_reads_the_postings_once(spark):
     """The counts come from the rows that the flags were made of, not from a second run of the input."""
-    plan = q_evaluation._e6(spark, SF_SMALL, by)._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("Relation [") == 1
+    per_employer = q_evaluation._e6(spark, SF_SMALL, "_with_copies")
+    for df in (per_employer, near_dups.combined_summary(per_employer)):
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
+
+
+def test_only_texts_of_candidates_are_exchanged(spark, monkeypatch):
+    """One large group, as a language is: of its texts only those that may hold another's windows meet them."""
+    rows = [("en", f"{i:04d}", text) for i, text in enumerate(_texts(300, 200, seed=8))]
+    rows += [("en", f"x{i}", rows[i][2] + " and more") for i in range(4)]
+    met, verified = [], near_dups.verified_edges
+
+    def counted(pairs, docs, windows):
+        met.append(docs.count())
+        return verified(pairs, docs, windows)
+
+    monkeypatch.setattr(near_dups, "verified_edges", counted)
+    assert near_dups.token_duplicates(spark.createDataFrame(rows, SCHEMA)).count() == 4
+    assert 4 <= sum(met) <= 12
+
+
+LANDED = ["e4_token_duplicates_with_copies",
+          "e6_combined_duplicates_with_copies",
+          "e6_combined_summary_with_copies"]
+
+
+@pytest.mark.parametrize("name", LANDED)
+def test_the_query_runs_on_postings_written_once(spark, monkeypatch, name):
+    class Landing(Exception):
+        pass
+
+    def landed(*_):
+        raise Landing
+
+    monkeypatch.setattr(near_dups, "landed_rows", landed)
+    catalog.load_all()
+    with pytest.raises(Landing):
+        catalog.QUERIES[name](spark, SF_SMALL)
