@@ -104,7 +104,8 @@ def test_only_texts_of_candidates_are_exchanged(spark, monkeypatch):
 LANDED = ["e4_token_duplicates_with_copies",
           "e6_combined_duplicates_with_copies",
           "e6_combined_summary_with_copies",
-          "e6_combined_duplicates_by_language"]
+          "e6_combined_duplicates_by_language",
+          "e6_combined_summary_by_language"]
 
 
 @pytest.mark.parametrize("name", LANDED)
