@@ -105,7 +105,8 @@ LANDED = ["e4_token_duplicates_with_copies",
           "e6_combined_duplicates_with_copies",
           "e6_combined_summary_with_copies",
           "e6_combined_duplicates_by_language",
-          "e6_combined_summary_by_language"]
+          "e6_combined_summary_by_language",
+          "e4_token_duplicates_by_language"]
 
 
 @pytest.mark.parametrize("name", LANDED)
