@@ -11,7 +11,7 @@ import pytest
 from conftest import SF_SMALL
 from test_near_dups import run_both
 from vacancylab.operators import near_dups
-from vacancylab.plans import catalog, q_evaluation
+from vacancylab.plans import catalog, fixture_sql, q_evaluation
 from vacancylab.session import Scratch, ensure_checkpoint_dir
 
 SCHEMA = "company_name string, uniq_id string, job_description string"
@@ -101,12 +101,39 @@ def test_only_texts_of_candidates_are_exchanged(spark, monkeypatch):
     assert 4 <= sum(met) <= 12
 
 
+def test_texts_are_exchanged_by_one_key(spark):
+    """Every join that carries texts is on the posting's id, so one exchange serves them all."""
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = q_evaluation._e4_input(spark, SF_SMALL, "")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "SortMergeJoin [uniq_id" in plan and "SortMergeJoin [doc_id" not in plan
+
+
+def test_postings_by_id_are_the_postings_by_key(spark):
+    """Repeated and missing keys on both sides."""
+    spark.createDataFrame([(1, "a", "s", "en", 1), (1, "b", "s", "en", 1), (2, "c", "s", "de", 1), (97, "d", "t", "en", 1),
+                           (None, "e", "t", "en", 1), (-3, "f", "t", "en", 1), (5, None, None, None, None)],
+                          "doc_id long, text string, source string, lang string, n_chars long").createOrReplaceTempView("some_documents")
+    spark.sql("""SELECT * FROM VALUES (1L, timestamp'2020-01-02'), (1L, timestamp'2020-01-03'), (2L, NULL), (97L, timestamp'2021-01-01'),
+                 (NULL, timestamp'2020-01-01'), (-3L, timestamp'2020-01-01'), (5L, timestamp'2020-01-01') AS o(o_orderkey, o_orderdate)
+              """).createOrReplaceTempView("some_orders")
+    by_id, by_key = (spark.sql(fixture_sql.view_sql("v_postings", "some_{}".format, views))
+                     for views in (fixture_sql.TEXT_VIEWS, fixture_sql.SPARK_VIEWS))
+    assert by_id.schema == by_key.schema
+    rows = sorted(map(str, by_id.collect()))
+    assert rows == sorted(map(str, by_key.collect())) and len(rows) == 8
+
+
 LANDED = ["e4_token_duplicates_with_copies",
           "e6_combined_duplicates_with_copies",
           "e6_combined_summary_with_copies",
           "e6_combined_duplicates_by_language",
           "e6_combined_summary_by_language",
-          "e4_token_duplicates_by_language"]
+          "e4_token_duplicates_by_language",
+          "e6_combined_summary"]
 
 
 @pytest.mark.parametrize("name", LANDED)
