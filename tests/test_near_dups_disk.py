@@ -133,7 +133,8 @@ LANDED = ["e4_token_duplicates_with_copies",
           "e6_combined_duplicates_by_language",
           "e6_combined_summary_by_language",
           "e4_token_duplicates_by_language",
-          "e6_combined_summary"]
+          "e6_combined_summary",
+          "e6_combined_duplicates"]
 
 
 @pytest.mark.parametrize("name", LANDED)
