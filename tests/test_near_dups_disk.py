@@ -134,7 +134,8 @@ LANDED = ["e4_token_duplicates_with_copies",
           "e6_combined_summary_by_language",
           "e4_token_duplicates_by_language",
           "e6_combined_summary",
-          "e6_combined_duplicates"]
+          "e6_combined_duplicates",
+          "e6_worst_employers"]
 
 
 @pytest.mark.parametrize("name", LANDED)
