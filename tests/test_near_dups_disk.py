@@ -135,7 +135,8 @@ LANDED = ["e4_token_duplicates_with_copies",
           "e4_token_duplicates_by_language",
           "e6_combined_summary",
           "e6_combined_duplicates",
-          "e6_worst_employers"]
+          "e6_worst_employers",
+          "e4_token_duplicates"]
 
 
 @pytest.mark.parametrize("name", LANDED)
